@@ -63,11 +63,11 @@ def q_normalize_quotes(spark, sf_dir):
                        ts_to_ms("ingest_time").alias("ingest_time_ms"), "source")
 
 
-def _wire_quotes(ev: DataFrame) -> DataFrame:
-    """Canonical quotes -> the wire record (exact decimal strings)."""
+def _wire_quotes(ev: DataFrame, extra=()) -> DataFrame:
+    """Canonical quotes -> the wire record (exact decimal strings), plus ``extra`` columns."""
     return ev.select("symbol", F.col("price").cast("string").alias("price"),
                      F.col("volume").cast("string").alias("volume"), "day_volume",
-                     "quote_time", "ingest_time", "source")
+                     "quote_time", "ingest_time", "source", *extra)
 
 
 def q_wire_roundtrip(spark, sf_dir):
@@ -230,20 +230,20 @@ def q_count_rows(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming
+LATE_CHUNK = 1 << 40
+
+
 def stage_topic_files(spark: SparkSession, quotes: DataFrame, out_dir: str, chunk_days: int = CHUNK_DAYS,
-                      late=None, files_per_chunk: int | None = None) -> int:
-    """Write quotes as framed topic rows, one time chunk after another, each chunk as
-    exactly ``files_per_chunk`` files, so a stream reading ``maxFilesPerTrigger`` =
-    that many files takes one whole chunk per micro-batch, in time order. Rows
-    matching ``late`` are held back and written last, as one more chunk.
-    Returns the files per chunk."""
-    k = files_per_chunk or max(1, spark.sparkContext.defaultParallelism)
+                      late=None) -> str:
+    """Stage quotes as framed topic rows, partitioned by time chunk (rows matching
+    ``late`` go to one extra chunk after all others). Returns the staging folder;
+    ``publish_chunks`` then releases chunks to the topic folder in order."""
     day = F.datediff(F.to_date("quote_time"), F.lit("1970-01-01"))
     chunk = F.floor(day / F.lit(chunk_days)).cast("bigint")
     if late is not None:
-        chunk = F.when(late, F.lit(1 << 40).cast("bigint")).otherwise(chunk)
-    rows = _wire_quotes(quotes).withColumn("chunk", chunk)
-    framed = avro_encode_frame(rows, schema_id=1, keep=["quote_time", "chunk"])
+        chunk = F.when(late, F.lit(LATE_CHUNK).cast("bigint")).otherwise(chunk)
+    rows = quotes.withColumn("chunk", chunk)
+    framed = avro_encode_frame(_wire_quotes(rows, extra=["chunk"]), schema_id=1, keep=["quote_time", "chunk"])
     topic_rows = framed.select(
         "key", "value",
         F.lit("market.quotes").alias("topic"),
@@ -253,9 +253,20 @@ def stage_topic_files(spark: SparkSession, quotes: DataFrame, out_dir: str, chun
         "chunk")
     staged_dir = f"{out_dir}_staged"
     topic_rows.write.mode("overwrite").partitionBy("chunk").parquet(staged_dir)
+    return staged_dir
+
+
+def publish_chunks(spark: SparkSession, staged_dir: str, out_dir: str, late: bool = False,
+                   files_per_chunk: int | None = None) -> int:
+    """Append the on-time chunks (or, with ``late``, the held-back chunk) to the topic
+    folder, one chunk per write and exactly ``files_per_chunk`` files each, so a stream
+    with ``maxFilesPerTrigger`` = that number reads one whole chunk per micro-batch in
+    time order. Returns the files per chunk."""
+    k = files_per_chunk or max(1, spark.sparkContext.defaultParallelism)
     staged = spark.read.parquet(staged_dir)
     # distinct chunk ids: one per time chunk, a handful of values
     chunks = sorted(r["chunk"] for r in staged.select("chunk").distinct().collect())
+    chunks = [c for c in chunks if (c == LATE_CHUNK) == late]
     for c in chunks:   # one write per chunk, so file modification order = time order
         (staged.where(F.col("chunk") == c).drop("chunk")
             .repartition(k).write.mode("append").parquet(out_dir))
@@ -263,17 +274,24 @@ def stage_topic_files(spark: SparkSession, quotes: DataFrame, out_dir: str, chun
 
 
 def _stream_run(spark, sf_dir, late_rule: bool = False) -> dict:
+    """The two-query app over the events topic. With ``late_rule``, rows with k < 10
+    are delivered in a second run after everything else (a late arrival)."""
     key = ("stream", id(spark), sf_dir, late_rule)
     if key in _cache:
         return _cache[key]
     root = scratch_dir(spark, "stream")
     ev = _events(spark, sf_dir)
-    late = (F.col("volume") < 10) if late_rule else None
-    k = stage_topic_files(spark, ev, f"{root}/topic", late=late)
+    staged = stage_topic_files(spark, ev, f"{root}/topic", late=(F.col("volume") < 10) if late_rule else None)
     store = BarStore(spark, f"{root}/ohlcv", writer="stream")
-    multi_query_app(spark, lambda: src_kafka(spark, path=f"{root}/topic", max_files_per_trigger=k),
-                    f"{root}/quotes_raw", store, f"{root}/checkpoints",
-                    trigger={"availableNow": True})
+
+    def run(k):
+        multi_query_app(spark, lambda: src_kafka(spark, path=f"{root}/topic", max_files_per_trigger=k),
+                        f"{root}/quotes_raw", store, f"{root}/checkpoints",
+                        trigger={"availableNow": True})
+
+    run(publish_chunks(spark, staged, f"{root}/topic"))
+    if late_rule:
+        run(publish_chunks(spark, staged, f"{root}/topic", late=True))
     _cache[key] = {"root": root, "raw": f"{root}/quotes_raw", "store": store}
     return _cache[key]
 
@@ -299,7 +317,7 @@ def q_late_rows_report(spark, sf_dir):
 def q_increments_stream(spark, sf_dir):
     root = scratch_dir(spark, "increments")
     ev = _events(spark, sf_dir)
-    k = stage_topic_files(spark, ev, f"{root}/topic")
+    k = publish_chunks(spark, stage_topic_files(spark, ev, f"{root}/topic"), f"{root}/topic")
     src = src_kafka(spark, path=f"{root}/topic", max_files_per_trigger=k)
     quotes = to_quotes(read_framed_quotes(src).where(F.col("decode_error").isNull()).drop("decode_error"))
     out = increments_stateful(quotes)
