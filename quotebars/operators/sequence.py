@@ -54,6 +54,12 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
                 .withColumn(_PID, F.spark_partition_id()))
+    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # both consumers must see one set of range bounds; without exchange reuse,
+        # materialise the partitioned rows once (reliable checkpoint, shared folder)
+        from quotebars.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        ranged = ranged.checkpoint(eager=True)
 
     local_sum = "_loc_sum"
     local_prev = "_loc_prev"
@@ -70,7 +76,7 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     # the second exchange to a few rows per task.
     order_struct = F.struct(*[F.col(c) for c in order_cols])
     seg = local.groupBy(_PID, *group_cols).agg(
-        F.max_by(F.col(local_sum), order_struct).alias("_seg_sum"),
+        F.sum(value_col).cast(out_type).alias("_seg_sum"),
         F.max_by(F.col(value_col), order_struct).cast(out_type).alias("_seg_last"),
     )
     w = Window.partitionBy(*group_cols).orderBy(_PID)
@@ -119,7 +125,9 @@ def _local_scan(group_cols: list[str], value_col: str, is_int: bool):
             continues = carry_key is not None and first_key == carry_key
             new_group.iloc[0] = not continues
             gid = new_group.cumsum()
-            csum = vals.groupby(gid).cumsum()          # skips NA
+            # SQL running sum: NULLs add nothing, and the sum stays NULL until the
+            # group's first non-NULL value
+            csum = vals.fillna(0).groupby(gid).cumsum()
             seen = vals.notna().astype("int64").groupby(gid).cumsum() > 0
             csum = csum.where(seen)
             prev = vals.groupby(gid).shift()

@@ -28,7 +28,8 @@ LIQ = """liq AS (
          CAST(l_extendedprice / l_quantity AS DECIMAL(38,8)) AS price,
          CAST(l_quantity AS DECIMAL(38,8)) AS volume,
          SUM(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE)
-             ORDER BY l_shipdate, l_orderkey, l_linenumber
+             ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice,
+                      l_discount, l_tax, l_returnflag, l_linestatus
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS day_volume,
          l_shipdate AS quote_time
   FROM lineitem)"""

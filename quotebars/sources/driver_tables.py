@@ -4,7 +4,7 @@
                day_volume = running sum of volume per (symbol, UTC day) in (ts, event_id) order.
 ``lineitem`` -> symbol = supplier key, price = extended price / quantity (unit price),
                volume = quantity, quote_time = ship date (midnights: many time ties),
-               day_volume = running sum per (symbol, day) in (orderkey, linenumber) order.
+               day_volume = running sum per (symbol, day) in (orderkey, linenumber, other columns) order.
 
 Both keep the canonical QUOTE columns; timestamps become TIMESTAMP (UTC session).
 The running day volume uses the skew-safe ``ordered_scan``.
@@ -52,6 +52,10 @@ def quotes_from_events(spark: SparkSession, sf_dir: str, with_day_volume: bool =
     return _canonical(q)
 
 
+_LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+                   "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+
+
 def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     li = read_table(spark, sf_dir, "lineitem")
@@ -64,8 +68,9 @@ def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_shipdate").cast("timestamp").alias("ingest_time"),
         F.lit("lineitem").alias("source"),
         F.to_date(F.col("l_shipdate")).alias("_day"),
-        F.col("l_orderkey").alias("_ok"),
-        F.col("l_linenumber").alias("_ln"),
+        *[F.col(c).alias(f"_{c}") for c in _LINEITEM_ORDER],
     )
-    q = ordered_scan(q, ["symbol", "_day"], ["quote_time", "_ok", "_ln"], "_units", running_sum="day_volume")
+    # every remaining column breaks ties, so only fully identical rows can swap places
+    q = ordered_scan(q, ["symbol", "_day"], ["quote_time"] + [f"_{c}" for c in _LINEITEM_ORDER], "_units",
+                     running_sum="day_volume")
     return _canonical(q)

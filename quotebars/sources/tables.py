@@ -87,7 +87,8 @@ RAW_STORED = T.StructType(list(QUOTE.fields) + [T.StructField("quote_day", T.Dat
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """The raw table with typed partition columns (symbol stays a string)."""
-    return spark.read.schema(RAW_STORED).parquet(path)
+    df = spark.read.schema(RAW_STORED).parquet(path)
+    return df.select(*[f.name for f in RAW_STORED.fields])
 
 
 def day_range_filter(df: DataFrame, ts_col: str, day_col: str, lo=None, hi=None) -> DataFrame:
@@ -212,8 +213,8 @@ class BarStore:
         # keeps partition filters on symbol/bar_day pushable below the window.
         w = Window.partitionBy("symbol", "bar_day", "window_start").orderBy(F.col("seq").desc())
         latest = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-        cols = [c for c in df.columns if c not in ("seq", "bar_day", "_rn")]
-        return latest.select(*cols)
+        # contract column order (partition columns come back last from the reader)
+        return latest.select(*[f.name for f in BAR.fields])
 
     def _empty_schema(self):
         return BAR
