@@ -1,8 +1,11 @@
 """Skew-safe per-key sequence scans: running sum and predecessor value.
 
 ``Window.partitionBy(key).orderBy(t)`` puts every row of a key into one task, so a
-symbol holding a third of the data becomes a single-task sort. Here the rows are
-range-partitioned on ``(key, order...)`` instead: Spark's sampled range bounds split a
+symbol holding a third of the data becomes a single-task sort. ``ordered_scan`` first
+counts rows per group (partially aggregated, tiny output); groups within the row budget
+take the plain window, and only the hot groups take the range-split path below.
+
+Range-split path: the rows are range-partitioned on ``(key, order...)`` instead: Spark's sampled range bounds split a
 hot key across many partitions. Each partition is scanned once in time order
 (Arrow-batched, vectorised per batch), and the only cross-partition information — the
 running total and last value of a key that continues from an earlier partition — comes
@@ -17,6 +20,7 @@ read the same reused exchange).
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,25 +35,77 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+MAX_GROUP_ROWS_CONF = "spark.quotebars.sequence.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+MAX_HOT_GROUPS = 100_000
+
+
 def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], value_col: str,
                  running_sum: str | None = None, previous: str | None = None,
-                 num_partitions: int | None = None) -> DataFrame:
+                 num_partitions: int | None = None, strategy: str = "auto",
+                 max_group_rows: int | None = None) -> DataFrame:
     """Add a per-group running sum and/or predecessor value of ``value_col``.
 
     Rows are ordered by ``order_cols`` inside each ``group_cols`` group; the order
     should be total (append a unique column) for a deterministic result. The running
     sum is inclusive and skips NULLs (NULL until the first non-NULL value, like SQL);
     ``previous`` is the value of the preceding row (NULL for the group's first row).
+
+    ``strategy``:
+    * ``"auto"`` (default): count rows per group (partial aggregation, small output) and
+      route groups larger than ``max_group_rows`` (conf ``spark.quotebars.sequence.
+      maxGroupRows``) through the range-split scan, all others through a plain window.
+      The hot-group list holds at most total_rows / max_group_rows keys (capped at
+      100k; beyond that every row takes the range path), so broadcasting it is safe.
+    * ``"range"``: every row through the range-split scan.
+    * ``"window"``: every row through ``Window.partitionBy(group)`` (bounded groups only).
     """
     if not running_sum and not previous:
         raise ValueError("ask for running_sum and/or previous")
-    keys = list(group_cols) + list(order_cols)
     vtype = df.schema[value_col].dataType
     if not isinstance(vtype, (T.LongType, T.IntegerType, T.ShortType, T.DoubleType, T.FloatType)):
         raise TypeError(f"{value_col}: ordered_scan works on integer or floating columns, got {vtype}")
     is_int = isinstance(vtype, (T.LongType, T.IntegerType, T.ShortType))
     out_type = T.LongType() if is_int else T.DoubleType()
+    args = (group_cols, order_cols, value_col, running_sum, previous, out_type)
+    if strategy == "window":
+        return _window_scan(df, *args)
+    if strategy == "range":
+        return _range_scan(df, *args, is_int=is_int, num_partitions=num_partitions)
+    if strategy != "auto":
+        raise ValueError(f"unknown strategy {strategy!r}")
+
+    limit = max_group_rows or int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    hot = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+             .where(F.col("_n") > limit).select(*group_cols))
+    hot_keys = hot.limit(MAX_HOT_GROUPS + 1).collect()
+    if not hot_keys:
+        return _window_scan(df, *args)
+    if len(hot_keys) > MAX_HOT_GROUPS:
+        return _range_scan(df, *args, is_int=is_int, num_partitions=num_partitions)
+    # <= MAX_HOT_GROUPS keys, checked above: a small local relation, broadcast
+    hot = F.broadcast(df.sparkSession.createDataFrame(hot_keys, hot.schema))
+    cond = [df[c].eqNullSafe(hot[c]) for c in group_cols]
+    cold_rows = df.join(hot, cond, "left_anti")
+    hot_rows = df.join(hot, cond, "left_semi")
+    return (_window_scan(cold_rows, *args)
+            .unionByName(_range_scan(hot_rows, *args, is_int=is_int, num_partitions=num_partitions)))
+
+
+def _window_scan(df, group_cols, order_cols, value_col, running_sum, previous, out_type) -> DataFrame:
+    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+    cols = [F.col(f.name) for f in df.schema.fields]
+    if running_sum:
+        cols.append(F.sum(value_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                     .cast(out_type).alias(running_sum))
+    if previous:
+        cols.append(F.lag(value_col).over(w).cast(out_type).alias(previous))
+    return df.select(*cols)
+
 
+def _range_scan(df, group_cols, order_cols, value_col, running_sum, previous, out_type, *,
+                is_int: bool, num_partitions: int | None) -> DataFrame:
+    keys = list(group_cols) + list(order_cols)
     n = _partitions(df, num_partitions)
     ranged = (df.repartitionByRange(n, *keys)
                 .sortWithinPartitions(*keys)
@@ -66,7 +122,7 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     local_first = "_loc_first"
     out_schema = T.StructType(list(ranged.schema.fields) + [
         T.StructField(local_sum, out_type), T.StructField(local_prev, out_type),
-        T.StructField(local_first, T.BooleanType())])
+        T.StructField(local_first, T.BooleanType()), T.StructField("_loc_pos", T.LongType())])
     scan = _local_scan(list(group_cols), value_col, is_int)
     local = ranged.mapInPandas(scan, out_schema)
 
@@ -74,10 +130,9 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     # own output so both consumers read one (reused) range exchange — two separately
     # planned range exchanges may sample different bounds. Partial aggregation keeps
     # the second exchange to a few rows per task.
-    order_struct = F.struct(*[F.col(c) for c in order_cols])
     seg = local.groupBy(_PID, *group_cols).agg(
         F.sum(value_col).cast(out_type).alias("_seg_sum"),
-        F.max_by(F.col(value_col), order_struct).cast(out_type).alias("_seg_last"),
+        F.max_by(F.col(value_col), F.col("_loc_pos")).cast(out_type).alias("_seg_last"),
     )
     w = Window.partitionBy(*group_cols).orderBy(_PID)
     carry = (seg.select(
@@ -106,50 +161,60 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], va
     return joined.select(*cols)
 
 
+def _key_tuple(pdf: pd.DataFrame, cols: list[str], i: int) -> tuple:
+    return tuple(None if pd.isna(x) else x for x in (pdf[c].iat[i] for c in cols))
+
+
 def _local_scan(group_cols: list[str], value_col: str, is_int: bool):
-    """Per-partition ordered pass; carries the open group across Arrow batches."""
-    dtype = "Int64" if is_int else "Float64"
+    """Per-partition ordered pass (numpy segmented scans per Arrow batch); carries the
+    open group across batches."""
+    vtype = np.int64 if is_int else np.float64
+    array_type = pd.arrays.IntegerArray if is_int else pd.arrays.FloatingArray
 
     def scan(batches):
-        carry_key = None      # group key tuple of the last row seen in this partition
+        carry_key = None      # group key of the last row seen in this partition
         carry_sum = None      # running sum of that group so far (None = no non-null yet)
-        carry_last = None     # value of the last row of that group
+        carry_last = None     # value of the last row of that group (None = NULL)
+        pos = 0               # row position inside the partition
         for pdf in batches:
-            if pdf.empty:
+            n = len(pdf)
+            if n == 0:
                 continue
-            vals = pdf[value_col].astype(dtype)
-            keys = pdf[group_cols]
-            same_as_prev = keys.eq(keys.shift()) | (keys.isna() & keys.shift().isna())
-            new_group = ~same_as_prev.all(axis=1)
-            first_key = tuple(None if pd.isna(x) else x for x in keys.iloc[0])
-            continues = carry_key is not None and first_key == carry_key
-            new_group.iloc[0] = not continues
-            gid = new_group.cumsum()
-            # SQL running sum: NULLs add nothing, and the sum stays NULL until the
-            # group's first non-NULL value
-            csum = vals.fillna(0).groupby(gid).cumsum()
-            seen = vals.notna().astype("int64").groupby(gid).cumsum() > 0
-            csum = csum.where(seen)
-            prev = vals.groupby(gid).shift()
-            first_row = new_group.copy()
+            col = pdf[value_col]
+            null = col.isna().to_numpy()
+            v = col.fillna(0).to_numpy(dtype=vtype)
+            new = np.zeros(n, dtype=bool)
+            for c in group_cols:
+                a = pdf[c].to_numpy()
+                na = pd.isna(a)
+                new[1:] |= (a[1:] != a[:-1]) & ~(na[1:] & na[:-1])
+            continues = carry_key is not None and _key_tuple(pdf, group_cols, 0) == carry_key
+            new[0] = not continues
+            idx = np.arange(n)
+            start = np.maximum.accumulate(np.where(new, idx, 0))
+            cs = np.cumsum(v)
+            rs = cs - np.where(start > 0, cs[start - 1], 0)
+            cnt = np.cumsum(~null)
+            seen = (cnt - np.where(start > 0, cnt[start - 1], 0)) > 0
+            prev = np.empty(n, dtype=vtype)
+            prev[1:] = v[:-1]
+            prev_null = np.empty(n, dtype=bool)
+            prev_null[1:] = null[:-1]
+            prev_null |= new
             if continues:
-                g0 = gid == gid.iloc[0]
+                head = (start == 0)
                 if carry_sum is not None:
-                    csum = csum.where(~g0, csum.fillna(0) + carry_sum)
-                prev.iloc[0] = carry_last
-                # rows of the continued group before its first non-null keep the carried sum
-                csum = csum.where(~(g0 & csum.isna()), carry_sum)
-            # remember the open group at the end of the batch
-            last_gid = gid.iloc[-1]
-            carry_key = tuple(None if pd.isna(x) else x for x in keys.iloc[-1])
-            tail = csum[gid == last_gid].dropna()
-            carry_sum = None if tail.empty else tail.iloc[-1]
-            carry_last = vals.iloc[-1]
-            carry_last = None if pd.isna(carry_last) else carry_last
-            out = pdf.copy()
-            out["_loc_sum"] = csum.astype(dtype)
-            out["_loc_prev"] = prev.astype(dtype)
-            out["_loc_first"] = first_row.astype(bool)
+                    rs = np.where(head, rs + carry_sum, rs)
+                    seen = seen | head
+                prev[0] = 0 if carry_last is None else carry_last
+                prev_null[0] = carry_last is None
+            carry_key = _key_tuple(pdf, group_cols, n - 1)
+            carry_sum = rs[-1].item() if seen[-1] else None
+            carry_last = None if null[-1] else v[-1].item()
+            out = pdf.assign(_loc_sum=array_type(np.where(seen, rs, 0).astype(vtype), ~seen),
+                             _loc_prev=array_type(np.where(prev_null, 0, prev).astype(vtype), prev_null),
+                             _loc_first=new, _loc_pos=np.arange(pos, pos + n, dtype=np.int64))
+            pos += n
             yield out
 
     return scan

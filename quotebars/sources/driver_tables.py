@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotebars.operators.sequence import ordered_scan
-from quotebars.schemas import DECIMAL, QUOTE
+from quotebars.schemas import DECIMAL
 from quotebars.session import configure
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -27,29 +27,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _canonical(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in QUOTE.fields])
-
-
 def quotes_from_events(spark: SparkSession, sf_dir: str, with_day_volume: bool = True) -> DataFrame:
     configure(spark)
     ev = read_table(spark, sf_dir, "events")
-    k = F.get_json_object(F.col("props"), "$.k")
-    q = ev.select(
+    # the running day volume is computed on narrow primitive columns (cheap to move
+    # through Arrow); decimals and strings are derived afterwards
+    base = ev.select(
         F.col("event_type").alias("symbol"),
+        F.col("value"),
+        F.get_json_object(F.col("props"), "$.k").try_cast("bigint").alias("_units"),
+        F.col("ts"),
+        F.to_date(F.col("ts")).alias("_day"),
+        F.col("event_id"),
+    )
+    if with_day_volume:
+        base = ordered_scan(base, ["symbol", "_day"], ["ts", "event_id"], "_units", running_sum="day_volume")
+    else:
+        base = base.withColumn("day_volume", F.lit(None).cast("bigint"))
+    return base.select(
+        "symbol",
         F.col("value").try_cast(DECIMAL).alias("price"),
-        k.try_cast(DECIMAL).alias("volume"),
-        k.try_cast("bigint").alias("_units"),
+        F.col("_units").cast(DECIMAL).alias("volume"),
+        F.col("day_volume").cast("bigint").alias("day_volume"),
         F.col("ts").cast("timestamp").alias("quote_time"),
         F.col("ts").cast("timestamp").alias("ingest_time"),
         F.lit("events").alias("source"),
-        F.to_date(F.col("ts")).alias("_day"),
-        F.col("event_id").alias("_seq"),
     )
-    if not with_day_volume:
-        return _canonical(q.withColumn("day_volume", F.lit(None).cast("bigint")))
-    q = ordered_scan(q, ["symbol", "_day"], ["quote_time", "_seq"], "_units", running_sum="day_volume")
-    return _canonical(q)
 
 
 _LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
@@ -59,18 +62,17 @@ _LINEITEM_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_e
 def quotes_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     li = read_table(spark, sf_dir, "lineitem")
-    q = li.select(
+    base = li.select("l_suppkey", "l_shipdate", F.to_date("l_shipdate").alias("_day"),
+                     F.col("l_quantity").cast("bigint").alias("_units"), *_LINEITEM_ORDER)
+    # every remaining column breaks ties, so only fully identical rows can swap places
+    base = ordered_scan(base, ["l_suppkey", "_day"], ["l_shipdate", *_LINEITEM_ORDER], "_units",
+                        running_sum="day_volume")
+    return base.select(
         F.col("l_suppkey").cast("string").alias("symbol"),
         (F.col("l_extendedprice") / F.col("l_quantity")).cast(DECIMAL).alias("price"),
         F.col("l_quantity").cast(DECIMAL).alias("volume"),
-        F.col("l_quantity").cast("bigint").alias("_units"),
+        F.col("day_volume").cast("bigint").alias("day_volume"),
         F.col("l_shipdate").cast("timestamp").alias("quote_time"),
         F.col("l_shipdate").cast("timestamp").alias("ingest_time"),
         F.lit("lineitem").alias("source"),
-        F.to_date(F.col("l_shipdate")).alias("_day"),
-        *[F.col(c).alias(f"_{c}") for c in _LINEITEM_ORDER],
     )
-    # every remaining column breaks ties, so only fully identical rows can swap places
-    q = ordered_scan(q, ["symbol", "_day"], ["quote_time"] + [f"_{c}" for c in _LINEITEM_ORDER], "_units",
-                     running_sum="day_volume")
-    return _canonical(q)

@@ -29,10 +29,15 @@ def _fixture(n=3000, seed=1):
     return rows
 
 
-def test_ordered_scan_matches_brute_force(spark):
+import pytest
+
+
+@pytest.mark.parametrize("strategy,max_rows", [("range", None), ("window", None), ("auto", 200), ("auto", None)])
+def test_ordered_scan_matches_brute_force(spark, strategy, max_rows):
     rows = _fixture()
     df = spark.createDataFrame(rows, "sym string, day int, seq long, v long")
-    out = ordered_scan(df, ["sym", "day"], ["seq"], "v", running_sum="rs", previous="pv", num_partitions=16)
+    out = ordered_scan(df, ["sym", "day"], ["seq"], "v", running_sum="rs", previous="pv", num_partitions=16,
+                       strategy=strategy, max_group_rows=max_rows)
     got = out.toPandas().sort_values("seq").reset_index(drop=True)
     ref = _brute(pd.DataFrame(rows, columns=["sym", "day", "seq", "v"]), ["sym", "day"], ["seq"], "v")
     ref = ref.sort_values("seq").reset_index(drop=True)
@@ -47,7 +52,8 @@ def test_ordered_scan_hot_key_is_split(spark):
     # one key holds every row: the range exchange still spreads it over all partitions
     df = spark.range(0, 20000).select(F.lit("HOT").alias("sym"), F.col("id").alias("seq"),
                                       (F.col("id") % 7).alias("v"))
-    out = ordered_scan(df, ["sym"], ["seq"], "v", running_sum="rs", num_partitions=8)
+    out = ordered_scan(df, ["sym"], ["seq"], "v", running_sum="rs", num_partitions=8, max_group_rows=1000)
+    assert "rangepartitioning" in out._jdf.queryExecution().executedPlan().toString()
     sizes = (df.repartitionByRange(8, "sym", "seq").groupBy(F.spark_partition_id()).count().collect())
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 20000 / 2
     last = out.where(F.col("seq") == 19999).collect()[0]
