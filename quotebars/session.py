@@ -20,6 +20,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # small inputs still spread over the cores (only matters below ~1 MB per core)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # RocksDB keeps streaming window/increment state off the JVM heap, which matters
     # once the symbol set (state keys) grows.

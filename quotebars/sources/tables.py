@@ -114,69 +114,104 @@ class BarStore:
         self.guard = guard_trade_count
 
     # ---------------------------------------------------------------- commits
+    # _commits/seq=<n>           one JSON entry per committed version (create-if-absent)
+    # _commits/_batches/<w>/<b>  marker: batch b of writer w is committed (replay check)
+    # _commits/_base/seq=<n>     marker: version n is a compacted base
+    # Hot paths only list names or test for existence; entry contents are read on audit.
     def _fs(self):
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(conf), jvm
 
+    def _path(self, rel: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{rel}")
+
+    def _seqs(self, rel: str = "_commits") -> list[int]:
+        fs, _ = self._fs()
+        d = self._path(rel)
+        if not fs.exists(d):
+            return []
+        return sorted(int(st.getPath().getName()[4:]) for st in fs.listStatus(d)
+                      if st.getPath().getName().startswith("seq="))
+
+    def last_seq(self) -> int:
+        seqs = self._seqs()
+        return seqs[-1] if seqs else 0
+
+    def _marker(self, batch_id) -> str:
+        return f"_commits/_batches/{self.writer}/{batch_id}"
+
+    def is_committed(self, batch_id) -> bool:
+        fs, _ = self._fs()
+        return batch_id is not None and fs.exists(self._path(self._marker(batch_id)))
+
+    def _create(self, rel: str, text: str = "") -> None:
+        fs, _ = self._fs()
+        out = fs.create(self._path(rel), False)     # create-if-absent: a racing committer fails here
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def _commit(self, entry: dict) -> None:
+        self._create(f"_commits/seq={entry['seq']:012d}", json.dumps(entry))
+        if entry.get("base"):
+            self._create(f"_commits/_base/seq={entry['seq']:012d}")
+        if entry.get("batch_id") is not None:
+            self._create(self._marker(entry["batch_id"]))
+
     def _commits(self) -> list[dict]:
-        """The commit entries (one small JSON file each), oldest first."""
+        """Every commit entry, oldest first (reads each entry: audits and tests only)."""
         fs, jvm = self._fs()
-        cdir = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_commits")
-        if not fs.exists(cdir):
-            return []
         entries = []
-        for st in fs.listStatus(cdir):
-            name = st.getPath().getName()
-            if not name.startswith("seq="):
-                continue
-            stream = fs.open(st.getPath())
+        for seq in self._seqs():
+            stream = fs.open(self._path(f"_commits/seq={seq:012d}"))
             try:
                 reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
                 entries.append(json.loads(reader.readLine()))
             finally:
                 stream.close()
-        return sorted(entries, key=lambda e: e["seq"])
+        return entries
 
-    def _commit(self, entry: dict) -> None:
-        fs, jvm = self._fs()
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/_commits/seq={entry['seq']:012d}")
-        out = fs.create(p, False)     # create-if-absent: a second committer fails here
-        try:
-            out.write(bytearray(json.dumps(entry).encode("utf-8")))
-        finally:
-            out.close()
+    def _has_data(self, rel: str) -> bool:
+        fs, _ = self._fs()
+        it = fs.listFiles(self._path(rel), True)
+        while it.hasNext():
+            name = it.next().getPath().getName()
+            if not name.startswith(("_", ".")):
+                return True
+        return False
 
     # ---------------------------------------------------------------- writes
     def upsert(self, bars: DataFrame, batch_id: int | None = None, base: bool = False) -> bool:
-        """Upsert one batch. Returns False when the batch was already committed."""
+        """Upsert one batch. Returns False when the batch was already committed.
+
+        The batch is computed once (one write); an empty batch writes no data file and
+        is not committed."""
         if self.table:
             self._merge(bars)
             return True
-        commits = self._commits()
-        if batch_id is not None and any(c.get("writer") == self.writer and c.get("batch_id") == batch_id
-                                        for c in commits):
+        if self.is_committed(batch_id):
             return False
-        if bars.isEmpty():
-            return True
-        seq = (commits[-1]["seq"] + 1) if commits else 1
+        seq = self.last_seq() + 1
+        rel = f"data/seq={seq:012d}"
         cols = [c for c in bars.columns if c not in ("bar_day", "seq")]
+        # one file per (symbol, day) partition: bars per symbol-day are bounded by the
+        # number of windows in a day, so clustering on them cannot build a hot task
         (bars.select(*cols, F.to_date("window_start").alias("bar_day"))
+             .repartition("symbol", "bar_day")
              .write.mode("overwrite").partitionBy("symbol", "bar_day")
-             .parquet(f"{self.path}/data/seq={seq:012d}"))
+             .parquet(f"{self.path}/{rel}"))
+        if not self._has_data(rel):
+            return True
         self._commit({"seq": seq, "writer": self.writer, "batch_id": batch_id, "base": base})
         return True
 
     def foreach_batch(self):
         """``foreachBatch`` callback; uses the batch's own session and its batch id."""
         def write(batch_df: DataFrame, batch_id: int) -> None:
-            # the emptiness probe and the write would otherwise compute the batch twice
-            batch_df.persist()
-            try:
-                self.upsert(batch_df, batch_id)
-            finally:
-                batch_df.unpersist()
+            self.upsert(batch_df, batch_id)
         return write
 
     def _merge(self, bars: DataFrame) -> None:
@@ -195,11 +230,10 @@ class BarStore:
         if self.table:
             df = self.spark.table(self.table)
             return df.where(F.col("symbol") == symbol) if symbol else df
-        commits = self._commits()
-        if not commits:
+        last = self.last_seq()
+        if not last:
             return self.spark.createDataFrame([], self._empty_schema())
-        last = commits[-1]["seq"]
-        first = max([c["seq"] for c in commits if c.get("base")] or [1])
+        first = max(self._seqs("_commits/_base") or [1])
         df = (self.spark.read.schema(self.stored_schema())
               .parquet(f"{self.path}/data")
               .where((F.col("seq") >= first) & (F.col("seq") <= last)))
@@ -230,11 +264,12 @@ class BarStore:
         """Rewrite the latest rows as one base commit (no-op on an empty store)."""
         if self.table:
             return False
-        current = self.read()
-        if current.isEmpty():
+        before = self.last_seq()
+        if not before:
             return False
-        # cut lineage: materialise to the new seq's directory before committing
-        return self.upsert(current, batch_id=None, base=True)
+        # the latest rows become one new version; reads then start from it
+        self.upsert(self.read(), batch_id=None, base=True)
+        return self.last_seq() > before
 
     def versions(self) -> DataFrame:
         """Every row version with its seq (for audits and tests)."""
