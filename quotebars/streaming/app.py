@@ -16,8 +16,9 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
-from quotebars.operators.quality import split_valid, validate_quotes
+from quotebars.operators.quality import observe_counters, split_valid, validate_quotes
 from quotebars.operators.rollup import aggregate_ohlcv
 from quotebars.schemas import WATERMARK_DELAY, WINDOW_DURATION
 from quotebars.sources.ingest import to_quotes
@@ -56,24 +57,81 @@ def start_bars_query(quotes: DataFrame, store: BarStore, checkpoint: str,
     return writer.start()
 
 
+def start_quarantine_query(kafka_rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+                           query_name: str = "quotes_quarantine"):
+    """Exactly-once append of rejected messages with their reason (partitioned by it)."""
+    tagged = validate_quotes(read_framed_quotes(kafka_rows))
+    _, quarantine = split_valid(tagged)
+    writer = (quarantine.writeStream.queryName(query_name).format("parquet").outputMode("append")
+              .partitionBy("reject_reason").option("checkpointLocation", checkpoint).option("path", path))
+    if trigger:
+        writer = writer.trigger(**trigger)
+    return writer.start()
+
+
 def multi_query_app(spark: SparkSession, source: Callable[[], DataFrame], raw_path: str,
                     store: BarStore, checkpoint_root: str, window_duration: str = WINDOW_DURATION,
                     delay: str = WATERMARK_DELAY, trigger: dict | None = None,
-                    wait: bool = True):
-    """Start both queries (each with its own checkpoint sub-folder). With ``wait`` the
-    call blocks until both finish (bounded triggers) or either fails/ends (unbounded)."""
+                    wait: bool = True, quarantine_path: str | None = None):
+    """Start the raw append and the bar upsert (and, with ``quarantine_path``, the
+    quarantine append), each reading the source itself and owning a checkpoint
+    sub-folder. The raw query carries ``quality`` observed metrics (rows, sent,
+    dropped) in its progress. With ``wait`` the call blocks until all finish (bounded
+    triggers) or one fails/ends (unbounded)."""
     configure(spark)
-    raw_q = sink_raw_append(decoded_quotes(source())[0], raw_path, f"{checkpoint_root}/quotes_raw",
-                            trigger=trigger)
+    tagged = observe_counters(validate_quotes(read_framed_quotes(source())), "quality")
+    valid, _ = split_valid(tagged)
+    raw_q = sink_raw_append(to_quotes(valid), raw_path, f"{checkpoint_root}/quotes_raw", trigger=trigger)
     bars_q = start_bars_query(decoded_quotes(source())[0], store, f"{checkpoint_root}/ohlcv_1m",
                               window_duration, delay, trigger)
+    queries = [raw_q, bars_q]
+    if quarantine_path:
+        queries.append(start_quarantine_query(source(), quarantine_path, f"{checkpoint_root}/quarantine",
+                                              trigger))
     if wait:
         if trigger and (trigger.get("availableNow") or trigger.get("once")):
-            for q in (raw_q, bars_q):
+            for q in queries:
                 q.awaitTermination()
         else:
             spark.streams.awaitAnyTermination()
-        for q in (raw_q, bars_q):
+        for q in queries:
             if q.exception() is not None:
                 raise RuntimeError(f"query {q.name} failed: {q.exception()}")
-    return raw_q, bars_q
+    return tuple(queries)
+
+
+def quality_totals(query, name: str = "quality") -> dict:
+    """Sum the observed quality counters over the query's retained progress reports."""
+    totals: dict = {}
+    for p in query.recentProgress:
+        row = (p.observedMetrics or {}).get(name)
+        if row is None:
+            continue
+        for k, v in row.asDict().items():
+            totals[k] = totals.get(k, 0) + int(v or 0)
+    return totals
+
+
+class QualityListener(StreamingQueryListener):
+    """Running totals of the observed quality counters for a long-running app
+    (register with ``spark.streams.addListener``)."""
+
+    def __init__(self, name: str = "quality"):
+        self.name = name
+        self.totals: dict = {}
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        metrics = event.progress.observedMetrics.get(self.name)
+        if metrics is None:
+            return
+        for k, v in metrics.asDict().items():
+            self.totals[k] = self.totals.get(k, 0) + int(v or 0)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        pass
