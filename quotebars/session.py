@@ -62,8 +62,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        # local runs and tests only: a cluster names a shared folder in spark.checkpoint.dir
         root = tempfile.mkdtemp(prefix="quotebars-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # a core setting may be read-only at runtime
+            pass
     # keep RDD/DataFrame.checkpoint() pointed at the same place
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
