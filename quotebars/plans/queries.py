@@ -26,7 +26,7 @@ from quotebars.sources.ingest import normalize_quote, src_chart_json, src_kafka,
 from quotebars.sources.replay import sink_replay_snapshot, src_replay_snapshot
 from quotebars.sources.tables import BarStore, read_raw, sink_batch_append
 from quotebars.sources.wire import avro_decode, avro_encode_frame, read_framed_quotes, wire_unframe
-from quotebars.streaming.app import multi_query_app
+from quotebars.streaming.app import multi_query_app, state_partitions
 from quotebars.streaming.increments_state import increments_stateful
 
 FLAGSHIP_SYMBOL = "click"
@@ -273,6 +273,11 @@ def publish_chunks(spark: SparkSession, staged_dir: str, out_dir: str, late: boo
     return k
 
 
+def _state_partitions(spark) -> int:
+    """State partitions for the scenario streams: the cluster's task slots."""
+    return max(1, spark.sparkContext.defaultParallelism)
+
+
 def _stream_run(spark, sf_dir, late_rule: bool = False) -> dict:
     """The two-query app over the events topic. With ``late_rule``, rows with k < 10
     are delivered in a second run after everything else (a late arrival)."""
@@ -287,7 +292,7 @@ def _stream_run(spark, sf_dir, late_rule: bool = False) -> dict:
     def run(k):
         multi_query_app(spark, lambda: src_kafka(spark, path=f"{root}/topic", max_files_per_trigger=k),
                         f"{root}/quotes_raw", store, f"{root}/checkpoints",
-                        trigger={"availableNow": True})
+                        trigger={"availableNow": True}, num_state_partitions=_state_partitions(spark))
 
     run(publish_chunks(spark, staged, f"{root}/topic"))
     if late_rule:
@@ -321,9 +326,10 @@ def q_increments_stream(spark, sf_dir):
     src = src_kafka(spark, path=f"{root}/topic", max_files_per_trigger=k)
     quotes = to_quotes(read_framed_quotes(src).where(F.col("decode_error").isNull()).drop("decode_error"))
     out = increments_stateful(quotes)
-    q = (out.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out")
-         .trigger(availableNow=True).start())
+    with state_partitions(spark, _state_partitions(spark)):
+        q = (out.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     res = spark.read.schema("symbol string, quote_time timestamp, day_volume bigint, price decimal(38,8), "
                             "volume bigint").parquet(f"{root}/out")

@@ -1,10 +1,12 @@
-"""Framed Avro messages: frame/unframe in Spark SQL, the Avro body codec as a
-pandas UDF (Arrow batches).
-
-The cluster image has no spark-avro jar, so the body codec is a small Python helper
-for the two fixed record contracts (string, long, timestamp-millis, bytes-decimal
-fields). Everything around it — header checks, schema id, key, casting — stays in
-JVM expressions. If ``pyspark.sql.avro.functions`` is usable, ``native=True`` routes
+"""Framed Avro messages: frame/unframe in Spark SQL, the Avro body codec as an Arrow
+UDF (whole batches, vectorised with numpy in ``avro_codec``).
+
+The cluster image has no spark-avro jar, so the body codec is a small helper for the
+two fixed record contracts (string, long, timestamp-millis, bytes-decimal fields).
+``encode_record``/``decode_record`` below are the plain per-record form, kept as the
+reference the vectorised codec is tested against (and used on PySpark < 4.1).
+Everything around it — header checks, schema id, key, casting — stays in JVM
+expressions. If ``pyspark.sql.avro.functions`` is usable, ``native=True`` routes
 to ``from_avro``/``to_avro`` instead.
 
 Frame layout: byte 0 magic (0), bytes 1-4 big-endian schema id, then the Avro body.
@@ -12,17 +14,20 @@ Frame layout: byte 0 magic (0), bytes 1-4 big-endian schema id, then the Avro bo
 
 from __future__ import annotations
 
-from decimal import Decimal
+from decimal import Context, Decimal
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotebars.functions.scalar import ms_to_ts, ts_to_ms
 from quotebars.schemas import MAGIC_BYTE, OHLCV_AVRO, QUOTE_AVRO, avro_schema_json
+from quotebars.sources import avro_codec
 
 HEADER_LEN = 5
+_EXACT = Context(prec=80)      # decimal(38,8) values need up to 38 digits; the default is 28
 
 
 # ---------------------------------------------------------------- Avro primitives
@@ -76,7 +81,7 @@ def encode_record(values, kinds, scales) -> bytes:
         elif kind == "long":
             _write_long(out, int(v))
         elif kind == "decimal":
-            unscaled = int(Decimal(v).scaleb(scale).to_integral_value())
+            unscaled = int(Decimal(v).scaleb(scale, _EXACT).to_integral_value(context=_EXACT))
             size = max(1, (unscaled.bit_length() + 8) // 8)
             data = unscaled.to_bytes(size, "big", signed=True)
             _write_long(out, len(data))
@@ -98,7 +103,7 @@ def decode_record(buf: bytes, kinds, scales) -> list:
             vals.append(v)
         elif kind == "decimal":
             data, pos = _read_bytes(buf, pos)
-            vals.append(Decimal(int.from_bytes(data, "big", signed=True)).scaleb(-scale))
+            vals.append(Decimal(int.from_bytes(data, "big", signed=True)).scaleb(-scale, _EXACT))
         else:
             raise ValueError(f"unsupported Avro type {kind}")
     if pos != len(buf):
@@ -123,9 +128,24 @@ def body_schema(contract: dict) -> T.StructType:
                         + [T.StructField("decode_error", T.StringType())])
 
 
-# ---------------------------------------------------------------- pandas UDFs
+# ---------------------------------------------------------------- batch UDFs
+def _arrow_udf():
+    try:
+        from pyspark.sql.functions import arrow_udf
+        return arrow_udf
+    except ImportError:  # PySpark < 4.1: pandas UDF over the scalar codec
+        return None
+
+
 def _encoder(contract: dict):
     names, kinds, scales = _layout(contract)
+    arrow_udf = _arrow_udf()
+    if arrow_udf is not None:
+        @arrow_udf(T.BinaryType())
+        def encode_arrow(rec: pa.Array) -> pa.Array:
+            return avro_codec.encode(rec, kinds, scales, names)
+
+        return encode_arrow
 
     @F.pandas_udf(T.BinaryType())
     def encode(rec: pd.DataFrame) -> pd.Series:
@@ -144,6 +164,15 @@ def _encoder(contract: dict):
 def _decoder(contract: dict):
     names, kinds, scales = _layout(contract)
     schema = body_schema(contract)
+    arrow_udf = _arrow_udf()
+    if arrow_udf is not None:
+        types = [pa.decimal128(38, sc) if k == "decimal" else None for k, sc in zip(kinds, scales)]
+
+        @arrow_udf(schema)
+        def decode_arrow(body: pa.Array) -> pa.Array:
+            return avro_codec.decode(body, kinds, scales, names, types)
+
+        return decode_arrow
 
     @F.pandas_udf(schema)
     def decode(body: pd.Series) -> pd.DataFrame:

@@ -12,6 +12,7 @@ in the checkpoint); set ``spark.sql.shuffle.partitions`` before the first run.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,10 +70,27 @@ def start_quarantine_query(kafka_rows: DataFrame, path: str, checkpoint: str, tr
     return writer.start()
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Start a stateful query with ``n`` shuffle (= state store) partitions. A query
+    clones the session conf when it starts and the count is then fixed by its
+    checkpoint, so the session setting is restored right after the start."""
+    if not n:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def multi_query_app(spark: SparkSession, source: Callable[[], DataFrame], raw_path: str,
                     store: BarStore, checkpoint_root: str, window_duration: str = WINDOW_DURATION,
                     delay: str = WATERMARK_DELAY, trigger: dict | None = None,
-                    wait: bool = True, quarantine_path: str | None = None):
+                    wait: bool = True, quarantine_path: str | None = None,
+                    num_state_partitions: int | None = None):
     """Start the raw append and the bar upsert (and, with ``quarantine_path``, the
     quarantine append), each reading the source itself and owning a checkpoint
     sub-folder. The raw query carries ``quality`` observed metrics (rows, sent,
@@ -82,8 +100,9 @@ def multi_query_app(spark: SparkSession, source: Callable[[], DataFrame], raw_pa
     tagged = observe_counters(validate_quotes(read_framed_quotes(source())), "quality")
     valid, _ = split_valid(tagged)
     raw_q = sink_raw_append(to_quotes(valid), raw_path, f"{checkpoint_root}/quotes_raw", trigger=trigger)
-    bars_q = start_bars_query(decoded_quotes(source())[0], store, f"{checkpoint_root}/ohlcv_1m",
-                              window_duration, delay, trigger)
+    with state_partitions(spark, num_state_partitions):
+        bars_q = start_bars_query(decoded_quotes(source())[0], store, f"{checkpoint_root}/ohlcv_1m",
+                                  window_duration, delay, trigger)
     queries = [raw_q, bars_q]
     if quarantine_path:
         queries.append(start_quarantine_query(source(), quarantine_path, f"{checkpoint_root}/quarantine",
