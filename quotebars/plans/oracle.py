@@ -170,8 +170,36 @@ UNION ALL SELECT 'ohlcv', NULL, count(*) FROM bars"""
 BAR_DOUBLES_1M = f"{EV_1M}\nSELECT {BAR_COLS} FROM bars"
 
 
+EXACT_1M = f"""WITH {EVQ},
+q AS (SELECT symbol, price, volume, day_volume, quote_time,
+             CAST(replace(CAST(CAST(price AS DECIMAL(18,8)) AS VARCHAR), '.', '') AS HUGEINT) AS p8,
+             CAST(volume AS HUGEINT) AS v
+      FROM evq),
+i AS (SELECT symbol, time_bucket(INTERVAL '1 minute', quote_time) AS ws,
+             arg_min(price, (quote_time, day_volume, price)) AS open_p, max(price) AS high_p, min(price) AS low_p,
+             arg_max(price, (quote_time, day_volume, price)) AS close_p,
+             sum(v) AS vol, sum(p8 * v) AS qv8, count(*) AS trade_count
+      FROM q GROUP BY ALL)
+SELECT symbol, {ms('ws')} AS window_start_ms, {ms("ws + INTERVAL '1 minute'")} AS window_end_ms,
+       CAST(open_p AS DOUBLE) AS open, CAST(high_p AS DOUBLE) AS high, CAST(low_p AS DOUBLE) AS low,
+       CAST(close_p AS DOUBLE) AS close, CAST(vol AS DOUBLE) AS volume,
+       CAST(qv8 AS DOUBLE) / 100000000.0 AS quote_volume,
+       CASE WHEN vol > 0 THEN CAST((2 * qv8 + vol) // (2 * vol) AS DOUBLE) / 100000000.0
+            ELSE CAST(close_p AS DOUBLE) END AS vwap,
+       trade_count
+FROM i"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "ohlcv_exact": EXACT_1M,
+        "keyed_topic_roundtrip": RAW,
+        "latest_bars_table": f"{EV_1M}\nSELECT * FROM (SELECT {SERVE_COLS} FROM bars WHERE symbol = 'click' "
+                             "ORDER BY window_start DESC LIMIT 120)",
+        "latest_ticks_table": f"WITH {EVQ}\nSELECT * FROM (SELECT symbol, CAST(price AS DOUBLE) AS price, "
+                              f"CAST(volume AS DOUBLE) AS quantity, {ms('quote_time')} AS trade_time_ms FROM evq "
+                              f"WHERE symbol = 'click' ORDER BY {TICK_ORDER_DESC} LIMIT 40)",
+        "compact_bars": BAR_DOUBLES_1M,
         "ohlcv_1m": _bars_query(EVQ, "evq", "1 minute"),
         "ohlcv_1h": _bars_query(EVQ, "evq", "1 hour"),
         "ohlcv_1d": _bars_query(EVQ, "evq", "1 day"),

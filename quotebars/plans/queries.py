@@ -25,6 +25,7 @@ from quotebars.sources.driver_tables import quotes_from_events, quotes_from_line
 from quotebars.sources.ingest import normalize_quote, src_chart_json, src_kafka, to_quotes
 from quotebars.sources.replay import sink_replay_snapshot, src_replay_snapshot
 from quotebars.sources.tables import BarStore, read_raw, sink_batch_append
+from quotebars.sources.topic import sink_keyed_topic
 from quotebars.sources.wire import avro_decode, avro_encode_frame, read_framed_quotes, wire_unframe
 from quotebars.streaming.app import multi_query_app, state_partitions
 from quotebars.streaming.increments_state import increments_stateful
@@ -51,6 +52,10 @@ def ohlcv(width: str, adapter=quotes_from_events) -> Callable[[SparkSession, str
     return run
 
 
+def q_ohlcv_exact(spark, sf_dir):
+    return S.bars_as_doubles(aggregate_ohlcv(_events(spark, sf_dir), "1 minute", exact=True))
+
+
 # ------------------------------------------------------------------ ingest / wire
 def q_normalize_quotes(spark, sf_dir):
     ev = _events(spark, sf_dir)
@@ -136,6 +141,17 @@ def q_volume_increments(spark, sf_dir):
     return inc.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), "day_volume", "volume")
 
 
+def q_keyed_topic_roundtrip(spark, sf_dir):
+    """Events published through the keyed-topic file sink, read back and decoded."""
+    root = scratch_dir(spark, "topic")
+    frames = avro_encode_frame(_wire_quotes(_events(spark, sf_dir)), schema_id=1, keep=["quote_time"])
+    sink_keyed_topic(frames.withColumnRenamed("quote_time", "timestamp"), path=f"{root}/topic")
+    decoded = read_framed_quotes(spark.read.parquet(f"{root}/topic")).where(F.col("decode_error").isNull())
+    return to_quotes(decoded).select(
+        "symbol", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
+        "day_volume", ts_to_ms("quote_time").alias("quote_time_ms"), "source")
+
+
 # ------------------------------------------------------------------ serving
 def q_latest_bars(spark, sf_dir):
     return S.latest_bars(_bars_1m(spark, sf_dir), FLAGSHIP_SYMBOL, S.DEFAULT_BARS)
@@ -202,6 +218,28 @@ def _lake(spark, sf_dir) -> dict:
     return _cache[key]
 
 
+def q_latest_bars_table(spark, sf_dir):
+    """The read path: newest bars of one symbol from the bar store (partition-pruned)."""
+    return S.latest_bars(_lake(spark, sf_dir)["store"].read(symbol=FLAGSHIP_SYMBOL), FLAGSHIP_SYMBOL,
+                         S.DEFAULT_BARS)
+
+
+def q_latest_ticks_table(spark, sf_dir):
+    """The read path: newest ticks of one symbol from the raw table (partition-pruned)."""
+    return S.latest_ticks(read_raw(spark, _lake(spark, sf_dir)["raw"]), FLAGSHIP_SYMBOL, S.DEFAULT_TICKS)
+
+
+def q_compact_bars(spark, sf_dir):
+    root = scratch_dir(spark, "compact")
+    ev = _events(spark, sf_dir)
+    store = BarStore(spark, f"{root}/ohlcv", writer="compact")
+    store.upsert(aggregate_ohlcv(ev.where(F.col("price") < 100), "1 minute"), batch_id=0)
+    store.upsert(aggregate_ohlcv(ev.where(F.col("price") >= 50), "1 minute"), batch_id=1)
+    store.upsert(aggregate_ohlcv(ev, "1 minute"), batch_id=2)
+    store.compact()
+    return S.bars_as_doubles(store.read())
+
+
 def q_upsert_bars(spark, sf_dir):
     root = scratch_dir(spark, "upsert")
     ev = _events(spark, sf_dir)
@@ -372,6 +410,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ohlcv_1h": ohlcv("1 hour"),
         "ohlcv_1d": ohlcv("1 day"),
         "ohlcv_ties": ohlcv("1 day", quotes_from_lineitem),
+        "ohlcv_exact": q_ohlcv_exact,
+        "keyed_topic_roundtrip": q_keyed_topic_roundtrip,
+        "latest_bars_table": q_latest_bars_table,
+        "latest_ticks_table": q_latest_ticks_table,
+        "compact_bars": q_compact_bars,
         "normalize_quotes": q_normalize_quotes,
         "wire_roundtrip": q_wire_roundtrip,
         "bars_wire_roundtrip": q_bars_wire_roundtrip,
