@@ -29,6 +29,39 @@ def to_decimal(x) -> Column:
     return _c(x).try_cast(DECIMAL)
 
 
+_SCI = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+
+
+def double_text(x) -> Column:
+    """A double as text the way the producer writes it: shortest round-trip digits, plain
+    notation for 1e-4 <= |x| < 1e16, otherwise 'd.ddde+XX' (e.g. 190.42 -> '190.42',
+    1e7 -> '10000000.0', 0.00012 -> '0.00012', 1e16 -> '1e+16'). Spark's cast uses
+    exponent notation from 1e7 and below 1e-3, so those forms are rebuilt from its digits."""
+    t = _c(x).cast("string")
+    sign = F.regexp_extract(t, _SCI, 1)
+    lead = F.regexp_extract(t, _SCI, 2)
+    frac = F.regexp_extract(t, _SCI, 3)
+    exp = F.regexp_extract(t, _SCI, 4).cast("int")
+    tail = F.when(frac == "0", F.lit("")).otherwise(frac)
+    digits = F.concat(lead, tail)                       # significant digits
+    n = F.length(digits)
+    large = (F.when(n - 1 <= exp, F.concat(sign, digits, F.repeat(F.lit("0"), exp - n + 1), F.lit(".0")))
+              .otherwise(F.concat(sign, F.substring(digits, F.lit(1), exp + 1), F.lit("."),
+                                  F.substring(digits, exp + 2, n))))
+    small = F.concat(sign, F.lit("0."), F.repeat(F.lit("0"), -exp - 1), digits)
+    mantissa = F.concat(sign, lead, F.when(tail == "", F.lit("")).otherwise(F.concat(F.lit("."), tail)))
+    sci = F.concat(mantissa, F.lit("e"), F.when(exp < 0, F.lit("-")).otherwise(F.lit("+")),
+                   F.when(F.abs(exp) < 10, F.concat(F.lit("0"), F.abs(exp).cast("string")))
+                    .otherwise(F.abs(exp).cast("string")))
+    return (F.when(t == "NaN", F.lit("nan"))
+             .when(t == "Infinity", F.lit("inf"))
+             .when(t == "-Infinity", F.lit("-inf"))
+             .when(~t.rlike(_SCI), t)
+             .when((exp >= 0) & (exp < 16), large)
+             .when((exp < 0) & (exp >= -4), small)
+             .otherwise(sci))
+
+
 def default_source(src) -> Column:
     """Missing provenance falls back to the contract default."""
     return F.coalesce(_c(src), F.lit(DEFAULT_SOURCE))

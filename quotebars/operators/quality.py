@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotebars.functions.scalar import normalize_symbols, to_decimal
+from quotebars.functions.scalar import to_decimal
 
 # Quarantine reasons, in the order they are checked.
 REASONS = ("null_value", "short_frame", "bad_magic", "bad_avro", "null_symbol",
@@ -89,7 +89,3 @@ def allowlist_symbols(df: DataFrame, allowed, symbol_col: str = "symbol") -> tup
     rejected = df.where(~hit | sym.isNull()).withColumn(
         "allowed", F.array(*[F.lit(s) for s in allowed]) if allowed else F.array().cast("array<string>"))
     return accepted, rejected
-
-
-def symbols_column(csv_col) -> Column:
-    return normalize_symbols(csv_col)

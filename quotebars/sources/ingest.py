@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotebars.functions.scalar import (day_volume_sum, default_source, ms_to_ts, price_fallback,
-                                        to_decimal)
+from quotebars.functions.scalar import (day_volume_sum, default_source, double_text, ms_to_ts,
+                                        price_fallback, to_decimal)
 from quotebars.schemas import CHART_JSON, DEFAULT_SOURCE, KAFKA_ROW
 
 
@@ -33,13 +33,13 @@ def src_kafka(spark: SparkSession, bootstrap: str | None = None, topic: str = "m
 
 def normalize_quote(raw: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
     """Raw poll record (symbol, price double, volume long, day_volume long,
-    quote_time_ms) -> wire quote: price/volume as exact strings, UTC timestamps,
-    ingest_time = quote_time, ``source`` stamped."""
+    quote_time_ms) -> wire quote: price as the shortest round-trip text of the double,
+    volume as integer text, UTC timestamps, ingest_time = quote_time, ``source`` stamped."""
     qt = ms_to_ts("quote_time_ms")
     return raw.select(
         F.col("symbol"),
-        F.col("price").cast("string").alias("price"),
-        F.col("volume").cast("string").alias("volume"),
+        double_text(F.col("price").cast("double")).alias("price"),
+        F.col("volume").cast("bigint").cast("string").alias("volume"),
         F.col("day_volume").cast("bigint").alias("day_volume"),
         qt.alias("quote_time"),
         qt.alias("ingest_time"),

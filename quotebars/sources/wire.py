@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotebars.functions.scalar import ms_to_ts, ts_to_ms
-from quotebars.schemas import MAGIC_BYTE, OHLCV_AVRO, QUOTE_AVRO, avro_schema_json
+from quotebars.schemas import MAGIC_BYTE, QUOTE_AVRO, avro_schema_json
 from quotebars.sources import avro_codec
 
 HEADER_LEN = 5

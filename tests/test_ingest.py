@@ -48,3 +48,11 @@ def test_normalize_symbols(spark):
     assert got == [["AAPL", "GOOG", "MSFT"], [], None]
     assert parse_allowlist(" aapl, GOOG,,aapl ") == ["AAPL", "GOOG"]
     assert F is not None
+
+
+def test_double_text_matches_producer_format(spark):
+    from quotebars.functions.scalar import double_text
+    vals = [190.42, 100.0, 0.0, 1e7, 12345678.9, 1.5e15, 1e16, 1.2345e20, 0.001, 0.00012, 1e-4, 1.5e-5,
+            1e-300, -2.5e8, 0.1, 1 / 3, 123456789012.34, -0.00031, 1.7976931348623157e308]
+    got = spark.createDataFrame([(v,) for v in vals], "x double").select(double_text("x").alias("t")).collect()
+    assert [r.t for r in got] == [repr(v) for v in vals]

@@ -118,3 +118,28 @@ def test_keyed_topic_files_keep_key_order(spark, scratch):
     for k in (b"HOT", b"COLD"):
         ts = [t for key, t in seq if key == k]
         assert ts == sorted(ts) and len(ts) == (300 if k == b"HOT" else 100)
+
+
+def test_quality_listener_totals(spark, scratch):
+    import time
+
+    from quotebars.operators.quality import observe_counters, validate_quotes
+    from quotebars.streaming.app import QualityListener
+    root = scratch("listener")
+    rows = [("A", "1", "1", T0), ("A", "x", "1", T0), ("B", "2", "-1", T0)]
+    spark.createDataFrame(rows, "symbol string, price string, volume string, quote_time timestamp") \
+        .write.parquet(f"{root}/src")
+    listener = QualityListener()
+    spark.streams.addListener(listener)
+    try:
+        stream = spark.readStream.schema("symbol string, price string, volume string, quote_time timestamp") \
+            .parquet(f"{root}/src")
+        q = (observe_counters(validate_quotes(stream)).writeStream.format("noop")
+             .option("checkpointLocation", f"{root}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+        deadline = time.time() + 20
+        while listener.totals.get("rows", 0) < 3 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.totals == {"rows": 3, "sent": 1, "dropped": 2}
