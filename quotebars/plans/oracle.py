@@ -135,7 +135,7 @@ FROM evq GROUP BY ALL"""
 NORMALIZE_SYMBOLS = f"""WITH {EVQ},
 s AS (SELECT event_id,
         list_filter(list_transform(string_split(
-            symbol || ', ' || upper(symbol) || ',,' || CASE WHEN units % 2 = 0 THEN 'aapl' ELSE ' msft ' END
+            symbol || ', ' || upper(symbol) || ',,' || CASE WHEN units >= 50 THEN 'aapl' ELSE ' msft ' END
             || ',' || lower(symbol) || ' ', ','), lambda x: upper(trim(x))), lambda x: x <> '') AS l
       FROM evq)
 SELECT event_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i), '|') AS symbols,

@@ -197,7 +197,7 @@ def q_normalize_symbols(spark, sf_dir):
     ev = read_table(spark, sf_dir, "events")
     u = F.get_json_object("props", "$.k").cast("bigint")
     csv = F.concat(F.col("event_type"), F.lit(", "), F.upper("event_type"), F.lit(",,"),
-                   F.when(u % 2 == 0, F.lit("aapl")).otherwise(F.lit(" msft ")), F.lit(","),
+                   F.when(u >= 50, F.lit("aapl")).otherwise(F.lit(" msft ")), F.lit(","),
                    F.lower("event_type"), F.lit(" "))
     arr = normalize_symbols(csv)
     return ev.select("event_id", F.array_join(arr, "|").alias("symbols"), F.size(arr).alias("n_symbols"))

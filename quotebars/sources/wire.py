@@ -137,6 +137,14 @@ def _arrow_udf():
         return None
 
 
+def _once(udf):
+    """Evaluate the codec once per row: without this, a filter on a decoded field (e.g.
+    ``decode_error IS NULL``) is pushed below the projection and the optimizer
+    substitutes the UDF call into it, so the codec would run twice. Marking the UDF
+    non-deterministic keeps filters above it (the codec itself is a pure function)."""
+    return udf.asNondeterministic()
+
+
 def _encoder(contract: dict):
     names, kinds, scales = _layout(contract)
     arrow_udf = _arrow_udf()
@@ -145,7 +153,7 @@ def _encoder(contract: dict):
         def encode_arrow(rec: pa.Array) -> pa.Array:
             return avro_codec.encode(rec, kinds, scales, names)
 
-        return encode_arrow
+        return _once(encode_arrow)
 
     @F.pandas_udf(T.BinaryType())
     def encode(rec: pd.DataFrame) -> pd.Series:
@@ -158,7 +166,7 @@ def _encoder(contract: dict):
                 out.append(None)     # schema-invalid record: no message
         return pd.Series(out, dtype=object)
 
-    return encode
+    return _once(encode)
 
 
 def _decoder(contract: dict):
@@ -172,7 +180,7 @@ def _decoder(contract: dict):
         def decode_arrow(body: pa.Array) -> pa.Array:
             return avro_codec.decode(body, kinds, scales, names, types)
 
-        return decode_arrow
+        return _once(decode_arrow)
 
     @F.pandas_udf(schema)
     def decode(body: pd.Series) -> pd.DataFrame:
@@ -192,7 +200,7 @@ def _decoder(contract: dict):
                 pdf[n] = pdf[n].astype("Int64")
         return pdf
 
-    return decode
+    return _once(decode)
 
 
 _ENCODERS: dict = {}
