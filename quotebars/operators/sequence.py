@@ -81,7 +81,7 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], va
              .where(F.col("_n") > limit).select(*group_cols))
     # The probe only routes work (either path gives the same rows), so a cached answer
     # for the same input plan in this session is safe even if the data has grown.
-    probe_key = (id(df.sparkSession), df.semanticHash(), tuple(group_cols), limit)
+    probe_key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(group_cols), limit)
     if probe_key not in _PROBES:
         _PROBES[probe_key] = hot.limit(MAX_HOT_GROUPS + 1).collect()
     hot_keys = _PROBES[probe_key]

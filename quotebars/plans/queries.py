@@ -34,7 +34,11 @@ FLAGSHIP_SYMBOL = "click"
 ALLOWLIST = "click, VIEW,purchase,click"
 CHUNK_DAYS = 3
 
-_cache: dict = {}
+_cache: dict = {}     # scenario outputs already written in this application: paths only
+
+
+def _app(spark) -> str:
+    return spark.sparkContext.applicationId
 
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -206,16 +210,17 @@ def q_normalize_symbols(spark, sf_dir):
 # ------------------------------------------------------------------ tables
 def _lake(spark, sf_dir) -> dict:
     """Raw table + bar store built from the events quotes (once per session and sf)."""
-    key = ("lake", id(spark), sf_dir)
+    key = ("lake", _app(spark), sf_dir)
     if key not in _cache:
         root = scratch_dir(spark, "lake")
         ev = _events(spark, sf_dir)
         sink_batch_append(ev, f"{root}/quotes_raw")
         raw = read_raw(spark, f"{root}/quotes_raw")
-        store = BarStore(spark, f"{root}/ohlcv", writer="backfill")
-        backfill_bars(raw.drop("quote_day"), store, "1 minute")
-        _cache[key] = {"root": root, "raw": f"{root}/quotes_raw", "store": store}
-    return _cache[key]
+        backfill_bars(raw.drop("quote_day"), BarStore(spark, f"{root}/ohlcv", writer="backfill"), "1 minute")
+        _cache[key] = {"root": root, "raw": f"{root}/quotes_raw", "bars": f"{root}/ohlcv"}
+    entry = dict(_cache[key])
+    entry["store"] = BarStore(spark, entry["bars"], writer="backfill")
+    return entry
 
 
 def q_latest_bars_table(spark, sf_dir):
@@ -319,9 +324,11 @@ def _state_partitions(spark) -> int:
 def _stream_run(spark, sf_dir, late_rule: bool = False) -> dict:
     """The two-query app over the events topic. With ``late_rule``, rows with k < 10
     are delivered in a second run after everything else (a late arrival)."""
-    key = ("stream", id(spark), sf_dir, late_rule)
+    key = ("stream", _app(spark), sf_dir, late_rule)
     if key in _cache:
-        return _cache[key]
+        entry = dict(_cache[key])
+        entry["store"] = BarStore(spark, entry["bars"], writer="stream")
+        return entry
     root = scratch_dir(spark, "stream")
     ev = _events(spark, sf_dir)
     staged = stage_topic_files(spark, ev, f"{root}/topic", late=(F.col("volume") < 10) if late_rule else None)
@@ -335,8 +342,8 @@ def _stream_run(spark, sf_dir, late_rule: bool = False) -> dict:
     run(publish_chunks(spark, staged, f"{root}/topic"))
     if late_rule:
         run(publish_chunks(spark, staged, f"{root}/topic", late=True))
-    _cache[key] = {"root": root, "raw": f"{root}/quotes_raw", "store": store}
-    return _cache[key]
+    _cache[key] = {"root": root, "raw": f"{root}/quotes_raw", "bars": f"{root}/ohlcv"}
+    return dict(_cache[key], store=store)
 
 
 def q_stream_ohlcv(spark, sf_dir):
@@ -376,7 +383,7 @@ def q_increments_stream(spark, sf_dir):
 
 # ------------------------------------------------------------------ replay
 def _replay(spark, sf_dir):
-    key = ("replay", id(spark), sf_dir)
+    key = ("replay", _app(spark), sf_dir)
     if key not in _cache:
         path = f"{scratch_dir(spark, 'replay')}/replay.json"
         sink_replay_snapshot(_bars_1m(spark, sf_dir), _events(spark, sf_dir), path, n=12,
