@@ -5,7 +5,7 @@ symbol holding a third of the data becomes a single-task sort. ``ordered_scan``
 counts rows per group (partially aggregated, tiny output); groups within the row budget
 take the plain window, and only the hot groups take the range-split path below.
 
-Range-split path: the rows are range-partitioned on ``(key, order...)`` instead: Spark's sampled range bounds split a
+Range-split path: the rows are range-partitioned on ``(key, order...)``; Spark's sampled range bounds split a
 hot key across many partitions. Each partition is scanned once in time order
 (Arrow-batched, vectorised per batch), and the only cross-partition information — the
 running total and last value of a key that continues from an earlier partition — comes

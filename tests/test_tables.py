@@ -94,3 +94,36 @@ def test_ddl_tables(spark, scratch):
     ddl_tables(spark, "qb_quotes_raw", "qb_ohlcv", location_root=root)
     assert "quote_day" in spark.table("qb_quotes_raw").columns
     assert "bar_day" in spark.table("qb_ohlcv").columns
+
+
+def test_namespace_and_day_range(spark, scratch):
+    from quotebars.sources.tables import day_range_filter, ddl_namespace
+    ddl_namespace(spark, "qb_ns")
+    assert "qb_ns" in [r[0] for r in spark.sql("SHOW NAMESPACES").collect()]
+    q = _quotes(spark, n=400)                       # 13 s apart: spans the 12:00 .. 13:26 range
+    store = BarStore(spark, f"{scratch('bars')}/ohlcv")
+    store.upsert(aggregate_ohlcv(q), batch_id=0)
+    day = T0.date().isoformat()
+    assert store.read(day_lo=day, day_hi=day).count() == store.read().count()
+    assert store.read(day_lo="2030-01-01").count() == 0
+    raw_root = scratch("raw")
+    sink_batch_append(q, f"{raw_root}/raw")
+    raw = read_raw(spark, f"{raw_root}/raw")
+    lo, hi = "2026-06-20 12:10:00", "2026-06-20 12:20:00"
+    sel = day_range_filter(raw, "quote_time", "quote_day", lo, hi)
+    assert sel.count() == q.where((F.col("quote_time") >= lo) & (F.col("quote_time") < hi)).count()
+
+
+def test_range_scan_without_exchange_reuse(spark):
+    from quotebars.operators.sequence import ordered_scan
+    df = spark.range(0, 3000).select((F.col("id") % 3).cast("string").alias("g"), "id", (F.col("id") % 5).alias("v"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = {r.id: r.rs for r in ordered_scan(df, ["g"], ["id"], "v", running_sum="rs",
+                                                 strategy="range", num_partitions=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    running = {}
+    for i in range(3000):
+        running[i % 3] = running.get(i % 3, 0) + i % 5
+        assert got[i] == running[i % 3]
