@@ -119,6 +119,13 @@ def multi_query_app(spark: SparkSession, source: Callable[[], DataFrame], raw_pa
     return tuple(queries)
 
 
+def dropped_by_watermark(query) -> int:
+    """Rows the watermark dropped as late, summed over the retained progress reports
+    (they are still in the raw table; ``late_rows_report`` lists the affected bars)."""
+    return sum(int(op.numRowsDroppedByWatermark or 0)
+               for p in query.recentProgress for op in (p.stateOperators or []))
+
+
 def quality_totals(query, name: str = "quality") -> dict:
     """Sum the observed quality counters over the query's retained progress reports."""
     totals: dict = {}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quotebars.operators.rollup import aggregate_ohlcv
 from quotebars.sources.ingest import src_kafka
 from quotebars.sources.tables import BarStore, read_raw
-from quotebars.streaming.app import bars_stream, multi_query_app
+from quotebars.streaming.app import bars_stream, dropped_by_watermark, multi_query_app
 from quotebars.sources.wire import avro_encode_frame
 
 T0 = dt.datetime(2026, 6, 20, 12, 0, 0)
@@ -51,8 +51,7 @@ def test_late_data_script(spark, scratch):
         got = set(x for batch in emitted[start:] for x in batch)
         assert got == exp
         assert emitted[-1] == []          # each run ends with an empty micro-batch
-        drops.append(sum((p["stateOperators"][0].get("numRowsDroppedByWatermark", 0)
-                          if p["stateOperators"] else 0) for p in q.recentProgress))
+        drops.append(dropped_by_watermark(q))
     assert drops == [0, 0, 1]
 
 
