@@ -22,7 +22,7 @@ from quotebars.session import build_session, configure
 from quotebars.sources.ingest import normalize_quote, src_chart_json, src_kafka, to_quotes
 from quotebars.sources.replay import sink_replay_snapshot, src_replay_snapshot
 from quotebars.sources.tables import BarStore, ddl_namespace, ddl_tables, sink_batch_append, sink_raw_append
-from quotebars.sources.topic import sink_keyed_topic
+from quotebars.sources.topic import sink_bars_topic, sink_keyed_topic
 from quotebars.sources.wire import avro_decode, avro_encode_frame, read_framed_quotes, wire_unframe
 from quotebars.streaming.app import bars_stream, multi_query_app
 from quotebars.streaming.increments_state import increments_stateful

@@ -48,3 +48,16 @@ def sink_keyed_topic(frames: DataFrame, topic: str = "market.quotes", bootstrap:
         .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
         .write.mode("append").parquet(path))
     return None
+
+
+def sink_bars_topic(bars: DataFrame, topic: str = "market.ohlcv", schema_id: int = 2,
+                    bootstrap: str | None = None, path: str | None = None, num_files: int | None = None,
+                    checkpoint: str | None = None, options: dict | None = None):
+    """Publish bars with the BAR contract (decimals as Avro bytes-decimal), keyed by
+    symbol and ordered by window start per key."""
+    from quotebars.schemas import OHLCV_AVRO
+    from quotebars.sources.wire import avro_encode_frame
+    frames = avro_encode_frame(bars, schema_id=schema_id, contract=OHLCV_AVRO, keep=["window_start"])
+    return sink_keyed_topic(frames.withColumnRenamed("window_start", "timestamp"), topic=topic,
+                            bootstrap=bootstrap, path=path, num_files=num_files, checkpoint=checkpoint,
+                            options=options)

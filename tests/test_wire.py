@@ -145,3 +145,19 @@ def test_vectorised_encode_skips_null_records():
          pa.array([5, 6], pa.int64()), pa.array([5, None], pa.int64()), pa.array(["x", "y"])], names=names)
     out = avro_codec.encode(rec, kinds, scales, names).to_pylist()
     assert out[1] is None and decode_record(out[0], kinds, scales) == ["A", "1", "3", 1, 5, 5, "x"]
+
+
+def test_sink_bars_topic_files(spark, scratch):
+    from quotebars.operators.rollup import aggregate_ohlcv, cast_quote_columns
+    from quotebars.schemas import OHLCV_AVRO
+    from quotebars.sources.topic import sink_bars_topic
+    rows = [("A", "10.5", "2", 1, T0 + dt.timedelta(seconds=70 * i)) for i in range(5)]
+    q = cast_quote_columns(spark.createDataFrame(
+        rows, "symbol string, price string, volume string, day_volume long, quote_time timestamp"))
+    bars = aggregate_ohlcv(q)
+    out = scratch("bars_topic")
+    sink_bars_topic(bars, path=out, num_files=2)
+    back = avro_decode(wire_unframe(spark.read.parquet(out)), OHLCV_AVRO)
+    got = sorted((r.symbol, r.window_start, r.close, r.trade_count, r.schema_id) for r in back.collect())
+    want = sorted((r.symbol, r.window_start, r.close, r.trade_count, 2) for r in bars.collect())
+    assert got == want
