@@ -148,7 +148,8 @@ SELECT symbol, CAST(value AS VARCHAR) AS price, CAST(units AS VARCHAR) AS volume
 FROM evq"""
 
 WIRE = f"""WITH {EVQ}
-SELECT {QUOTE_COLS}, {ms('quote_time')} AS ingest_time_ms, 'events' AS source, 0 AS magic, 1 AS schema_id
+SELECT {QUOTE_COLS}, {ms('quote_time')} AS ingest_time_ms, 'events' AS source,
+       CAST(0 AS INTEGER) AS magic, CAST(1 AS BIGINT) AS schema_id
 FROM evq"""
 
 RAW = f"""WITH {EVQ}

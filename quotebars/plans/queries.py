@@ -82,12 +82,11 @@ def _wire_quotes(ev: DataFrame, extra=()) -> DataFrame:
 def q_wire_roundtrip(spark, sf_dir):
     frames = avro_encode_frame(_wire_quotes(_events(spark, sf_dir)), schema_id=1)
     decoded = read_framed_quotes(frames).where(F.col("decode_error").isNull())
-    quotes = to_quotes(decoded)
+    quotes = to_quotes(decoded, keep=["magic", "schema_id"])
     return quotes.select(
         "symbol", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
         "day_volume", ts_to_ms("quote_time").alias("quote_time_ms"),
-        ts_to_ms("ingest_time").alias("ingest_time_ms"), "source",
-        F.lit(0).alias("magic"), F.lit(1).alias("schema_id"))
+        ts_to_ms("ingest_time").alias("ingest_time_ms"), "source", "magic", "schema_id")
 
 
 def q_bars_wire_roundtrip(spark, sf_dir):

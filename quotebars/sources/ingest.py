@@ -47,9 +47,10 @@ def normalize_quote(raw: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
     )
 
 
-def to_quotes(wire: DataFrame) -> DataFrame:
-    """Wire quote (strings) -> canonical quote (decimal(38,8)); unparseable -> NULL."""
-    return wire.select(
+def to_quotes(wire: DataFrame, keep=()) -> DataFrame:
+    """Wire quote (strings) -> canonical quote (decimal(38,8)); unparseable -> NULL.
+    ``keep`` carries extra columns through (e.g. the frame's ``schema_id``)."""
+    return wire.select(*keep,
         "symbol",
         to_decimal("price").alias("price"),
         to_decimal("volume").alias("volume"),
