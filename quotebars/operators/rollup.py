@@ -29,7 +29,8 @@ def aggregate_ohlcv(quotes: DataFrame, window_duration: str = WINDOW_DURATION,
     * vwap = sum(price*volume) / sum(volume), or close when the window traded nothing.
     * default arithmetic keeps decimal(38,8) inputs, whose products Spark rounds to 6
       places; ``exact=True`` narrows inputs to decimal(18,8) so every product and the
-      sums keep all 16 fractional digits before the final decimal(38,8) cast.
+      sums keep all 16 fractional digits before the final decimal(38,8) cast (inputs
+      must fit decimal(18,8), i.e. below 1e10; a larger value fails the ANSI cast).
     * rows with a NULL quote_time fall out of every window.
 
     Aggregation is partial per task then final after one exchange on
