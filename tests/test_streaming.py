@@ -142,3 +142,16 @@ def test_quality_listener_totals(spark, scratch):
     finally:
         spark.streams.removeListener(listener)
     assert listener.totals == {"rows": 3, "sent": 1, "dropped": 2}
+
+
+def test_job_entry_point(spark, scratch):
+    from quotebars.streaming.__main__ import main
+    root = scratch("job")
+    _topic(spark, 30, 0).coalesce(1).write.parquet(f"{root}/topic")
+    main(["--source-path", f"{root}/topic", "--raw-path", f"{root}/raw", "--bars-path", f"{root}/bars",
+          "--quarantine-path", f"{root}/quarantine", "--checkpoint", f"{root}/ck", "--available-now",
+          "--state-partitions", "2"], spark=spark)
+    raw = read_raw(spark, f"{root}/raw").drop("quote_day")
+    assert raw.count() == 30
+    bars = BarStore(spark, f"{root}/bars", writer="stream").read()
+    assert bars.groupBy().sum("trade_count").collect()[0][0] == 30
