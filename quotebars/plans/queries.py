@@ -315,6 +315,17 @@ def publish_chunks(spark: SparkSession, staged_dir: str, out_dir: str, late: boo
     return k
 
 
+def _published_topic(spark, sf_dir) -> dict:
+    """The events quotes as an on-time topic folder (all chunks published), shared by the
+    scenarios that only read it."""
+    key = ("topic", _app(spark), sf_dir)
+    if key not in _cache:
+        root = scratch_dir(spark, "topic")
+        staged = stage_topic_files(spark, _events(spark, sf_dir), f"{root}/topic")
+        _cache[key] = {"path": f"{root}/topic", "k": publish_chunks(spark, staged, f"{root}/topic")}
+    return _cache[key]
+
+
 def _state_partitions(spark) -> int:
     """State partitions for the scenario streams: the cluster's task slots."""
     return max(1, spark.sparkContext.defaultParallelism)
@@ -329,18 +340,20 @@ def _stream_run(spark, sf_dir, late_rule: bool = False) -> dict:
         entry["store"] = BarStore(spark, entry["bars"], writer="stream")
         return entry
     root = scratch_dir(spark, "stream")
-    ev = _events(spark, sf_dir)
-    staged = stage_topic_files(spark, ev, f"{root}/topic", late=(F.col("volume") < 10) if late_rule else None)
     store = BarStore(spark, f"{root}/ohlcv", writer="stream")
 
-    def run(k):
-        multi_query_app(spark, lambda: src_kafka(spark, path=f"{root}/topic", max_files_per_trigger=k),
+    def run(topic, k):
+        multi_query_app(spark, lambda: src_kafka(spark, path=topic, max_files_per_trigger=k),
                         f"{root}/quotes_raw", store, f"{root}/checkpoints",
                         trigger={"availableNow": True}, num_state_partitions=_state_partitions(spark))
 
-    run(publish_chunks(spark, staged, f"{root}/topic"))
     if late_rule:
-        run(publish_chunks(spark, staged, f"{root}/topic", late=True))
+        staged = stage_topic_files(spark, _events(spark, sf_dir), f"{root}/topic", late=F.col("volume") < 10)
+        run(f"{root}/topic", publish_chunks(spark, staged, f"{root}/topic"))
+        run(f"{root}/topic", publish_chunks(spark, staged, f"{root}/topic", late=True))
+    else:
+        topic = _published_topic(spark, sf_dir)
+        run(topic["path"], topic["k"])
     _cache[key] = {"root": root, "raw": f"{root}/quotes_raw", "bars": f"{root}/ohlcv"}
     return dict(_cache[key], store=store)
 
@@ -365,9 +378,8 @@ def q_late_rows_report(spark, sf_dir):
 
 def q_increments_stream(spark, sf_dir):
     root = scratch_dir(spark, "increments")
-    ev = _events(spark, sf_dir)
-    k = publish_chunks(spark, stage_topic_files(spark, ev, f"{root}/topic"), f"{root}/topic")
-    src = src_kafka(spark, path=f"{root}/topic", max_files_per_trigger=k)
+    topic = _published_topic(spark, sf_dir)
+    src = src_kafka(spark, path=topic["path"], max_files_per_trigger=topic["k"])
     quotes = to_quotes(read_framed_quotes(src).where(F.col("decode_error").isNull()).drop("decode_error"))
     out = increments_stateful(quotes)
     with state_partitions(spark, _state_partitions(spark)):
