@@ -1,7 +1,7 @@
 """Run the quote stream job: topic -> raw table (append) + bars (upsert) [+ quarantine].
 
-    spark-submit -m quotebars.streaming --bootstrap host:9092 --topic market.quotes \\
-        --raw-path s3a://lake/quotes_raw --bars-path s3a://lake/ohlcv_1m
+    spark-submit --py-files quotebars.zip quotebars/streaming/__main__.py --bootstrap host:9092 \\
+        --topic market.quotes --raw-path s3a://lake/quotes_raw --bars-path s3a://lake/ohlcv_1m
     python -m quotebars.streaming --source-path /data/topic --raw-path ... --available-now
 
 Checkpoints default to ``<spark.checkpoint.dir>/market-stream`` (one sub-folder per query).
