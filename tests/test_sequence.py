@@ -58,3 +58,30 @@ def test_ordered_scan_hot_key_is_split(spark):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 20000 / 2
     last = out.where(F.col("seq") == 19999).collect()[0]
     assert last.rs == sum(i % 7 for i in range(20000))
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.sampled_from(["A", "B", None]), st.integers(0, 2),
+                           st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60)
+
+
+@settings(max_examples=8, deadline=None)
+@given(_rows, st.sampled_from(["range", "window", "auto"]), st.integers(1, 9))
+def test_property_ordered_scan(spark, rows, strategy, parts):
+    data = [(s, d, i, v) for i, (s, d, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "sym string, day int, seq long, v long")
+    out = ordered_scan(df, ["sym", "day"], ["seq"], "v", running_sum="rs", previous="pv",
+                       num_partitions=parts, strategy=strategy, max_group_rows=5)
+    got = {r.seq: (r.rs, r.pv) for r in out.collect()}
+    totals, last = {}, {}
+    for s, d, i, v in data:
+        k = (s, d)
+        prev_total = totals.get(k)
+        if v is not None:
+            totals[k] = (prev_total or 0) + v
+        want_rs = totals.get(k)
+        want_pv = last[k] if k in last else None
+        assert got[i] == (want_rs, want_pv), (i, got[i], want_rs, want_pv)
+        last[k] = v
