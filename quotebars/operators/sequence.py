@@ -36,7 +36,7 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 MAX_GROUP_ROWS_CONF = "spark.quotebars.sequence.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
+DEFAULT_MAX_GROUP_ROWS = 10_000_000
 MAX_HOT_GROUPS = 100_000
 _PROBES: dict = {}
 
