@@ -235,18 +235,22 @@ def q_latest_ticks_table(spark, sf_dir):
 
 def q_compact_bars(spark, sf_dir):
     root = scratch_dir(spark, "compact")
-    ev = _events(spark, sf_dir)
+    ev = _events(spark, sf_dir).persist()     # reused by three upserts; released before returning
     store = BarStore(spark, f"{root}/ohlcv", writer="compact")
     store.upsert(aggregate_ohlcv(ev.where(F.col("price") < 100), "1 minute"), batch_id=0)
     store.upsert(aggregate_ohlcv(ev.where(F.col("price") >= 50), "1 minute"), batch_id=1)
     store.upsert(aggregate_ohlcv(ev, "1 minute"), batch_id=2)
+    # the first half of the days (closed days) first, then the whole store
+    lo, hi = store.read().agg(F.min(F.to_date("window_start")), F.max(F.to_date("window_start"))).first()
+    ev.unpersist()
+    store.compact(day_lo=lo.isoformat(), day_hi=(lo + (hi - lo) / 2).isoformat())
     store.compact()
     return S.bars_as_doubles(store.read())
 
 
 def q_upsert_bars(spark, sf_dir):
     root = scratch_dir(spark, "upsert")
-    ev = _events(spark, sf_dir)
+    ev = _events(spark, sf_dir).persist()     # reused by the upserts; released before returning
     store = BarStore(spark, f"{root}/ohlcv", writer="upsert")
     # stale first pass: only part of every window's ticks had arrived
     store.upsert(aggregate_ohlcv(ev.where(F.col("price") < 100), "1 minute"), batch_id=0)
@@ -254,6 +258,7 @@ def q_upsert_bars(spark, sf_dir):
     store.upsert(aggregate_ohlcv(ev, "1 minute"), batch_id=1)
     # replaying a committed batch is a no-op
     store.upsert(aggregate_ohlcv(ev.where(F.col("price") < 100), "1 minute"), batch_id=0)
+    ev.unpersist()
     return S.bars_as_doubles(store.read())
 
 

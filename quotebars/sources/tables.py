@@ -22,6 +22,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from datetime import date as _date
+from datetime import timedelta as _timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -135,6 +137,20 @@ class BarStore:
         return sorted(int(st.getPath().getName()[4:]) for st in fs.listStatus(d)
                       if st.getPath().getName().startswith("seq="))
 
+    def _day_bases(self) -> dict:
+        """{bar_day: newest base seq} from day-scoped compactions."""
+        fs, _ = self._fs()
+        d = self._path("_commits/_base_day")
+        if not fs.exists(d):
+            return {}
+        out = {}
+        for st in fs.listStatus(d):
+            day = st.getPath().getName()
+            seqs = self._seqs(f"_commits/_base_day/{day}")
+            if seqs:
+                out[day] = seqs[-1]
+        return out
+
     def last_seq(self) -> int:
         seqs = self._seqs()
         return seqs[-1] if seqs else 0
@@ -158,6 +174,8 @@ class BarStore:
         self._create(f"_commits/seq={entry['seq']:012d}", json.dumps(entry))
         if entry.get("base"):
             self._create(f"_commits/_base/seq={entry['seq']:012d}")
+        for day in entry.get("base_days") or ():
+            self._create(f"_commits/_base_day/{day}/seq={entry['seq']:012d}")
         if entry.get("batch_id") is not None:
             self._create(self._marker(entry["batch_id"]))
 
@@ -184,7 +202,8 @@ class BarStore:
         return False
 
     # ---------------------------------------------------------------- writes
-    def upsert(self, bars: DataFrame, batch_id: int | None = None, base: bool = False) -> bool:
+    def upsert(self, bars: DataFrame, batch_id: int | None = None, base: bool = False,
+               base_days=()) -> bool:
         """Upsert one batch. Returns False when the batch was already committed.
 
         The batch is computed once (one write); an empty batch writes no data file and
@@ -205,7 +224,8 @@ class BarStore:
              .parquet(f"{self.path}/{rel}"))
         if not self._has_data(rel):
             return True
-        self._commit({"seq": seq, "writer": self.writer, "batch_id": batch_id, "base": base})
+        self._commit({"seq": seq, "writer": self.writer, "batch_id": batch_id, "base": base,
+                      "base_days": list(base_days)})
         return True
 
     def foreach_batch(self):
@@ -237,6 +257,12 @@ class BarStore:
         df = (self.spark.read.schema(self.stored_schema())
               .parquet(f"{self.path}/data")
               .where((F.col("seq") >= first) & (F.col("seq") <= last)))
+        day_bases = {d: q for d, q in self._day_bases().items() if q > first}
+        if day_bases:
+            # one entry per compacted day: a small literal map, evaluated on partition values
+            bases = F.create_map(*[x for d, q in sorted(day_bases.items())
+                                   for x in (F.lit(d).cast("date"), F.lit(q))])
+            df = df.where(F.col("seq") >= F.coalesce(F.element_at(bases, F.col("bar_day")), F.lit(first)))
         if symbol is not None:
             df = df.where(F.col("symbol") == F.lit(symbol))
         if day_lo is not None:
@@ -260,15 +286,27 @@ class BarStore:
         return T.StructType(list(BAR.fields) + [T.StructField("seq", T.IntegerType()),
                                                 T.StructField("bar_day", T.DateType())])
 
-    def compact(self) -> bool:
-        """Rewrite the latest rows as one base commit (no-op on an empty store)."""
+    def compact(self, day_lo=None, day_hi=None) -> bool:
+        """Rewrite the latest rows as one base version (no-op on an empty store).
+
+        Without a range the whole store is rewritten and reads start from the new
+        version. With ``day_lo``/``day_hi`` (inclusive) only those days are rewritten,
+        e.g. the days the stream has closed; each becomes a day-scoped base, so reads of
+        those days skip every older version while other days keep theirs."""
         if self.table:
             return False
         before = self.last_seq()
         if not before:
             return False
-        # the latest rows become one new version; reads then start from it
-        self.upsert(self.read(), batch_id=None, base=True)
+        if day_lo is None and day_hi is None:
+            self.upsert(self.read(), batch_id=None, base=True)
+        else:
+            if day_lo is None or day_hi is None:
+                raise ValueError("give both day_lo and day_hi for a day-scoped compaction")
+            lo, hi = _date.fromisoformat(str(day_lo)), _date.fromisoformat(str(day_hi))
+            days = [(lo + _timedelta(days=i)).isoformat() for i in range((hi - lo).days + 1)]
+            self.upsert(self.read(day_lo=lo.isoformat(), day_hi=hi.isoformat()), batch_id=None,
+                        base_days=days)
         return self.last_seq() > before
 
     def versions(self) -> DataFrame:

@@ -127,3 +127,33 @@ def test_range_scan_without_exchange_reuse(spark):
     for i in range(3000):
         running[i % 3] = running.get(i % 3, 0) + i % 5
         assert got[i] == running[i % 3]
+
+
+def test_day_scoped_compaction(spark, scratch):
+    # quotes over three days; compact the first two days only
+    rows = [("A", 100 + i % 5, 1, i, T0 + dt.timedelta(hours=7 * i), "t") for i in range(20)]
+    q = spark.createDataFrame(rows, "symbol string, price int, volume int, day_volume long, "
+                                    "quote_time timestamp, source string") \
+        .select("symbol", F.col("price").cast("decimal(38,8)").alias("price"),
+                F.col("volume").cast("decimal(38,8)").alias("volume"), "day_volume", "quote_time",
+                F.col("quote_time").alias("ingest_time"), "source")
+    store = BarStore(spark, f"{scratch('bars')}/ohlcv")
+    store.upsert(aggregate_ohlcv(q.where(F.col("price") < 103)), batch_id=0)
+    store.upsert(aggregate_ohlcv(q), batch_id=1)
+    expected = _rows(store.read())
+    d0 = T0.date()
+    assert store.compact(day_lo=d0.isoformat(), day_hi=(d0 + dt.timedelta(days=1)).isoformat())
+    assert _rows(store.read()) == expected
+    versions = store.versions().where(F.col("bar_day") == F.lit(d0.isoformat()).cast("date"))
+    assert versions.select("seq").distinct().count() == 3          # old versions stay on disk ...
+    # ... but reads of a compacted day only see the compacted version
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plan = store.read(day_lo=d0.isoformat(), day_hi=d0.isoformat())._jdf.queryExecution() \
+            .executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "element_at" in plan
+    later = aggregate_ohlcv(q.where(F.col("price") == 100)).withColumn("trade_count", F.lit(99).cast("bigint"))
+    store.upsert(later, batch_id=2)                                 # newer versions still win
+    assert {r.trade_count for r in store.read().where(F.col("open") == 100).collect()} == {99}
