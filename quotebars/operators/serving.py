@@ -98,7 +98,7 @@ def topn_bars(bars: DataFrame, n: int = DEFAULT_BARS) -> DataFrame:
     return ranked.select(
         "symbol", ts_to_ms("window_start").alias("window_start_ms"),
         *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume", "vwap")],
-        "trade_count", "rn")
+        "trade_count", F.col("rn").cast("bigint").alias("rn"))
 
 
 def topn_ticks(quotes: DataFrame, n: int = DEFAULT_TICKS) -> DataFrame:
@@ -107,7 +107,7 @@ def topn_ticks(quotes: DataFrame, n: int = DEFAULT_TICKS) -> DataFrame:
     return ranked.select(
         "symbol", F.col("price").cast("double").alias("price"),
         F.col("volume").cast("double").alias("quantity"),
-        ts_to_ms("quote_time").alias("trade_time_ms"), "rn")
+        ts_to_ms("quote_time").alias("trade_time_ms"), F.col("rn").cast("bigint").alias("rn"))
 
 
 def recent_bars(bars: DataFrame, n: int = RECENT_BARS) -> DataFrame:
@@ -131,7 +131,7 @@ def tick_direction(quotes: DataFrame, n: int = DEFAULT_TICKS) -> DataFrame:
     ranked = topn_per_symbol(quotes, [F.col(c).desc() for c in TICK_ORDER], n)
     older = F.lead(F.col("price")).over(Window.partitionBy("symbol").orderBy("rn"))
     return ranked.select(
-        "symbol", "rn",
+        "symbol", F.col("rn").cast("bigint").alias("rn"),
         F.col("price").cast("double").alias("price"),
         F.col("volume").cast("double").alias("quantity"),
         ts_to_ms("quote_time").alias("trade_time_ms"),

@@ -18,8 +18,8 @@ EVQ = f"""evq AS (
          CAST(value AS DECIMAL(38,8)) AS price,
          CAST(json_extract_string(props, '$.k') AS DECIMAL(38,8)) AS volume,
          {K} AS units,
-         SUM({K}) OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts, event_id
-                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS day_volume,
+         CAST(SUM({K}) OVER (PARTITION BY event_type, CAST(ts AS DATE) ORDER BY ts, event_id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS day_volume,
          ts AS quote_time, event_id, value
   FROM events)"""
 
@@ -27,10 +27,10 @@ LIQ = """liq AS (
   SELECT CAST(l_suppkey AS VARCHAR) AS symbol,
          CAST(l_extendedprice / l_quantity AS DECIMAL(38,8)) AS price,
          CAST(l_quantity AS DECIMAL(38,8)) AS volume,
-         SUM(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE)
+         CAST(SUM(CAST(l_quantity AS BIGINT)) OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE)
              ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice,
                       l_discount, l_tax, l_returnflag, l_linestatus
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS day_volume,
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS day_volume,
          l_shipdate AS quote_time
   FROM lineitem)"""
 
@@ -79,8 +79,8 @@ TICK_ORDER_DESC = "quote_time DESC, day_volume DESC, price DESC"
 
 INCREMENTS = f"""WITH {EVQ}
 SELECT symbol, {ms('quote_time')} AS quote_time_ms, day_volume,
-       COALESCE(GREATEST(0, day_volume - LAG(day_volume) OVER (
-           PARTITION BY symbol ORDER BY quote_time, day_volume, price)), 0) AS volume
+       CAST(COALESCE(GREATEST(0, day_volume - LAG(day_volume) OVER (
+           PARTITION BY symbol ORDER BY quote_time, day_volume, price)), 0) AS BIGINT) AS volume
 FROM evq"""
 
 QUOTE_COLS = (f"symbol, CAST(price AS DOUBLE) AS price, CAST(volume AS DOUBLE) AS volume, day_volume, "

@@ -203,7 +203,8 @@ def q_normalize_symbols(spark, sf_dir):
                    F.when(u >= 50, F.lit("aapl")).otherwise(F.lit(" msft ")), F.lit(","),
                    F.lower("event_type"), F.lit(" "))
     arr = normalize_symbols(csv)
-    return ev.select("event_id", F.array_join(arr, "|").alias("symbols"), F.size(arr).alias("n_symbols"))
+    return ev.select("event_id", F.array_join(arr, "|").alias("symbols"),
+                     F.size(arr).cast("bigint").alias("n_symbols"))
 
 
 # ------------------------------------------------------------------ tables
