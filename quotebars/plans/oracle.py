@@ -249,6 +249,7 @@ FROM s WHERE points >= 2""",
         "stream_raw": RAW,
         "late_rows_report": _late_report(),
         "reconcile_counts": RECONCILE,
+        "stream_reconcile": RECONCILE,
         "count_rows": COUNT_ROWS,
         "replay_roundtrip": f"{EV_1M}\nSELECT symbol, {ms('window_start')} AS window_start_ms, open, high, low, "
                             "close, volume, quote_volume, vwap, trade_count FROM (SELECT *, row_number() OVER "

@@ -375,6 +375,12 @@ def q_stream_raw(spark, sf_dir):
                       ts_to_ms("quote_time").alias("quote_time_ms"), "source")
 
 
+def q_stream_reconcile(spark, sf_dir):
+    """The end-to-end smoke check over the stream's own outputs: raw rows vs bars."""
+    run = _stream_run(spark, sf_dir)
+    return reconcile_counts(read_raw(spark, run["raw"]), run["store"].read())
+
+
 def q_late_rows_report(spark, sf_dir):
     run = _stream_run(spark, sf_dir, late_rule=True)
     rep = late_rows_report(read_raw(spark, run["raw"]).drop("quote_day"), run["store"].read())
@@ -460,6 +466,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "backfill_bars": q_backfill_bars,
         "stream_ohlcv": q_stream_ohlcv,
         "stream_raw": q_stream_raw,
+        "stream_reconcile": q_stream_reconcile,
         "late_rows_report": q_late_rows_report,
         "reconcile_counts": q_reconcile_counts,
         "count_rows": q_count_rows,
