@@ -17,11 +17,11 @@ DEFAULT_ORDER = ("quote_time", "day_volume", "price")
 
 
 def volume_increments(quotes: DataFrame, order_cols=DEFAULT_ORDER, out_col: str = "volume",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
     """Replace/add ``out_col`` with the bigint increment of ``day_volume`` per symbol."""
     prev = "_prev_day_volume"
     scanned = ordered_scan(quotes, ["symbol"], list(order_cols), "day_volume",
-                           previous=prev, num_partitions=num_partitions)
+                           previous=prev, num_partitions=num_partitions, strategy=strategy)
     inc = F.coalesce(F.greatest(F.lit(0).cast("bigint"), F.col("day_volume") - F.col(prev)),
                      F.lit(0).cast("bigint"))
     return scanned.withColumn(out_col, inc).drop(prev)

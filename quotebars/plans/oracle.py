@@ -211,6 +211,8 @@ def oracle_sql() -> dict[str, str]:
         "quarantine_counts": QUARANTINE,
         "chart_json": CHART,
         "volume_increments": INCREMENTS,
+        "volume_increments_split": INCREMENTS,
+        "ohlcv_1m_split": _bars_query(EVQ, "evq", "1 minute"),
         "increments_stream": INCREMENTS,
         "latest_bars": f"{EV_1M}\nSELECT * FROM (SELECT {SERVE_COLS} FROM bars WHERE symbol = 'click' "
                        "ORDER BY window_start DESC LIMIT 120)",

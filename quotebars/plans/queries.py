@@ -144,6 +144,19 @@ def q_volume_increments(spark, sf_dir):
     return inc.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), "day_volume", "volume")
 
 
+def q_volume_increments_split(spark, sf_dir):
+    """Same result through the range-split (hot-key) path for every group: both the
+    day-volume scan and the increments are range-partitioned and scanned in parallel."""
+    ev = quotes_from_events(spark, sf_dir, strategy="range")
+    inc = volume_increments(ev, strategy="range")
+    return inc.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), "day_volume", "volume")
+
+
+def q_ohlcv_1m_split(spark, sf_dir):
+    """1-minute bars with the day volume computed on the range-split path."""
+    return S.bars_as_doubles(aggregate_ohlcv(quotes_from_events(spark, sf_dir, strategy="range"), "1 minute"))
+
+
 def q_keyed_topic_roundtrip(spark, sf_dir):
     """Events published through the keyed-topic file sink, read back and decoded."""
     root = scratch_dir(spark, "topic")
@@ -451,6 +464,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quarantine_counts": q_quarantine_counts,
         "chart_json": q_chart_json,
         "volume_increments": q_volume_increments,
+        "volume_increments_split": q_volume_increments_split,
+        "ohlcv_1m_split": q_ohlcv_1m_split,
         "increments_stream": q_increments_stream,
         "latest_bars": q_latest_bars,
         "latest_ticks": q_latest_ticks,

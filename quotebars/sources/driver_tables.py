@@ -27,7 +27,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def quotes_from_events(spark: SparkSession, sf_dir: str, with_day_volume: bool = True) -> DataFrame:
+def quotes_from_events(spark: SparkSession, sf_dir: str, with_day_volume: bool = True,
+                       strategy: str = "auto") -> DataFrame:
     configure(spark)
     ev = read_table(spark, sf_dir, "events")
     # the running day volume is computed on narrow primitive columns (cheap to move
@@ -41,7 +42,8 @@ def quotes_from_events(spark: SparkSession, sf_dir: str, with_day_volume: bool =
         F.col("event_id"),
     )
     if with_day_volume:
-        base = ordered_scan(base, ["symbol", "_day"], ["ts", "event_id"], "_units", running_sum="day_volume")
+        base = ordered_scan(base, ["symbol", "_day"], ["ts", "event_id"], "_units", running_sum="day_volume",
+                            strategy=strategy)
     else:
         base = base.withColumn("day_volume", F.lit(None).cast("bigint"))
     return base.select(
