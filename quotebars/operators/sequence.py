@@ -7,7 +7,7 @@ take the plain window, and only the hot groups take the range-split path below.
 
 Range-split path: the rows are range-partitioned on ``(key, order...)``; Spark's sampled range bounds split a
 hot key across many partitions. Each partition is scanned once in time order
-(Arrow-batched, vectorised per batch), and the only cross-partition information — the
+(Arrow batches, numpy per batch, pass-through columns never converted), and the only cross-partition information — the
 running total and last value of a key that continues from an earlier partition — comes
 from a per-(partition, key) partial aggregate. Only the *first* key of a partition can
 continue from earlier partitions, so the carry table has at most one row per partition:
@@ -21,7 +21,8 @@ read the same reused exchange).
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -128,17 +129,21 @@ def _range_scan(df, group_cols, order_cols, value_col, running_sum, previous, ou
     local_first = "_loc_first"
     out_schema = T.StructType(list(ranged.schema.fields) + [
         T.StructField(local_sum, out_type), T.StructField(local_prev, out_type),
-        T.StructField(local_first, T.BooleanType()), T.StructField("_loc_pos", T.LongType())])
-    scan = _local_scan(list(group_cols), value_col, is_int)
-    local = ranged.mapInPandas(scan, out_schema)
-
-    # Per (partition, group) segment: its total and last value, taken from the scan's
-    # own output so both consumers read one (reused) range exchange — two separately
-    # planned range exchanges may sample different bounds. Partial aggregation keeps
-    # the second exchange to a few rows per task.
-    seg = local.groupBy(_PID, *group_cols).agg(
-        F.sum(value_col).cast(out_type).alias("_seg_sum"),
-        F.max_by(F.col(value_col), F.col("_loc_pos")).cast(out_type).alias("_seg_last"),
+        T.StructField(local_first, T.BooleanType())])
+    local = ranged.mapInArrow(_arrow_scan(list(group_cols), value_col, is_int), out_schema)
+
+    # Per (partition, group) segment: its total and last value. A second, cheap Arrow pass
+    # over the same range-partitioned rows reads only the keys and the value and emits one
+    # summary row per (Arrow batch, group); both passes read one reused range exchange
+    # (two separately planned range exchanges could sample different bounds).
+    key_fields = [ranged.schema[c] for c in [_PID, *group_cols]]
+    summary_schema = T.StructType(key_fields + [
+        T.StructField("_b", T.LongType()), T.StructField("_s", out_type), T.StructField("_l", out_type)])
+    summaries = ranged.mapInArrow(_arrow_summary([_PID, *group_cols], list(group_cols), value_col, is_int),
+                                  summary_schema)
+    seg = summaries.groupBy(_PID, *group_cols).agg(
+        F.sum("_s").cast(out_type).alias("_seg_sum"),
+        F.max_by(F.col("_l"), F.col("_b")).cast(out_type).alias("_seg_last"),
     )
     w = Window.partitionBy(*group_cols).orderBy(_PID)
     carry = (seg.select(
@@ -167,34 +172,54 @@ def _range_scan(df, group_cols, order_cols, value_col, running_sum, previous, ou
     return joined.select(*cols)
 
 
-def _key_tuple(pdf: pd.DataFrame, cols: list[str], i: int) -> tuple:
-    return tuple(None if pd.isna(x) else x for x in (pdf[c].iat[i] for c in cols))
+# ---------------------------------------------------------------- Arrow passes
+def _group_starts(batch, group_cols) -> np.ndarray:
+    """True where a row starts a new group compared with the row before it (row 0: True)."""
+    n = batch.num_rows
+    new = np.zeros(n, dtype=bool)
+    new[0] = True
+    if n < 2:
+        return new
+    for c in group_cols:
+        col = batch.column(c)
+        a, b = col.slice(1), col.slice(0, n - 1)
+        ne = pc.not_equal(a, b)
+        na_a = np.asarray(a.is_null(), dtype=bool)
+        na_b = np.asarray(b.is_null(), dtype=bool)
+        diff = np.asarray(ne.fill_null(False), dtype=bool) | (na_a != na_b)
+        new[1:] |= diff
+    return new
+
+
+def _values(batch, value_col, vtype):
+    col = batch.column(value_col)
+    null = np.asarray(col.is_null(), dtype=bool) if col.null_count else np.zeros(batch.num_rows, dtype=bool)
+    v = np.asarray(col.fill_null(0).to_numpy(zero_copy_only=False), dtype=vtype)
+    return v, null
 
 
-def _local_scan(group_cols: list[str], value_col: str, is_int: bool):
-    """Per-partition ordered pass (numpy segmented scans per Arrow batch); carries the
-    open group across batches."""
+def _row_key(batch, cols, i) -> tuple:
+    return tuple(batch.column(c)[i].as_py() for c in cols)
+
+
+def _arrow_scan(group_cols: list[str], value_col: str, is_int: bool):
+    """Per-partition ordered pass on Arrow batches: running sum and predecessor within the
+    partition; pass-through columns are not converted. Carries the open group across
+    batches."""
     vtype = np.int64 if is_int else np.float64
-    array_type = pd.arrays.IntegerArray if is_int else pd.arrays.FloatingArray
+    atype = pa.int64() if is_int else pa.float64()
 
     def scan(batches):
         carry_key = None      # group key of the last row seen in this partition
         carry_sum = None      # running sum of that group so far (None = no non-null yet)
         carry_last = None     # value of the last row of that group (None = NULL)
-        pos = 0               # row position inside the partition
-        for pdf in batches:
-            n = len(pdf)
+        for batch in batches:
+            n = batch.num_rows
             if n == 0:
                 continue
-            col = pdf[value_col]
-            null = col.isna().to_numpy()
-            v = col.fillna(0).to_numpy(dtype=vtype)
-            new = np.zeros(n, dtype=bool)
-            for c in group_cols:
-                a = pdf[c].to_numpy()
-                na = pd.isna(a)
-                new[1:] |= (a[1:] != a[:-1]) & ~(na[1:] & na[:-1])
-            continues = carry_key is not None and _key_tuple(pdf, group_cols, 0) == carry_key
+            v, null = _values(batch, value_col, vtype)
+            new = _group_starts(batch, group_cols)
+            continues = carry_key is not None and _row_key(batch, group_cols, 0) == carry_key
             new[0] = not continues
             idx = np.arange(n)
             start = np.maximum.accumulate(np.where(new, idx, 0))
@@ -214,13 +239,42 @@ def _local_scan(group_cols: list[str], value_col: str, is_int: bool):
                     seen = seen | head
                 prev[0] = 0 if carry_last is None else carry_last
                 prev_null[0] = carry_last is None
-            carry_key = _key_tuple(pdf, group_cols, n - 1)
+            carry_key = _row_key(batch, group_cols, n - 1)
             carry_sum = rs[-1].item() if seen[-1] else None
             carry_last = None if null[-1] else v[-1].item()
-            out = pdf.assign(_loc_sum=array_type(np.where(seen, rs, 0).astype(vtype), ~seen),
-                             _loc_prev=array_type(np.where(prev_null, 0, prev).astype(vtype), prev_null),
-                             _loc_first=new, _loc_pos=np.arange(pos, pos + n, dtype=np.int64))
-            pos += n
-            yield out
+            yield pa.RecordBatch.from_arrays(
+                list(batch.columns) + [pa.array(rs, type=atype, mask=~seen),
+                                       pa.array(prev, type=atype, mask=prev_null),
+                                       pa.array(new)],
+                names=list(batch.schema.names) + ["_loc_sum", "_loc_prev", "_loc_first"])
 
     return scan
+
+
+def _arrow_summary(key_cols: list[str], group_cols: list[str], value_col: str, is_int: bool):
+    """One row per (Arrow batch, group run): keys, batch number, sum (NULL if all NULL) and
+    the value of the run's last row. Reads only the key and value columns."""
+    vtype = np.int64 if is_int else np.float64
+    atype = pa.int64() if is_int else pa.float64()
+
+    def summarise(batches):
+        b = 0
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            v, null = _values(batch, value_col, vtype)
+            new = _group_starts(batch, group_cols)
+            starts = np.flatnonzero(new)
+            ends = np.append(starts[1:], n) - 1
+            sums = np.add.reduceat(np.where(null, 0, v), starts)
+            any_value = np.add.reduceat((~null).astype(np.int64), starts) > 0
+            keys = batch.select(key_cols).take(pa.array(starts))
+            yield pa.RecordBatch.from_arrays(
+                list(keys.columns) + [pa.array(np.full(len(starts), b, dtype=np.int64)),
+                                      pa.array(sums.astype(vtype), type=atype, mask=~any_value),
+                                      pa.array(v[ends], type=atype, mask=null[ends])],
+                names=list(key_cols) + ["_b", "_s", "_l"])
+            b += 1
+
+    return summarise
