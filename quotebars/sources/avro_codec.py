@@ -129,6 +129,8 @@ def decode(bodies: pa.Array, kinds, scales, names, types) -> pa.StructArray:
         else:                                  # string or bytes-decimal: varint length + bytes
             size, pos = _read_varint(data, pos, end, ok)
             ok &= size >= 0
+            if kind == "decimal":
+                ok &= size <= 16                   # decimal128 holds at most 16 bytes
             size = np.where(ok, size, 0)
             start = pos
             stop = pos + size
@@ -136,8 +138,22 @@ def decode(bodies: pa.Array, kinds, scales, names, types) -> pa.StructArray:
             pos = np.where(ok, stop, pos)
             columns.append((kind, (start, size, scale)))
     ok &= pos == end
+    # wide decimals (over 8 bytes, rare): read exactly now, so a value beyond 38 digits marks
+    # the record bad before any field array is built
+    big_decimals = []
+    for kind, payload in columns:
+        big = {}
+        if kind == "decimal":
+            start, size, _ = payload
+            for i in np.flatnonzero(ok & (size > 8)):
+                v = int.from_bytes(data[start[i]:start[i] + size[i]].tobytes(), "big", signed=True)
+                if abs(v) >= 10 ** 38:
+                    ok[i] = False
+                else:
+                    big[int(i)] = v
+        big_decimals.append(big)
     arrays = []
-    for (kind, payload), typ in zip(columns, types):
+    for (kind, payload), typ, big in zip(columns, types, big_decimals):
         if kind == "long":
             arrays.append(pa.Array.from_buffers(pa.int64(), n, [_validity(ok),
                                                 pa.py_buffer(np.where(ok, payload, 0).astype(np.int64).tobytes())]))
@@ -156,7 +172,8 @@ def decode(bodies: pa.Array, kinds, scales, names, types) -> pa.StructArray:
         else:
             start, size, scale = payload
             size = np.where(ok, size, 0)
-            arrays.append(_decode_decimals(data, start, size, ok, typ))
+            arrays.append(_decode_decimals(data, start, size, ok, typ,
+                                           {i: v for i, v in big.items() if ok[i]}))
     err = np.where(present & ~ok, "bad_avro", None)
     arrays.append(pa.array(err, type=pa.string()))
     return pa.StructArray.from_arrays(arrays, names=list(names) + ["decode_error"])
@@ -182,7 +199,7 @@ def _invalid_utf8_rows(data, start, size, ok) -> np.ndarray:
     return bad
 
 
-def _decode_decimals(data, start, size, ok, typ) -> pa.Array:
+def _decode_decimals(data, start, size, ok, typ, big: dict) -> pa.Array:
     n = len(start)
     small = ok & (size <= 8)
     value = np.zeros(n, dtype=np.int64)
@@ -197,13 +214,6 @@ def _decode_decimals(data, start, size, ok, typ) -> pa.Array:
     sign = neg & (first >= 128)
     # sizes below 8 bytes: subtract 2^(8*size) when the sign bit is set (8 bytes wrap already)
     value = np.where(sign & (size < 8), value - (np.int64(1) << (np.int64(8) * size).clip(0, 62)), value)
-    big = {}
-    for i in np.flatnonzero(ok & (size > 8)):
-        v = int.from_bytes(data[start[i]:start[i] + size[i]].tobytes(), "big", signed=True)
-        if v.bit_length() > 127:
-            ok[i] = False
-        else:
-            big[int(i)] = v
     return _decimal_from_int64(value, ok, big, typ)
 
 

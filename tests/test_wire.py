@@ -161,3 +161,27 @@ def test_sink_bars_topic_files(spark, scratch):
     got = sorted((r.symbol, r.window_start, r.close, r.trade_count, r.schema_id) for r in back.collect())
     want = sorted((r.symbol, r.window_start, r.close, r.trade_count, 2) for r in bars.collect())
     assert got == want
+
+
+def test_vectorised_decode_rejects_wide_decimals():
+    names, kinds, scales = _layout(_MIXED)
+    types = [None, None, pa.decimal128(38, 8), None]
+
+    def body(dec_bytes):
+        out = bytearray(encode_record(["x", 1, 0, "y"], kinds, scales))
+        # replace the decimal field (after 'x' and the long) with the given bytes
+        prefix = bytes([2]) + b"x" + bytes([2])
+        rest = out[len(prefix):]
+        dec_len = rest[0] // 2
+        tail = bytes(rest[1 + dec_len:])
+        zz = len(dec_bytes) * 2
+        return prefix + bytes([zz]) + dec_bytes + tail
+
+    ok_body = body((10 ** 37).to_bytes(16, "big", signed=True))
+    too_big = body((10 ** 38).to_bytes(16, "big", signed=True))
+    too_long = body(b"\x00" * 17)
+    out = avro_codec.decode(pa.array([ok_body, too_big, too_long], pa.binary()), kinds, scales, names,
+                            types).to_pylist()
+    assert out[0]["decode_error"] is None and out[0]["d"] == Decimal(10 ** 37).scaleb(-8)
+    for r in out[1:]:
+        assert r["decode_error"] == "bad_avro" and r["s"] is None and r["d"] is None and r["t"] is None
