@@ -26,7 +26,7 @@ def _increments(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.Data
     if pdf.empty:
         return
     pdf = pdf.sort_values(["quote_time", "day_volume", "price"], kind="mergesort", na_position="first")
-    t = pdf["quote_time"].astype("int64").to_numpy() // 1_000_000     # ns -> ms
+    t = pdf["quote_time"].to_numpy().astype("datetime64[ms]").astype("int64")   # epoch millis, any unit
     cum = pdf["day_volume"].astype("float64").to_numpy()
     prev, prev_time = (state.get if state.exists else (None, None))
     late = np.zeros(len(pdf), dtype=bool) if prev_time is None else t < prev_time
