@@ -6,8 +6,8 @@ two fixed record contracts (string, long, timestamp-millis, bytes-decimal fields
 ``encode_record``/``decode_record`` below are the plain per-record form, kept as the
 reference the vectorised codec is tested against (and used on PySpark < 4.1).
 Everything around it — header checks, schema id, key, casting — stays in JVM
-expressions. If ``pyspark.sql.avro.functions`` is usable, ``native=True`` routes
-to ``from_avro``/``to_avro`` instead.
+expressions. With ``native=True`` the codec is ``from_avro``/``to_avro`` when the Avro
+data source is on the classpath; without it, the Arrow codec is used instead.
 
 Frame layout: byte 0 magic (0), bytes 1-4 big-endian schema id, then the Avro body.
 """
@@ -19,6 +19,7 @@ from decimal import Context, Decimal
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -238,14 +239,16 @@ def avro_encode_frame(quotes: DataFrame, schema_id: int = 1, contract: dict = QU
             c = c.cast("string")
         fields.append(c.alias(f["name"]))
     rec = F.struct(*fields)
+    key = F.encode(F.col(key_col).cast("string"), "UTF-8").alias("key")
     if native and _native_avro():
         body = _native_avro()[1](rec, avro_schema_json(contract))
-    else:
-        enc = _ENCODERS.setdefault(contract["name"], _encoder(contract))
-        body = enc(rec)
-    value = F.when(body.isNotNull(), header(body, schema_id))
-    return quotes.select(F.encode(F.col(key_col).cast("string"), "UTF-8").alias("key"), value.alias("value"),
-                         *keep)
+        try:
+            return quotes.select(key, F.when(body.isNotNull(), header(body, schema_id)).alias("value"), *keep)
+        except AnalysisException:      # the Avro data source is not on the classpath
+            pass
+    enc = _ENCODERS.setdefault(contract["name"], _encoder(contract))
+    body = enc(rec)
+    return quotes.select(key, F.when(body.isNotNull(), header(body, schema_id)).alias("value"), *keep)
 
 
 def wire_unframe(df: DataFrame, value_col: str = "value") -> DataFrame:
@@ -266,11 +269,15 @@ def avro_decode(df: DataFrame, contract: dict = QUOTE_AVRO, body_col: str = "bod
     """Decode the Avro body into the contract's columns; a poison body never fails the
     query: it gets ``decode_error`` (frame errors take precedence)."""
     names, kinds, _ = _layout(contract)
+    decoded = None
     if native and _native_avro():
         rec = _native_avro()[0](F.col(body_col), avro_schema_json(contract), {"mode": "PERMISSIVE"})
-        decoded = df.withColumn("_rec", rec).withColumn(
-            "_err", F.when(F.col(body_col).isNotNull() & F.col("_rec").isNull(), F.lit("bad_avro")))
-    else:
+        try:
+            decoded = df.withColumn("_rec", rec).withColumn(
+                "_err", F.when(F.col(body_col).isNotNull() & F.col("_rec").isNull(), F.lit("bad_avro")))
+        except AnalysisException:      # the Avro data source is not on the classpath
+            decoded = None
+    if decoded is None:
         dec = _DECODERS.setdefault(contract["name"], _decoder(contract))
         decoded = df.withColumn("_rec", dec(F.col(body_col))).withColumn("_err", F.col("_rec.decode_error"))
     err = F.coalesce(F.col("frame_error"), F.col("_err")) if "frame_error" in df.columns else F.col("_err")

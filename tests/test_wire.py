@@ -185,3 +185,10 @@ def test_vectorised_decode_rejects_wide_decimals():
     assert out[0]["decode_error"] is None and out[0]["d"] == Decimal(10 ** 37).scaleb(-8)
     for r in out[1:]:
         assert r["decode_error"] == "bad_avro" and r["s"] is None and r["d"] is None and r["t"] is None
+
+
+def test_native_flag_falls_back_without_avro_jar(spark):
+    rows = [("AAPL", "190.42", "1250", 5000000, T0, T0, "yahoo")]
+    framed = avro_encode_frame(spark.createDataFrame(rows, WIRE), native=True)
+    back = avro_decode(wire_unframe(framed), QUOTE_AVRO, native=True).collect()[0]
+    assert (back.symbol, back.price, back.volume, back.decode_error) == ("AAPL", "190.42", "1250", None)
