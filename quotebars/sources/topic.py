@@ -32,9 +32,9 @@ def sink_keyed_topic(frames: DataFrame, topic: str = "market.quotes", bootstrap:
             w = out.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
             for k, v in opts.items():
                 w = w.option(k, v)
-            if checkpoint is None:     # a folder of its own under the shared checkpoint root
-                from quotebars.session import scratch_dir
-                checkpoint = scratch_dir(frames.sparkSession, f"publish-{topic}")
+            if checkpoint is None:     # stable per topic, so a restart resumes where it stopped
+                from quotebars.session import checkpoint_root
+                checkpoint = f"{checkpoint_root(frames.sparkSession)}/publish-{topic}"
             return w.option("checkpointLocation", checkpoint).start()
         w = out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
         for k, v in opts.items():
