@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -56,13 +57,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """True when driver and tasks share one machine (``local``, ``local[N]``)."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session; set a local one only if unset."""
+    """The shared checkpoint folder named by the session.
+
+    A local temporary folder stands in only when the setting is unset *and* the master is
+    local; on a cluster every executor would write to its own disk, so that raises."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # local runs and tests only: a cluster names a shared folder in spark.checkpoint.dir
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="quotebars-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", root)
@@ -78,6 +89,28 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh, unique folder under the checkpoint root for one run of one job."""
     root = checkpoint_root(spark)
     path = f"{root}/quotebars/{purpose}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file://"):
-        os.makedirs(path.replace("file://", ""), exist_ok=True)
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's sources to the executors once per application, so that Python
+    workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="quotebars-src-"), "quotebars_src.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
