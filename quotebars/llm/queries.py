@@ -7,24 +7,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from quotebars.llm.decontam import find_contamination, is_contaminated
 from quotebars.llm.exact_dedup import exact_dedup
+from quotebars.llm.piece_bpe import round_trip
 from quotebars.llm.sharding import assign_shards
 from quotebars.llm.tables import table
 
 SHARDS = 24
+PIECE_MODEL = "piece_bpe_32k.model"
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "found.n_words", "found.n_hit",
+                        F.size("found.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
+                        is_contaminated().alias("contaminated"), "found.longest_match")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_dedup(docs).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+    return exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS)
+    return assign_shards(_documents(spark, sf_dir), SHARDS)
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = round_trip(_documents(spark, sf_dir), public_tokenizers.path(PIECE_MODEL))
+    return rows.select("doc_id", (F.length("ids") - F.length(F.translate("ids", " ", "")) + 1).cast("long").alias("n_tokens"),
+                       F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_exact_dedup": op8_exact_dedup, "op9_sharding": op9_sharding}
+    return {
+        "op4_decontamination": op4_decontamination,
+        "op8_exact_dedup": op8_exact_dedup,
+        "op9_sharding": op9_sharding,
+        "op10_sentencepiece": op10_sentencepiece,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
