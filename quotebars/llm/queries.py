@@ -12,8 +12,11 @@ import public_tokenizers
 from quotebars.llm.decontam import find_contamination, is_contaminated
 from quotebars.llm.exact_dedup import exact_dedup
 from quotebars.llm.piece_bpe import round_trip
+from quotebars.llm.secrets import find_secrets
 from quotebars.llm.sharding import assign_shards
 from quotebars.llm.tables import table
+from quotebars.llm.warc import read_archive, write_archive
+from quotebars.session import scratch_dir
 
 SHARDS = 24
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -31,6 +34,21 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         is_contaminated().alias("contaminated"), "found.longest_match")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "warc")
+    records = read_archive(write_archive(table(spark, sf_dir, "pages"), root), root)
+    return records.select("page_id", "payload_bytes", F.coalesce(F.sha2("payload", 256), "payload_digest").alias("payload_digest"),
+                          "record_type", "refers_to")
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(_documents(spark, sf_dir)).withColumn("base", F.filter("secrets", lambda s: ~s["kind"].startswith("entropy")))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("secrets").alias("spans"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
@@ -48,6 +66,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_warc": op2_warc,
+        "op3_secrets": op3_secrets,
         "op4_decontamination": op4_decontamination,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_sharding": op9_sharding,
@@ -56,7 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_dedup": OP8_SQL}
+    return {"op2_warc": OP2_SQL, "op8_exact_dedup": OP8_SQL}
 
 
 OP8_SQL = r"""
@@ -72,3 +92,15 @@ SELECT doc_id,
        text_sha256
 FROM d
 """
+
+OP2_SQL = r"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+o AS (
+  SELECT payload_digest, min(page_id) AS owner FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN owner IS NULL OR owner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN owner <> page_id THEN owner END AS refers_to
+FROM p LEFT JOIN o USING (payload_digest)
+"""
