@@ -11,6 +11,7 @@ import public_tokenizers
 
 from quotebars.llm.decontam import find_contamination, is_contaminated
 from quotebars.llm.exact_dedup import exact_dedup
+from quotebars.llm.near_dedup import kept, near_groups
 from quotebars.llm.piece_bpe import round_trip
 from quotebars.llm.secrets import find_secrets
 from quotebars.llm.sharding import assign_shards
@@ -34,6 +35,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         is_contaminated().alias("contaminated"), "found.longest_match")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = near_groups(_documents(spark, sf_dir), size=3, share=(85, 100))
+    return groups.select("doc_id", "n_shingles", "component_id", kept().alias("kept"))
+
+
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "warc")
     records = read_archive(write_archive(table(spark, sf_dir, "pages"), root), root)
@@ -66,6 +72,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_near_dedup": op1_near_dedup,
         "op2_warc": op2_warc,
         "op3_secrets": op3_secrets,
         "op4_decontamination": op4_decontamination,
