@@ -11,8 +11,10 @@ import public_tokenizers
 
 from quotebars.llm.decontam import find_contamination, is_contaminated
 from quotebars.llm.exact_dedup import exact_dedup
+from quotebars.llm.labelled import held_out
 from quotebars.llm.near_dedup import kept, near_groups
 from quotebars.llm.piece_bpe import round_trip
+from quotebars.llm.quality import score_documents
 from quotebars.llm.secrets import find_secrets
 from quotebars.llm.sharding import assign_shards
 from quotebars.llm.tables import table
@@ -55,6 +57,11 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("secrets").alias("spans"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
@@ -76,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_warc": op2_warc,
         "op3_secrets": op3_secrets,
         "op4_decontamination": op4_decontamination,
+        "op6_quality": op6_quality,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_sharding": op9_sharding,
         "op10_sentencepiece": op10_sentencepiece,
