@@ -20,7 +20,9 @@ SPACES = " \t\n\x0b\x0c\r"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: key rows that one micro-batch reads at most, in bytes
 BATCH_BYTES = 4 << 30
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: state on disk; a store takes the space that it uses, not blocks set aside beforehand
+STATE = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 def normalised(text: str = "text") -> Column:
@@ -68,17 +70,19 @@ def run_stream(keys: DataFrame, max_bytes_per_trigger: int = BATCH_BYTES) -> Dat
     def keep_batch(changed: DataFrame, number: int) -> None:
         changed.write.mode("overwrite").parquet(f"{root}/changed/batch={number}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         query = (groups.writeStream.outputMode("update").foreachBatch(keep_batch)
                  .option("checkpointLocation", f"{root}/state").trigger(availableNow=True).start())
         query.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
     schema = groups.schema
     changed = spark.read.schema(schema.add("batch", "long")).parquet(f"{root}/changed")
     # a digest's last state is the one that has counted most rows
