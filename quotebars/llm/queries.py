@@ -18,6 +18,7 @@ from quotebars.llm.quality import score_documents
 from quotebars.llm.secrets import find_secrets
 from quotebars.llm.sharding import assign_shards
 from quotebars.llm.tables import table
+from quotebars.llm.toxicity import toxicity
 from quotebars.llm.warc import read_archive, write_archive
 from quotebars.session import scratch_dir
 
@@ -62,6 +63,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    score = F.col("toxicity.score")
+    return scored.select("doc_id", held_out().alias("held_out"), score.alias("score"), (score >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
@@ -84,6 +91,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_secrets": op3_secrets,
         "op4_decontamination": op4_decontamination,
         "op6_quality": op6_quality,
+        "op7_toxicity": op7_toxicity,
         "op8_exact_dedup": op8_exact_dedup,
         "op9_sharding": op9_sharding,
         "op10_sentencepiece": op10_sentencepiece,
