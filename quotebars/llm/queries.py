@@ -17,6 +17,7 @@ from quotebars.llm.piece_bpe import round_trip
 from quotebars.llm.quality import score_documents
 from quotebars.llm.secrets import find_secrets
 from quotebars.llm.sharding import assign_shards
+from quotebars.llm.substring_dedup import remove_repeats
 from quotebars.llm.tables import table
 from quotebars.llm.toxicity import toxicity
 from quotebars.llm.warc import read_archive, write_archive
@@ -58,6 +59,12 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined("base").cast("binary"), 256).alias("base_sha256"), joined("secrets").alias("spans"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return remove_repeats(_documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_documents(_documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -90,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_warc": op2_warc,
         "op3_secrets": op3_secrets,
         "op4_decontamination": op4_decontamination,
+        "op5_substring_dedup": op5_substring_dedup,
         "op6_quality": op6_quality,
         "op7_toxicity": op7_toxicity,
         "op8_exact_dedup": op8_exact_dedup,
