@@ -98,12 +98,14 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
     empty texts are one group. Rows that repeat an identifier and a text share one group; of
     them the row with the smallest locator is kept if the rows come straight from files, else
     all that carry the kept identifier are. A null identifier loses every tie. An empty table
-    gives no rows. Raises if two texts of one digest differ in any byte."""
+    gives no rows. Columns that have the names of the new ones are replaced. Raises if two texts
+    of one digest differ in any byte."""
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("digest", "keep_id", "group_size", "kept")]
     if not docs.take(1):
-        return docs.select("*", F.lit("").alias("digest"), F.col(key).alias("keep_id"),
+        return docs.select(*columns, F.lit("").alias("digest"), F.col(key).alias("keep_id"),
                            F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")).limit(0)
     groups = run_stream(key_rows(docs, key, text), max_bytes_per_trigger)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+    packed = docs.select(F.struct(*columns).alias("row"),
                          F.col(key).cast("long").alias("id"), locators(docs).alias("locator"),
                          normalised(text).alias("bytes")).withColumn("digest", F.sha2(F.col("bytes").cast("binary"), 256))
     rows = packed.join(groups, "digest")

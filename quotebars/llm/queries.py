@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import public_tokenizers
-
+import corpus_pipeline
 from quotebars.llm.decontam import find_contamination, is_contaminated
 from quotebars.llm.exact_dedup import exact_dedup
 from quotebars.llm.labelled import held_out
@@ -103,6 +103,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_sharding": op9_sharding,
         "op10_sentencepiece": op10_sentencepiece,
+        "pipeline": corpus_pipeline.run,
     }
 
 
