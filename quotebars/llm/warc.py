@@ -98,8 +98,9 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, object], int]:
 class BundleWriter:
     """One bundle: records go into the open frame; frames and at last the seek table into the file."""
 
-    def __init__(self, root: str):
+    def __init__(self, root: str, frame_bytes: int = FRAME_BYTES):
         fs, path = pyarrow.fs.FileSystem.from_uri(root) if "://" in root else (pyarrow.fs.LocalFileSystem(), root)
+        self.frame_bytes = frame_bytes
         self.name = f"bundle-{uuid.uuid4().hex}.warc.zst"
         self.file = fs.open_output_stream(f"{path}/{self.name}", compression=None)
         self.coder = zstandard.ZstdCompressor(level=3, write_checksum=True)
@@ -113,7 +114,7 @@ class BundleWriter:
         self.open.append(record)
         self.held += len(record)
         self.total += len(record)
-        if self.held >= FRAME_BYTES:
+        if self.held >= self.frame_bytes:
             self.flush()
         return place
 
@@ -160,7 +161,8 @@ def payload_of(html: str = "html") -> Column:
     return F.coalesce(F.col(html), F.lit("")).cast("binary")
 
 
-def write_archive(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def write_archive(pages: DataFrame, root: str, key: str = "page_id", url: str = "url", html: str = "html",
+                  frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
     """Write a record per row under ``root`` and return the index, which is stored there too.
 
     Of equal payloads of at least REVISIT_BYTES, rows with the smallest page_id are responses
@@ -184,10 +186,10 @@ def write_archive(pages: DataFrame, root: str, key: str = "page_id", url: str =
         for batch in batches:
             for i in range(batch.num_rows):  # one row at a time: a payload may be large
                 row = [c[i].as_py() for c in batch.columns]
-                bundle = bundle or BundleWriter(root)
+                bundle = bundle or BundleWriter(root, frame_bytes)
                 frame, offset, length = bundle.add(format_record(*row))
                 index.append((row[0], "response" if row[4] is None else "revisit", bundle.name, frame, offset, length))
-                if bundle.total >= BUNDLE_BYTES:
+                if bundle.total >= bundle_bytes:
                     bundle.close()
                     yield record_batch(places, list(zip(*index, strict=True)))
                     bundle, index = None, []
