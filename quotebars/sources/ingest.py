@@ -13,16 +13,15 @@ from quotebars.schemas import CHART_JSON, DEFAULT_SOURCE, KAFKA_ROW
 
 def src_kafka(spark: SparkSession, bootstrap: str | None = None, topic: str = "market.quotes",
               starting_offsets: str = "latest", path: str | None = None,
-              max_files_per_trigger: int | None = None) -> DataFrame:
+              max_files_per_trigger: int | None = None, max_offsets_per_trigger: int | None = None,
+              options: dict | None = None) -> DataFrame:
     """Streaming quotes topic. With ``bootstrap`` it subscribes via the Kafka source
     (needs the Kafka connector on the classpath); with ``path`` it reads parquet files
-    holding the same columns (key, value, topic, partition, offset, timestamp)."""
+    holding the same columns (key, value, topic, partition, offset, timestamp).
+    ``max_offsets_per_trigger`` / ``max_files_per_trigger`` bound a micro-batch; ``options``
+    are further options of the source (start timestamps, minimum partitions, security)."""
     if bootstrap:
-        return (spark.readStream.format("kafka")
-                .option("kafka.bootstrap.servers", bootstrap)
-                .option("subscribe", topic)
-                .option("startingOffsets", starting_offsets)
-                .load())
+        return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, starting_offsets, max_offsets_per_trigger, options)).load()
     if not path:
         raise ValueError("give either a Kafka bootstrap address or a file path")
     reader = spark.readStream.schema(KAFKA_ROW)
@@ -31,6 +30,14 @@ def src_kafka(spark: SparkSession, bootstrap: str | None = None, topic: str = "m
     return reader.parquet(path)
 
 
+def kafka_options(bootstrap: str, topic: str, starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
+                  options: dict | None = None) -> dict[str, str]:
+    out = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting_offsets}
+    if max_offsets_per_trigger:
+        out["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    return out | {k: str(v) for k, v in (options or {}).items()}
+
+
 def normalize_quote(raw: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
     """Raw poll record (symbol, price double, volume long, day_volume long,
     quote_time_ms) -> wire quote: price as the shortest round-trip text of the double,

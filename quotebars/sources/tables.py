@@ -1,25 +1,27 @@
 """Tables: DDL, raw append (batch and streaming) and the idempotent bar upsert.
 
-Raw quotes are an append-only parquet table partitioned by ``symbol, quote_day``.
+Raw quotes are append-only: a catalog table, or a folder in which every stream checkpoint
+(``stream/<writer>``) and the batch appends (``batch``) have sub-folders of their own, so that
+neither hides the other's rows. ``read_raw`` reads them as one table.
+
 Bars need MERGE semantics on ``(symbol, window_start)``. With a row-level-ops catalog
-(Iceberg) configured, ``BarStore(table=...)`` issues ``MERGE INTO``. Without one,
-bars go to a merge-on-read version log:
-
-* each upsert writes its rows under ``data/seq=<n>/symbol=../bar_day=..`` and then
-  commits ``_commits/seq=<n>`` naming ``(writer, batch_id)``; a batch whose identity is
-  already committed is skipped (retries and replays are no-ops); an uncommitted
-  directory is invisible and is overwritten by the next attempt.
-* ``read()`` keeps, per key, the row of the highest committed ``seq``. Readers prune
-  by ``seq <= last commit`` and by the partition columns before ranking.
-* ``compact()`` rewrites the latest rows as one new base commit; reads start at the
-  newest base, so old versions stop costing anything.
-
-A bar store has one writer at a time (the streaming query, or a backfill run while
-the stream is stopped); concurrent writers need the catalog MERGE path.
+configured, ``BarStore(table=...)`` issues ``MERGE INTO``. Without one, a small offline
+stand-in keeps a merge-on-read version log:
+
+* each attempt of an upsert writes ``data/seq=<n>/attempt=<id>/symbol=../bar_day=..``, a folder
+  of its own, and then commits by creating ``_commits/log/seq=<n>`` that names the attempt. If
+  another writer has taken ``n``, the attempt moves on to the next free number; data that no
+  commit names is invisible, and nothing is ever overwritten;
+* a batch whose ``(writer, batch_id)`` is already committed is evaluated but not written again,
+  so that a stateful stream can commit its state; the writer id of a stream is kept in its
+  checkpoint, so a new checkpoint is a new writer;
+* ``read()`` keeps, per key, the row of the highest committed ``seq`` (with the trade-count
+  guard: of the highest trade count, then ``seq``).
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import uuid
 from datetime import date as _date
@@ -37,60 +39,98 @@ def ddl_namespace(spark: SparkSession, namespace: str, catalog: str | None = Non
     spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {name}")
 
 
-def ddl_tables(spark: SparkSession, quotes_table: str, bars_table: str, using: str = "parquet",
+def _columns(schema: T.StructType, *more: str) -> str:
+    return ", ".join([f"{f.name} {f.dataType.simpleString()}" for f in schema.fields] + list(more))
+
+
+def ddl_tables(spark: SparkSession, quotes_table: str | None = None, bars_table: str | None = None, using: str = "parquet",
                location_root: str | None = None) -> None:
-    """Create both tables if absent. ``using='iceberg'`` gives hidden ``days()``
-    partitioning; parquet carries an explicit day column."""
-    if using == "iceberg":
-        qpart, bpart, qday, bday = "symbol, days(quote_time)", "symbol, days(window_start)", "", ""
-    else:
-        qpart, bpart = "symbol, quote_day", "symbol, bar_day"
-        qday, bday = ", quote_day DATE", ", bar_day DATE"
-    qloc = f" LOCATION '{location_root}/quotes_raw'" if location_root else ""
-    bloc = f" LOCATION '{location_root}/ohlcv'" if location_root else ""
-    spark.sql(f"""CREATE TABLE IF NOT EXISTS {quotes_table} (
-        symbol STRING, price DECIMAL(38,8), volume DECIMAL(38,8), day_volume BIGINT,
-        quote_time TIMESTAMP, ingest_time TIMESTAMP, source STRING{qday})
-        USING {using} PARTITIONED BY ({qpart}){qloc}""")
-    spark.sql(f"""CREATE TABLE IF NOT EXISTS {bars_table} (
-        symbol STRING, window_start TIMESTAMP, window_end TIMESTAMP,
-        open DECIMAL(38,8), high DECIMAL(38,8), low DECIMAL(38,8), close DECIMAL(38,8),
-        volume DECIMAL(38,8), quote_volume DECIMAL(38,8), vwap DECIMAL(38,8),
-        trade_count BIGINT, updated_at TIMESTAMP{bday})
-        USING {using} PARTITIONED BY ({bpart}){bloc}""")
+    """Create the tables that are named, if absent, from the row contracts. ``using='iceberg'``
+    partitions by hidden ``days()``, parquet by symbol."""
+    for table, schema, time, folder in ((quotes_table, QUOTE, "quote_time", "quotes_raw"), (bars_table, BAR, "window_start", "ohlcv")):
+        if table:
+            parts = f"symbol, days({time})" if using == "iceberg" else "symbol"
+            place = f" LOCATION '{location_root}/{folder}'" if location_root else ""
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema)}) USING {using} PARTITIONED BY ({parts}){place}")
 
 
 def with_quote_day(quotes: DataFrame) -> DataFrame:
     return quotes.withColumn("quote_day", F.to_date("quote_time"))
 
 
-def sink_batch_append(quotes: DataFrame, path: str) -> None:
-    """Batch append into the raw table (partitioned by symbol and day)."""
-    (with_quote_day(quotes).write.mode("append")
-        .partitionBy("symbol", "quote_day").parquet(path))
+def sink_batch_append(quotes: DataFrame, path: str | None = None, table: str | None = None) -> None:
+    """Batch append into the raw table: a catalog table, or the folder's batch part.
+
+    Rows are ranged by (symbol, time) first, so a task writes few of the (symbol, day)
+    folders and a hot symbol is spread over several tasks."""
+    if table:
+        quotes.writeTo(table).append()
+        return
+    (with_quote_day(quotes).repartitionByRange("symbol", "quote_time")
+        .write.mode("append").partitionBy("symbol", "quote_day").parquet(f"{path.rstrip('/')}/batch"))
 
 
-def sink_raw_append(quotes: DataFrame, path: str, checkpoint: str, query_name: str = "quotes_raw",
-                    trigger: dict | None = None):
-    """Streaming append of every decoded quote. The file sink's metadata log plus the
-    source offsets in the checkpoint make it exactly-once."""
-    writer = (with_quote_day(quotes).writeStream.queryName(query_name)
-              .format("parquet").outputMode("append")
-              .partitionBy("symbol", "quote_day")
-              .option("checkpointLocation", checkpoint)
-              .option("path", path))
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder, jvm
+
+
+def writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """The random identity of a checkpoint, made at its first use and kept in it."""
+    fs, path, jvm = _file_system(spark, f"{checkpoint.rstrip('/')}/writer_id")
+    if not fs.exists(path):
+        try:
+            out = fs.create(path, False)
+        except Exception:  # another starter was first: its identity holds
+            pass
+        else:
+            try:
+                out.write(bytearray(uuid.uuid4().hex[:12].encode()))
+            finally:
+                out.close()
+    stream = fs.open(path)
+    try:
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def sink_raw_append(quotes: DataFrame, path: str | None, checkpoint: str, query_name: str = "quotes_raw",
+                    trigger: dict | None = None, table: str | None = None):
+    """Streaming append of every decoded quote, to a catalog table or to the checkpoint's own
+    part of the raw folder. The sink's log plus the source offsets in the checkpoint make it
+    exactly-once; a new checkpoint starts a part of its own and hides nobody's rows."""
+    writer = (quotes if table else with_quote_day(quotes)).writeStream.queryName(query_name).outputMode("append") \
+        .option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    if table:
+        return writer.toTable(table)
+    part = f"{path.rstrip('/')}/stream/{writer_id(quotes.sparkSession, checkpoint)}"
+    return writer.format("parquet").partitionBy("symbol", "quote_day").option("path", part).start()
 
 
 RAW_STORED = T.StructType(list(QUOTE.fields) + [T.StructField("quote_day", T.DateType())])
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw table with typed partition columns (symbol stays a string)."""
-    df = spark.read.schema(RAW_STORED).parquet(path)
-    return df.select(*[f.name for f in RAW_STORED.fields])
+def read_raw(spark: SparkSession, path: str | None = None, table: str | None = None) -> DataFrame:
+    """The raw table with typed partition columns (symbol stays a string): the parts of all
+    stream checkpoints and of the batch appends together."""
+    columns = [f.name for f in RAW_STORED.fields]
+    if table:
+        return with_quote_day(spark.table(table).drop("quote_day")).select(*columns)
+    fs, root, jvm = _file_system(spark, path.rstrip("/"))
+    streams = jvm.org.apache.hadoop.fs.Path(root, "stream")
+    # one folder per checkpoint: a handful, whatever the number of rows
+    parts = [st.getPath().toString() for st in fs.listStatus(streams)] if fs.exists(streams) else []
+    batch = jvm.org.apache.hadoop.fs.Path(root, "batch")
+    if fs.exists(batch):
+        parts.append(batch.toString())
+    found = [spark.read.schema(RAW_STORED).parquet(p) for p in sorted(parts)]
+    if not found:
+        return spark.createDataFrame([], RAW_STORED)
+    return functools.reduce(DataFrame.unionByName, found).select(*columns)
 
 
 def day_range_filter(df: DataFrame, ts_col: str, day_col: str, lo=None, hi=None) -> DataFrame:
@@ -112,24 +152,23 @@ class BarStore:
         self.spark = spark
         self.path = path.rstrip("/") if path else None
         self.table = table
+        self.named = writer is not None
         self.writer = writer or uuid.uuid4().hex[:12]
         self.guard = guard_trade_count
+        self._last: int | None = None
 
     # ---------------------------------------------------------------- commits
-    # _commits/seq=<n>           one JSON entry per committed version (create-if-absent)
+    # _commits/log/seq=<n>       one JSON entry per committed version (create-if-absent)
     # _commits/_batches/<w>/<b>  marker: batch b of writer w is committed (replay check)
     # _commits/_base/seq=<n>     marker: version n is a compacted base
-    # Hot paths only list names or test for existence; entry contents are read on audit.
     def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(conf), jvm
+        fs, _, jvm = _file_system(self.spark, self.path)
+        return fs, jvm
 
     def _path(self, rel: str):
         return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{rel}")
 
-    def _seqs(self, rel: str = "_commits") -> list[int]:
+    def _seqs(self, rel: str = "_commits/log") -> list[int]:
         fs, _ = self._fs()
         d = self._path(rel)
         if not fs.exists(d):
@@ -152,8 +191,14 @@ class BarStore:
         return out
 
     def last_seq(self) -> int:
-        seqs = self._seqs()
-        return seqs[-1] if seqs else 0
+        """The newest committed version. The log is listed once; from then on this store only
+        looks whether the next numbers are taken."""
+        if self._last is None:
+            self._last = (self._seqs() or [0])[-1]
+        fs, _ = self._fs()
+        while fs.exists(self._path(f"_commits/log/seq={self._last + 1:012d}")):
+            self._last += 1
+        return self._last
 
     def _marker(self, batch_id) -> str:
         return f"_commits/_batches/{self.writer}/{batch_id}"
@@ -171,7 +216,21 @@ class BarStore:
             out.close()
 
     def _commit(self, entry: dict) -> None:
-        self._create(f"_commits/seq={entry['seq']:012d}", json.dumps(entry))
+        """Commit under the entry's number, or, if another writer was first, under the next free
+        one; the attempt's folder moves along."""
+        fs, _ = self._fs()
+        while True:
+            seq = entry["seq"]
+            try:
+                self._create(f"_commits/log/seq={seq:012d}", json.dumps(entry))
+                break
+            except Exception:
+                if not fs.exists(self._path(f"_commits/log/seq={seq:012d}")):
+                    raise
+            entry["seq"] = self.last_seq() + 1
+            fs.mkdirs(self._path(f"data/seq={entry['seq']:012d}"))
+            fs.rename(self._path(f"data/seq={seq:012d}/attempt={entry['attempt']}"),
+                      self._path(f"data/seq={entry['seq']:012d}/attempt={entry['attempt']}"))
         if entry.get("base"):
             self._create(f"_commits/_base/seq={entry['seq']:012d}")
         for day in entry.get("base_days") or ():
@@ -184,7 +243,7 @@ class BarStore:
         fs, jvm = self._fs()
         entries = []
         for seq in self._seqs():
-            stream = fs.open(self._path(f"_commits/seq={seq:012d}"))
+            stream = fs.open(self._path(f"_commits/log/seq={seq:012d}"))
             try:
                 reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
                 entries.append(json.loads(reader.readLine()))
@@ -204,7 +263,8 @@ class BarStore:
     # ---------------------------------------------------------------- writes
     def upsert(self, bars: DataFrame, batch_id: int | None = None, base: bool = False,
                base_days=()) -> bool:
-        """Upsert one batch. Returns False when the batch was already committed.
+        """Upsert one batch. Returns False when the batch was already committed; it is then
+        evaluated all the same, as a stateful stream commits its state only so.
 
         The batch is computed once (one write); an empty batch writes no data file and
         is not committed."""
@@ -212,22 +272,30 @@ class BarStore:
             self._merge(bars)
             return True
         if self.is_committed(batch_id):
+            bars.write.format("noop").mode("overwrite").save()
             return False
-        seq = self.last_seq() + 1
-        rel = f"data/seq={seq:012d}"
-        cols = [c for c in bars.columns if c not in ("bar_day", "seq")]
+        seq, attempt = self.last_seq() + 1, uuid.uuid4().hex[:12]
+        rel = f"data/seq={seq:012d}/attempt={attempt}"
+        cols = [c for c in bars.columns if c not in ("bar_day", "seq", "attempt")]
         # one file per (symbol, day) partition: bars per symbol-day are bounded by the
         # number of windows in a day, so clustering on them cannot build a hot task
         (bars.select(*cols, F.to_date("window_start").alias("bar_day"))
              .repartition("symbol", "bar_day")
-             .write.mode("overwrite").partitionBy("symbol", "bar_day")
+             .write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy("symbol", "bar_day")
              .parquet(f"{self.path}/{rel}"))
         if not self._has_data(rel):
             return True
-        self._commit({"seq": seq, "writer": self.writer, "batch_id": batch_id, "base": base,
+        self._commit({"seq": seq, "attempt": attempt, "writer": self.writer, "batch_id": batch_id, "base": base,
                       "base_days": list(base_days)})
         return True
 
+    def for_checkpoint(self, checkpoint: str) -> "BarStore":
+        """This store, with the checkpoint's identity as its writer unless one was given: batch
+        numbers start anew with a checkpoint, so they identify a batch only together with it."""
+        if not self.named and not self.table:
+            self.writer = writer_id(self.spark, checkpoint)
+        return self
+
     def foreach_batch(self):
         """``foreachBatch`` callback; uses the batch's own session and its batch id."""
         def write(batch_df: DataFrame, batch_id: int) -> None:
@@ -248,33 +316,45 @@ class BarStore:
     def read(self, symbol: str | None = None, day_lo=None, day_hi=None) -> DataFrame:
         """Latest committed version of every bar (optionally one symbol / day range)."""
         if self.table:
-            df = self.spark.table(self.table)
-            return df.where(F.col("symbol") == symbol) if symbol else df
+            df = self.spark.table(self.table).withColumn("bar_day", F.to_date("window_start"))
+            return self._filtered(df, symbol, day_lo, day_hi).select(*[f.name for f in BAR.fields])
         last = self.last_seq()
         if not last:
             return self.spark.createDataFrame([], self._empty_schema())
         first = max(self._seqs("_commits/_base") or [1])
+        # which attempt of each version counts: one small row per committed batch
+        commits = (self.spark.read.schema("seq int, attempt string").json(f"{self.path}/_commits/log")
+                   .where((F.col("seq") >= first) & (F.col("seq") <= last)))
         df = (self.spark.read.schema(self.stored_schema())
               .parquet(f"{self.path}/data")
-              .where((F.col("seq") >= first) & (F.col("seq") <= last)))
+              .where((F.col("seq") >= first) & (F.col("seq") <= last))
+              .join(commits, ["seq", "attempt"], "left_semi"))
         day_bases = {d: q for d, q in self._day_bases().items() if q > first}
         if day_bases:
             # one entry per compacted day: a small literal map, evaluated on partition values
             bases = F.create_map(*[x for d, q in sorted(day_bases.items())
                                    for x in (F.lit(d).cast("date"), F.lit(q))])
             df = df.where(F.col("seq") >= F.coalesce(F.element_at(bases, F.col("bar_day")), F.lit(first)))
+        df = self._filtered(df, symbol, day_lo, day_hi)
+        # bar_day is a function of window_start: ranking within (symbol, bar_day, window_start)
+        # keeps partition filters on symbol/bar_day pushable below the window.
+        newest = [F.col("seq").desc()]
+        if self.guard:  # as a guarded MERGE leaves it: a smaller count never replaces a larger one
+            newest.insert(0, F.col("trade_count").desc())
+        w = Window.partitionBy("symbol", "bar_day", "window_start").orderBy(*newest)
+        latest = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
+        # contract column order (partition columns come back last from the reader)
+        return latest.select(*[f.name for f in BAR.fields])
+
+    @staticmethod
+    def _filtered(df: DataFrame, symbol=None, day_lo=None, day_hi=None) -> DataFrame:
         if symbol is not None:
             df = df.where(F.col("symbol") == F.lit(symbol))
         if day_lo is not None:
             df = df.where(F.col("bar_day") >= F.to_date(F.lit(day_lo)))
         if day_hi is not None:
             df = df.where(F.col("bar_day") <= F.to_date(F.lit(day_hi)))
-        # bar_day is a function of window_start: ranking within (symbol, bar_day, window_start)
-        # keeps partition filters on symbol/bar_day pushable below the window.
-        w = Window.partitionBy("symbol", "bar_day", "window_start").orderBy(F.col("seq").desc())
-        latest = df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-        # contract column order (partition columns come back last from the reader)
-        return latest.select(*[f.name for f in BAR.fields])
+        return df
 
     def _empty_schema(self):
         return BAR
@@ -284,6 +364,7 @@ class BarStore:
         """Data columns plus the directory columns, typed explicitly so partition
         values are never re-typed by inference (a numeric-looking symbol stays a string)."""
         return T.StructType(list(BAR.fields) + [T.StructField("seq", T.IntegerType()),
+                                                T.StructField("attempt", T.StringType()),
                                                 T.StructField("bar_day", T.DateType())])
 
     def compact(self, day_lo=None, day_hi=None) -> bool:

@@ -12,6 +12,7 @@ in the checkpoint); set ``spark.sql.shuffle.partitions`` before the first run.
 
 from __future__ import annotations
 
+import functools
 from contextlib import contextmanager
 from typing import Callable
 
@@ -23,16 +24,16 @@ from quotebars.operators.quality import observe_counters, split_valid, validate_
 from quotebars.operators.rollup import aggregate_ohlcv
 from quotebars.schemas import WATERMARK_DELAY, WINDOW_DURATION
 from quotebars.sources.ingest import to_quotes
-from quotebars.sources.tables import BarStore, sink_raw_append
+from quotebars.sources.tables import BarStore, _file_system, sink_raw_append, writer_id
 from quotebars.sources.wire import read_framed_quotes
 from quotebars.session import configure
 
 
-def decoded_quotes(kafka_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Framed topic rows -> (valid canonical quotes, quarantined rows with reasons)."""
-    tagged = validate_quotes(read_framed_quotes(kafka_rows))
-    valid, quarantine = split_valid(tagged)
-    return to_quotes(valid), quarantine
+def decoded_quotes(tagged: DataFrame) -> DataFrame:
+    """Canonical quotes of every message that decodes. A price, volume or time that is no such
+    value is NULL: the row is in the raw table, and counts as a trade of its window if it has
+    one; the quarantine holds the original values and the reason besides."""
+    return to_quotes(tagged.where(F.col("decode_error").isNull()))
 
 
 def with_event_time(quotes: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
@@ -52,7 +53,7 @@ def start_bars_query(quotes: DataFrame, store: BarStore, checkpoint: str,
     writer = (bars_stream(quotes, window_duration, delay).writeStream.queryName(query_name)
               .outputMode("update")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(store.foreach_batch()))
+              .foreachBatch(store.for_checkpoint(checkpoint).foreach_batch()))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -60,7 +61,9 @@ def start_bars_query(quotes: DataFrame, store: BarStore, checkpoint: str,
 
 def start_quarantine_query(kafka_rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                            query_name: str = "quotes_quarantine"):
-    """Exactly-once append of rejected messages with their reason (partitioned by it)."""
+    """Exactly-once append of rejected messages with their reason (partitioned by it), in a part
+    of the folder for each checkpoint; ``read_quarantine`` reads them all."""
+    path = f"{path.rstrip('/')}/{writer_id(kafka_rows.sparkSession, checkpoint)}"
     tagged = validate_quotes(read_framed_quotes(kafka_rows))
     _, quarantine = split_valid(tagged)
     writer = (quarantine.writeStream.queryName(query_name).format("parquet").outputMode("append")
@@ -70,6 +73,14 @@ def start_quarantine_query(kafka_rows: DataFrame, path: str, checkpoint: str, tr
     return writer.start()
 
 
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Rejected messages of all checkpoints."""
+    fs, root, _ = _file_system(spark, path.rstrip("/"))
+    # one folder per checkpoint
+    parts = sorted(st.getPath().toString() for st in fs.listStatus(root))
+    return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [spark.read.parquet(p) for p in parts])
+
+
 @contextmanager
 def state_partitions(spark: SparkSession, n: int | None):
     """Start a stateful query with ``n`` shuffle (= state store) partitions. A query
@@ -86,27 +97,26 @@ def state_partitions(spark: SparkSession, n: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
-def multi_query_app(spark: SparkSession, source: Callable[[], DataFrame], raw_path: str,
+def multi_query_app(spark: SparkSession, source: Callable[[], DataFrame], raw_path: str | None,
                     store: BarStore, checkpoint_root: str, window_duration: str = WINDOW_DURATION,
                     delay: str = WATERMARK_DELAY, trigger: dict | None = None,
                     wait: bool = True, quarantine_path: str | None = None,
-                    num_state_partitions: int | None = None):
-    """Start the raw append and the bar upsert (and, with ``quarantine_path``, the
-    quarantine append), each reading the source itself and owning a checkpoint
-    sub-folder. The raw query carries ``quality`` observed metrics (rows, sent,
-    dropped) in its progress. With ``wait`` the call blocks until all finish (bounded
-    triggers) or one fails/ends (unbounded)."""
+                    num_state_partitions: int | None = None, raw_table: str | None = None):
+    """Start the raw append, the bar upsert and the quarantine append, each reading the
+    source itself and owning a checkpoint sub-folder. The raw table (a folder, or the
+    catalog table ``raw_table``) gets every message that decodes; messages that don't, or
+    that fail a check, go to the quarantine with their reason (by default next to the raw
+    folder, or under the checkpoints if there is none). The raw query carries ``quality``
+    observed metrics (rows, sent, dropped) in its progress. With ``wait`` the call blocks
+    until all finish (bounded triggers) or one fails/ends (unbounded)."""
     configure(spark)
+    quarantine_path = quarantine_path or (f"{raw_path.rstrip('/')}_quarantine" if raw_path else f"{checkpoint_root}/quarantined")
     tagged = observe_counters(validate_quotes(read_framed_quotes(source())), "quality")
-    valid, _ = split_valid(tagged)
-    raw_q = sink_raw_append(to_quotes(valid), raw_path, f"{checkpoint_root}/quotes_raw", trigger=trigger)
+    raw_q = sink_raw_append(decoded_quotes(tagged), raw_path, f"{checkpoint_root}/quotes_raw", trigger=trigger, table=raw_table)
     with state_partitions(spark, num_state_partitions):
-        bars_q = start_bars_query(decoded_quotes(source())[0], store, f"{checkpoint_root}/ohlcv_1m",
+        bars_q = start_bars_query(decoded_quotes(read_framed_quotes(source())), store, f"{checkpoint_root}/ohlcv_1m",
                                   window_duration, delay, trigger)
-    queries = [raw_q, bars_q]
-    if quarantine_path:
-        queries.append(start_quarantine_query(source(), quarantine_path, f"{checkpoint_root}/quarantine",
-                                              trigger))
+    queries = [raw_q, bars_q, start_quarantine_query(source(), quarantine_path, f"{checkpoint_root}/quarantine", trigger)]
     if wait:
         if trigger and (trigger.get("availableNow") or trigger.get("once")):
             for q in queries:

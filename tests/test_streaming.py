@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quotebars.operators.rollup import aggregate_ohlcv
 from quotebars.sources.ingest import src_kafka
 from quotebars.sources.tables import BarStore, read_raw
-from quotebars.streaming.app import bars_stream, dropped_by_watermark, multi_query_app
+from quotebars.streaming.app import bars_stream, dropped_by_watermark, multi_query_app, read_quarantine
 from quotebars.sources.wire import avro_encode_frame
 
 T0 = dt.datetime(2026, 6, 20, 12, 0, 0)
@@ -96,7 +96,7 @@ def test_quarantine_and_counters(spark, scratch):
         spark, lambda: src_kafka(spark, path=f"{root}/topic"), f"{root}/raw", store, f"{root}/ck",
         trigger={"availableNow": True}, quarantine_path=f"{root}/quarantine")
     assert read_raw(spark, f"{root}/raw").count() == 20
-    q = spark.read.parquet(f"{root}/quarantine")
+    q = read_quarantine(spark, f"{root}/quarantine")
     assert q.count() == 3 and {r.reject_reason for r in q.collect()} == {"short_frame"}
     assert quality_totals(raw_q) == {"rows": 23, "sent": 20, "dropped": 3}
 
@@ -153,5 +153,65 @@ def test_job_entry_point(spark, scratch):
           "--state-partitions", "2"], spark=spark)
     raw = read_raw(spark, f"{root}/raw").drop("quote_day")
     assert raw.count() == 30
-    bars = BarStore(spark, f"{root}/bars", writer="stream").read()
+    bars = BarStore(spark, f"{root}/bars").read()
     assert bars.groupBy().sum("trade_count").collect()[0][0] == 30
+
+
+def _totals(spark, root):
+    bars = BarStore(spark, f"{root}/ohlcv").read().groupBy().sum("trade_count").first()[0]
+    return read_raw(spark, f"{root}/raw").count(), bars
+
+
+def test_new_checkpoint_on_existing_outputs_loses_nothing(spark, scratch):
+    root = scratch("twice")
+    for run, n in (("a", 10), ("b", 20)):
+        _topic(spark, n, 0 if run == "a" else 4000).coalesce(1).write.parquet(f"{root}/topic-{run}")
+        multi_query_app(spark, lambda run=run: src_kafka(spark, path=f"{root}/topic-{run}"), f"{root}/raw",
+                        BarStore(spark, f"{root}/ohlcv"), f"{root}/ck-{run}", trigger={"availableNow": True})
+    assert _totals(spark, root) == (30, 30)
+
+
+def test_restart_after_bars_were_committed_but_not_the_batch(spark, scratch):
+    """A crash between the bar commit and the checkpoint commit: the batch comes again."""
+    import glob
+    import os
+    root = scratch("crash")
+    src = lambda: src_kafka(spark, path=f"{root}/topic")
+    _topic(spark, 30, 0).coalesce(1).write.parquet(f"{root}/topic")
+    multi_query_app(spark, src, f"{root}/raw", BarStore(spark, f"{root}/ohlcv"), f"{root}/ck", trigger={"availableNow": True})
+    for f in glob.glob(f"{root}/ck/ohlcv_1m/commits/*") + glob.glob(f"{root}/ck/ohlcv_1m/commits/.*crc"):
+        os.remove(f)
+    for _ in range(2):
+        multi_query_app(spark, src, f"{root}/raw", BarStore(spark, f"{root}/ohlcv"), f"{root}/ck", trigger={"availableNow": True})
+        assert _totals(spark, root) == (30, 30)
+
+
+def test_raw_keeps_rows_that_fail_a_check(spark, scratch):
+    root = scratch("all")
+    rows = [("A", "1", "1", 1, T0, T0, "s"), ("A", "n/a", "1", 2, T0, T0, "s"), ("A", "2", "-1", 3, T0, T0, "s")]
+    df = spark.createDataFrame(rows, "symbol string, price string, volume string, day_volume long, quote_time timestamp, "
+                                     "ingest_time timestamp, source string")
+    good = avro_encode_frame(df).select("key", "value", F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+                                        F.lit(0).cast("bigint").alias("offset"), F.lit(T0).alias("timestamp"))
+    good.unionByName(good.limit(1).withColumn("value", F.lit(b"x"))).coalesce(1).write.parquet(f"{root}/topic")
+    multi_query_app(spark, lambda: src_kafka(spark, path=f"{root}/topic"), f"{root}/raw", BarStore(spark, f"{root}/ohlcv"),
+                    f"{root}/ck", trigger={"availableNow": True})
+    assert _totals(spark, root) == (3, 3)
+    assert sorted(r.reject_reason for r in read_quarantine(spark, f"{root}/raw_quarantine").collect()) == \
+        ["bad_price", "negative_volume", "short_frame"]
+
+
+def test_job_creates_its_catalog_tables(spark, scratch):
+    from quotebars.streaming.__main__ import main
+    root = scratch("tables")
+    _topic(spark, 30, 0).coalesce(1).write.parquet(f"{root}/topic")
+    main(["--source-path", f"{root}/topic", "--raw-table", "qb_job.quotes", "--bars-path", f"{root}/bars",
+          "--checkpoint", f"{root}/ck", "--available-now", "--table-format", "parquet"], spark=spark)
+    assert read_raw(spark, table="qb_job.quotes").count() == 30
+
+
+def test_kafka_source_options():
+    from quotebars.sources.ingest import kafka_options
+    got = kafka_options("h:1", "t", "earliest", 5000, {"minPartitions": 12})
+    assert got == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",
+                   "maxOffsetsPerTrigger": "5000", "minPartitions": "12"}

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quotebars.operators.reconcile import backfill_bars, late_rows_report, reconcile_counts
 from quotebars.operators.rollup import aggregate_ohlcv
+from quotebars.schemas import BAR, QUOTE
 from quotebars.sources.tables import BarStore, ddl_tables, read_raw, sink_batch_append
 
 T0 = dt.datetime(2026, 6, 20, 12, 0, 0)
@@ -92,8 +93,8 @@ def test_backfill_only_closed_windows(spark, scratch):
 def test_ddl_tables(spark, scratch):
     root = scratch("ddl")
     ddl_tables(spark, "qb_quotes_raw", "qb_ohlcv", location_root=root)
-    assert "quote_day" in spark.table("qb_quotes_raw").columns
-    assert "bar_day" in spark.table("qb_ohlcv").columns
+    assert sorted(spark.table("qb_quotes_raw").columns) == sorted(QUOTE.fieldNames())
+    assert sorted(spark.table("qb_ohlcv").columns) == sorted(BAR.fieldNames())
 
 
 def test_namespace_and_day_range(spark, scratch):
@@ -157,3 +158,58 @@ def test_day_scoped_compaction(spark, scratch):
     later = aggregate_ohlcv(q.where(F.col("price") == 100)).withColumn("trade_count", F.lit(99).cast("bigint"))
     store.upsert(later, batch_id=2)                                 # newer versions still win
     assert {r.trade_count for r in store.read().where(F.col("open") == 100).collect()} == {99}
+
+
+def test_racing_writers_both_stay(spark, scratch):
+    root = scratch("race")
+    q = _quotes(spark)
+    a, b = BarStore(spark, f"{root}/ohlcv", writer="a"), BarStore(spark, f"{root}/ohlcv", writer="b")
+    taken = a.last_seq()
+    real = a.last_seq
+    a.upsert(aggregate_ohlcv(q), batch_id=0)
+    # the second writer has chosen its number before the first one committed
+    answers = [taken]
+    b.last_seq = lambda: answers.pop() if answers else real()
+    b.upsert(aggregate_ohlcv(_quotes(spark, sym="B")), batch_id=0)
+    got = _rows(BarStore(spark, f"{root}/ohlcv").read())
+    assert got == _rows(aggregate_ohlcv(q.unionByName(_quotes(spark, sym="B"))))
+    assert [c["writer"] for c in a._commits()] == ["a", "b"]
+
+
+def test_leftovers_stay_invisible_under_dynamic_overwrite(spark, scratch):
+    root = scratch("left")
+    store = BarStore(spark, f"{root}/ohlcv", writer="w")
+    stale = aggregate_ohlcv(_quotes(spark, sym="STALE"))
+    (stale.withColumn("bar_day", F.to_date("window_start")).write.partitionBy("symbol", "bar_day")
+        .parquet(f"{root}/ohlcv/data/seq={1:012d}/attempt=crashed"))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        store.upsert(aggregate_ohlcv(_quotes(spark)), batch_id=0)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert {r.symbol for r in store.read().collect()} == {"A"}
+
+
+def test_trade_count_guard_on_the_log(spark, scratch):
+    root = scratch("guard")
+    full, part = aggregate_ohlcv(_quotes(spark)), aggregate_ohlcv(_quotes(spark).where(F.col("price") < 103))
+    for guard in (True, False):
+        store = BarStore(spark, f"{root}/{guard}", guard_trade_count=guard)
+        store.upsert(full)
+        store.upsert(part.withColumn("volume", F.col("volume")))
+        kept = {r.window_start: r.trade_count for r in store.read().collect()}
+        small = {r.window_start: r.trade_count for r in part.collect()}
+        big = {r.window_start: r.trade_count for r in full.collect()}
+        assert kept == (big if guard else big | small)
+
+
+def test_batch_append_shows_next_to_a_stream(spark, scratch):
+    from quotebars.sources.tables import sink_raw_append
+    root = scratch("both")
+    q = _quotes(spark, n=10)
+    q.write.parquet(f"{root}/src")
+    for ck in ("a", "b"):
+        sink_raw_append(spark.readStream.schema(q.schema).parquet(f"{root}/src"), f"{root}/raw", f"{root}/ck-{ck}",
+                        trigger={"availableNow": True}).awaitTermination()
+    sink_batch_append(_quotes(spark, n=7, sym="B"), f"{root}/raw")
+    assert read_raw(spark, f"{root}/raw").count() == 27
