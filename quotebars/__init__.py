@@ -14,12 +14,12 @@ The main entry points, by task:
 from quotebars.operators.increments import volume_increments
 from quotebars.operators.quality import allowlist_symbols, publish_counters, split_valid, validate_quotes
 from quotebars.operators.reconcile import backfill_bars, count_rows, late_rows_report, reconcile_counts
-from quotebars.operators.rollup import aggregate_ohlcv, cast_quote_columns
+from quotebars.operators.rollup import aggregate_ohlcv
 from quotebars.operators.sequence import ordered_scan
 from quotebars.operators.serving import (close_series_summary, latest_bars, latest_bars_all, latest_price,
                                          latest_ticks, recent_bars, tick_direction, topn_per_symbol)
 from quotebars.session import build_session, configure
-from quotebars.sources.ingest import normalize_quote, src_chart_json, src_kafka, to_quotes
+from quotebars.sources.ingest import cast_quote_columns, normalize_quote, src_chart_json, src_kafka, to_quotes
 from quotebars.sources.replay import sink_replay_snapshot, src_replay_snapshot
 from quotebars.sources.tables import BarStore, ddl_namespace, ddl_tables, sink_batch_append, sink_raw_append
 from quotebars.sources.topic import sink_bars_topic, sink_keyed_topic

@@ -82,10 +82,17 @@ def allowlist_symbols(df: DataFrame, allowed, symbol_col: str = "symbol") -> tup
     ``allowed`` is a configuration list (bounded by its own length), so it is applied as
     an ``isin`` literal set: no join, no shuffle. Accepted rows carry the upper-cased
     symbol; rejected rows carry ``allowed`` for the error message."""
+    allowed, tagged = tag_allowed(df, allowed, symbol_col)
+    accepted = tagged.where("_accepted").drop("_accepted")
+    rejected = tagged.where(~F.col("_accepted")).withColumn(symbol_col, F.col("_given")).withColumn(
+        "allowed", F.array(*[F.lit(s) for s in allowed]) if allowed else F.array().cast("array<string>"))
+    return accepted.drop("_given"), rejected.drop("_accepted", "_given")
+
+
+def tag_allowed(df: DataFrame, allowed, symbol_col: str = "symbol") -> tuple[list[str], DataFrame]:
+    """The allow-list, and every row with its symbol in upper case, the symbol as ``_given`` and
+    ``_accepted``: for uses that need both outcomes from one pass."""
     allowed = parse_allowlist(",".join(allowed)) if not isinstance(allowed, str) else parse_allowlist(allowed)
     sym = F.upper(F.col(symbol_col))
-    hit = sym.isin(allowed) if allowed else F.lit(False)
-    accepted = df.where(hit).withColumn(symbol_col, sym)
-    rejected = df.where(~hit | sym.isNull()).withColumn(
-        "allowed", F.array(*[F.lit(s) for s in allowed]) if allowed else F.array().cast("array<string>"))
-    return accepted, rejected
+    hit = F.coalesce(sym.isin(allowed), F.lit(False)) if allowed else F.lit(False)
+    return allowed, df.select("*", F.col(symbol_col).alias("_given"), hit.alias("_accepted")).withColumn(symbol_col, sym)

@@ -65,9 +65,10 @@ def reconcile_counts(raw: DataFrame, bars: DataFrame, min_raw_rows: int = 1) ->
 
 def count_rows(raw: DataFrame, bars: DataFrame) -> DataFrame:
     """Row counts per table, per symbol and in total (symbol NULL = whole table)."""
-    def counts(df, name):
-        per = df.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-        return per.select(F.lit(name).alias("table_name"), "symbol", "n").unionByName(
-            df.agg(F.count(F.lit(1)).alias("n")).select(
-                F.lit(name).alias("table_name"), F.lit(None).cast("string").alias("symbol"), "n"))
-    return counts(raw, "quotes_raw").unionByName(counts(bars, "ohlcv"))
+    rows = raw.select(F.lit("quotes_raw").alias("table_name"), "symbol").unionByName(
+        bars.select(F.lit("ohlcv").alias("table_name"), "symbol"))
+    # one pass: a count for each symbol, and one for each table from the same partial counts
+    per = rows.groupBy("table_name", "symbol").agg(F.count(F.lit(1)).alias("n"))
+    total = (per.rollup("table_name", "symbol").agg(F.sum("n").alias("n"), F.grouping_id().alias("_set"))
+             .where("_set < 3"))
+    return total.select("table_name", "symbol", "n")

@@ -1,280 +1,76 @@
-"""Skew-safe per-key sequence scans: running sum and predecessor value.
-
-``Window.partitionBy(key).orderBy(t)`` puts every row of a key into one task, so a
-symbol holding a third of the data becomes a single-task sort. ``ordered_scan`` first
-counts rows per group (partially aggregated, tiny output); groups within the row budget
-take the plain window, and only the hot groups take the range-split path below.
-
-Range-split path: the rows are range-partitioned on ``(key, order...)``; Spark's sampled range bounds split a
-hot key across many partitions. Each partition is scanned once in time order
-(Arrow batches, numpy per batch, pass-through columns never converted), and the only cross-partition information — the
-running total and last value of a key that continues from an earlier partition — comes
-from a per-(partition, key) partial aggregate. Only the *first* key of a partition can
-continue from earlier partitions, so the carry table has at most one row per partition:
-its size is bounded by the partition count, which is what makes broadcasting it safe.
-
-The range exchange uses an explicit partition count, so AQE never coalesces or splits
-it and partition ids are stable between the scan and the aggregate that read it (both
-read the same reused exchange).
+"""Per-key sequence scans: running sum and predecessor value, in window functions.
+
+A key may hold a large part of all rows, and ``Window.partitionBy(key)`` puts them into one
+task. ``ordered_scan`` therefore takes a ``block``: a column that never falls along the order
+(the hour or day of the event time, say). Rows are scanned per (key, block); what a block needs
+from those before it (their total and their last value) comes from one small row per block,
+joined back. Nothing depends on the number of rows: there is one path with one arithmetic,
+Spark's own. Sums never reach across keys, and an overflow raises.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_PID = "_seq_pid"
-
-
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-MAX_GROUP_ROWS_CONF = "spark.quotebars.sequence.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 10_000_000
-MAX_HOT_GROUPS = 100_000
-_PROBES: dict = {}
+_BLOCK, _TOTAL, _LAST = "_block", "_carry_total", "_carry_last"
 
 
 def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], value_col: str,
                  running_sum: str | None = None, previous: str | None = None,
-                 num_partitions: int | None = None, strategy: str = "auto",
-                 max_group_rows: int | None = None) -> DataFrame:
+                 block: Column | None = None) -> DataFrame:
     """Add a per-group running sum and/or predecessor value of ``value_col``.
 
-    Rows are ordered by ``order_cols`` inside each ``group_cols`` group; the order
-    should be total (append a unique column) for a deterministic result. The running
-    sum is inclusive and skips NULLs (NULL until the first non-NULL value, like SQL);
-    ``previous`` is the value of the preceding row (NULL for the group's first row).
+    Rows are ordered by ``order_cols`` inside each ``group_cols`` group; the order should be
+    total (append a unique column) for a deterministic result. The running sum is inclusive and
+    skips NULLs (NULL until the first non-NULL value, like SQL); ``previous`` is the value of the
+    preceding row (NULL for the group's first row). A NULL key is a group like any other.
 
-    ``strategy``:
-    * ``"auto"`` (default): count rows per group (partial aggregation, small output) and
-      route groups larger than ``max_group_rows`` (conf ``spark.quotebars.sequence.
-      maxGroupRows``) through the range-split scan, all others through a plain window.
-      The hot-group list holds at most total_rows / max_group_rows keys (capped at
-      100k; beyond that every row takes the range path), so broadcasting it is safe.
-    * ``"range"``: every row through the range-split scan.
-    * ``"window"``: every row through ``Window.partitionBy(group)`` (bounded groups only).
-    """
+    ``block`` must not fall along the order; a NULL block comes first, as NULLs do. Without one
+    a group is scanned in one piece, which suits keys that are bounded by themselves (a symbol's
+    day). Rows of one block are scanned by one task, so choose blocks that a task can hold."""
     if not running_sum and not previous:
         raise ValueError("ask for running_sum and/or previous")
     vtype = df.schema[value_col].dataType
     if not isinstance(vtype, (T.LongType, T.IntegerType, T.ShortType, T.DoubleType, T.FloatType)):
         raise TypeError(f"{value_col}: ordered_scan works on integer or floating columns, got {vtype}")
-    is_int = isinstance(vtype, (T.LongType, T.IntegerType, T.ShortType))
-    out_type = T.LongType() if is_int else T.DoubleType()
-    args = (group_cols, order_cols, value_col, running_sum, previous, out_type)
-    if strategy == "window":
-        return _window_scan(df, *args)
-    if strategy == "range":
-        return _range_scan(df, *args, is_int=is_int, num_partitions=num_partitions)
-    if strategy != "auto":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
-    limit = max_group_rows or int(df.sparkSession.conf.get(MAX_GROUP_ROWS_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    hot = (df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
-             .where(F.col("_n") > limit).select(*group_cols))
-    # The probe only routes work (either path gives the same rows), so a cached answer
-    # for the same input plan in this session is safe even if the data has grown.
-    probe_key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), tuple(group_cols), limit)
-    if probe_key not in _PROBES:
-        _PROBES[probe_key] = hot.limit(MAX_HOT_GROUPS + 1).collect()
-    hot_keys = _PROBES[probe_key]
-    if not hot_keys:
-        return _window_scan(df, *args)
-    if len(hot_keys) > MAX_HOT_GROUPS:
-        return _range_scan(df, *args, is_int=is_int, num_partitions=num_partitions)
-    # <= MAX_HOT_GROUPS keys, checked above: a small local relation, broadcast
-    hot = F.broadcast(df.sparkSession.createDataFrame(hot_keys, hot.schema))
-    cond = [df[c].eqNullSafe(hot[c]) for c in group_cols]
-    cold_rows = df.join(hot, cond, "left_anti")
-    hot_rows = df.join(hot, cond, "left_semi")
-    return (_window_scan(cold_rows, *args)
-            .unionByName(_range_scan(hot_rows, *args, is_int=is_int, num_partitions=num_partitions)))
-
-
-def _window_scan(df, group_cols, order_cols, value_col, running_sum, previous, out_type) -> DataFrame:
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    cols = [F.col(f.name) for f in df.schema.fields]
-    if running_sum:
-        cols.append(F.sum(value_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                     .cast(out_type).alias(running_sum))
-    if previous:
-        cols.append(F.lag(value_col).over(w).cast(out_type).alias(previous))
-    return df.select(*cols)
-
-
-def _range_scan(df, group_cols, order_cols, value_col, running_sum, previous, out_type, *,
-                is_int: bool, num_partitions: int | None) -> DataFrame:
-    keys = list(group_cols) + list(order_cols)
-    n = _partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *keys)
-                .sortWithinPartitions(*keys)
-                .withColumn(_PID, F.spark_partition_id()))
-    if df.sparkSession.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
-        # both consumers must see one set of range bounds; without exchange reuse,
-        # materialise the partitioned rows once (reliable checkpoint, shared folder)
-        from quotebars.session import checkpoint_root
-        checkpoint_root(df.sparkSession)
-        ranged = ranged.checkpoint(eager=True)
-
-    local_sum = "_loc_sum"
-    local_prev = "_loc_prev"
-    local_first = "_loc_first"
-    out_schema = T.StructType(list(ranged.schema.fields) + [
-        T.StructField(local_sum, out_type), T.StructField(local_prev, out_type),
-        T.StructField(local_first, T.BooleanType())])
-    local = ranged.mapInArrow(_arrow_scan(list(group_cols), value_col, is_int), out_schema)
-
-    # Per (partition, group) segment: its total and last value. A second, cheap Arrow pass
-    # over the same range-partitioned rows reads only the keys and the value and emits one
-    # summary row per (Arrow batch, group); both passes read one reused range exchange
-    # (two separately planned range exchanges could sample different bounds).
-    key_fields = [ranged.schema[c] for c in [_PID, *group_cols]]
-    summary_schema = T.StructType(key_fields + [
-        T.StructField("_b", T.LongType()), T.StructField("_s", out_type), T.StructField("_l", out_type)])
-    summaries = ranged.mapInArrow(_arrow_summary([_PID, *group_cols], list(group_cols), value_col, is_int),
-                                  summary_schema)
-    seg = summaries.groupBy(_PID, *group_cols).agg(
-        F.sum("_s").cast(out_type).alias("_seg_sum"),
-        F.max_by(F.col("_l"), F.col("_b")).cast(out_type).alias("_seg_last"),
-    )
-    w = Window.partitionBy(*group_cols).orderBy(_PID)
-    carry = (seg.select(
-                _PID, *group_cols,
-                F.sum("_seg_sum").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_sum"),
-                F.lag("_seg_last").over(w).alias("_carry_last"),
-                F.lag(F.lit(True)).over(w).alias("_carry_has"))
-             .where(F.col("_carry_has").isNotNull()))
-    # <= one row per partition (only a partition's first group can continue) -> bounded.
-    carry = F.broadcast(carry)
-    # null-safe on the group keys: a NULL key is a group like any other
-    carry = carry.select(*[F.col(c).alias(f"_c{i}") for i, c in enumerate([_PID, *group_cols])],
-                         "_carry_sum", "_carry_last")
-    cond = [F.col(c).eqNullSafe(F.col(f"_c{i}")) for i, c in enumerate([_PID, *group_cols])]
-    joined = local.join(carry, on=cond, how="left")
-    first = F.col(local_first)
-    cols = [F.col(f.name) for f in df.schema.fields]
-    if running_sum:
-        # a segment that continues a group adds the group's total from earlier partitions
-        cols.append(F.when(F.col("_carry_sum").isNull(), F.col(local_sum))
-                     .otherwise(F.coalesce(F.col(local_sum), F.lit(0)) + F.col("_carry_sum"))
-                     .cast(out_type).alias(running_sum))
-    if previous:
-        cols.append(F.when(first, F.col("_carry_last")).otherwise(F.col(local_prev))
-                     .cast(out_type).alias(previous))
-    return joined.select(*cols)
-
-
-# ---------------------------------------------------------------- Arrow passes
-def _group_starts(batch, group_cols) -> np.ndarray:
-    """True where a row starts a new group compared with the row before it (row 0: True)."""
-    n = batch.num_rows
-    new = np.zeros(n, dtype=bool)
-    new[0] = True
-    if n < 2:
-        return new
-    for c in group_cols:
-        col = batch.column(c)
-        a, b = col.slice(1), col.slice(0, n - 1)
-        ne = pc.not_equal(a, b)
-        na_a = np.asarray(a.is_null(), dtype=bool)
-        na_b = np.asarray(b.is_null(), dtype=bool)
-        diff = np.asarray(ne.fill_null(False), dtype=bool) | (na_a != na_b)
-        new[1:] |= diff
-    return new
-
-
-def _values(batch, value_col, vtype):
-    col = batch.column(value_col)
-    null = np.asarray(col.is_null(), dtype=bool) if col.null_count else np.zeros(batch.num_rows, dtype=bool)
-    v = np.asarray(col.fill_null(0).to_numpy(zero_copy_only=False), dtype=vtype)
-    return v, null
-
-
-def _row_key(batch, cols, i) -> tuple:
-    return tuple(batch.column(c)[i].as_py() for c in cols)
-
-
-def _arrow_scan(group_cols: list[str], value_col: str, is_int: bool):
-    """Per-partition ordered pass on Arrow batches: running sum and predecessor within the
-    partition; pass-through columns are not converted. Carries the open group across
-    batches."""
-    vtype = np.int64 if is_int else np.float64
-    atype = pa.int64() if is_int else pa.float64()
-
-    def scan(batches):
-        carry_key = None      # group key of the last row seen in this partition
-        carry_sum = None      # running sum of that group so far (None = no non-null yet)
-        carry_last = None     # value of the last row of that group (None = NULL)
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            v, null = _values(batch, value_col, vtype)
-            new = _group_starts(batch, group_cols)
-            continues = carry_key is not None and _row_key(batch, group_cols, 0) == carry_key
-            new[0] = not continues
-            idx = np.arange(n)
-            start = np.maximum.accumulate(np.where(new, idx, 0))
-            cs = np.cumsum(v)
-            rs = cs - np.where(start > 0, cs[start - 1], 0)
-            cnt = np.cumsum(~null)
-            seen = (cnt - np.where(start > 0, cnt[start - 1], 0)) > 0
-            prev = np.empty(n, dtype=vtype)
-            prev[1:] = v[:-1]
-            prev_null = np.empty(n, dtype=bool)
-            prev_null[1:] = null[:-1]
-            prev_null |= new
-            if continues:
-                head = (start == 0)
-                if carry_sum is not None:
-                    rs = np.where(head, rs + carry_sum, rs)
-                    seen = seen | head
-                prev[0] = 0 if carry_last is None else carry_last
-                prev_null[0] = carry_last is None
-            carry_key = _row_key(batch, group_cols, n - 1)
-            carry_sum = rs[-1].item() if seen[-1] else None
-            carry_last = None if null[-1] else v[-1].item()
-            yield pa.RecordBatch.from_arrays(
-                list(batch.columns) + [pa.array(rs, type=atype, mask=~seen),
-                                       pa.array(prev, type=atype, mask=prev_null),
-                                       pa.array(new)],
-                names=list(batch.schema.names) + ["_loc_sum", "_loc_prev", "_loc_first"])
-
-    return scan
-
-
-def _arrow_summary(key_cols: list[str], group_cols: list[str], value_col: str, is_int: bool):
-    """One row per (Arrow batch, group run): keys, batch number, sum (NULL if all NULL) and
-    the value of the run's last row. Reads only the key and value columns."""
-    vtype = np.int64 if is_int else np.float64
-    atype = pa.int64() if is_int else pa.float64()
-
-    def summarise(batches):
-        b = 0
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            v, null = _values(batch, value_col, vtype)
-            new = _group_starts(batch, group_cols)
-            starts = np.flatnonzero(new)
-            ends = np.append(starts[1:], n) - 1
-            sums = np.add.reduceat(np.where(null, 0, v), starts)
-            any_value = np.add.reduceat((~null).astype(np.int64), starts) > 0
-            keys = batch.select(key_cols).take(pa.array(starts))
-            yield pa.RecordBatch.from_arrays(
-                list(keys.columns) + [pa.array(np.full(len(starts), b, dtype=np.int64)),
-                                      pa.array(sums.astype(vtype), type=atype, mask=~any_value),
-                                      pa.array(v[ends], type=atype, mask=null[ends])],
-                names=list(key_cols) + ["_b", "_s", "_l"])
-            b += 1
-
-    return summarise
+    out_type = T.DoubleType() if isinstance(vtype, (T.DoubleType, T.FloatType)) else T.LongType()
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    keys = list(group_cols)
+    rows = df
+    if block is not None:
+        rows = df.withColumn(_BLOCK, block)
+        keys.append(_BLOCK)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    total = F.sum(value_col).over(window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    before = F.lag(value_col).over(window)
+    kept = [F.col(f.name) for f in df.schema.fields]
+    if block is None:
+        return rows.select(*kept, *([total.cast(out_type).alias(running_sum)] if running_sum else []),
+                           *([before.cast(out_type).alias(previous)] if previous else []))
+
+    carry = _carries(rows, group_cols, order_cols, value_col)
+    first = F.row_number().over(window) == 1
+    local = rows.select("*", total.alias("_total"), before.alias("_before"), first.alias("_first"))
+    same = [local[c].eqNullSafe(carry[f"_k{i}"]) for i, c in enumerate(keys)]
+    joined = local.join(carry, same, "left")
+    summed = (F.when(F.col(_TOTAL).isNull(), F.col("_total")).when(F.col("_total").isNull(), F.col(_TOTAL))
+              .otherwise(F.col(_TOTAL) + F.col("_total")))
+    came = F.when(F.col("_first"), F.col(_LAST)).otherwise(F.col("_before"))
+    return joined.select(*[local[f.name] for f in df.schema.fields],
+                         *([summed.cast(out_type).alias(running_sum)] if running_sum else []),
+                         *([came.cast(out_type).alias(previous)] if previous else []))
+
+
+def _carries(rows: DataFrame, group_cols: list[str], order_cols: list[str], value_col: str) -> DataFrame:
+    """For each (key, block) that is not its key's first: the total of the blocks before, and the
+    value of the last row before. One row per block; partial aggregates before the shuffle."""
+    place = F.struct(*[F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("value")).alias(f"o{i}") for i, c in enumerate(order_cols)])
+    blocks = rows.groupBy(*group_cols, _BLOCK).agg(F.sum(value_col).alias("_sum"), F.max_by(F.struct(value_col), place).alias("_end"))
+    along = Window.partitionBy(*group_cols).orderBy(F.col(_BLOCK).asc_nulls_first())
+    found = blocks.select(
+        *[F.col(c).alias(f"_k{i}") for i, c in enumerate([*group_cols, _BLOCK])],
+        F.sum("_sum").over(along.rowsBetween(Window.unboundedPreceding, -1)).alias(_TOTAL),
+        F.lag("_end").over(along).alias("_end"))
+    return found.where(F.col("_end").isNotNull()).select("*", F.col(f"_end.{value_col}").alias(_LAST)).drop("_end")

@@ -75,8 +75,9 @@ def latest_bars(bars: DataFrame, symbol: str, n: int = DEFAULT_BARS) -> DataFram
 def latest_ticks(quotes: DataFrame, symbol: str, n: int = DEFAULT_TICKS) -> DataFrame:
     """Newest n quotes of one symbol, newest first (ties: larger day_volume, price first)."""
     check_limit(n)
-    newest = filter_symbol(quotes, symbol).orderBy(*[F.col(c).desc() for c in TICK_ORDER]).limit(n)
-    return serve_ticks(newest).orderBy(F.col("trade_time_ms").desc())
+    newest = [F.col(c).desc() for c in TICK_ORDER]
+    # the whole order once more over the n rows, before it is projected away
+    return serve_ticks(filter_symbol(quotes, symbol).orderBy(*newest).limit(n).orderBy(*newest))
 
 
 def latest_bars_all(bars: DataFrame, n: int = DEFAULT_ALL_BARS) -> DataFrame:
@@ -86,8 +87,10 @@ def latest_bars_all(bars: DataFrame, n: int = DEFAULT_ALL_BARS) -> DataFrame:
 
 
 def topn_per_symbol(df: DataFrame, order_cols, n: int, rank_col: str = "rn") -> DataFrame:
-    """Top n rows per symbol by ``order_cols`` (Columns, e.g. ``F.col('t').desc()``)."""
-    check_limit(n)
+    """Top n rows per symbol by ``order_cols`` (Columns, e.g. ``F.col('t').desc()``); n is free,
+    unlike the limit of the two single-symbol reads."""
+    if n < 1:
+        raise ValueError(f"n must be positive, got {n!r}")
     w = Window.partitionBy("symbol").orderBy(*order_cols)
     return df.withColumn(rank_col, F.row_number().over(w)).where(F.col(rank_col) <= n)
 
@@ -101,15 +104,6 @@ def topn_bars(bars: DataFrame, n: int = DEFAULT_BARS) -> DataFrame:
         "trade_count", F.col("rn").cast("bigint").alias("rn"))
 
 
-def topn_ticks(quotes: DataFrame, n: int = DEFAULT_TICKS) -> DataFrame:
-    """Serving table: newest n ticks of every symbol with their recency rank."""
-    ranked = topn_per_symbol(quotes, [F.col(c).desc() for c in TICK_ORDER], n)
-    return ranked.select(
-        "symbol", F.col("price").cast("double").alias("price"),
-        F.col("volume").cast("double").alias("quantity"),
-        ts_to_ms("quote_time").alias("trade_time_ms"), F.col("rn").cast("bigint").alias("rn"))
-
-
 def recent_bars(bars: DataFrame, n: int = RECENT_BARS) -> DataFrame:
     """The table view: last n bars per symbol, newest first (rn = 1 is newest)."""
     return topn_bars(bars, n)

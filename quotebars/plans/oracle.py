@@ -69,8 +69,8 @@ BAR_COLS = (f"symbol, {ms('window_start')} AS window_start_ms, {ms('window_end')
 SERVE_COLS = (f"symbol, {ms('window_start')} AS window_start_ms, open, high, low, close, volume, vwap, trade_count")
 
 
-def _bars_query(src_cte: str, src: str, width: str) -> str:
-    return f"WITH {src_cte},\n{bars_cte(src, width)}\nSELECT {BAR_COLS} FROM bars"
+def _bars_query(src_cte: str, src: str, width: str, where: str = "") -> str:
+    return f"WITH {src_cte},\n{bars_cte(src, width, where=where)}\nSELECT {BAR_COLS} FROM bars"
 
 
 EV_1M = f"WITH {EVQ},\n{bars_cte('evq', '1 minute')}"
@@ -256,7 +256,29 @@ FROM s WHERE points >= 2""",
         "replay_roundtrip": f"{EV_1M}\nSELECT symbol, {ms('window_start')} AS window_start_ms, open, high, low, "
                             "close, volume, quote_volume, vwap, trade_count FROM (SELECT *, row_number() OVER "
                             "(PARTITION BY symbol ORDER BY window_start DESC) AS rn FROM bars) WHERE rn <= 12",
-        "replay_ticks": f"WITH {EVQ}\nSELECT symbol, {ms('quote_time')} AS t, CAST(price AS DOUBLE) AS price, "
-                        f"CAST(volume AS BIGINT) AS quantity FROM (SELECT *, row_number() OVER (PARTITION BY symbol "
-                        f"ORDER BY {TICK_ORDER_DESC}) AS rn FROM evq) WHERE rn <= 12",
+        "replay_ticks": f"""{EV_1M}, shown AS (SELECT symbol, min(window_start) AS since FROM (SELECT *, row_number() OVER
+  (PARTITION BY symbol ORDER BY window_start DESC) AS rn FROM bars) WHERE rn <= 12 GROUP BY symbol)
+SELECT symbol, {ms('quote_time')} AS t, CAST(price AS DOUBLE) AS price, CAST(volume AS BIGINT) AS quantity
+FROM evq JOIN shown USING (symbol) WHERE quote_time >= since""",
+        "topic_stream_bars": _bars_query(EVQ, "evq", "1 minute"),
+        "bars_topic": _bars_query(EVQ, "evq", "1 minute"),
+        "stream_restart": RECONCILE,
+        "raw_append_after_stream": RAW,
+        "table_append": RAW,
+        "null_event_time": _bars_query(EVQ, "evq", "1 minute", "WHERE units >= 10"),
+        "stream_raw_all": f"""WITH {EVQ}, s AS ({QUARANTINE[QUARANTINE.index('SELECT CASE'):QUARANTINE.index(') GROUP BY')]})
+SELECT 'raw' AS held, count(*) AS n FROM s WHERE status NOT IN ('null_value', 'short_frame', 'bad_magic', 'bad_avro')
+UNION ALL SELECT 'bars', count(*) FROM s WHERE status NOT IN ('null_value', 'short_frame', 'bad_magic', 'bad_avro')
+UNION ALL SELECT status, count(*) FROM s WHERE status <> 'valid' GROUP BY status""",
+        "cast_quote_columns": f"""WITH {EVQ}
+SELECT CASE WHEN symbol = 'signup' AND units >= 98 THEN NULL ELSE symbol END AS symbol,
+       CASE WHEN units > 2 THEN CAST(price AS DOUBLE) END AS price,
+       CASE WHEN units IN (3, 4) THEN -units WHEN units = 5 THEN NULL ELSE CAST(volume AS DOUBLE) END AS volume,
+       {ms('quote_time')} AS quote_time_ms FROM evq""",
+        "publish_pipeline": f"""WITH {EVQ}, c AS ({CHART[CHART.index('SELECT symbol'):]}),
+k AS (SELECT symbol, CAST(price AS DECIMAL(38,8)) AS price, day_volume, quote_time_ms,
+             lag(day_volume) OVER (PARTITION BY symbol ORDER BY quote_time_ms, day_volume, price) AS before
+      FROM c WHERE reject_reason IS NULL)
+SELECT symbol, CAST(price AS DOUBLE) AS price, CAST(greatest(0, coalesce(day_volume - before, 0)) AS DOUBLE) AS volume,
+       day_volume, quote_time_ms, 'yahoo' AS source FROM k""",
     }

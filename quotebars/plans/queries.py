@@ -12,22 +12,22 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotebars.functions.scalar import normalize_symbols, ts_to_ms
+from quotebars.functions.scalar import ms_to_ts, normalize_symbols, ts_to_ms
 from quotebars.operators import serving as S
 from quotebars.operators.increments import volume_increments
-from quotebars.operators.quality import allowlist_symbols, publish_counters, validate_quotes
+from quotebars.operators.quality import publish_counters, split_valid, tag_allowed, validate_quotes
 from quotebars.operators.reconcile import (backfill_bars, count_rows, late_rows_report,
                                            reconcile_counts)
 from quotebars.operators.rollup import aggregate_ohlcv
 from quotebars.schemas import OHLCV_AVRO
 from quotebars.session import configure, scratch_dir
 from quotebars.sources.driver_tables import quotes_from_events, quotes_from_lineitem, read_table
-from quotebars.sources.ingest import normalize_quote, src_chart_json, src_kafka, to_quotes
+from quotebars.sources.ingest import cast_quote_columns, normalize_quote, src_chart_json, src_kafka, to_quotes
 from quotebars.sources.replay import sink_replay_snapshot, src_replay_snapshot
-from quotebars.sources.tables import BarStore, read_raw, sink_batch_append
-from quotebars.sources.topic import sink_keyed_topic
+from quotebars.sources.tables import BarStore, ddl_namespace, ddl_tables, read_raw, sink_batch_append, sink_raw_append
+from quotebars.sources.topic import sink_bars_topic, sink_keyed_topic
 from quotebars.sources.wire import avro_decode, avro_encode_frame, read_framed_quotes, wire_unframe
-from quotebars.streaming.app import multi_query_app, state_partitions
+from quotebars.streaming.app import decoded_quotes, multi_query_app, read_quarantine, state_partitions
 from quotebars.streaming.increments_state import increments_stateful
 
 FLAGSHIP_SYMBOL = "click"
@@ -123,7 +123,7 @@ def q_quarantine_counts(spark, sf_dir):
     return publish_counters(validate_quotes(read_framed_quotes(frames))).select("status", "n")
 
 
-def q_chart_json(spark, sf_dir):
+def _chart_payloads(spark, sf_dir) -> DataFrame:
     ev = quotes_from_events(spark, sf_dir, with_day_volume=False)
     price = F.col("price").cast("double")
     u = F.col("volume").cast("bigint")
@@ -135,8 +135,12 @@ def q_chart_json(spark, sf_dir):
              .alias("close"),
             F.array(u, F.lit(None).cast("bigint"), u * 2).alias("volume"))).alias("quote")).alias("indicators")
     )).alias("result")).alias("chart")))
-    payloads = ev.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), payload.alias("payload"))
-    return src_chart_json(payloads).select("symbol", "quote_time_ms", "price", "day_volume", "reject_reason")
+    return ev.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), payload.alias("payload"))
+
+
+def q_chart_json(spark, sf_dir):
+    found = src_chart_json(_chart_payloads(spark, sf_dir))
+    return found.select("symbol", "quote_time_ms", "price", "day_volume", "reject_reason")
 
 
 def q_volume_increments(spark, sf_dir):
@@ -145,16 +149,15 @@ def q_volume_increments(spark, sf_dir):
 
 
 def q_volume_increments_split(spark, sf_dir):
-    """Same result through the range-split (hot-key) path for every group: both the
-    day-volume scan and the increments are range-partitioned and scanned in parallel."""
-    ev = quotes_from_events(spark, sf_dir, strategy="range")
-    inc = volume_increments(ev, strategy="range")
+    """Same result with both scans cut into hours: the day volume and the increments."""
+    ev = quotes_from_events(spark, sf_dir, block="hour")
+    inc = volume_increments(ev, block=F.date_trunc("hour", "quote_time"))
     return inc.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), "day_volume", "volume")
 
 
 def q_ohlcv_1m_split(spark, sf_dir):
-    """1-minute bars with the day volume computed on the range-split path."""
-    return S.bars_as_doubles(aggregate_ohlcv(quotes_from_events(spark, sf_dir, strategy="range"), "1 minute"))
+    """1-minute bars with the day volume scanned in blocks of an hour."""
+    return S.bars_as_doubles(aggregate_ohlcv(quotes_from_events(spark, sf_dir, block="hour"), "1 minute"))
 
 
 def q_keyed_topic_roundtrip(spark, sf_dir):
@@ -202,11 +205,9 @@ def q_close_series_summary(spark, sf_dir):
 
 
 def q_allowlist_symbols(spark, sf_dir):
-    ev = quotes_from_events(spark, sf_dir, with_day_volume=False)
-    accepted, rejected = allowlist_symbols(ev, ALLOWLIST)
-    a = accepted.select("symbol", F.lit("accepted").alias("status"))
-    r = rejected.select(F.upper("symbol").alias("symbol"), F.lit("rejected").alias("status"))
-    return a.unionByName(r).groupBy("symbol", "status").agg(F.count(F.lit(1)).alias("n"))
+    _, tagged = tag_allowed(quotes_from_events(spark, sf_dir, with_day_volume=False), ALLOWLIST)
+    status = F.when(F.col("_accepted"), F.lit("accepted")).otherwise(F.lit("rejected"))
+    return tagged.groupBy("symbol", status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_normalize_symbols(spark, sf_dir):
@@ -421,9 +422,8 @@ def q_increments_stream(spark, sf_dir):
 def _replay(spark, sf_dir):
     key = ("replay", _app(spark), sf_dir)
     if key not in _cache:
-        path = f"{scratch_dir(spark, 'replay')}/replay.json"
-        sink_replay_snapshot(_bars_1m(spark, sf_dir), _events(spark, sf_dir), path, n=12,
-                             generated_at="1970-01-01T00:00:00Z")
+        path = f"{scratch_dir(spark, 'replay')}/replay"
+        sink_replay_snapshot(_bars_1m(spark, sf_dir), _events(spark, sf_dir), path, generated_at="1970-01-01T00:00:00Z")
         _cache[key] = path
     return src_replay_snapshot(spark, _cache[key])
 
@@ -439,6 +439,127 @@ def q_replay_ticks(spark, sf_dir):
     return ticks.select("symbol", "t", "price", "quantity")
 
 
+# ------------------------------------------------------------------ outputs that several writers share
+def _topic_rows(frames: DataFrame, time: str = "quote_time") -> DataFrame:
+    """Framed rows in the shape of the topic source."""
+    return frames.select("key", "value", F.lit("market.quotes").alias("topic"), F.lit(0).alias("partition"),
+                         F.lit(0).cast("bigint").alias("offset"), F.col(time).cast("timestamp").alias("timestamp"))
+
+
+def _publish(spark, quotes: DataFrame, path: str, num_files: int = 8) -> None:
+    frames = avro_encode_frame(_wire_quotes(quotes), schema_id=1, keep=["quote_time"])
+    sink_keyed_topic(_topic_rows(frames), path=path, num_files=num_files)
+
+
+def _app_run(spark, topic: str, root: str, checkpoint: str, files: int | None = None) -> BarStore:
+    """One bounded run of the streaming job over a topic folder, into ``root``."""
+    store = BarStore(spark, f"{root}/ohlcv")
+    multi_query_app(spark, lambda: src_kafka(spark, path=topic, max_files_per_trigger=files), f"{root}/quotes_raw", store,
+                    f"{root}/{checkpoint}", trigger={"availableNow": True}, num_state_partitions=_state_partitions(spark))
+    return store
+
+
+def _raw_columns(raw: DataFrame) -> DataFrame:
+    return raw.select("symbol", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
+                      "day_volume", ts_to_ms("quote_time").alias("quote_time_ms"), "source")
+
+
+def q_topic_stream_bars(spark, sf_dir):
+    """Events through the keyed-topic files and the streaming job, one file per micro-batch: no
+    quote of any symbol comes late."""
+    root = scratch_dir(spark, "topic-stream")
+    _publish(spark, _events(spark, sf_dir), f"{root}/topic")
+    return S.bars_as_doubles(_app_run(spark, f"{root}/topic", root, "checkpoint", files=1).read())
+
+
+def q_stream_restart(spark, sf_dir):
+    """Two checkpoints, one output: the job over the first half of the days, then, as after the
+    loss of its checkpoint, with a new one over the rest."""
+    root, ev = scratch_dir(spark, "restart"), _events(spark, sf_dir)
+    early = F.dayofmonth("quote_time") <= 15
+    _publish(spark, ev.where(early), f"{root}/topic-1")
+    _publish(spark, ev.where(~early), f"{root}/topic-2")
+    _app_run(spark, f"{root}/topic-1", root, "checkpoint-1")
+    store = _app_run(spark, f"{root}/topic-2", root, "checkpoint-2")
+    return reconcile_counts(read_raw(spark, f"{root}/quotes_raw"), store.read())
+
+
+def q_stream_raw_all(spark, sf_dir):
+    """Corrupted messages through the streaming job: what the raw table, the bars and the
+    quarantine (by reason) hold of them."""
+    root = scratch_dir(spark, "raw-all")
+    frames = _mangle_frames(avro_encode_frame(_corrupt(_events(spark, sf_dir)), schema_id=1, keep=["_u", "quote_time"]))
+    _topic_rows(frames).write.parquet(f"{root}/topic")
+    store = _app_run(spark, f"{root}/topic", root, "checkpoint")
+    raw, rejected = read_raw(spark, f"{root}/quotes_raw"), read_quarantine(spark, f"{root}/quotes_raw_quarantine")
+    return (raw.agg(F.lit("raw").alias("held"), F.count(F.lit(1)).alias("n"))
+            .unionByName(store.read().agg(F.lit("bars").alias("held"), F.sum("trade_count").alias("n")))
+            .unionByName(rejected.groupBy(F.col("reject_reason").alias("held")).agg(F.count(F.lit(1)).alias("n"))))
+
+
+def q_raw_append_after_stream(spark, sf_dir):
+    """Half of the events by the stream, the other half appended as a batch: one raw table."""
+    root, ev = scratch_dir(spark, "append"), _events(spark, sf_dir)
+    early = F.dayofmonth("quote_time") <= 15
+    _publish(spark, ev.where(early), f"{root}/topic")
+    _app_run(spark, f"{root}/topic", root, "checkpoint")
+    sink_batch_append(ev.where(~early), f"{root}/quotes_raw")
+    return _raw_columns(read_raw(spark, f"{root}/quotes_raw"))
+
+
+def q_table_append(spark, sf_dir):
+    """The events streamed into a catalog table that the DDL creates in a namespace of its own."""
+    root = scratch_dir(spark, "table")
+    name = f"qb_{root.rpartition('-')[2]}"
+    ddl_namespace(spark, name)
+    ddl_tables(spark, f"{name}.quotes_raw", f"{name}.ohlcv", location_root=root)
+    _publish(spark, _events(spark, sf_dir), f"{root}/topic")
+    quotes = decoded_quotes(read_framed_quotes(src_kafka(spark, path=f"{root}/topic")))
+    sink_raw_append(quotes, None, f"{root}/checkpoint", trigger={"availableNow": True}, table=f"{name}.quotes_raw").awaitTermination()
+    return _raw_columns(read_raw(spark, table=f"{name}.quotes_raw"))
+
+
+def q_bars_topic(spark, sf_dir):
+    """Bars published to their topic, read back and decoded."""
+    root = scratch_dir(spark, "bars-topic")
+    sink_bars_topic(_bars_1m(spark, sf_dir), path=f"{root}/topic")
+    decoded = avro_decode(wire_unframe(spark.read.parquet(f"{root}/topic")), OHLCV_AVRO)
+    return S.bars_as_doubles(decoded.where(F.col("decode_error").isNull()))
+
+
+def q_null_event_time(spark, sf_dir):
+    """Rows without an event time are in no bar."""
+    ev = _events(spark, sf_dir)
+    return S.bars_as_doubles(aggregate_ohlcv(ev.withColumn("quote_time", F.when(F.col("volume") >= 10, F.col("quote_time"))), "1 minute"))
+
+
+def q_cast_quote_columns(spark, sf_dir):
+    """On-wire text, some of it no number, as decimals."""
+    cast = cast_quote_columns(_corrupt(_events(spark, sf_dir)))
+    return cast.select("symbol", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
+                       ts_to_ms("quote_time").alias("quote_time_ms"))
+
+
+def q_publish_pipeline(spark, sf_dir):
+    """The publishing side as one stream: vendor payloads, increments from keyed state, normalised,
+    validated and framed quotes into the keyed topic; then the topic read back."""
+    root = scratch_dir(spark, "publish")
+    chart = _chart_payloads(spark, sf_dir)
+    chart.write.parquet(f"{root}/payloads")
+    polled = src_chart_json(spark.readStream.schema(chart.schema).parquet(f"{root}/payloads"))
+    priced = polled.where(F.col("reject_reason").isNull()).select(
+        "symbol", ms_to_ts("quote_time_ms").alias("quote_time"), "day_volume", F.col("price").cast("decimal(38,8)").alias("price"))
+    counted = increments_stateful(priced).withColumn("quote_time_ms", ts_to_ms("quote_time"))
+    valid, _ = split_valid(validate_quotes(normalize_quote(counted)))
+    frames = _topic_rows(avro_encode_frame(valid, schema_id=1, keep=["quote_time"]))
+    with state_partitions(spark, _state_partitions(spark)):
+        query = sink_keyed_topic(frames, path=f"{root}/topic", num_files=4, checkpoint=f"{root}/checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    decoded = read_framed_quotes(spark.read.parquet(f"{root}/topic"))
+    return to_quotes(decoded).select("symbol", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
+                                     "day_volume", ts_to_ms("quote_time").alias("quote_time_ms"), "source")
+
+
 def _configured(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         configure(spark)
@@ -487,5 +608,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "count_rows": q_count_rows,
         "replay_roundtrip": q_replay_roundtrip,
         "replay_ticks": q_replay_ticks,
+        "topic_stream_bars": q_topic_stream_bars,
+        "stream_restart": q_stream_restart,
+        "stream_raw_all": q_stream_raw_all,
+        "raw_append_after_stream": q_raw_append_after_stream,
+        "table_append": q_table_append,
+        "bars_topic": q_bars_topic,
+        "null_event_time": q_null_event_time,
+        "cast_quote_columns": q_cast_quote_columns,
+        "publish_pipeline": q_publish_pipeline,
     }
     return {k: _configured(v) for k, v in reg.items()}

@@ -28,17 +28,6 @@ QUOTE = T.StructType([
     T.StructField("source", T.StringType()),
 ])
 
-# Quote as carried on the wire (price/volume as exact decimal strings, times as millis).
-WIRE_QUOTE = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("price", T.StringType()),
-    T.StructField("volume", T.StringType()),
-    T.StructField("day_volume", T.LongType()),
-    T.StructField("quote_time", T.LongType()),
-    T.StructField("ingest_time", T.LongType()),
-    T.StructField("source", T.StringType()),
-])
-
 # One OHLCV/VWAP bar, keyed by (symbol, window_start).
 BAR = T.StructType([
     T.StructField("symbol", T.StringType()),
@@ -67,15 +56,6 @@ KAFKA_ROW = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-# Raw poll record: the poller's output before normalisation.
-RAW_POLL = T.StructType([
-    T.StructField("symbol", T.StringType()),
-    T.StructField("price", T.DoubleType()),
-    T.StructField("volume", T.LongType()),
-    T.StructField("day_volume", T.LongType()),
-    T.StructField("quote_time_ms", T.LongType()),
-])
-
 # Vendor chart payload (only the fields that are read).
 CHART_JSON = T.StructType([
     T.StructField("chart", T.StructType([

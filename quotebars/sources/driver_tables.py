@@ -7,7 +7,8 @@
                day_volume = running sum per (symbol, day) in (orderkey, linenumber, other columns) order.
 
 Both keep the canonical QUOTE columns; timestamps become TIMESTAMP (UTC session).
-The running day volume uses the skew-safe ``ordered_scan``.
+The running day volume is an ``ordered_scan`` over a symbol's day; ``block`` (a unit of time)
+splits that further.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quotes_from_events(spark: SparkSession, sf_dir: str, with_day_volume: bool = True,
-                       strategy: str = "auto") -> DataFrame:
+                       block: str | None = None) -> DataFrame:
     configure(spark)
     ev = read_table(spark, sf_dir, "events")
     # the running day volume is computed on narrow primitive columns (cheap to move
@@ -43,7 +44,7 @@ def quotes_from_events(spark: SparkSession, sf_dir: str, with_day_volume: bool =
     )
     if with_day_volume:
         base = ordered_scan(base, ["symbol", "_day"], ["ts", "event_id"], "_units", running_sum="day_volume",
-                            strategy=strategy)
+                            block=F.date_trunc(block, "ts") if block else None)
     else:
         base = base.withColumn("day_volume", F.lit(None).cast("bigint"))
     return base.select(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quotebars.functions.scalar import (day_volume_sum, default_source, double_text, ms_to_ts,
                                         price_fallback, to_decimal)
-from quotebars.schemas import CHART_JSON, DEFAULT_SOURCE, KAFKA_ROW
+from quotebars.schemas import CHART_JSON, DEFAULT_SOURCE, KAFKA_ROW, QUOTE
 
 
 def src_kafka(spark: SparkSession, bootstrap: str | None = None, topic: str = "market.quotes",
@@ -54,18 +54,17 @@ def normalize_quote(raw: DataFrame, source: str = DEFAULT_SOURCE) -> DataFrame:
     )
 
 
+def cast_quote_columns(wire: DataFrame) -> DataFrame:
+    """On-wire price and volume text -> decimal(38,8). Text that is no number becomes NULL, so
+    one bad row never fails a job; ``validate_quotes`` gives such rows a reason."""
+    return wire.withColumns({c: to_decimal(c) for c in ("price", "volume")})
+
+
 def to_quotes(wire: DataFrame, keep=()) -> DataFrame:
-    """Wire quote (strings) -> canonical quote (decimal(38,8)); unparseable -> NULL.
+    """Wire quote (strings) -> canonical quote of the QUOTE contract; unparseable -> NULL.
     ``keep`` carries extra columns through (e.g. the frame's ``schema_id``)."""
-    return wire.select(*keep,
-        "symbol",
-        to_decimal("price").alias("price"),
-        to_decimal("volume").alias("volume"),
-        F.col("day_volume").cast("bigint").alias("day_volume"),
-        F.col("quote_time").cast("timestamp").alias("quote_time"),
-        F.col("ingest_time").cast("timestamp").alias("ingest_time"),
-        default_source(F.col("source")).alias("source"),
-    )
+    made = cast_quote_columns(wire).withColumn("source", default_source(F.col("source")))
+    return made.select(*keep, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in QUOTE.fields])
 
 
 def src_chart_json(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:

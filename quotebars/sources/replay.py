@@ -1,71 +1,77 @@
-"""Replay snapshot: one JSON document holding, per symbol, the newest ticks and bars.
+"""Replay snapshots: per symbol its newest bars, and all ticks in the windows of those bars.
 
-Layout: ``{generated_at, symbols: [..], ticks: {sym: [{t, price, quantity}]},
-ohlcv: {sym: [{window_start_ms, open, high, low, close, volume, quote_volume, vwap,
-trade_count}]}}``. The writer keeps only the newest ``n`` entries per symbol (a
-partial ``WindowGroupLimit`` before the shuffle), so the single document is bounded
-by ``n x symbols`` entries, never by the table size.
+The scalable form is one JSON line for each symbol. The page's layout, one document
+``{generated_at, symbols: [..], ticks: {sym: [{t, price, quantity}]}, ohlcv: {sym:
+[{window_start_ms, open, high, low, close, volume, quote_volume, vwap, trade_count}]}}``, is
+assembled for an explicit list of symbols only, whose length bounds it.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotebars.functions.scalar import ts_to_ms
 from quotebars.operators.serving import TICK_ORDER, topn_per_symbol
 from quotebars.schemas import REPLAY
 
-REPLAY_N = 12
+REPLAY_BARS = 12
+#: one line of the per-symbol form
+REPLAY_LINE = T.StructType([
+    T.StructField("generated_at", T.StringType()), T.StructField("symbol", T.StringType()),
+    T.StructField("ticks", REPLAY["ticks"].dataType.valueType), T.StructField("ohlcv", REPLAY["ohlcv"].dataType.valueType)])
 
 
-def _per_symbol(entries: DataFrame, value: str) -> DataFrame:
-    return entries.groupBy("symbol").agg(F.sort_array(F.collect_list(value)).alias("items"))
+def replay_rows(bars: DataFrame, quotes: DataFrame, bars_per_symbol: int = REPLAY_BARS, generated_at: str | None = None) -> DataFrame:
+    """A row of REPLAY_LINE per symbol, entries oldest first: the newest ``bars_per_symbol`` bars,
+    and every tick from the start of the first of them on."""
+    newest = topn_per_symbol(bars, [F.col("window_start").desc()], bars_per_symbol)
+    bar = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name)
+                     for f in REPLAY_LINE["ohlcv"].dataType.elementType.fields])
+    per_bar = (newest.withColumn("window_start_ms", ts_to_ms("window_start")).groupBy("symbol")
+               .agg(F.sort_array(F.collect_list(bar)).alias("ohlcv"), F.min("window_start").alias("_from")))
+    tick = F.struct(ts_to_ms("quote_time").alias("t"), F.col("price").cast("double").alias("price"),
+                    F.col("volume").cast("bigint").alias("quantity"))
+    shown = quotes.join(per_bar.select(F.col("symbol").alias("_symbol"), "_from"), F.col("symbol").eqNullSafe(F.col("_symbol")))
+    per_tick = (shown.where(F.col("quote_time") >= F.col("_from")).groupBy("symbol")
+                .agg(F.transform(F.sort_array(F.collect_list(F.struct(*TICK_ORDER, tick.alias("tick")))), lambda x: x["tick"]).alias("ticks")))
+    stamp = F.lit(generated_at) if generated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    empty = F.array().cast(REPLAY_LINE["ticks"].dataType)
+    joined = per_bar.join(per_tick.withColumnRenamed("symbol", "_s"), F.col("symbol").eqNullSafe(F.col("_s")), "left")
+    return joined.select(stamp.alias("generated_at"), "symbol", F.coalesce("ticks", empty).alias("ticks"), "ohlcv")
 
 
-def build_replay_snapshot(bars: DataFrame, quotes: DataFrame, n: int = REPLAY_N,
+def build_replay_snapshot(bars: DataFrame, quotes: DataFrame, symbols: list[str], bars_per_symbol: int = REPLAY_BARS,
                           generated_at: str | None = None) -> DataFrame:
-    """One-row DataFrame in the snapshot layout (entries sorted oldest first)."""
-    nb = topn_per_symbol(bars, [F.col("window_start").desc()], n)
-    bar_items = nb.select("symbol", F.struct(
-        ts_to_ms("window_start").alias("window_start_ms"),
-        *[F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close", "volume", "quote_volume", "vwap")],
-        F.col("trade_count")).alias("item"))
-    nt = topn_per_symbol(quotes, [F.col(c).desc() for c in TICK_ORDER], n)
-    tick_items = nt.select("symbol", F.struct(
-        ts_to_ms("quote_time").alias("t"),
-        F.col("price").cast("double").alias("price"),
-        F.col("volume").cast("bigint").alias("quantity")).alias("item"))
-    b = _per_symbol(bar_items, "item").withColumnRenamed("items", "bars")
-    t = _per_symbol(tick_items, "item").withColumnRenamed("items", "ticks")
-    per = b.join(t, "symbol", "full_outer")
-    empty_bars = F.array().cast(REPLAY["ohlcv"].dataType.valueType)
-    empty_ticks = F.array().cast(REPLAY["ticks"].dataType.valueType)
-    stamp = F.lit(generated_at) if generated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return per.agg(
-        F.sort_array(F.collect_list("symbol")).alias("symbols"),
-        F.map_from_entries(F.collect_list(F.struct("symbol", F.coalesce("ticks", empty_ticks)))).alias("ticks"),
-        F.map_from_entries(F.collect_list(F.struct("symbol", F.coalesce("bars", empty_bars)))).alias("ohlcv"),
-    ).select(stamp.alias("generated_at"), "symbols", "ticks", "ohlcv")
+    """One row in the document layout, for the listed symbols (one without bars is left out)."""
+    listed = F.col("symbol").isin(list(symbols))
+    rows = replay_rows(bars.where(listed), quotes.where(listed), bars_per_symbol, generated_at)
+    return rows.agg(F.max("generated_at").alias("generated_at"), F.sort_array(F.collect_list("symbol")).alias("symbols"),
+                    F.map_from_entries(F.collect_list(F.struct("symbol", "ticks"))).alias("ticks"),
+                    F.map_from_entries(F.collect_list(F.struct("symbol", "ohlcv"))).alias("ohlcv"))
 
 
-def sink_replay_snapshot(bars: DataFrame, quotes: DataFrame, path: str, n: int = REPLAY_N,
-                         generated_at: str | None = None) -> None:
-    """Write the snapshot as a single JSON document."""
-    (build_replay_snapshot(bars, quotes, n, generated_at)
-        .coalesce(1).write.mode("overwrite").json(path))
+def sink_replay_snapshot(bars: DataFrame, quotes: DataFrame, path: str, symbols: list[str] | None = None,
+                         bars_per_symbol: int = REPLAY_BARS, generated_at: str | None = None) -> None:
+    """Write one line per symbol, or for listed symbols the single document."""
+    if symbols is None:
+        replay_rows(bars, quotes, bars_per_symbol, generated_at).write.mode("overwrite").json(path)
+    else:
+        build_replay_snapshot(bars, quotes, symbols, bars_per_symbol, generated_at).coalesce(1).write.mode("overwrite").json(path)
 
 
-def src_replay_snapshot(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(ticks, bars) rows from a snapshot; a missing snapshot gives two empty frames."""
+def src_replay_snapshot(spark: SparkSession, path: str, document: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(ticks, bars) rows from lines per symbol, or with ``document`` from the single document; a
+    missing snapshot gives two empty frames."""
+    schema = REPLAY if document else REPLAY_LINE
     try:
-        doc = spark.read.schema(REPLAY).option("multiLine", True).json(path)
-    except Exception as exc:  # missing path -> empty maps, like the page's fallback
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
+        found = spark.read.schema(schema).option("multiLine", document).json(path)
+    except AnalysisException as exc:  # missing path -> no entries, like the page's fallback
+        if "PATH_NOT_FOUND" not in str(exc):
             raise
-        doc = spark.createDataFrame([], REPLAY)
-    ticks = (doc.select(F.explode("ticks").alias("symbol", "items"))
-                .select("symbol", F.inline("items")))
-    bars = (doc.select(F.explode("ohlcv").alias("symbol", "items"))
-               .select("symbol", F.inline("items")))
-    return ticks, bars
+        found = spark.createDataFrame([], schema)
+    if document:
+        return tuple(found.select(F.explode(c).alias("symbol", "items")).select("symbol", F.inline("items")) for c in ("ticks", "ohlcv"))
+    return tuple(found.select("symbol", F.inline(c)) for c in ("ticks", "ohlcv"))

@@ -1,16 +1,18 @@
 """Keyed topic sink: framed messages keyed by symbol, per-key order preserved.
 
-With a Kafka bootstrap address the rows go to the Kafka sink (batch or streaming;
-needs the Kafka connector on the classpath), with producer options such as
-``acks=all`` and ``compression.type=zstd``. Without one, the same ``key, value``
-rows are written as parquet files in key-then-time order: the rows are
-range-partitioned on ``(key, order...)`` — so a hot key is spread over many files
-instead of one task — and sorted inside each file, and the file index follows the
-range order, so reading files in name order replays every key in order.
+With a Kafka bootstrap address the rows go to the Kafka sink (batch or streaming; needs the
+Kafka connector on the classpath), with producer options such as ``acks=all`` and
+``compression.type=zstd``. Without one, the same rows are written as parquet files in time
+order: a file holds a range of the time, sorted by key and time within it. So a hot key is
+spread over many files, reading the files in order replays every key in order, and a stream
+that takes one file after the other sees time advance and drops nothing as late. Files carry
+their order in their names and, for a file stream, in their modification times.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ PRODUCER_OPTIONS = {"kafka.acks": "all", "kafka.compression.type": "zstd", "kafk
 
 def sink_keyed_topic(frames: DataFrame, topic: str = "market.quotes", bootstrap: str | None = None,
                      path: str | None = None, order_cols=("timestamp",), num_files: int | None = None,
-                     checkpoint: str | None = None, options: dict | None = None):
+                     checkpoint: str | None = None, options: dict | None = None, trigger: dict | None = None):
     """Publish ``key, value`` rows (plus ``order_cols``) keyed by symbol.
 
     Returns the started streaming query for a streaming input, else None."""
@@ -35,7 +37,7 @@ def sink_keyed_topic(frames: DataFrame, topic: str = "market.quotes", bootstrap:
             if checkpoint is None:     # stable per topic, so a restart resumes where it stopped
                 from quotebars.session import checkpoint_root
                 checkpoint = f"{checkpoint_root(frames.sparkSession)}/publish-{topic}"
-            return w.option("checkpointLocation", checkpoint).start()
+            return (w.trigger(**trigger) if trigger else w).option("checkpointLocation", checkpoint).start()
         w = out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
         for k, v in opts.items():
             w = w.option(k, v)
@@ -44,15 +46,38 @@ def sink_keyed_topic(frames: DataFrame, topic: str = "market.quotes", bootstrap:
     if not path:
         raise ValueError("give either a Kafka bootstrap address or a file path")
     if frames.isStreaming:
-        raise ValueError("the file form of the keyed topic is a batch writer; stream into Kafka or a table")
+        # at least once, as the Kafka sink: a batch that is repeated after a crash comes twice
+        if checkpoint is None:
+            from quotebars.session import checkpoint_root
+            checkpoint = f"{checkpoint_root(frames.sparkSession)}/topic-sink/{topic}"
+
+        def publish(batch: DataFrame, _: int) -> None:
+            sink_keyed_topic(batch, topic, None, path, order_cols, num_files)
+
+        w = frames.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
+        return (w.trigger(**trigger) if trigger else w).start()
     n = num_files or int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    keys = ["key", *order_cols]
+    start = time.time()
     (frames.where(F.col("value").isNotNull())
-        .repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+        .repartitionByRange(n, *order_cols).sortWithinPartitions("key", *order_cols)
         .write.mode("append").parquet(path))
+    _stamp(frames.sparkSession, path, start)
     return None
 
 
+def _stamp(spark, path: str, start: float) -> None:
+    """Give the files of the last write modification times in the order of their names, as a file
+    stream reads by modification time and tasks may end in any order. One call per file; a store
+    that keeps no such times ignores it."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [st for st in fs.listStatus(folder) if st.getPath().getName().startswith("part-") and st.getModificationTime() >= int(start) * 1000]
+    last = int(time.time() * 1000)
+    for i, st in enumerate(sorted(found, key=lambda st: st.getPath().getName())):
+        fs.setTimes(st.getPath(), last - len(found) + i, -1)
+
+
 def sink_bars_topic(bars: DataFrame, topic: str = "market.ohlcv", schema_id: int = 2,
                     bootstrap: str | None = None, path: str | None = None, num_files: int | None = None,
                     checkpoint: str | None = None, options: dict | None = None):

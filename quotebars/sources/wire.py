@@ -1,22 +1,14 @@
-"""Framed Avro messages: frame/unframe in Spark SQL, the Avro body codec as an Arrow
-UDF (whole batches, vectorised with numpy in ``avro_codec``).
-
-The cluster image has no spark-avro jar, so the body codec is a small helper for the
-two fixed record contracts (string, long, timestamp-millis, bytes-decimal fields).
-``encode_record``/``decode_record`` below are the plain per-record form, kept as the
-reference the vectorised codec is tested against (and used on PySpark < 4.1).
-Everything around it — header checks, schema id, key, casting — stays in JVM
-expressions. With ``native=True`` the codec is ``from_avro``/``to_avro`` when the Avro
-data source is on the classpath; without it, the Arrow codec is used instead.
+"""Framed Avro messages: frame/unframe in Spark SQL, the Avro body by ``from_avro``/``to_avro``
+when the Avro data source is on the classpath. Where it is not, the two fixed record contracts
+(string, long, timestamp-millis, bytes-decimal fields) go through an Arrow UDF (whole batches,
+vectorised with numpy in ``avro_codec``). Everything around it — header checks, schema id, key,
+casting — stays in JVM expressions.
 
 Frame layout: byte 0 magic (0), bytes 1-4 big-endian schema id, then the Avro body.
 """
 
 from __future__ import annotations
 
-from decimal import Context, Decimal
-
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.errors import AnalysisException
@@ -28,7 +20,6 @@ from quotebars.schemas import MAGIC_BYTE, QUOTE_AVRO, avro_schema_json
 from quotebars.sources import avro_codec
 
 HEADER_LEN = 5
-_EXACT = Context(prec=80)      # decimal(38,8) values need up to 38 digits; the default is 28
 
 
 # ---------------------------------------------------------------- Avro primitives
@@ -40,78 +31,6 @@ def _kind(ftype) -> str:
     return ftype
 
 
-def _write_long(out: bytearray, v: int) -> None:
-    n = (v << 1) ^ (v >> 63)
-    while n & ~0x7F:
-        out.append((n & 0x7F) | 0x80)
-        n >>= 7
-    out.append(n)
-
-
-def _read_long(buf: bytes, pos: int) -> tuple[int, int]:
-    shift = 0
-    n = 0
-    while True:
-        if pos >= len(buf) or shift > 63:
-            raise ValueError("truncated or oversized varint")
-        b = buf[pos]
-        pos += 1
-        n |= (b & 0x7F) << shift
-        if not b & 0x80:
-            break
-        shift += 7
-    return (n >> 1) ^ -(n & 1), pos
-
-
-def _read_bytes(buf: bytes, pos: int) -> tuple[bytes, int]:
-    size, pos = _read_long(buf, pos)
-    if size < 0 or pos + size > len(buf):
-        raise ValueError("bad length")
-    return buf[pos:pos + size], pos + size
-
-
-def encode_record(values, kinds, scales) -> bytes:
-    out = bytearray()
-    for v, kind, scale in zip(values, kinds, scales):
-        if v is None or (not isinstance(v, (str, bytes)) and pd.isna(v)):
-            raise ValueError("null in a non-nullable field")
-        if kind == "string":
-            data = str(v).encode("utf-8")
-            _write_long(out, len(data))
-            out += data
-        elif kind == "long":
-            _write_long(out, int(v))
-        elif kind == "decimal":
-            unscaled = int(Decimal(v).scaleb(scale, _EXACT).to_integral_value(context=_EXACT))
-            size = max(1, (unscaled.bit_length() + 8) // 8)
-            data = unscaled.to_bytes(size, "big", signed=True)
-            _write_long(out, len(data))
-            out += data
-        else:
-            raise ValueError(f"unsupported Avro type {kind}")
-    return bytes(out)
-
-
-def decode_record(buf: bytes, kinds, scales) -> list:
-    pos = 0
-    vals = []
-    for kind, scale in zip(kinds, scales):
-        if kind == "string":
-            data, pos = _read_bytes(buf, pos)
-            vals.append(data.decode("utf-8"))
-        elif kind == "long":
-            v, pos = _read_long(buf, pos)
-            vals.append(v)
-        elif kind == "decimal":
-            data, pos = _read_bytes(buf, pos)
-            vals.append(Decimal(int.from_bytes(data, "big", signed=True)).scaleb(-scale, _EXACT))
-        else:
-            raise ValueError(f"unsupported Avro type {kind}")
-    if pos != len(buf):
-        raise ValueError("trailing bytes")
-    return vals
-
-
 def _layout(contract: dict):
     names = [f["name"] for f in contract["fields"]]
     kinds = [_kind(f["type"]) for f in contract["fields"]]
@@ -130,14 +49,6 @@ def body_schema(contract: dict) -> T.StructType:
 
 
 # ---------------------------------------------------------------- batch UDFs
-def _arrow_udf():
-    try:
-        from pyspark.sql.functions import arrow_udf
-        return arrow_udf
-    except ImportError:  # PySpark < 4.1: pandas UDF over the scalar codec
-        return None
-
-
 def _once(udf):
     """Evaluate the codec once per row: without this, a filter on a decoded field (e.g.
     ``decode_error IS NULL``) is pushed below the projection and the optimizer
@@ -148,58 +59,21 @@ def _once(udf):
 
 def _encoder(contract: dict):
     names, kinds, scales = _layout(contract)
-    arrow_udf = _arrow_udf()
-    if arrow_udf is not None:
-        @arrow_udf(T.BinaryType())
-        def encode_arrow(rec: pa.Array) -> pa.Array:
-            return avro_codec.encode(rec, kinds, scales, names)
-
-        return _once(encode_arrow)
-
-    @F.pandas_udf(T.BinaryType())
-    def encode(rec: pd.DataFrame) -> pd.Series:
-        cols = [rec[n].tolist() for n in names]
-        out = []
-        for row in zip(*cols):
-            try:
-                out.append(encode_record(row, kinds, scales))
-            except (ValueError, TypeError, ArithmeticError):
-                out.append(None)     # schema-invalid record: no message
-        return pd.Series(out, dtype=object)
+
+    @F.arrow_udf(T.BinaryType())
+    def encode(rec: pa.Array) -> pa.Array:
+        return avro_codec.encode(rec, kinds, scales, names)
 
     return _once(encode)
 
 
 def _decoder(contract: dict):
     names, kinds, scales = _layout(contract)
-    schema = body_schema(contract)
-    arrow_udf = _arrow_udf()
-    if arrow_udf is not None:
-        types = [pa.decimal128(38, sc) if k == "decimal" else None for k, sc in zip(kinds, scales)]
-
-        @arrow_udf(schema)
-        def decode_arrow(body: pa.Array) -> pa.Array:
-            return avro_codec.decode(body, kinds, scales, names, types)
-
-        return _once(decode_arrow)
-
-    @F.pandas_udf(schema)
-    def decode(body: pd.Series) -> pd.DataFrame:
-        rows = []
-        empty = [None] * len(names)
-        for b in body.tolist():
-            if b is None:
-                rows.append(empty + [None])
-                continue
-            try:
-                rows.append(decode_record(bytes(b), kinds, scales) + [None])
-            except (ValueError, UnicodeDecodeError, OverflowError):
-                rows.append(empty + ["bad_avro"])
-        pdf = pd.DataFrame(rows, columns=names + ["decode_error"])
-        for n, k in zip(names, kinds):
-            if k == "long":
-                pdf[n] = pdf[n].astype("Int64")
-        return pdf
+    types = [pa.decimal128(38, sc) if k == "decimal" else None for k, sc in zip(kinds, scales)]
+
+    @F.arrow_udf(body_schema(contract))
+    def decode(body: pa.Array) -> pa.Array:
+        return avro_codec.decode(body, kinds, scales, names, types)
 
     return _once(decode)
 
@@ -222,7 +96,7 @@ def header(value: Column, schema_id: int) -> Column:
 
 
 def avro_encode_frame(quotes: DataFrame, schema_id: int = 1, contract: dict = QUOTE_AVRO,
-                      key_col: str = "symbol", native: bool = False, keep=()) -> DataFrame:
+                      key_col: str = "symbol", native: bool = True, keep=()) -> DataFrame:
     """Wire-shaped rows (contract fields; times as TIMESTAMP or millis) -> ``key, value``
     (plus the ``keep`` columns carried through).
 
@@ -265,7 +139,7 @@ def wire_unframe(df: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def avro_decode(df: DataFrame, contract: dict = QUOTE_AVRO, body_col: str = "body",
-                native: bool = False) -> DataFrame:
+                native: bool = True) -> DataFrame:
     """Decode the Avro body into the contract's columns; a poison body never fails the
     query: it gets ``decode_error`` (frame errors take precedence)."""
     names, kinds, _ = _layout(contract)
@@ -292,7 +166,7 @@ def avro_decode(df: DataFrame, contract: dict = QUOTE_AVRO, body_col: str = "bod
     return decoded.select(*cols)
 
 
-def read_framed_quotes(kafka_rows: DataFrame, native: bool = False) -> DataFrame:
+def read_framed_quotes(kafka_rows: DataFrame, native: bool = True) -> DataFrame:
     """Kafka-shaped rows -> decoded wire quotes (strings for price/volume) with
     ``decode_error`` set for poison messages; pair with ``validate_quotes``."""
     return avro_decode(wire_unframe(kafka_rows), QUOTE_AVRO, native=native)

@@ -5,7 +5,8 @@ State per symbol is ``(prev_day_volume, prev_time_ms)``. Rows of a micro-batch a
 sorted by ``(quote_time, day_volume, price)`` first. A row older than ``prev_time``
 is late: it gets increment 0 and does not move the reference, so only a *newer* lower
 cumulative value counts as a day reset. Everything else is max(0, cum - prev), and
-the first quote of a symbol gets 0. Per-key work is bounded by the micro-batch size.
+the first quote of a symbol gets 0. A symbol's rows of one micro-batch are in memory together:
+bound the batch with the source's ``max_offsets_per_trigger`` or ``max_files_per_trigger``.
 """
 
 from __future__ import annotations
@@ -27,28 +28,23 @@ def _increments(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.Data
         return
     pdf = pdf.sort_values(["quote_time", "day_volume", "price"], kind="mergesort", na_position="first")
     t = pdf["quote_time"].to_numpy().astype("datetime64[ms]").astype("int64")   # epoch millis, any unit
-    cum = pdf["day_volume"].astype("float64").to_numpy()
+    none = pdf["day_volume"].isna().to_numpy()
+    cum = pdf["day_volume"].fillna(0).to_numpy().astype("int64")     # whole numbers: exact at any size
     prev, prev_time = (state.get if state.exists else (None, None))
     late = np.zeros(len(pdf), dtype=bool) if prev_time is None else t < prev_time
-    keep = ~late
-    cum_k = cum[keep]
-    prev_k = np.empty_like(cum_k)
-    if len(cum_k):
-        prev_k[1:] = cum_k[:-1]
-        prev_k[0] = np.nan if prev is None else prev
-    inc_k = np.where(np.isnan(prev_k), 0.0, np.maximum(0.0, cum_k - prev_k))
-    inc_k = np.where(np.isnan(cum_k), 0.0, inc_k)
-    inc = np.zeros(len(pdf))
-    inc[keep] = inc_k
-    if len(cum_k):
-        last = cum_k[-1]
-        state.update((None if np.isnan(last) else int(last), int(t[keep][-1])))
+    keep = np.flatnonzero(~late)
+    inc = np.zeros(len(pdf), dtype="int64")
+    if len(keep):
+        before = np.r_[0 if prev is None else prev, cum[keep][:-1]]
+        unknown = np.r_[prev is None, none[keep][:-1]] | none[keep]
+        inc[keep] = np.where(unknown, 0, np.maximum(0, cum[keep] - before))
+        state.update((None if none[keep[-1]] else int(cum[keep[-1]]), int(t[keep[-1]])))
     yield pd.DataFrame({
         "symbol": pdf["symbol"].to_numpy(),
         "quote_time": pdf["quote_time"].to_numpy(),
         "day_volume": pdf["day_volume"].astype("Int64").to_numpy(),
         "price": pdf["price"].to_numpy(),
-        "volume": inc.astype("int64"),
+        "volume": inc,
     })
 
 

@@ -12,7 +12,7 @@ def spark():
     from quotebars.session import build_session
     ckpt = tempfile.mkdtemp(prefix="quotebars-test-")
     session = build_session("local[4]", app_name="quotebars-tests", shuffle_partitions=4,
-                            extra={"spark.checkpoint.dir": ckpt,
+                            extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": f"{ckpt}/warehouse",
                                    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -59,14 +59,18 @@ def test_replay_layout_and_missing_file(spark, scratch):
         .select("symbol", F.col("price").cast("decimal(38,8)").alias("price"),
                 F.col("volume").cast("decimal(38,8)").alias("volume"), "day_volume", "quote_time")
     bars = aggregate_ohlcv(q)
-    doc = build_replay_snapshot(bars, q, n=12, generated_at="2026-06-20T12:00:00Z").collect()[0]
+    at = {"generated_at": "2026-06-20T12:00:00Z"}
+    doc = build_replay_snapshot(bars, q, ["AAPL", "MSFT", "NONE"], 12, **at).collect()[0]
     assert doc.symbols == ["AAPL", "MSFT"]
-    assert [t.t for t in doc.ticks["AAPL"]] == sorted(t.t for t in doc.ticks["AAPL"]) and len(doc.ticks["AAPL"]) == 12
+    # 40 ticks over 14 windows: the last 12 windows hold 34 of them, uncut
+    assert [t.t for t in doc.ticks["AAPL"]] == sorted(t.t for t in doc.ticks["AAPL"]) and len(doc.ticks["AAPL"]) == 34
     assert len(doc.ohlcv["MSFT"]) == 12 and doc.ohlcv["MSFT"][-1].close == 139.0
-    sink_replay_snapshot(bars, q, f"{root}/replay", n=12, generated_at="2026-06-20T12:00:00Z")
+    sink_replay_snapshot(bars, q, f"{root}/replay", ["AAPL", "MSFT"], **at)
     text = [json.loads(x) for x in spark.read.text(f"{root}/replay").collect()[0]]
     assert set(text[0]) == {"generated_at", "symbols", "ticks", "ohlcv"}
-    ticks, rbars = src_replay_snapshot(spark, f"{root}/replay")
-    assert ticks.count() == 24 and rbars.count() == 24
+    sink_replay_snapshot(bars, q, f"{root}/lines", **at)
+    assert sorted(json.loads(r.value)["symbol"] for r in spark.read.text(f"{root}/lines").collect()) == ["AAPL", "MSFT"]
+    for found in (src_replay_snapshot(spark, f"{root}/replay", document=True), src_replay_snapshot(spark, f"{root}/lines")):
+        assert found[0].count() == 68 and found[1].count() == 24
     t2, b2 = src_replay_snapshot(spark, f"{root}/does-not-exist")
     assert t2.count() == 0 and b2.count() == 0

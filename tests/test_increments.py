@@ -17,7 +17,7 @@ def _quotes(spark, cums, sym="A", start=0):
 
 
 def test_batch_increments_with_day_reset(spark):
-    out = volume_increments(_quotes(spark, [100, 150, 20, 25]), num_partitions=3)
+    out = volume_increments(_quotes(spark, [100, 150, 20, 25]))
     assert [r.volume for r in out.orderBy("quote_time").collect()] == [0, 50, 0, 5]
 
 

@@ -8,7 +8,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quotebars.operators.rollup import aggregate_ohlcv, cast_quote_columns
+from quotebars.operators.rollup import aggregate_ohlcv
+from quotebars.sources.ingest import cast_quote_columns
 
 UTC = dt.timezone.utc
 T0 = dt.datetime(2026, 6, 20, 12, 0, 0, tzinfo=UTC)

@@ -1,87 +1,66 @@
-"""ordered_scan against a brute-force pandas scan, on skewed data spread over many
-range partitions and small Arrow batches (so groups span partitions and batches)."""
+"""ordered_scan against a brute-force scan: skewed keys, blocks, NULLs, extreme numbers."""
 
-import random
+import math
 
-import pandas as pd
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quotebars.operators.sequence import ordered_scan
 
 
-def _brute(pdf, groups, order, value):
-    pdf = pdf.sort_values(groups + order, kind="mergesort")
-    g = pdf.groupby(groups, dropna=False)[value]
-    rs = pdf[value].fillna(0).groupby([pdf[c] for c in groups], dropna=False).cumsum()
-    seen = pdf[value].notna().astype(int).groupby([pdf[c] for c in groups], dropna=False).cumsum() > 0
-    pdf = pdf.assign(rs_ref=rs.where(seen), pv_ref=g.shift())
-    return pdf
+def brute(rows, zero):
+    """{seq: (running sum, previous)} of rows (key, seq, value) in the order of seq, NULL first."""
+    total, last, out = {}, {}, {}
+    for k, s, v in sorted(rows, key=lambda r: (r[1] is not None, r[1])):
+        if v is not None:
+            total[k] = total.get(k, zero) + v
+        out[(k, s)] = (total.get(k), last.get(k))
+        last[k] = v
+    return out
 
 
-def _fixture(n=3000, seed=1):
-    rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
-        sym = "HOT" if rnd.random() < 0.6 else rnd.choice(["A", "B", "C", None])
-        day = rnd.randint(0, 3)
-        val = None if rnd.random() < 0.05 else rnd.randint(-5, 100)
-        rows.append((sym, day, i, val))
-    return rows
+def scan(spark, rows, kind, block):
+    df = spark.createDataFrame(rows, f"k string, s long, v {kind}")
+    out = ordered_scan(df, ["k"], ["s"], "v", running_sum="rs", previous="pv", block=block and F.expr(block))
+    assert out.columns == ["k", "s", "v", "rs", "pv"]
+    return {(r.k, r.s): (r.rs, r.pv) for r in out.collect()}
 
 
-import pytest
+BLOCKS = {"none": None, "tens": "floor(s / 10)", "each": "s", "one": "1"}
 
 
-@pytest.mark.parametrize("strategy,max_rows", [("range", None), ("window", None), ("auto", 200), ("auto", None)])
-def test_ordered_scan_matches_brute_force(spark, strategy, max_rows):
-    rows = _fixture()
-    df = spark.createDataFrame(rows, "sym string, day int, seq long, v long")
-    out = ordered_scan(df, ["sym", "day"], ["seq"], "v", running_sum="rs", previous="pv", num_partitions=16,
-                       strategy=strategy, max_group_rows=max_rows)
-    got = out.toPandas().sort_values("seq").reset_index(drop=True)
-    ref = _brute(pd.DataFrame(rows, columns=["sym", "day", "seq", "v"]), ["sym", "day"], ["seq"], "v")
-    ref = ref.sort_values("seq").reset_index(drop=True)
-    assert len(got) == len(ref)
-    pd.testing.assert_series_equal(got["rs"].astype("Float64"), ref["rs_ref"].astype("Float64"),
-                                   check_names=False)
-    pd.testing.assert_series_equal(got["pv"].astype("Float64"), ref["pv_ref"].astype("Float64"),
-                                   check_names=False)
-
-
-def test_ordered_scan_hot_key_is_split(spark):
-    # one key holds every row: the range exchange still spreads it over all partitions
-    df = spark.range(0, 20000).select(F.lit("HOT").alias("sym"), F.col("id").alias("seq"),
-                                      (F.col("id") % 7).alias("v"))
-    out = ordered_scan(df, ["sym"], ["seq"], "v", running_sum="rs", num_partitions=8, max_group_rows=1000)
-    assert "rangepartitioning" in out._jdf.queryExecution().executedPlan().toString()
-    sizes = (df.repartitionByRange(8, "sym", "seq").groupBy(F.spark_partition_id()).count().collect())
-    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 20000 / 2
-    last = out.where(F.col("seq") == 19999).collect()[0]
-    assert last.rs == sum(i % 7 for i in range(20000))
-
-
-from hypothesis import given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
-
-_rows = st.lists(st.tuples(st.sampled_from(["A", "B", None]), st.integers(0, 2),
-                           st.one_of(st.none(), st.integers(-50, 50))), min_size=1, max_size=60)
-
-
-@settings(max_examples=8, deadline=None)
-@given(_rows, st.sampled_from(["range", "window", "auto"]), st.integers(1, 9))
-def test_property_ordered_scan(spark, rows, strategy, parts):
-    data = [(s, d, i, v) for i, (s, d, v) in enumerate(rows)]
-    df = spark.createDataFrame(data, "sym string, day int, seq long, v long")
-    out = ordered_scan(df, ["sym", "day"], ["seq"], "v", running_sum="rs", previous="pv",
-                       num_partitions=parts, strategy=strategy, max_group_rows=5)
-    got = {r.seq: (r.rs, r.pv) for r in out.collect()}
-    totals, last = {}, {}
-    for s, d, i, v in data:
-        k = (s, d)
-        prev_total = totals.get(k)
-        if v is not None:
-            totals[k] = (prev_total or 0) + v
-        want_rs = totals.get(k)
-        want_pv = last[k] if k in last else None
-        assert got[i] == (want_rs, want_pv), (i, got[i], want_rs, want_pv)
-        last[k] = v
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["HOT", "HOT", "HOT", "b", None]), st.one_of(st.none(), st.integers(-50, 50))), max_size=60),
+       st.sampled_from(sorted(BLOCKS)))
+def test_longs_equal_brute_force(spark, values, block):
+    rows = [(k, i, v) for i, (k, v) in enumerate(values)]
+    rows.append(("HOT", None, 5))
+    assert scan(spark, rows, "long", BLOCKS[block]) == brute(rows, 0)
+
+
+@pytest.mark.parametrize("block", sorted(BLOCKS))
+def test_groups_never_touch_each_other(spark, block):
+    rows = [("a", 0, 1e18), ("b", 1, 0.1), ("b", 2, 0.2), ("c", 3, math.inf), ("d", 4, 1.0), ("d", 25, -math.inf), ("e", 5, 2.5), ("e", 99, None)]
+    assert scan(spark, rows, "double", BLOCKS[block]) == brute(rows, 0.0)
+
+
+@pytest.mark.parametrize("block", sorted(BLOCKS))
+def test_an_overflow_raises(spark, block):
+    top = 2**63 - 1
+    near = [("a", 0, top - 1), ("a", 20, 1), ("b", 21, -top)]
+    assert scan(spark, near, "long", BLOCKS[block]) == brute(near, 0)
+    with pytest.raises(Exception, match="OVERFLOW"):
+        scan(spark, near + [("a", 30, 5)], "long", BLOCKS[block])
+
+
+def test_a_hot_key_is_split_by_its_blocks(spark):
+    df = spark.range(0, 20000).select(F.concat(F.lit("HOT"), (F.col("id") * 0).cast("string")).alias("k"), F.col("id").alias("s"), (F.col("id") % 7).alias("v"))
+    out = ordered_scan(df, ["k"], ["s"], "v", running_sum="rs", previous="pv", block=F.floor(F.col("s") / 500))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "_block" in plan.split("hashpartitioning(")[1].split(")")[0]
+    total = 0
+    for r in out.orderBy("s").collect():
+        total += r.s % 7
+        assert r.rs == total and r.pv == ((r.s - 1) % 7 if r.s else None)

@@ -101,7 +101,7 @@ def test_quarantine_and_counters(spark, scratch):
     assert quality_totals(raw_q) == {"rows": 23, "sent": 20, "dropped": 3}
 
 
-def test_keyed_topic_files_keep_key_order(spark, scratch):
+def test_keyed_topic_files_are_in_time_order_and_keep_key_order(spark, scratch):
     from quotebars.sources.topic import sink_keyed_topic
     root = scratch("topic")
     rows = [("HOT" if i % 4 else "COLD", T0 + dt.timedelta(seconds=i), i) for i in range(400)]
@@ -111,14 +111,30 @@ def test_keyed_topic_files_keep_key_order(spark, scratch):
     sink_keyed_topic(df, path=f"{root}/t", num_files=4)
     files = sorted(spark.read.parquet(f"{root}/t").inputFiles())
     assert len(files) >= 3                       # the hot key spans several files
-    seq = []
+    seq, last = [], None
     for f in files:
-        seq += [(bytes(r.key), r.timestamp) for r in spark.read.parquet(f).collect()]
+        rows = [(bytes(r.key), r.timestamp) for r in spark.read.parquet(f).collect()]
+        assert last is None or min(t for _, t in rows) > last
+        last = max(t for _, t in rows)
+        seq += rows
     for k in (b"HOT", b"COLD"):
         ts = [t for key, t in seq if key == k]
         assert ts == sorted(ts) and len(ts) == (300 if k == b"HOT" else 100)
 
 
+def test_keyed_topic_files_stream_without_late_drops(spark, scratch):
+    from quotebars.sources.topic import sink_keyed_topic
+    root = scratch("topic-stream")
+    frames = _topic(spark, 240, 0)
+    frames.write.parquet(f"{root}/frames")
+    # published by a stream, into files of time ranges
+    sink_keyed_topic(spark.readStream.schema(frames.schema).parquet(f"{root}/frames"), path=f"{root}/topic", num_files=4,
+                     checkpoint=f"{root}/publish", trigger={"availableNow": True}).awaitTermination()
+    multi_query_app(spark, lambda: src_kafka(spark, path=f"{root}/topic", max_files_per_trigger=1), f"{root}/raw",
+                    BarStore(spark, f"{root}/ohlcv"), f"{root}/ck", trigger={"availableNow": True})
+    assert _totals(spark, root) == (240, 240)
+
+
 def test_quality_listener_totals(spark, scratch):
     import time
 

@@ -115,21 +115,6 @@ def test_namespace_and_day_range(spark, scratch):
     assert sel.count() == q.where((F.col("quote_time") >= lo) & (F.col("quote_time") < hi)).count()
 
 
-def test_range_scan_without_exchange_reuse(spark):
-    from quotebars.operators.sequence import ordered_scan
-    df = spark.range(0, 3000).select((F.col("id") % 3).cast("string").alias("g"), "id", (F.col("id") % 5).alias("v"))
-    spark.conf.set("spark.sql.exchange.reuse", "false")
-    try:
-        got = {r.id: r.rs for r in ordered_scan(df, ["g"], ["id"], "v", running_sum="rs",
-                                                 strategy="range", num_partitions=7).collect()}
-    finally:
-        spark.conf.set("spark.sql.exchange.reuse", "true")
-    running = {}
-    for i in range(3000):
-        running[i % 3] = running.get(i % 3, 0) + i % 5
-        assert got[i] == running[i % 3]
-
-
 def test_day_scoped_compaction(spark, scratch):
     # quotes over three days; compact the first two days only
     rows = [("A", 100 + i % 5, 1, i, T0 + dt.timedelta(hours=7 * i), "t") for i in range(20)]

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from quotebars.operators.quality import split_valid, validate_quotes
 from quotebars.schemas import OHLCV_AVRO, QUOTE_AVRO
-from quotebars.sources.wire import (_layout, avro_decode, avro_encode_frame, decode_record, encode_record,
-                                    read_framed_quotes, wire_unframe)
+from quotebars.sources.wire import _layout, avro_decode, avro_encode_frame, read_framed_quotes, wire_unframe
+from tests.avro_reference import decode_record, encode_record
 
 T0 = dt.datetime(2023, 11, 14, 22, 13, 20)
 WIRE = "symbol string, price string, volume string, day_volume long, quote_time timestamp, " \
@@ -148,7 +148,8 @@ def test_vectorised_encode_skips_null_records():
 
 
 def test_sink_bars_topic_files(spark, scratch):
-    from quotebars.operators.rollup import aggregate_ohlcv, cast_quote_columns
+    from quotebars.operators.rollup import aggregate_ohlcv
+    from quotebars.sources.ingest import cast_quote_columns
     from quotebars.schemas import OHLCV_AVRO
     from quotebars.sources.topic import sink_bars_topic
     rows = [("A", "10.5", "2", 1, T0 + dt.timedelta(seconds=70 * i)) for i in range(5)]
