@@ -37,6 +37,8 @@ MISS = 1e-6
 SLACK = 5.0
 #: nodes of one side of a comparison block
 BLOCK = 512
+#: pairs of a node with one other component that the first search confirms; the second has no limit
+FIRST = 8
 _U64 = np.uint64
 
 
@@ -98,19 +100,22 @@ def estimate(above: np.ndarray, below: np.ndarray, equal: np.ndarray, n_a: np.nd
     u = n_a / (n_a + n_b)
     v = 1 - u
     most = np.minimum(u / v, v / u)
-    best, value = np.full(len(u), -np.inf), np.zeros(len(u))
     scale = (BASE - 1) / BASE
 
     def share(x: np.ndarray) -> np.ndarray:
         return np.clip(-np.log1p(-np.clip(x, 0, 1) * scale) / math.log(BASE), 1e-12, 1 - 1e-12)
 
-    for step in range(201):
-        j = most * (step / 200)
+    def likelihood(j: np.ndarray) -> np.ndarray:
         p, q = share(u - v * j), share(v - u * j)
-        like = above * np.log(p) + below * np.log(q) + equal * np.log(np.clip(1 - p - q, 1e-12, 1))
-        better = like > best
-        best, value = np.where(better, like, best), np.where(better, j, value)
-    return value
+        return above * np.log(p) + below * np.log(q) + equal * np.log(np.clip(1 - p - q, 1e-12, 1))
+
+    # the likelihood has one peak: thirds that cannot hold it are cut off
+    low, high = np.zeros(len(u)), most.copy()
+    for _ in range(20):
+        third = (high - low) / 3
+        left = likelihood(low + third) > likelihood(high - third)
+        low, high = np.where(left, low, low + third), np.where(left, high - third, high)
+    return (low + high) / 2
 
 
 def least_estimate(threshold: float, registers: int = REGISTERS) -> float:
@@ -202,10 +207,10 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> D
     return joined.mapInArrow(run, "a long, b long, linked boolean")
 
 
-def across_components(members: DataFrame, nodes: DataFrame, comp: DataFrame, least: float, most: int | None) -> DataFrame:
+def across_components(members: DataFrame, nodes: DataFrame, comp: DataFrame, least: float, most: int | None, registers: int = REGISTERS) -> DataFrame:
     """(a, b, cut) for buckets that hold several components: pairs of different components whose
-    estimate reaches ``least``; of a node's pairs with one component the best ``most`` in a block,
-    where ``cut`` says that there were others.
+    estimate reaches ``least``; of a node's pairs with one component the best ``most`` (and one more
+    that ``cut`` marks as left for later) in a block.
 
     A bucket's largest component is never compared with itself: its nodes are dealt into blocks,
     and each block meets the blocks of the bucket's other nodes."""
@@ -227,6 +232,9 @@ def across_components(members: DataFrame, nodes: DataFrame, comp: DataFrame, lea
               .select(F.struct("bucket", "cell").alias("cell"), "node", "component", "is_main", "blk")
               .join(nodes.select("node", "n_shingles", "sketch"), "node"))
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_())])
+    # fewer equal registers than this don't give the estimate: an equal one is at least as likely
+    # as the similarity, and SLACK once more is left for chance
+    enough = max(0.0, least - 0.1) * registers
 
     def search(_: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -234,23 +242,30 @@ def across_components(members: DataFrame, nodes: DataFrame, comp: DataFrame, lea
         sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype="<u2").reshape(len(node), -1)
         size = rows.column("n_shingles").to_numpy().astype(float)
         main = rows.column("is_main").to_numpy(zero_copy_only=False)
-        found: list[tuple[int, int, bool]] = []
+        left, right, equal, over = [], [], [], []
         for x in np.flatnonzero(~main):
             other = np.flatnonzero((part != part[x]) & (main | (node > node[x])))
-            if not len(other):
-                continue
-            s, t = sketch[x], sketch[other]
-            same = (s == t).sum(axis=1)
-            other, t, same = (z[same >= sketch.shape[1] * least * 0.8] for z in (other, t, same))
-            value = estimate((s > t).sum(axis=1), (s < t).sum(axis=1), same, np.full(len(other), size[x]), size[other])
-            near = np.flatnonzero(value >= least)
-            near = near[np.argsort(-value[near], kind="stable")]
-            count: dict[int, int] = {}
-            for k in near:
-                seen = count[part[other[k]]] = count.get(part[other[k]], 0) + 1
-                if most is None or seen <= most:
-                    found.append((int(max(node[x], node[other[k]])), int(min(node[x], node[other[k]])), most is not None and seen == most))
-        return pa.Table.from_batches([record_batch(out, list(zip(*found, strict=True)) if found else [[], [], []])])
+            same = (sketch[other] == sketch[x]).sum(axis=1)
+            other, same = other[same >= enough], same[same >= enough]
+            left.append(np.full(len(other), x))
+            right.append(other)
+            equal.append(same)
+            over.append((sketch[x] > sketch[other]).sum(axis=1))
+        if not left:
+            return pa.Table.from_batches([record_batch(out, [[], [], []])])
+        x, y, same, above = (np.concatenate(z) for z in (left, right, equal, over))
+        value = estimate(above, sketch.shape[1] - above - same, same, size[x], size[y])
+        near = np.flatnonzero(value >= least)
+        cut = np.zeros(len(near), dtype=bool)
+        if most is not None:
+            # rank of a pair among those of its node with the other's component
+            order = np.lexsort((-value[near], part[y[near]], x[near]))
+            near = near[order]
+            new = np.r_[True, (x[near][1:] != x[near][:-1]) | (part[y[near]][1:] != part[y[near]][:-1])] if len(near) else np.zeros(0, dtype=bool)
+            rank = np.arange(len(near)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(near) else np.zeros(0, dtype=np.int64)
+            near, cut = near[rank <= most], rank[rank <= most] == most
+        a, b = node[x[near]], node[y[near]]
+        return pa.Table.from_batches([record_batch(out, [np.maximum(a, b), np.minimum(a, b), cut])])
 
     pairs = placed.groupBy("cell").applyInArrow(search, "a long, b long, cut boolean")
     return pairs.groupBy("a", "b").agg(F.max("cut").alias("cut"))
@@ -286,30 +301,32 @@ def near_groups(docs: DataFrame, size: int = 5, share: tuple[int, int] = (80, 10
     texts = docs.select(F.col(key).cast("long").alias("node"), F.col(text).cast("string").alias("text"))
     # of a node that stands for equal sets, its own row: the sets are equal
     shingle_documents(texts.join(involved, "node", "left_semi"), size).write.parquet(f"{root}/sets")
-    sets = spark.read.parquet(f"{root}/sets").groupBy("node").agg(F.first("shingles").alias("shingles")) if _repeats(rows) else spark.read.parquet(f"{root}/sets")
+    sets = spark.read.parquet(f"{root}/sets")
+    if _repeats(rows):  # a node of several sets is compared by each of them
+        sets = sets.dropDuplicates(["node", "shingles"])
 
     # each node against the pivot that it shares most buckets with
     stars = (members.where("node <> pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("node").agg(F.max_by("pivot", F.struct(F.col("n"), -F.col("pivot"))).alias("b")).select(F.col("node").alias("a"), "b"))
-    verify_pairs(estimate_pairs(stars, nodes, least), sets, share).write.parquet(f"{root}/checked/round=0")
-    # rows that share an identifier, and nodes of several sets, are joined by that identifier
-    limit, number = 4, 0
-    while True:
-        checked = spark.read.schema("a long, b long, linked boolean").parquet(*[f"{root}/checked/round={i}" for i in range(number + 1)])
-        comp = components(checked.where("linked").select("a", "b"), f"{root}/components-{number}")
-        number += 1
-        across_components(members.select("bucket", "node"), nodes, comp, least, limit).write.parquet(f"{root}/across-{number}")
-        across = spark.read.schema("a long, b long, cut boolean").parquet(f"{root}/across-{number}")
-        fresh = across.join(checked.select("a", "b"), ["a", "b"], "left_anti").unionByName(
-            spark.createDataFrame([], across.schema))
-        verify_pairs(fresh.select("a", "b"), sets, share).write.parquet(f"{root}/checked/round={number}")
-        state = spark.read.schema("a long, b long, linked boolean").parquet(f"{root}/checked/round={number}").agg(
-            F.count(F.lit(1)), F.count(F.when(F.col("linked"), 1))).first()
-        more = across.where("cut").limit(1).count() > 0
-        if not state[1] and not more:
+    checked: DataFrame | None = None
+    comp = members.select("node", F.col("node").alias("component")).limit(0)
+    for number, most in enumerate((0, FIRST, None)):
+        path = f"{root}/checked/round={number}"
+        if not number:
+            pairs = estimate_pairs(stars, nodes, least)
+        else:
+            across_components(members.select("bucket", "node"), nodes, comp, least, most, registers).write.parquet(f"{root}/across-{number}")
+            across = spark.read.schema("a long, b long, cut boolean").parquet(f"{root}/across-{number}")
+            pairs = across.select("a", "b").join(checked.select("a", "b"), ["a", "b"], "left_anti")
+        verify_pairs(pairs, sets, share).write.parquet(path)
+        links = spark.read.schema("a long, b long, linked boolean").parquet(path)
+        checked = links if checked is None else checked.unionByName(links)
+        if links.where("linked").take(1):
+            known = comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            comp = components(links.where("linked").select("a", "b").unionByName(known), f"{root}/components-{number}")
+        # nothing was left for later, or nothing that is new can be found
+        if number and most is not None and not across.where("cut").take(1):
             break
-        if not state[1]:
-            limit = None if limit >= 64 else limit * 16
     owner = full.select("id", "set_hash").join(full.groupBy("set_hash").agg(F.min("id").alias("node")), "set_hash").select("id", "node")
     placed = owner.join(comp, "node", "left").select("id", F.coalesce("component", "node").alias("component_id"))
     placed = placed.groupBy("id").agg(F.min("component_id").alias("component_id"))
