@@ -37,6 +37,11 @@ CHUNK_DAYS = 3
 _cache: dict = {}     # scenario outputs already written in this application: paths only
 
 
+def forget() -> None:
+    """Let every scenario build its inputs anew (for cold timings)."""
+    _cache.clear()
+
+
 def _app(spark) -> str:
     return spark.sparkContext.applicationId
 
