@@ -13,6 +13,7 @@ of which no piece is made), and encodings of short segments are remembered.
 from __future__ import annotations
 
 import codecs
+import math
 import re
 from collections.abc import Iterator
 
@@ -58,16 +59,26 @@ class PieceTable:
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
+        self.histories: dict[int, tuple[list[float], list[str], list[str]] | None] = {}
         self.segments: dict[str, str] = {}
+        self.words: dict[str, str] = {}
         breaks = "".join(c for c in "\n\r\t" if c not in self.known)
         inner = any(MARK in p.lstrip(MARK) for p in self.scores)
         no = re.escape(breaks)
+        # no merge crosses a new line or the place before a mark: lines and words can be cut out
+        self.by_line = "\n" in breaks and not inner
+        self.newline = " ".join(str(self.byte_ids[b]) for b in b"\n")
         inside = rf"[^{no}]+" if inner else rf"{MARK}+[^{MARK}{no}]*|[^{MARK}{no}]+"
         self.cut = re.compile(rf"{inside}|[{no}]" if breaks else r"(?s:.+)" if inner else rf"{MARK}+[^{MARK}]*|[^{MARK}]+")
 
-    def merged(self, text: str) -> list[str]:
-        """Plain merging of a short text: best score first, then leftmost."""
-        parts = list(text)
+    def history(self, token: int) -> tuple[list[float], list[str], list[str]] | None:
+        """How plain merging (best score first, then leftmost) builds a piece from its characters:
+        the scores of its merges in order, then -inf, and after each number of merges the first
+        and the last part. None if merging ends in anything else."""
+        if token in self.histories:
+            return self.histories[token]
+        parts = list(self.pieces[token])
+        scores, firsts, lasts = [], [parts[0]], [parts[-1]]
         while True:
             best, at = None, -1
             for i in range(len(parts) - 1):
@@ -75,20 +86,49 @@ class PieceTable:
                 if score is not None and (best is None or score > best):
                     best, at = score, i
             if best is None:
-                return parts
+                break
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            scores.append(best)
+            firsts.append(parts[0])
+            lasts.append(parts[-1])
+        found = (scores + [-math.inf], firsts, lasts) if len(parts) == 1 else None
+        self.histories[token] = found
+        return found
 
     def fits(self, left: int, right: int) -> bool:
-        """Are the two tokens, side by side, the encoding of their text? left -1: is the right one alone?"""
+        """Are the two tokens, side by side, the encoding of their text? left -1: is the right one alone?
+
+        Merging goes on within the two as it would in each alone, whichever merge is next in score
+        first, unless at some time a merge across the boundary comes before both."""
         key = left << 32 | right
         found = self.pairs.get(key)
         if found is None:
             if len(self.pairs) >= REMEMBERED * 4:
                 self.pairs.clear()
-            want = [self.pieces[right]] if left < 0 else [self.pieces[left], self.pieces[right]]
-            found = self.pairs[key] = self.merged("".join(want)) == want
+            found = self.pairs[key] = self._fits(left, right)
         return found
 
+    def _fits(self, left: int, right: int) -> bool:
+        b = self.history(right)
+        if left < 0 or b is None:
+            return b is not None
+        a = self.history(left)
+        if a is None:
+            return False
+        (a_next, _, a_last), (b_next, b_first, _) = a, b
+        i = j = 0
+        while True:
+            across = self.scores.get(a_last[i] + b_first[j])
+            s, t = a_next[i], b_next[j]
+            if across is not None and across > s and across >= t:   # of equal scores the leftmost merges
+                return False
+            if s == t == -math.inf:
+                return True
+            if s >= t:
+                i += 1
+            else:
+                j += 1
+
     def encode_known(self, text: str) -> list[int]:
         """Ids of a text of known characters: the prefix table, then backwards."""
         last = [-1] * (len(text) + 1)
@@ -119,21 +159,50 @@ class PieceTable:
             out += [self.byte_ids[b] for b in c.encode()]
         return out + self.encode_known("".join(run))
 
+    def remembered(self, segment: str) -> str:
+        """Ids of a segment, from memory if it is there."""
+        ids = self.segments.get(segment)
+        if ids is None:
+            ids = " ".join(map(str, self.encode_segment(segment)))
+            if len(segment) <= SHORT:
+                if len(self.segments) >= REMEMBERED:
+                    self.segments.clear()
+                self.segments[segment] = ids
+        return ids
+
+    def after_blank(self, word: str) -> str:
+        """Ids of a word and the blank before it."""
+        ids = self.words.get(word)
+        if ids is None:
+            ids = " ".join(map(str, self.encode_segment(MARK + word)))
+            if len(word) <= SHORT:
+                if len(self.words) >= REMEMBERED:
+                    self.words.clear()
+                self.words[word] = ids
+        return ids
+
     def encode(self, text: str) -> str:
         """Decimal ids of a whole text, joined by a blank, without an end id."""
         if not text:
             return ""
-        memory = self.segments
-        segments = self.cut.findall(MARK + text.replace(" ", MARK))
-        out = list(map(memory.get, segments))
-        if None in out:
-            for i, segment in enumerate(segments):
-                if out[i] is None:
-                    ids = out[i] = memory.get(segment) or " ".join(map(str, self.encode_segment(segment)))
-                    if len(segment) <= SHORT:
-                        if len(memory) >= REMEMBERED:
-                            memory.clear()
-                        memory[segment] = ids
+        if not self.by_line:
+            return " ".join(map(self.remembered, self.cut.findall(MARK + text.replace(" ", MARK))))
+        out: list[str] = []
+        for n, line in enumerate(text.split("\n")):
+            if n:
+                out.append(self.newline)
+            if not line or "  " in line or MARK in line or line[0] == " " or line[-1] == " ":
+                line = line.replace(" ", MARK) if n else MARK + line.replace(" ", MARK)
+                out += map(self.remembered, self.cut.findall(line))
+                continue
+            # the usual case: words with one blank between two
+            words = line.split(" ")
+            ids = list(map(self.words.get, words))
+            if n:
+                ids[0] = self.remembered(words[0])
+            if None in ids:
+                ids = [found or self.after_blank(word) for found, word in zip(ids, words, strict=True)]
+            out += ids
         return " ".join(out)
 
     def decode(self, ids: str) -> str:
@@ -141,11 +210,12 @@ class PieceTable:
         read as UTF-8 (U+FFFD for each byte that is none), the blank put in front goes."""
         if not ids:
             return ""
-        text = "".join(map(self.text_of.__getitem__, ids.split(" ")))
+        parts = ids.split(" ")
+        text = "".join(map(self.text_of.__getitem__, parts))
         if not text.isascii():
             text = text.encode("utf-8", "surrogateescape").decode("utf-8", _EACH)
-        first = next((i for i in map(int, ids.split(" ")) if self.texts[i]), None)
-        return text[1:] if first is not None and self.pieces[first][:1] == MARK else text
+        first = next((p for p in parts if self.text_of[p]), None)
+        return text[1:] if first is not None and self.pieces[int(first)][:1] == MARK else text
 
 
 _TABLES: dict[str, PieceTable] = {}
