@@ -36,7 +36,7 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "found.n_words", "found.n_hit",
                         F.size("found.items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
-                        is_contaminated().alias("contaminated"), "found.longest_match")
+                        is_contaminated().alias("contaminated"))
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc": OP2_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op1_near_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op4_decontamination": OP4_SQL, "op8_exact_dedup": OP8_SQL}
 
 
 OP8_SQL = r"""
@@ -136,3 +136,48 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN owner <> page_id THEN owner END AS refers_to
 FROM p LEFT JOIN o USING (payload_digest)
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_SQL = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, words[k:k + 2] AS shingle
+  FROM w, unnest(range(1, greatest(len(words) - 1, 2))) AS t(k) WHERE len(words) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (
+  SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * shared >= 85 * (a.n + b.n - shared)),
+links AS (SELECT x, y FROM e UNION ALL SELECT y, x FROM e),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x),
+c AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM c LEFT JOIN n USING (doc_id)
+"""
+
+OP4_SQL = rf"""
+WITH i AS (
+  SELECT item_id, words, least(13, len(words)) AS n FROM (
+    SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark)
+  WHERE len(words) > 0),
+win AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, n, words[k:k + n - 1] AS w FROM i, unnest(range(1, len(words) - n + 2)) AS t(k)),
+d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
+hits AS (
+  SELECT doc_id, k, n, item FROM (
+    SELECT doc_id, n, k, words[k:k + n - 1] AS w
+    FROM d JOIN (SELECT DISTINCT n FROM i) ON n <= len(words), unnest(range(1, len(words) - n + 2)) AS t(k)) JOIN win USING (n, w)),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM hits, unnest(range(k, k + n)) AS t(place) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
