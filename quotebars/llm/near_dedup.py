@@ -7,9 +7,11 @@ similarity. Bands of register values bring candidates together, a joint likeliho
 from the registers that are larger, smaller and equal drops those out of reach, and the rest
 are confirmed on their full sets.
 
-Equal sets are one node. A band bucket is not expanded into pairs: each node is first compared
-with one pivot of its best bucket, and the links found are joined to components. Only buckets
-that still hold several components are searched further, and only across components.
+Equal sets are one node. Band buckets are not expanded into pairs: each node is first compared
+with one pivot, that of most of its buckets, and the links make components. Only clusters of
+buckets that still hold several components are searched further, across components alone: in
+cells of bounded blocks, pairs whose estimate is in reach are confirmed on the full sets there and
+then, and a cell returns links, not pairs.
 """
 
 from __future__ import annotations
@@ -35,10 +37,8 @@ REGISTERS = 192
 MISS = 1e-6
 #: standard deviations by which an estimate may fall short of the threshold
 SLACK = 5.0
-#: nodes of one side of a comparison block
-BLOCK = 512
-#: pairs of a node with one other component that the first search confirms; the second has no limit
-FIRST = 8
+#: nodes of one side of a comparison cell, and bytes of their sets
+BLOCK, BLOCK_BYTES = 512, 32 << 20
 _U64 = np.uint64
 
 
@@ -194,47 +194,36 @@ def verify_pairs(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
+            sure = []
             for i in range(batch.num_rows):
                 x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint64) for c in ("set_a", "set_b"))
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                both = int((y[at] == x).sum())
-                linked.append(share[1] * both >= share[0] * (len(x) + len(y) - both))
-            yield record_batch(out, [batch.column("a"), batch.column("b"), linked])
+                sure.append(linked(x, y, share))
+            yield record_batch(out, [batch.column("a"), batch.column("b"), sure])
 
     return joined.mapInArrow(run, "a long, b long, linked boolean")
 
 
-def across_components(members: DataFrame, nodes: DataFrame, comp: DataFrame, least: float, most: int | None, registers: int = REGISTERS) -> DataFrame:
-    """(a, b, cut) for buckets that hold several components: pairs of different components whose
-    estimate reaches ``least``; of a node's pairs with one component the best ``most`` (and one more
-    that ``cut`` marks as left for later) in a block.
-
-    A bucket's largest component is never compared with itself: its nodes are dealt into blocks,
-    and each block meets the blocks of the bucket's other nodes."""
-    tagged = members.join(comp, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    sized = tagged.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    tall = sized.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"),
-                                       F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    rows = (tagged.join(tall, "bucket")
-            .withColumn("is_main", F.col("component") == F.col("main"))
-            .withColumn("main_blocks", F.ceil(F.col("n_main") / BLOCK).cast("int"))
-            .withColumn("rest_blocks", F.ceil((F.col("n_all") - F.col("n_main")) / BLOCK).cast("int")))
-    block = F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("is_main"), F.col("main_blocks")).otherwise(F.col("rest_blocks"))).cast("int")
-    every = lambda n: F.sequence(F.lit(0), n - 1)
-    # a main block i meets each other block j; two other blocks i <= j meet
-    cells = F.when(F.col("is_main"), F.transform(every(F.col("rest_blocks")), lambda j: F.struct(F.lit("m").alias("kind"), F.col("blk").alias("i"), j.alias("j")))).otherwise(
-        F.concat(F.transform(every(F.col("main_blocks")), lambda i: F.struct(F.lit("m").alias("kind"), i.alias("i"), F.col("blk").alias("j"))),
-                 F.transform(every(F.col("rest_blocks")), lambda j: F.struct(F.lit("r").alias("kind"), F.least("blk", j).alias("i"), F.greatest("blk", j).alias("j")))))
-    placed = (rows.withColumn("blk", block).select("bucket", "node", "component", "is_main", "blk", F.explode(cells).alias("cell"))
-              .select(F.struct("bucket", "cell").alias("cell"), "node", "component", "is_main", "blk")
-              .join(nodes.select("node", "n_shingles", "sketch"), "node"))
-    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cut", pa.bool_())])
-    # fewer equal registers than this don't give the estimate: an equal one is at least as likely
-    # as the similarity, and SLACK once more is left for chance
-    enough = max(0.0, least - 0.1) * registers
+def overlap(x: np.ndarray, y: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct values share."""
+    if len(x) > len(y):
+        x, y = y, x
+    return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+
+
+def linked(x: np.ndarray, y: np.ndarray, share: tuple[int, int]) -> bool:
+    both = overlap(x, y)
+    return share[1] * both >= share[0] * (len(x) + len(y) - both)
+
+
+def search_clusters(placed: DataFrame, least: float, share: tuple[int, int]) -> DataFrame:
+    """Confirmed links (a, b) between different components, from rows (cell, node, component,
+    is_main, n_shingles, sketch, shingles).
+
+    In a cell every pair of different components, not both of the main one, whose estimate
+    reaches ``least`` is confirmed on the full sets, the likeliest first; a pair whose components
+    have been joined by then needs none. So all links between components are found, and a cell
+    returns fewer links than it has nodes."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def search(_: tuple, rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
@@ -242,33 +231,63 @@ def across_components(members: DataFrame, nodes: DataFrame, comp: DataFrame, lea
         sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), dtype="<u2").reshape(len(node), -1)
         size = rows.column("n_shingles").to_numpy().astype(float)
         main = rows.column("is_main").to_numpy(zero_copy_only=False)
+        shingles = rows.column("shingles").chunk(0) if rows.num_rows else []
+        enough = max(0.0, least - 0.1) * sketch.shape[1]
         left, right, equal, over = [], [], [], []
         for x in np.flatnonzero(~main):
-            other = np.flatnonzero((part != part[x]) & (main | (node > node[x])))
+            other = np.flatnonzero((part != part[x]) & (main | (node > node[x]))
+                                   & (np.minimum(size, size[x]) * share[1] >= np.maximum(size, size[x]) * share[0]))
             same = (sketch[other] == sketch[x]).sum(axis=1)
             other, same = other[same >= enough], same[same >= enough]
             left.append(np.full(len(other), x))
             right.append(other)
             equal.append(same)
             over.append((sketch[x] > sketch[other]).sum(axis=1))
-        if not left:
-            return pa.Table.from_batches([record_batch(out, [[], [], []])])
-        x, y, same, above = (np.concatenate(z) for z in (left, right, equal, over))
-        value = estimate(above, sketch.shape[1] - above - same, same, size[x], size[y])
-        near = np.flatnonzero(value >= least)
-        cut = np.zeros(len(near), dtype=bool)
-        if most is not None:
-            # rank of a pair among those of its node with the other's component
-            order = np.lexsort((-value[near], part[y[near]], x[near]))
-            near = near[order]
-            new = np.r_[True, (x[near][1:] != x[near][:-1]) | (part[y[near]][1:] != part[y[near]][:-1])] if len(near) else np.zeros(0, dtype=bool)
-            rank = np.arange(len(near)) - np.flatnonzero(new)[np.cumsum(new) - 1] if len(near) else np.zeros(0, dtype=np.int64)
-            near, cut = near[rank <= most], rank[rank <= most] == most
-        a, b = node[x[near]], node[y[near]]
-        return pa.Table.from_batches([record_batch(out, [np.maximum(a, b), np.minimum(a, b), cut])])
-
-    pairs = placed.groupBy("cell").applyInArrow(search, "a long, b long, cut boolean")
-    return pairs.groupBy("a", "b").agg(F.max("cut").alias("cut"))
+        found: list[tuple[int, int]] = []
+        if left:
+            x, y, same, above = (np.concatenate(z) for z in (left, right, equal, over))
+            value = estimate(above, sketch.shape[1] - above - same, same, size[x], size[y])
+            near = np.flatnonzero(value >= least)
+            joined: dict[int, int] = {}
+
+            def root(c: int) -> int:
+                while c in joined:
+                    c = joined[c]
+                return c
+
+            for k in near[np.argsort(-value[near], kind="stable")]:
+                p, q = root(int(part[x[k]])), root(int(part[y[k]]))
+                if p != q and linked(*(np.frombuffer(shingles[int(i)].as_buffer(), dtype=np.uint64) for i in (x[k], y[k])), share):
+                    joined[max(p, q)] = min(p, q)
+                    found.append((int(node[x[k]]), int(node[y[k]])))
+        return pa.Table.from_batches([record_batch(out, list(zip(*found, strict=True)) if found else [[], []])])
+
+    return placed.groupBy("cell").applyInArrow(search, "a long, b long")
+
+
+def place_in_cells(rows: DataFrame) -> DataFrame:
+    """Rows (cluster, node, component, ...) of clusters that hold several components, with the
+    ``cell`` they are searched in and whether they are of the cluster's largest component.
+
+    The largest component is never compared with itself: its nodes are dealt into blocks, and
+    each of them meets the blocks of the cluster's other nodes, which also meet each other. A
+    block is bounded in nodes and in bytes."""
+    sized = rows.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("s"))
+    tall = sized.groupBy("cluster").agg(F.max_by(F.struct("component", "n", "s"), F.struct("n", "component")).alias("main"),
+                                        F.sum("n").alias("n"), F.sum("s").alias("s"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
+    blocks = lambda n, s: F.greatest(F.ceil(n / BLOCK), F.ceil(s * 8 / BLOCK_BYTES), F.lit(1)).cast("int")
+    tall = tall.select("cluster", F.col("main.component").alias("_main"), blocks(F.col("main.n"), F.col("main.s")).alias("_mains"),
+                       blocks(F.col("n") - F.col("main.n"), F.col("s") - F.col("main.s")).alias("_rests"))
+    joined = rows.join(tall, "cluster").withColumn("is_main", F.col("component") == F.col("_main"))
+    block = F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("is_main"), F.col("_mains")).otherwise(F.col("_rests"))).cast("int")
+    every = lambda n: F.sequence(F.lit(0), n - 1)
+    cell = lambda kind, i, j: F.struct("cluster", F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    own = F.col("_block")
+    cells = F.when(F.col("is_main"), F.transform(every(F.col("_rests")), lambda j: cell("main", own, j))).otherwise(
+        F.concat(F.transform(every(F.col("_mains")), lambda i: cell("main", i, own)),
+                 F.transform(every(F.col("_rests")), lambda j: cell("rest", F.least(own, j), F.greatest(own, j)))))
+    return (joined.withColumn("_block", block).withColumn("cell", F.explode(cells))
+            .drop("cluster", "_main", "_mains", "_rests", "_block"))
 
 
 def near_groups(docs: DataFrame, size: int = 5, share: tuple[int, int] = (80, 100), registers: int = REGISTERS,
@@ -308,25 +327,19 @@ def near_groups(docs: DataFrame, size: int = 5, share: tuple[int, int] = (80, 10
     # each node against the pivot that it shares most buckets with
     stars = (members.where("node <> pivot").groupBy("node", "pivot").agg(F.count(F.lit(1)).alias("n"))
              .groupBy("node").agg(F.max_by("pivot", F.struct(F.col("n"), -F.col("pivot"))).alias("b")).select(F.col("node").alias("a"), "b"))
-    checked: DataFrame | None = None
-    comp = members.select("node", F.col("node").alias("component")).limit(0)
-    for number, most in enumerate((0, FIRST, None)):
-        path = f"{root}/checked/round={number}"
-        if not number:
-            pairs = estimate_pairs(stars, nodes, least)
-        else:
-            across_components(members.select("bucket", "node"), nodes, comp, least, most, registers).write.parquet(f"{root}/across-{number}")
-            across = spark.read.schema("a long, b long, cut boolean").parquet(f"{root}/across-{number}")
-            pairs = across.select("a", "b").join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        verify_pairs(pairs, sets, share).write.parquet(path)
-        links = spark.read.schema("a long, b long, linked boolean").parquet(path)
-        checked = links if checked is None else checked.unionByName(links)
-        if links.where("linked").take(1):
-            known = comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            comp = components(links.where("linked").select("a", "b").unionByName(known), f"{root}/components-{number}")
-        # nothing was left for later, or nothing that is new can be found
-        if number and most is not None and not across.where("cut").take(1):
-            break
+    verify_pairs(estimate_pairs(stars, nodes, least), sets, share).where("linked").select("a", "b").write.parquet(f"{root}/links")
+    links = spark.read.schema("a long, b long").parquet(f"{root}/links")
+    comp = components(links, f"{root}/components")
+    # nodes that share buckets, directly or through others, make a cluster: no link leaves it
+    clusters = components(members.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")), f"{root}/clusters")
+    rows_in = (clusters.select("node", F.col("component").alias("cluster"))
+               .join(comp, "node", "left").withColumn("component", F.coalesce("component", "node"))
+               .join(nodes.select("node", "n_shingles", "sketch"), "node"))
+    placed = place_in_cells(rows_in).join(sets, "node")
+    search_clusters(placed, least, share).write.parquet(f"{root}/across")
+    across = spark.read.schema("a long, b long").parquet(f"{root}/across")
+    known = comp.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    comp = components(across.unionByName(known), f"{root}/components-all")
     owner = full.select("id", "set_hash").join(full.groupBy("set_hash").agg(F.min("id").alias("node")), "set_hash").select("id", "node")
     placed = owner.join(comp, "node", "left").select("id", F.coalesce("component", "node").alias("component_id"))
     placed = placed.groupBy("id").agg(F.min("component_id").alias("component_id"))
