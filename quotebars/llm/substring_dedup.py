@@ -29,6 +29,8 @@ from quotebars.session import scratch_dir
 LENGTH, GRAM, Q = 100, 32, 8
 #: bytes that are hashed at once, and that the first occurrences in a task are looked up among
 PIECE, COMBINE = 1 << 20, 16 << 20
+#: bytes of stretches whose suffixes are sorted together, about
+REFINE = 1 << 20
 #: stretches around one anchor from which on their windows are spread by content
 CROWD = 20_000
 _U64 = np.uint64
@@ -289,23 +291,15 @@ def _digest(data: bytes) -> int:
 
 
 def refine_stretches(fetched: DataFrame, parts: int) -> DataFrame:
-    """Intervals of _SPANS: windows of the fetched stretches that also start earlier."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        uids, begins, datas = [], [], []
-        for batch in batches:
-            uids.append(batch.column("uid").to_numpy())
-            begins.append(batch.column("begin").to_numpy())
-            datas += batch.column("data").to_pylist()
-        if not datas:
-            return
-        uid, begin = np.concatenate(uids), np.concatenate(begins)
+    """Intervals of _SPANS: windows of the fetched stretches that also start earlier. A task sorts
+    the suffixes of about REFINE bytes at a time, all stretches of a key together."""
+    def again_in(uid: np.ndarray, begin: np.ndarray, datas: list[bytes]) -> Iterator[pa.RecordBatch]:
         size = np.array([len(d) for d in datas], dtype=np.int64)
         place = np.concatenate([[0], np.cumsum(size)])[:-1]
         windows = size - LENGTH + 1
         owner = np.repeat(np.arange(len(size)), windows)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
         bucket = refine(b"".join(datas), place[owner] + within)
-        del datas
         live = np.flatnonzero(bucket >= 0)
         bucket, u, b = bucket[live], uid[owner[live]], begin[owner[live]] + within[live]
         order = np.lexsort((b, u, bucket))
@@ -314,7 +308,24 @@ def refine_stretches(fetched: DataFrame, parts: int) -> DataFrame:
         if len(gone):
             yield _span_batch(*joined_runs(u[gone], b[gone], b[gone] + LENGTH))
 
-    return fetched.repartition(parts, "key").select("uid", "begin", "data").mapInArrow(run, _SPANS)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, uids, begins, datas = [], [], [], []
+        for batch in batches:
+            keys.append(batch.column("key").to_numpy())
+            uids.append(batch.column("uid").to_numpy())
+            begins.append(batch.column("begin").to_numpy())
+            datas += batch.column("data").to_pylist()
+        if not datas:
+            return
+        key, uid, begin = np.concatenate(keys), np.concatenate(uids), np.concatenate(begins)
+        shares = -(-sum(map(len, datas)) // REFINE)
+        share = (key.view(np.uint64) >> np.uint64(20)) % np.uint64(shares)
+        for k in range(shares):
+            some = np.flatnonzero(share == k)
+            if len(some):
+                yield from again_in(uid[some], begin[some], [datas[i] for i in some])
+
+    return fetched.repartition(parts, "key").mapInArrow(run, _SPANS)
 
 
 def cut_texts(rows: DataFrame) -> DataFrame:

@@ -140,6 +140,8 @@ def passages(rng, n):
 @pytest.mark.parametrize("crowd,piece", [(20_000, 1 << 20), (2, 700)])
 def test_removed_bytes_equal_brute_force(documents, monkeypatch, crowd, piece):
     monkeypatch.setattr(S, "CROWD", crowd)
+    monkeypatch.setattr(S, "PIECE", piece)
+    monkeypatch.setattr(S, "REFINE", piece * 4)
     rng = random.Random(crowd)
     texts = AWKWARD + passages(rng, 80) + ["ab" * 700, "ab" * 60 + "x" * 300, "é" * 200, "x" * 99, "x" * 100]
     texts += [texts[20], texts[30] + "z"]
