@@ -105,15 +105,16 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text",
         return docs.select(*columns, F.lit("").alias("digest"), F.col(key).alias("keep_id"),
                            F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept")).limit(0)
     groups = run_stream(key_rows(docs, key, text), max_bytes_per_trigger)
-    packed = docs.select(F.struct(*columns).alias("row"),
-                         F.col(key).cast("long").alias("id"), locators(docs).alias("locator"),
-                         normalised(text).alias("bytes")).withColumn("digest", F.sha2(F.col("bytes").cast("binary"), 256))
+    # the text goes through the shuffle once, within its row; its bytes are made from it afterwards
+    packed = docs.select(F.struct(*columns).alias("row"), F.col(key).cast("long").alias("id"), locators(docs).alias("locator"),
+                         F.sha2(normalised(text).cast("binary"), 256).alias("digest"))
     rows = packed.join(groups, "digest")
+    content = normalised(f"row.`{text}`")
     stays = F.col("id").eqNullSafe(F.col("best.id")) & F.col("locator").eqNullSafe(F.col("best.locator"))
     # the bytes of the row that stays, once for each group of several rows
     kept = (rows.where(stays & (F.col("group_size") > 1))
-            .groupBy("digest").agg(F.first("bytes").alias("kept_bytes")))
+            .groupBy("digest").agg(F.first(content).alias("kept_bytes")))
     differ = F.raise_error(F.concat(F.lit("texts of one digest differ: "), F.col("digest")))
-    same = F.when(F.col("group_size") == 1, True).when(F.col("kept_bytes").eqNullSafe(F.col("bytes")), True).otherwise(differ.cast("boolean"))
+    same = F.when(F.col("group_size") == 1, True).when(F.col("kept_bytes").eqNullSafe(content), True).otherwise(differ.cast("boolean"))
     return (rows.join(kept, "digest", "left").where(same)
             .select("row.*", "digest", F.col("best.id").alias("keep_id"), "group_size", stays.alias("kept")))
