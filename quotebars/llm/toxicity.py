@@ -2,13 +2,15 @@
 
 The labels are of documents, so tokens are labelled first: in toxic documents, tokens that carry
 a marker (a word or word beginning that comes several times as often in toxic documents as in
-clean ones) are toxic, all others are clean. The field has two tags, a weight for each marker,
-a bias and transitions; it is trained on a bounded sample. Forward-backward marginals of every
+clean ones, and in too many of them for chance) are toxic, all others are clean. Markers are
+counted in all labelled documents. The field has two tags, a weight for each marker, a bias and
+transitions; it is trained on a bounded sample. Forward-backward marginals of every
 token give the offending offsets, and their sum, share and maximum the document's score.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -18,15 +20,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotebars.llm.labelled import training_labels
+from quotebars.llm.labelled import held_out, training_labels
 from quotebars.llm.tables import record_batch, text_slices
 from quotebars.llm.words import ALNUM, Words, find_words, hash_words, mix
+from quotebars.session import scratch_dir
 
 #: labelled documents of each label that the models are fitted on, at most (by hash of the
 #: identifier; half for the field, half for the document score)
 SAMPLE = 3000
-#: a marker comes in so many toxic sample documents, and so many times as often as in clean ones
-MARKER_DOCS, MARKER_RATIO, MARKERS = 6, 6.0, 5000
+#: a marker comes so many times as often in toxic texts as in clean ones; of the markers, so
+#: large a share may be there by chance (Benjamini-Hochberg over all features of two documents
+#: or more; evidence is binned by so much)
+MARKER_RATIO, CHANCE, EVIDENCE_STEP = 6.0, 0.05, 0.05
 #: beginnings of words, in bytes, that may be markers besides whole words
 PREFIXES = (4, 5, 6, 7, 8)
 #: tokens on either side of marked ones over which messages are passed; beyond, a token's
@@ -142,6 +147,18 @@ def train_field(markers: np.ndarray, found: list[np.ndarray], tags: list[np.ndar
     return Field(markers, value[:n], float(value[n]), value[n + 1:].reshape(2, 2))
 
 
+def with_unseen(field: Field, odds: np.ndarray, found: list[np.ndarray]) -> Field:
+    """Markers that the training sequences lack get their weight from the counts over all labelled
+    documents: their log odds above the bias, shared among the markers that a token has on average."""
+    seen = np.zeros(len(field.markers), dtype=bool)
+    hits = tokens = 0
+    for f in found:
+        seen[f[f >= 0]] = True
+        hits, tokens = hits + int((f >= 0).sum()), tokens + int((f >= 0).any(axis=1).sum())
+    share = tokens / hits if hits else 1 / (1 + len(PREFIXES))
+    return field._replace(weights=np.where(seen, field.weights, np.maximum(odds - field.bias, 0) * share))
+
+
 def markers_wide(found: list[np.ndarray]) -> int:
     return found[0].shape[1] if found else 1 + len(PREFIXES)
 
@@ -210,13 +227,28 @@ class Model(NamedTuple):
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Ridge logistic regression by Newton steps."""
+    """Ridge logistic regression by Newton steps, each halved until it does not make the fit worse."""
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + 0.025 * v @ v)
+
     value = np.zeros(x.shape[1])
-    for _ in range(40):
+    now = loss(value)
+    for _ in range(100):
         p = _sigmoid(x @ value)
         slope = x.T @ (weight * (y - p)) - 0.05 * value
         curve = (x * (weight * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(len(value))
-        value = value + np.clip(np.linalg.solve(curve, slope), -2, 2)
+        step = np.linalg.solve(curve, slope)
+        for _ in range(40):
+            if (after := loss(value + step)) <= now:
+                break
+            step = step / 2
+        else:
+            break
+        value = value + step
+        if now - after <= 1e-12 * now:
+            break
+        now = after
     return value
 
 
@@ -229,11 +261,26 @@ def sample_labels(labels: DataFrame, most: int) -> tuple[DataFrame, dict[int, in
     return parts[0].unionByName(parts[1]).withColumn("half", F.pmod(F.xxhash64("id", F.lit(11)), F.lit(2)).cast("int")), counts
 
 
-def count_markers(sample: DataFrame, text: str) -> np.ndarray:
-    """Features that come in at least MARKER_DOCS toxic documents and MARKER_RATIO times as often
-    in toxic texts as in clean ones: the MARKERS with most evidence, sorted."""
+def significant(bins: list[tuple[int, int]], tested: int) -> float:
+    """The least evidence (G-test of a two-by-two table, one side) at which at most CHANCE of the
+    features with as much are expected by chance, from the counts of features by bin; infinite
+    where there is none. ``tested`` features were looked at."""
+    least, seen = math.inf, 0
+    for step, n in sorted(bins, reverse=True):
+        seen += n
+        evidence = step * EVIDENCE_STEP
+        if tested * 0.5 * math.erfc(math.sqrt(evidence / 2)) <= CHANCE * seen:
+            least = evidence
+    return least
+
+
+def count_markers(labelled: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Features that come MARKER_RATIO times as often in toxic texts as in clean ones, and in more
+    toxic documents than chance explains (see ``significant``; no fixed number of documents, so a
+    few toxic ones that agree are enough): all of them, sorted, and for each the logarithm of
+    its toxic occurrences over its clean ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("feature", pa.int64()), ("toxic", pa.int64()), ("clean", pa.int64()), ("docs", pa.int64()), ("tokens", pa.int64())])
+        out = pa.schema([(c, pa.int64()) for c in ("feature", "toxic", "clean", "docs", "clean_docs")])
         for batch, texts in text_slices(batches, text):
             label = batch.column("label").to_numpy()
             words = find_words(texts, ALNUM)
@@ -249,31 +296,53 @@ def count_markers(sample: DataFrame, text: str) -> np.ndarray:
             toxic = label[d] == 1
             fresh = np.r_[True, (f[1:] != f[:-1]) | (d[1:] != d[:-1])]
             add = lambda x: np.add.reduceat(x.astype(np.int64), new)
-            yield record_batch(out, [f[new].view(np.int64), add(toxic), add(~toxic), add(toxic & fresh), np.zeros(len(new), dtype=np.int64)])
-            yield record_batch(out, [[0], [int((label[words.doc] == 1).sum())], [int((label[words.doc] == 0).sum())], [0], [1]])
-
-    counted = sample.mapInArrow(run, "feature long, toxic long, clean long, docs long, tokens long").groupBy("feature", "tokens").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.sum("docs").alias("docs"))
-    total = counted.where("tokens > 0").agg(F.sum("toxic"), F.sum("clean")).first()
-    if not total or not total[0] or not total[1]:
-        return np.zeros(0, dtype=np.uint64)
-    ratio = ((F.col("toxic") + 0.5) / float(total[0])) / ((F.col("clean") + 0.5) / float(total[1]))
-    best = (counted.where((F.col("tokens") == 0) & (F.col("docs") >= MARKER_DOCS) & (ratio >= MARKER_RATIO))
-            .orderBy((F.col("toxic") * F.log(ratio)).desc(), "feature").limit(MARKERS).select("feature").collect())
-    return np.sort(np.array([r.feature for r in best], dtype=np.int64).view(np.uint64))
+            yield record_batch(out, [f[new].view(np.int64), add(toxic), add(~toxic), add(toxic & fresh), add(~toxic & fresh)])
+            # feature 0, which no word has, counts all tokens and documents
+            known = label[np.unique(words.doc)]
+            yield record_batch(out, [[0], *([int((v == k).sum())] for v in (label[words.doc], known) for k in (1, 0))])
+
+    counted = labelled.mapInArrow(run, "feature long, toxic long, clean long, docs long, clean_docs long").groupBy("feature").agg(
+        *(F.sum(c).alias(c) for c in ("toxic", "clean", "docs", "clean_docs")))
+    # one document is never evidence
+    path = f"{scratch_dir(labelled.sparkSession, 'markers')}/counts"
+    counted.where("feature = 0 OR docs + clean_docs > 1").write.parquet(path)
+    counted = labelled.sparkSession.read.parquet(path)
+    total = counted.where("feature = 0").first()
+    if not total or not total.docs or not total.clean_docs:
+        return np.zeros(0, dtype=np.uint64), np.zeros(0)
+    ratio = ((F.col("toxic") + 0.5) / float(total.toxic)) / ((F.col("clean") + 0.5) / float(total.clean))
+    n1, n0 = float(total.docs), float(total.clean_docs)
+    a, b = F.col("docs").cast("double"), F.col("clean_docs").cast("double")
+    cells = ((a, (a + b) * n1), (b, (a + b) * n0), (n1 - a, (n1 + n0 - a - b) * n1), (n0 - b, (n1 + n0 - a - b) * n0))
+    evidence = sum((F.when(o > 0, o * F.log(o * (n1 + n0) / e)).otherwise(0.0) for o, e in cells), F.lit(0.0)) * 2
+    step = F.when(a * n0 > b * n1, F.floor(evidence / EVIDENCE_STEP)).otherwise(0)
+    tested = counted.where("feature != 0").select("feature", "toxic", "clean", ratio.alias("ratio"), step.alias("step"))
+    bins = [(r.step, r["count"]) for r in tested.groupBy("step").count().collect()]
+    least = significant(bins, sum(n for _, n in bins))
+    if math.isinf(least):
+        return np.zeros(0, dtype=np.uint64), np.zeros(0)
+    best = tested.where((F.col("step") >= round(least / EVIDENCE_STEP)) & (F.col("ratio") >= MARKER_RATIO)).select("feature", "toxic", "clean").collect()
+    markers = np.array([r.feature for r in best], dtype=np.int64).view(np.uint64)
+    odds = np.log(np.array([(r.toxic + 0.5) / (r.clean + 0.5) for r in best]))
+    order = np.argsort(markers)
+    return markers[order], odds[order]
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", most: int = SAMPLE) -> Model:
-    """Fit on at most ``most`` documents of each label, read whole. Without both labels, or
-    without any marker, every document scores 0 (or, with toxic labels only, 1)."""
+    """Markers from all labelled documents; the field and the document score from at most ``most``
+    documents of each label, read whole: a half each, or the whole sample where a half lacks
+    a label. Without both labels, or without any marker, every document scores 0 (or, with toxic
+    labels only, 1)."""
     sample, counts = sample_labels(labels, most)
+    texts_of = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     # at most 2 * most narrow rows: small enough to send to every task
-    chosen = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).join(F.broadcast(sample), "id")
+    chosen = texts_of.join(F.broadcast(sample), "id")
     width = 7
     nothing = Model(Field(np.zeros(0, dtype=np.uint64), np.zeros(0), -5.0, np.zeros((2, 2))), np.r_[-50.0 if counts.get(0) or not counts else 50.0, np.zeros(width - 1)])
     if not counts.get(0) or not counts.get(1):
         return nothing
-    markers = count_markers(chosen.where("half = 0").select("label", "text"), "text")
+    # labels grow with the corpus: never broadcast, so the plan is one at every size
+    markers, odds = count_markers(texts_of.join(labels.hint("merge"), "id").select("label", "text"), "text")
     if not len(markers):
         return nothing
 
@@ -285,20 +354,31 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
             parts = [found[words.first[i]:words.first[i + 1]].tobytes() for i in range(len(texts))]
             yield record_batch(pa.schema([("label", pa.int32()), ("found", pa.binary())]), [batch.column("label"), parts])
 
-    rows = chosen.where("half = 0").select("label", "text").mapInArrow(encode, "label int, found binary").collect()
-    found = [np.frombuffer(r.found, dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for r in rows]
-    tags = [((f >= 0).any(axis=1) & (r.label == 1)).astype(np.int64) for f, r in zip(found, rows, strict=True)]
-    some = [i for i, t in enumerate(tags) if len(t)]
-    field = train_field(markers, [found[i] for i in some], [tags[i] for i in some])
+    def sequences(part: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        rows = part.select("label", "text").mapInArrow(encode, "label int, found binary").collect()
+        found = [np.frombuffer(r.found, dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for r in rows]
+        tags = [((f >= 0).any(axis=1) & (r.label == 1)).astype(np.int64) for f, r in zip(found, rows, strict=True)]
+        some = [i for i, t in enumerate(tags) if len(t)]
+        return [found[i] for i in some], [tags[i] for i in some]
+
+    found, tags = sequences(chosen.where("half = 0"))
+    if not any(t.any() for t in tags):
+        found, tags = sequences(chosen)
+    if not found:
+        return nothing
+    field = with_unseen(train_field(markers, found, tags), odds, found)
 
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):
             x = aggregates(*tag_texts(field, texts), len(texts))
             yield record_batch(pa.schema([("label", pa.int32()), ("x", pa.binary())]), [batch.column("label"), [r.tobytes() for r in x]])
 
-    rows = chosen.where("half = 1").select("label", "text").mapInArrow(inputs, "label int, x binary").collect()
-    y = np.array([r.label for r in rows], dtype=float)
-    if not len(y) or y.min() == y.max():
+    for part in (chosen.where("half = 1"), chosen):
+        rows = part.select("label", "text").mapInArrow(inputs, "label int, x binary").collect()
+        y = np.array([r.label for r in rows], dtype=float)
+        if len(y) and y.min() < y.max():
+            break
+    else:
         return nothing
     x = np.stack([np.frombuffer(r.x, dtype=np.float64) for r in rows])
     weight = np.where(y == 1, counts[1] / max(1, y.sum()), counts[0] / max(1, (1 - y).sum()))
@@ -340,4 +420,5 @@ def score_documents(docs: DataFrame, model: Model, text: str = "text") -> DataFr
 
 def toxicity(docs: DataFrame, labels: DataFrame, target: str = "toxic", key: str = "doc_id", text: str = "text") -> DataFrame:
     """Fit on the labelled rows that may be learnt from, then score every row of ``docs``."""
-    return score_documents(docs, fit(docs, training_labels(labels, target, key), key, text), text)
+    # no text of a held-out row is moved to the labels
+    return score_documents(docs, fit(docs.where(~held_out(key)), training_labels(labels, target, key), key, text), text)
