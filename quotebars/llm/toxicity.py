@@ -105,29 +105,26 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def train_field(markers: np.ndarray, found: list[np.ndarray], tags: list[np.ndarray]) -> Field:
-    """Maximum likelihood (Adam) on token sequences: ``found`` has the markers' numbers of each
-    token (-1: none), ``tags`` 0 or 1. Sequences are cut into pieces of PIECE tokens; the pieces
-    without a marker differ in their length only and are one row with a count for each length."""
-    quiet = np.zeros(PIECE + 1)
-    pieces = []
-    for f, t in zip(found, tags, strict=True):
-        for i in range(0, len(t), PIECE):
-            if (f[i:i + PIECE] >= 0).any():
-                pieces.append((f[i:i + PIECE], t[i:i + PIECE]))
-            else:
-                quiet[len(t[i:i + PIECE])] += 1
-    weight = np.r_[np.ones(len(pieces)), quiet[quiet > 0]]
-    for n in np.flatnonzero(quiet):
-        pieces.append((np.full((n, markers_wide(found)), -1), np.zeros(n, dtype=np.int64)))
-    length = np.array([len(t) for _, t in pieces])
+class Pieces(NamedTuple):
+    """Training sequences, cut into pieces of PIECE tokens: those with a marker, and how many of each
+    length have none (they differ in nothing else)."""
+    length: np.ndarray    # of the pieces with a marker
+    piece: np.ndarray     # a row for each marker of a token: the number of its piece,
+    place: np.ndarray     # the token's place in the piece,
+    number: np.ndarray    # the marker
+    toxic: np.ndarray     # whether a piece is of a toxic text: its marked tokens are toxic
+    quiet: np.ndarray     # pieces without a marker, by length
+
+
+def train_field(markers: np.ndarray, pieces: Pieces) -> Field:
+    """Maximum likelihood (Adam) on the pieces, where tokens with a marker in toxic texts are toxic."""
+    loud, quiet = len(pieces.length), np.flatnonzero(pieces.quiet)
+    weight = np.r_[np.ones(loud), pieces.quiet[quiet]]
+    length = np.r_[pieces.length, quiet].astype(np.int64)
     inside = np.arange(PIECE)[None, :] < length[:, None]
-    tag = np.zeros((len(pieces), PIECE), dtype=np.int64)
-    tag[inside] = np.concatenate([t for _, t in pieces])
-    feature = np.concatenate([f for f, _ in pieces])
-    token, column = np.nonzero(feature >= 0)
-    number = feature[token, column]
-    place = np.flatnonzero(inside.ravel())[token]
+    number, place = pieces.number, pieces.piece * PIECE + pieces.place
+    tag = np.zeros((len(length), PIECE), dtype=np.int64)
+    tag.ravel()[place[pieces.toxic[pieces.piece] == 1]] = 1
     n, m = len(markers), float((length * weight).sum())
     count = np.broadcast_to(weight[:, None], tag.shape)
     seen_moves = np.bincount((tag[:, :-1] * 2 + tag[:, 1:])[inside[:, 1:]], weights=count[:, 1:][inside[:, 1:]], minlength=4)
@@ -147,20 +144,61 @@ def train_field(markers: np.ndarray, found: list[np.ndarray], tags: list[np.ndar
     return Field(markers, value[:n], float(value[n]), value[n + 1:].reshape(2, 2))
 
 
-def with_unseen(field: Field, odds: np.ndarray, found: list[np.ndarray]) -> Field:
+def with_unseen(field: Field, odds: np.ndarray, pieces: Pieces) -> Field:
     """Markers that the training sequences lack get their weight from the counts over all labelled
     documents: their log odds above the bias, shared among the markers that a token has on average."""
     seen = np.zeros(len(field.markers), dtype=bool)
-    hits = tokens = 0
-    for f in found:
-        seen[f[f >= 0]] = True
-        hits, tokens = hits + int((f >= 0).sum()), tokens + int((f >= 0).any(axis=1).sum())
-    share = tokens / hits if hits else 1 / (1 + len(PREFIXES))
+    seen[pieces.number] = True
+    tokens = len(np.unique(pieces.piece * PIECE + pieces.place))
+    share = tokens / len(pieces.number) if tokens else 1 / (1 + len(PREFIXES))
     return field._replace(weights=np.where(seen, field.weights, np.maximum(odds - field.bias, 0) * share))
 
 
-def markers_wide(found: list[np.ndarray]) -> int:
-    return found[0].shape[1] if found else 1 + len(PREFIXES)
+def cut_pieces(found: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of the texts whose tokens have the markers ``found``, text i from ``first[i]`` on: the
+    texts and lengths of all pieces, then the piece, place and number of each marker of a token."""
+    size = np.diff(first)
+    many = -(-size // PIECE)
+    text = np.repeat(np.arange(len(size)), many)
+    begin = np.r_[0, np.cumsum(many)]
+    length = np.minimum(size[text] - (np.arange(len(text)) - begin[text]) * PIECE, PIECE)
+    token, column = np.nonzero(found >= 0)
+    owner = np.searchsorted(first, token, side="right") - 1
+    at = token - first[owner]
+    return text, length, begin[owner] + at // PIECE, at % PIECE, found[token, column]
+
+
+def collect_pieces(part: DataFrame, markers: np.ndarray) -> Pieces:
+    """The pieces of (label, text) rows. They are cut in the tasks: the driver gets the markers of the
+    pieces that have some and one sum for each length of the others, whatever the texts' lengths."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = pa.schema([("length", pa.int32()), ("toxic", pa.int32()), ("marks", pa.binary()), ("n", pa.int64())])
+        field = Field(markers, np.zeros(len(markers)), 0.0, np.zeros((2, 2)))
+        for batch, texts in text_slices(batches, "text"):
+            words = find_words(texts, ALNUM)
+            text, length, piece, place, number = cut_pieces(field.find(token_features(words)), words.first)
+            loud, start = np.unique(piece, return_index=True)
+            marks = [m.astype("<i4").tobytes() for m in np.split(np.stack([place, number], axis=1), start[1:])] if len(loud) else []
+            silent = np.ones(len(text), dtype=bool)
+            silent[loud] = False
+            quiet = np.bincount(length[silent], minlength=PIECE + 1)
+            some = np.flatnonzero(quiet)
+            yield record_batch(out, [np.r_[length[loud], some], np.r_[batch.column("label").to_numpy()[text[loud]], np.zeros(len(some), dtype=int)],
+                                     marks + [None] * len(some), np.r_[np.ones(len(loud), dtype=int), quiet[some]]])
+
+    rows = (part.select("label", "text").mapInArrow(run, "length int, toxic int, marks binary, n long")
+            .groupBy("length", "toxic", "marks").agg(F.sum("n").alias("n")).collect())
+    quiet = np.zeros(PIECE + 1)
+    loud = []
+    for r in rows:
+        if r.marks is None:
+            quiet[r.length] += r.n
+        else:
+            loud += [r] * r.n
+    marks = [np.frombuffer(r.marks, dtype="<i4").reshape(-1, 2) for r in loud]
+    flat = np.concatenate(marks).astype(np.int64) if marks else np.zeros((0, 2), dtype=np.int64)
+    return Pieces(np.array([r.length for r in loud], dtype=np.int64), np.repeat(np.arange(len(marks)), [len(m) for m in marks]),
+                  flat[:, 0], flat[:, 1], np.array([r.toxic for r in loud], dtype=np.int64), quiet)
 
 
 def tag_texts(field: Field, texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray]:
@@ -346,27 +384,12 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not len(markers):
         return nothing
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = Field(markers, np.zeros(len(markers)), 0.0, np.zeros((2, 2)))
-        for batch, texts in text_slices(batches, "text"):
-            words = find_words(texts, ALNUM)
-            found = field.find(token_features(words)).astype(np.int32)
-            parts = [found[words.first[i]:words.first[i + 1]].tobytes() for i in range(len(texts))]
-            yield record_batch(pa.schema([("label", pa.int32()), ("found", pa.binary())]), [batch.column("label"), parts])
-
-    def sequences(part: DataFrame) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        rows = part.select("label", "text").mapInArrow(encode, "label int, found binary").collect()
-        found = [np.frombuffer(r.found, dtype=np.int32).reshape(-1, 1 + len(PREFIXES)) for r in rows]
-        tags = [((f >= 0).any(axis=1) & (r.label == 1)).astype(np.int64) for f, r in zip(found, rows, strict=True)]
-        some = [i for i, t in enumerate(tags) if len(t)]
-        return [found[i] for i in some], [tags[i] for i in some]
-
-    found, tags = sequences(chosen.where("half = 0"))
-    if not any(t.any() for t in tags):
-        found, tags = sequences(chosen)
-    if not found:
+    pieces = collect_pieces(chosen.where("half = 0"), markers)
+    if not pieces.toxic.any():
+        pieces = collect_pieces(chosen, markers)
+    if not len(pieces.length):
         return nothing
-    field = with_unseen(train_field(markers, found, tags), odds, found)
+    field = with_unseen(train_field(markers, pieces), odds, pieces)
 
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_slices(batches, "text"):

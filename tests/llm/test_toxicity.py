@@ -56,8 +56,20 @@ def test_markers_beyond_the_sample_have_weight(spark, documents):
     assert set(names) <= set(markers) and (odds > 3).all()
     # a training set with the first word only
     field = X.Field(markers, np.zeros(len(markers)), 0.0, np.zeros((2, 2)))
-    found = field.find(X.token_features(X.find_words([b"the vile cat sat"], X.ALNUM)))
-    trained = X.train_field(markers, [found] * 20, [np.array([0, 1, 0, 0])] * 20)
-    whole = X.with_unseen(trained, odds, [found])
+    words = X.find_words([b"the vile cat sat"] * 20, X.ALNUM)
+    text, length, piece, place, number = X.cut_pieces(field.find(X.token_features(words)), words.first)
+    pieces = X.Pieces(length, piece, place, number, np.ones(20, dtype=int), np.zeros(X.PIECE + 1))
+    whole = X.with_unseen(X.train_field(markers, pieces), odds, pieces)
     _, tokens, values = X.tag_texts(whole, [b"the rotten dog went home"])
     assert values[tokens == 1][0] > 0.5
+
+
+def test_the_driver_gets_marked_pieces_only(spark):
+    """Long texts are cut in the tasks; what comes back does not grow with quiet tokens."""
+    marker = np.sort(X.token_features(X.find_words([b"vile"], X.ALNUM))[:, 0])
+    rows = [("calm " * 30000 + "vile " + "calm " * 10, 1), ("vile calm vile", 0), ("calm " * 65, 1), ("", 0), (None, 1)]
+    pieces = X.collect_pieces(spark.createDataFrame(rows, "text string, label int"), marker)
+    assert sorted(zip(pieces.length.tolist(), pieces.toxic.tolist(), strict=True)) == [(3, 0), (30011 % X.PIECE, 1)]
+    got = {(int(pieces.toxic[p]), int(a)) for p, a in zip(pieces.piece, pieces.place, strict=True)}
+    assert got == {(1, 30000 % X.PIECE), (0, 0), (0, 2)} and (pieces.number == 0).all()
+    assert pieces.quiet[X.PIECE] == 30011 // X.PIECE + 1 and pieces.quiet[1] == 1 and pieces.quiet.sum() == 30011 // X.PIECE + 2
