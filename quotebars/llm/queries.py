@@ -12,7 +12,9 @@ import corpus_pipeline
 from quotebars.llm.decontam import find_contamination, is_contaminated
 from quotebars.llm.exact_dedup import exact_dedup
 from quotebars.llm.labelled import held_out
+from quotebars.llm.merkle import verify_tampered
 from quotebars.llm.near_dedup import kept, near_groups
+from quotebars.llm.oracles import OP12_SQL
 from quotebars.llm.piece_bpe import round_trip
 from quotebars.llm.quality import score_documents
 from quotebars.llm.secrets import find_secrets
@@ -91,6 +93,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_tampered(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -103,12 +109,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_sharding": op9_sharding,
         "op10_sentencepiece": op10_sentencepiece,
+        "op12_merkle": op12_merkle,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op4_decontamination": OP4_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op1_near_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op4_decontamination": OP4_SQL, "op8_exact_dedup": OP8_SQL,
+            "op12_merkle": OP12_SQL}
 
 
 OP8_SQL = r"""
