@@ -80,3 +80,70 @@ SELECT doc_id, leaf, subroot, root.digest AS root, sha256(proof) AS proof_sha256
        folded = root.digest AS verified
 FROM t_up{LEVELS}, (SELECT digest FROM t{LEVELS + 1}) root
 """
+
+
+def _edit(state: str, cost: str, letters: str, told: str = "''") -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letters}', 't': {state}.t || {told}}}"
+
+
+def _least(*offers: str) -> str:
+    return f"list_sort([{', '.join(offers)}])[1]"
+
+
+_NONE = "{'c': 1000000::BIGINT, 'a': '', 't': ''}"
+_ASK, _REPLY = r"chr(10) || 'user:'", r"chr(10) || 'assistant:'"
+#: every state with the insertions that may come before the next row
+_ASKED = _least("s2", *[_edit(s, "2", "I", _ASK) for s in ("s0", "s1", "s3")])
+_REPLIED = _least("s3", _edit("p2", "2", "I", _REPLY))
+
+
+def _kept(state: str, initial: str) -> str:
+    return f"CASE WHEN left(role, 1) = '{initial}' AND NOT gone THEN {_edit(state, 'cut', 'K', 'chr(10) || role || chr(58) || text')} ELSE {_NONE} END"
+
+
+def _turned(state: str, told: str) -> str:
+    return f"CASE WHEN NOT gone THEN {_edit(state, '2 + cut', 'R', f'{told} || text')} ELSE {_NONE} END"
+
+
+#: rows of one turn go by role and text
+OP13_SQL = rf"""
+WITH RECURSIVE faults AS (
+  SELECT conv_id, coalesce('=' || CAST(conv_id AS VARCHAR), '') AS conv, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS fault
+  FROM conversations),
+damaged AS (
+  SELECT conv, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM faults WHERE fault <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS k,
+         regexp_replace(text, '[\x20\x09-\x0D]', '', 'g') AS visible
+  FROM damaged),
+told AS (
+  SELECT *, visible = '' AS blank, visible <> '' AND row_number() OVER (PARTITION BY conv, role, text ORDER BY k) > 1 AS duplicate,
+         left(lag(role) OVER (PARTITION BY conv ORDER BY k), 1) || left(role, 1) NOT IN ('su', 'ua', 'au') AS illegal
+  FROM numbered),
+turns AS (
+  SELECT *, blank OR duplicate AS gone, CAST(NOT blank AND NOT duplicate AND right(visible, 1) NOT IN ('.', '!', '?') AS BIGINT) AS cut
+  FROM told),
+counts AS (
+  SELECT conv, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, CAST(sum(cut) AS BIGINT) AS truncated, count(*) FILTER (illegal) AS illegal
+  FROM turns GROUP BY conv),
+run AS (
+  SELECT conv, 0::BIGINT AS k, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS s0, {_NONE} AS s1, {_NONE} AS s2, {_NONE} AS s3 FROM counts
+  UNION ALL
+  SELECT conv, k, {_edit('s0', '3', 'D')}, {_least(_edit('s1', '3', 'D'), _kept('s0', 's'))},
+         {_least(_edit('p2', '3', 'D'), *[_turned(s, "chr(10) || 'user:'") for s in ('s0', 's1', 'p3')], *[_kept(s, 'u') for s in ('s0', 's1', 'p3')])},
+         {_least(_edit('p3', '3', 'D'), _turned('p2', "chr(10) || 'assistant:'"), _kept('p2', 'a'))}
+  FROM (SELECT t.conv, t.k, t.role, t.text, t.gone, t.cut, s0, s1, p2, {_REPLIED} AS p3
+        FROM (SELECT *, {_ASKED} AS p2 FROM run) r JOIN turns t ON t.conv = r.conv AND t.k = r.k + 1)),
+ended AS (
+  SELECT conv, {_least('s0', _REPLIED)} AS best
+  FROM (SELECT run.*, {_ASKED} AS p2 FROM run JOIN counts USING (conv) WHERE run.k = counts.n))
+SELECT DISTINCT faults.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.a, '') AS audit,
+       sha256(coalesce(best.t[2:], '')) AS repaired_sha256
+FROM faults LEFT JOIN counts USING (conv) LEFT JOIN ended USING (conv)
+"""

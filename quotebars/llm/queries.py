@@ -14,9 +14,10 @@ from quotebars.llm.exact_dedup import exact_dedup
 from quotebars.llm.labelled import held_out
 from quotebars.llm.merkle import verify_tampered
 from quotebars.llm.near_dedup import kept, near_groups
-from quotebars.llm.oracles import OP12_SQL
+from quotebars.llm.oracles import OP12_SQL, OP13_SQL
 from quotebars.llm.piece_bpe import round_trip
 from quotebars.llm.quality import score_documents
+from quotebars.llm.repair import damage, repair_conversations
 from quotebars.llm.secrets import find_secrets
 from quotebars.llm.sharding import assign_shards
 from quotebars.llm.substring_dedup import remove_repeats
@@ -97,6 +98,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_tampered(table(spark, sf_dir, "documents"))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damage(table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -110,13 +115,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_sharding": op9_sharding,
         "op10_sentencepiece": op10_sentencepiece,
         "op12_merkle": op12_merkle,
+        "op13_repair": op13_repair,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_near_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op4_decontamination": OP4_SQL, "op8_exact_dedup": OP8_SQL,
-            "op12_merkle": OP12_SQL}
+            "op12_merkle": OP12_SQL, "op13_repair": OP13_SQL}
 
 
 OP8_SQL = r"""
