@@ -15,6 +15,7 @@ from quotebars.llm.labelled import held_out
 from quotebars.llm.merkle import verify_tampered
 from quotebars.llm.near_dedup import kept, near_groups
 from quotebars.llm.oracles import OP12_SQL, OP13_SQL
+from quotebars.llm.order_minhash import compare_with_splices
 from quotebars.llm.piece_bpe import round_trip
 from quotebars.llm.quality import score_documents
 from quotebars.llm.repair import damage, repair_conversations
@@ -94,6 +95,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_splices(_documents(spark, sf_dir))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify_tampered(table(spark, sf_dir, "documents"))
 
@@ -114,6 +119,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": op8_exact_dedup,
         "op9_sharding": op9_sharding,
         "op10_sentencepiece": op10_sentencepiece,
+        "op11_order_minhash": op11_order_minhash,
         "op12_merkle": op12_merkle,
         "op13_repair": op13_repair,
         "pipeline": corpus_pipeline.run,
