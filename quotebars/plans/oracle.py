@@ -265,6 +265,8 @@ FROM evq JOIN shown USING (symbol) WHERE quote_time >= since""",
         "stream_restart": RECONCILE,
         "raw_append_after_stream": RAW,
         "table_append": RAW,
+        "append_retry": f"{RAW} UNION ALL SELECT {QUOTE_COLS}, 'events' AS source FROM evq WHERE day(quote_time) <= 3",
+        "topic_replayed_batch": RAW,
         "null_event_time": _bars_query(EVQ, "evq", "1 minute", "WHERE units >= 10"),
         "stream_raw_all": f"""WITH {EVQ}, s AS ({QUARANTINE[QUARANTINE.index('SELECT CASE'):QUARANTINE.index(') GROUP BY')]})
 SELECT 'raw' AS held, count(*) AS n FROM s WHERE status NOT IN ('null_value', 'short_frame', 'bad_magic', 'bad_avro')

@@ -22,10 +22,11 @@ from quotebars.operators.rollup import aggregate_ohlcv
 from quotebars.schemas import OHLCV_AVRO
 from quotebars.session import configure, scratch_dir
 from quotebars.sources.driver_tables import quotes_from_events, quotes_from_lineitem, read_table
+from quotebars.sources.folders import batch_name, file_system, names, put_batch, read_batches
 from quotebars.sources.ingest import cast_quote_columns, normalize_quote, src_chart_json, src_kafka, to_quotes
 from quotebars.sources.replay import sink_replay_snapshot, src_replay_snapshot
 from quotebars.sources.tables import BarStore, ddl_namespace, ddl_tables, read_raw, sink_batch_append, sink_raw_append
-from quotebars.sources.topic import sink_bars_topic, sink_keyed_topic
+from quotebars.sources.topic import publish_files, read_topic, sink_bars_topic, sink_keyed_topic, write_in_time_order
 from quotebars.sources.wire import avro_decode, avro_encode_frame, read_framed_quotes, wire_unframe
 from quotebars.streaming.app import decoded_quotes, multi_query_app, read_quarantine, state_partitions
 from quotebars.streaming.increments_state import increments_stateful
@@ -170,7 +171,7 @@ def q_keyed_topic_roundtrip(spark, sf_dir):
     root = scratch_dir(spark, "topic")
     frames = avro_encode_frame(_wire_quotes(_events(spark, sf_dir)), schema_id=1, keep=["quote_time"])
     sink_keyed_topic(frames.withColumnRenamed("quote_time", "timestamp"), path=f"{root}/topic")
-    decoded = read_framed_quotes(spark.read.parquet(f"{root}/topic")).where(F.col("decode_error").isNull())
+    decoded = read_framed_quotes(read_topic(spark, f"{root}/topic")).where(F.col("decode_error").isNull())
     return to_quotes(decoded).select(
         "symbol", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
         "day_volume", ts_to_ms("quote_time").alias("quote_time_ms"), "source")
@@ -412,14 +413,9 @@ def q_increments_stream(spark, sf_dir):
     topic = _published_topic(spark, sf_dir)
     src = src_kafka(spark, path=topic["path"], max_files_per_trigger=topic["k"])
     quotes = to_quotes(read_framed_quotes(src).where(F.col("decode_error").isNull()).drop("decode_error"))
-    out = increments_stateful(quotes)
-    with state_partitions(spark, _state_partitions(spark)):
-        q = (out.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", f"{root}/checkpoint").option("path", f"{root}/out")
-             .trigger(availableNow=True).start())
-    q.awaitTermination()
-    res = spark.read.schema("symbol string, quote_time timestamp, day_volume bigint, price decimal(38,8), "
-                            "volume bigint").parquet(f"{root}/out")
+    increments_stateful(quotes, f"{root}/checkpoint", lambda rows, n: put_batch(rows, f"{root}/out", n),
+                        trigger={"availableNow": True}).awaitTermination()
+    res = read_batches(spark, f"{root}/out", "symbol string, quote_time timestamp, day_volume bigint, volume bigint")
     return res.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), "day_volume", "volume")
 
 
@@ -512,6 +508,36 @@ def q_raw_append_after_stream(spark, sf_dir):
     return _raw_columns(read_raw(spark, f"{root}/quotes_raw"))
 
 
+def q_append_retry(spark, sf_dir):
+    """The events appended, the same append retried, and some of the rows again by an append of their own."""
+    root, ev = scratch_dir(spark, "append-retry"), _events(spark, sf_dir)
+    again = ev.where(F.dayofmonth("quote_time") <= 3)
+    for rows, name in ((ev, "run-1"), (ev, "run-1"), (again, "run-2")):
+        sink_batch_append(rows, f"{root}/quotes_raw", append_id=name)
+    return _raw_columns(read_raw(spark, f"{root}/quotes_raw"))
+
+
+def _lose_commit(spark, checkpoint: str) -> None:
+    """As after a crash: the last batch is done, but the checkpoint doesn't know."""
+    last = max(int(n) for n in names(spark, f"{checkpoint}/commits"))
+    fs, folder, jvm = file_system(spark, f"{checkpoint}/commits")
+    for name in (f"{last}", f".{last}.crc"):
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder, name), False)
+
+
+def q_topic_replayed_batch(spark, sf_dir):
+    """Events published by a stream whose last batch comes again after a crash: the topic has every row once."""
+    root = scratch_dir(spark, "topic-replay")
+    wire = _wire_quotes(_events(spark, sf_dir))
+    write_in_time_order(wire, f"{root}/quotes", 4, ("quote_time",), "quote_time")
+    for _ in range(2):
+        stream = spark.readStream.schema(wire.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/quotes")
+        frames = _topic_rows(avro_encode_frame(stream, schema_id=1, keep=["quote_time"]))
+        sink_keyed_topic(frames, path=f"{root}/topic", num_files=2, checkpoint=f"{root}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+        _lose_commit(spark, f"{root}/checkpoint")
+    return _raw_columns(to_quotes(read_framed_quotes(read_topic(spark, f"{root}/topic"))))
+
+
 def q_table_append(spark, sf_dir):
     """The events streamed into a catalog table that the DDL creates in a namespace of its own."""
     root = scratch_dir(spark, "table")
@@ -528,7 +554,7 @@ def q_bars_topic(spark, sf_dir):
     """Bars published to their topic, read back and decoded."""
     root = scratch_dir(spark, "bars-topic")
     sink_bars_topic(_bars_1m(spark, sf_dir), path=f"{root}/topic")
-    decoded = avro_decode(wire_unframe(spark.read.parquet(f"{root}/topic")), OHLCV_AVRO)
+    decoded = avro_decode(wire_unframe(read_topic(spark, f"{root}/topic")), OHLCV_AVRO)
     return S.bars_as_doubles(decoded.where(F.col("decode_error").isNull()))
 
 
@@ -545,22 +571,27 @@ def q_cast_quote_columns(spark, sf_dir):
                        ts_to_ms("quote_time").alias("quote_time_ms"))
 
 
+PAYLOAD_FILES = 8
+
+
 def q_publish_pipeline(spark, sf_dir):
-    """The publishing side as one stream: vendor payloads, increments from keyed state, normalised,
-    validated and framed quotes into the keyed topic; then the topic read back."""
+    """The publishing side as one stream, two payload files of a time range each at a time: vendor
+    payloads, increments carried from batch to batch, normalised, validated and framed quotes into the
+    keyed topic; then the topic read back."""
     root = scratch_dir(spark, "publish")
-    chart = _chart_payloads(spark, sf_dir)
-    chart.write.parquet(f"{root}/payloads")
-    polled = src_chart_json(spark.readStream.schema(chart.schema).parquet(f"{root}/payloads"))
-    priced = polled.where(F.col("reject_reason").isNull()).select(
+    chart = _chart_payloads(spark, sf_dir).withColumn("polled", ms_to_ts("quote_time_ms"))
+    write_in_time_order(chart, f"{root}/payloads", PAYLOAD_FILES, ("polled",), "polled")
+    stream = spark.readStream.schema(chart.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/payloads")
+    priced = src_chart_json(stream).where(F.col("reject_reason").isNull()).select(
         "symbol", ms_to_ts("quote_time_ms").alias("quote_time"), "day_volume", F.col("price").cast("decimal(38,8)").alias("price"))
-    counted = increments_stateful(priced).withColumn("quote_time_ms", ts_to_ms("quote_time"))
-    valid, _ = split_valid(validate_quotes(normalize_quote(counted)))
-    frames = _topic_rows(avro_encode_frame(valid, schema_id=1, keep=["quote_time"]))
-    with state_partitions(spark, _state_partitions(spark)):
-        query = sink_keyed_topic(frames, path=f"{root}/topic", num_files=4, checkpoint=f"{root}/checkpoint", trigger={"availableNow": True})
-    query.awaitTermination()
-    decoded = read_framed_quotes(spark.read.parquet(f"{root}/topic"))
+
+    def publish(counted, number):
+        valid, _ = split_valid(validate_quotes(normalize_quote(counted.withColumn("quote_time_ms", ts_to_ms("quote_time")))))
+        frames = _topic_rows(avro_encode_frame(valid, schema_id=1, keep=["quote_time"]))
+        publish_files(frames, f"{root}/topic", batch_name(number), num_files=2)
+
+    increments_stateful(priced, f"{root}/checkpoint", publish, trigger={"availableNow": True}).awaitTermination()
+    decoded = read_framed_quotes(read_topic(spark, f"{root}/topic"))
     return to_quotes(decoded).select("symbol", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
                                      "day_volume", ts_to_ms("quote_time").alias("quote_time_ms"), "source")
 
@@ -618,6 +649,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_raw_all": q_stream_raw_all,
         "raw_append_after_stream": q_raw_append_after_stream,
         "table_append": q_table_append,
+        "append_retry": q_append_retry,
+        "topic_replayed_batch": q_topic_replayed_batch,
         "bars_topic": q_bars_topic,
         "null_event_time": q_null_event_time,
         "cast_quote_columns": q_cast_quote_columns,

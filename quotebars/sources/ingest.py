@@ -24,7 +24,7 @@ def src_kafka(spark: SparkSession, bootstrap: str | None = None, topic: str = "m
         return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, starting_offsets, max_offsets_per_trigger, options)).load()
     if not path:
         raise ValueError("give either a Kafka bootstrap address or a file path")
-    reader = spark.readStream.schema(KAFKA_ROW)
+    reader = spark.readStream.schema(KAFKA_ROW).option("recursiveFileLookup", "true")     # a folder for each publish
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path)

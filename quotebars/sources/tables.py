@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotebars.schemas import BAR, QUOTE
+from quotebars.sources.folders import put_once
 
 
 def ddl_namespace(spark: SparkSession, namespace: str, catalog: str | None = None) -> None:
@@ -45,29 +46,51 @@ def _columns(schema: T.StructType, *more: str) -> str:
 
 def ddl_tables(spark: SparkSession, quotes_table: str | None = None, bars_table: str | None = None, using: str = "parquet",
                location_root: str | None = None) -> None:
-    """Create the tables that are named, if absent, from the row contracts. ``using='iceberg'``
-    partitions by hidden ``days()``, parquet by symbol."""
-    for table, schema, time, folder in ((quotes_table, QUOTE, "quote_time", "quotes_raw"), (bars_table, BAR, "window_start", "ohlcv")):
+    """Create the tables that are named, if absent, from the row contracts, partitioned by symbol and day:
+    ``using='iceberg'`` by hidden ``days()``, parquet by a column of its own (``quote_day``, ``bar_day``)."""
+    for table, schema, time, day, folder in ((quotes_table, QUOTE, "quote_time", "quote_day", "quotes_raw"),
+                                             (bars_table, BAR, "window_start", "bar_day", "ohlcv")):
         if table:
-            parts = f"symbol, days({time})" if using == "iceberg" else "symbol"
+            hidden = using == "iceberg"
+            parts = f"symbol, days({time})" if hidden else f"symbol, {day}"
+            columns = _columns(schema) if hidden else _columns(schema, f"{day} date")
             place = f" LOCATION '{location_root}/{folder}'" if location_root else ""
-            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns(schema)}) USING {using} PARTITIONED BY ({parts}){place}")
+            spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING {using} PARTITIONED BY ({parts}){place}")
 
 
 def with_quote_day(quotes: DataFrame) -> DataFrame:
     return quotes.withColumn("quote_day", F.to_date("quote_time"))
 
 
-def sink_batch_append(quotes: DataFrame, path: str | None = None, table: str | None = None) -> None:
-    """Batch append into the raw table: a catalog table, or the folder's batch part.
+def _for_table(quotes: DataFrame, table: str) -> DataFrame:
+    """``quotes`` with the day column if the table has one."""
+    return with_quote_day(quotes) if "quote_day" in quotes.sparkSession.table(table).columns else quotes
 
+
+def sink_batch_append(quotes: DataFrame, path: str | None = None, table: str | None = None, append_id: str | None = None) -> bool:
+    """Batch append into the raw table: a catalog table, or the folder's batch part. An append is known by
+    its ``append_id`` (the run of a job, say), so one that is retried after a crash leaves one copy, and
+    returns False; equal rows under another id, or without one, are appended like any others.
+
+    In a folder the rows of an append appear whole or not at all. A catalog table notes the id in its
+    properties after the rows, so a crash between the two is the one case that appends twice there.
     Rows are ranged by (symbol, time) first, so a task writes few of the (symbol, day)
     folders and a hot symbol is spread over several tasks."""
+    spark = quotes.sparkSession
     if table:
-        quotes.writeTo(table).append()
-        return
-    (with_quote_day(quotes).repartitionByRange("symbol", "quote_time")
-        .write.mode("append").partitionBy("symbol", "quote_day").parquet(f"{path.rstrip('/')}/batch"))
+        note = f"quotebars.append.{append_id}"
+        if append_id is not None and note in {r["key"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}:
+            return False
+        view = f"_quotes_{uuid.uuid4().hex[:8]}"
+        _for_table(quotes, table).createOrReplaceTempView(view)
+        spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")     # any catalog's table, columns by name
+        spark.catalog.dropTempView(view)
+        if append_id is not None:
+            spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{note}' = 'done')")
+        return True
+    ranged = with_quote_day(quotes).repartitionByRange("symbol", "quote_time")
+    return put_once(spark, f"{path.rstrip('/')}/batch", f"append={append_id or uuid.uuid4().hex[:12]}",
+                    lambda folder: ranged.write.mode("overwrite").partitionBy("symbol", "quote_day").parquet(folder))
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -101,7 +124,7 @@ def sink_raw_append(quotes: DataFrame, path: str | None, checkpoint: str, query_
     """Streaming append of every decoded quote, to a catalog table or to the checkpoint's own
     part of the raw folder. The sink's log plus the source offsets in the checkpoint make it
     exactly-once; a new checkpoint starts a part of its own and hides nobody's rows."""
-    writer = (quotes if table else with_quote_day(quotes)).writeStream.queryName(query_name).outputMode("append") \
+    writer = (_for_table(quotes, table) if table else with_quote_day(quotes)).writeStream.queryName(query_name).outputMode("append") \
         .option("checkpointLocation", checkpoint)
     if trigger:
         writer = writer.trigger(**trigger)
@@ -119,7 +142,8 @@ def read_raw(spark: SparkSession, path: str | None = None, table: str | None = N
     stream checkpoints and of the batch appends together."""
     columns = [f.name for f in RAW_STORED.fields]
     if table:
-        return with_quote_day(spark.table(table).drop("quote_day")).select(*columns)
+        rows = spark.table(table)
+        return (rows if "quote_day" in rows.columns else with_quote_day(rows)).select(*columns)
     fs, root, jvm = _file_system(spark, path.rstrip("/"))
     streams = jvm.org.apache.hadoop.fs.Path(root, "stream")
     # one folder per checkpoint: a handful, whatever the number of rows
@@ -127,10 +151,10 @@ def read_raw(spark: SparkSession, path: str | None = None, table: str | None = N
     batch = jvm.org.apache.hadoop.fs.Path(root, "batch")
     if fs.exists(batch):
         parts.append(batch.toString())
-    found = [spark.read.schema(RAW_STORED).parquet(p) for p in sorted(parts)]
+    found = [spark.read.schema(RAW_STORED).parquet(p).select(*columns) for p in sorted(parts)]
     if not found:
         return spark.createDataFrame([], RAW_STORED)
-    return functools.reduce(DataFrame.unionByName, found).select(*columns)
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 def day_range_filter(df: DataFrame, ts_col: str, day_col: str, lo=None, hi=None) -> DataFrame:
@@ -316,7 +340,8 @@ class BarStore:
     def read(self, symbol: str | None = None, day_lo=None, day_hi=None) -> DataFrame:
         """Latest committed version of every bar (optionally one symbol / day range)."""
         if self.table:
-            df = self.spark.table(self.table).withColumn("bar_day", F.to_date("window_start"))
+            df = self.spark.table(self.table)
+            df = df if "bar_day" in df.columns else df.withColumn("bar_day", F.to_date("window_start"))
             return self._filtered(df, symbol, day_lo, day_hi).select(*[f.name for f in BAR.fields])
         last = self.last_seq()
         if not last:

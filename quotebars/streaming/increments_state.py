@@ -1,55 +1,66 @@
-"""Streaming volume increments: keyed state per symbol (survives restarts, unlike an
-in-process dict).
-
-State per symbol is ``(prev_day_volume, prev_time_ms)``. Rows of a micro-batch are
-sorted by ``(quote_time, day_volume, price)`` first. A row older than ``prev_time``
-is late: it gets increment 0 and does not move the reference, so only a *newer* lower
-cumulative value counts as a day reset. Everything else is max(0, cum - prev), and
-the first quote of a symbol gets 0. A symbol's rows of one micro-batch are in memory together:
-bound the batch with the source's ``max_offsets_per_trigger`` or ``max_files_per_trigger``.
+"""Streaming volume increments: the batch scan, carried over from one micro-batch to the next.
+
+Within a micro-batch the predecessor of a quote is found by the same ``ordered_scan`` as in the
+batch form, per (symbol, block of event time), so a symbol with most of the rows is spread over
+tasks. What reaches across micro-batches is one row for each symbol: its newest quote so far. It
+joins the scan as the row before the symbol's first one. The rows are kept in a small table beside
+the checkpoint, one version for each micro-batch, so a repeated batch starts from the same state.
 """
 
 from __future__ import annotations
 
-from typing import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-OUTPUT_SCHEMA = "symbol string, quote_time timestamp, day_volume bigint, price decimal(38,8), volume bigint"
-STATE_SCHEMA = "prev long, prev_time long"
-
-
-def _increments(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    pdf = pd.concat(list(batches), ignore_index=True)
-    if pdf.empty:
-        return
-    pdf = pdf.sort_values(["quote_time", "day_volume", "price"], kind="mergesort", na_position="first")
-    t = pdf["quote_time"].to_numpy().astype("datetime64[ms]").astype("int64")   # epoch millis, any unit
-    none = pdf["day_volume"].isna().to_numpy()
-    cum = pdf["day_volume"].fillna(0).to_numpy().astype("int64")     # whole numbers: exact at any size
-    prev, prev_time = (state.get if state.exists else (None, None))
-    late = np.zeros(len(pdf), dtype=bool) if prev_time is None else t < prev_time
-    keep = np.flatnonzero(~late)
-    inc = np.zeros(len(pdf), dtype="int64")
-    if len(keep):
-        before = np.r_[0 if prev is None else prev, cum[keep][:-1]]
-        unknown = np.r_[prev is None, none[keep][:-1]] | none[keep]
-        inc[keep] = np.where(unknown, 0, np.maximum(0, cum[keep] - before))
-        state.update((None if none[keep[-1]] else int(cum[keep[-1]]), int(t[keep[-1]])))
-    yield pd.DataFrame({
-        "symbol": pdf["symbol"].to_numpy(),
-        "quote_time": pdf["quote_time"].to_numpy(),
-        "day_volume": pdf["day_volume"].astype("Int64").to_numpy(),
-        "price": pdf["price"].to_numpy(),
-        "volume": inc,
-    })
-
-
-def increments_stateful(quotes: DataFrame) -> DataFrame:
-    """Streaming (or batch) quotes -> quotes with ``volume`` = bigint increment."""
-    cols = quotes.select("symbol", "quote_time", "day_volume", "price")
-    return cols.groupBy("symbol").applyInPandasWithState(
-        _increments, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from quotebars.operators.sequence import ordered_scan
+from quotebars.sources.folders import BatchState
+
+CARRY = "symbol string, quote_time timestamp, day_volume bigint"
+_KIND, _PREVIOUS = "_kind", "_previous"
+ORDER = ("quote_time", _KIND, "day_volume", "price")
+
+
+def increments_after(quotes: DataFrame, carry: DataFrame, block: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``quotes`` with ``volume`` = bigint increment, the carry after them).
+
+    A quote older than the symbol's carried one is late: it gets 0 and does not move the reference, so
+    only a newer lower cumulative value counts as a day reset. So does a quote without a time. Everything
+    else is as in ``volume_increments``: max(0, day_volume - previous), 0 for a symbol's first quote.
+    ``block`` (default: the hour) must not fall along the time; a task scans one block of a symbol."""
+    block = F.date_trunc("hour", "quote_time") if block is None else block
+    columns = [c for c in quotes.columns if c != "volume"]
+    since = carry.select(F.col("symbol").alias("_symbol"), F.col("quote_time").alias("_since"))
+    dated = quotes.drop("volume").join(since, F.col("symbol").eqNullSafe(F.col("_symbol")), "left")
+    late = F.coalesce(F.col("quote_time") < F.col("_since"), F.col("quote_time").isNull())
+    on_time = dated.where(~late).select(*columns, F.lit(1).alias(_KIND))
+    rows = on_time.unionByName(carry.withColumn(_KIND, F.lit(0)), allowMissingColumns=True)
+    scanned = ordered_scan(rows, ["symbol"], list(ORDER), "day_volume", previous=_PREVIOUS, block=block)
+    zero = F.lit(0).cast("bigint")
+    increment = F.coalesce(F.greatest(zero, F.col("day_volume") - F.col(_PREVIOUS)), zero)
+    counted = scanned.where(F.col(_KIND) == 1).select(*columns, increment.alias("volume"))
+    out = counted.unionByName(dated.where(late).select(*columns, zero.alias("volume")))
+    place = F.struct(*[F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("value")).alias(c) for c in ORDER])
+    newest = rows.groupBy("symbol").agg(F.max_by(F.struct("quote_time", "day_volume"), place).alias("newest"))
+    return out, newest.select("symbol", "newest.quote_time", "newest.day_volume")
+
+
+def increments_stateful(quotes: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], object], block: Column | None = None,
+                        trigger: dict | None = None, query_name: str = "increments"):
+    """Start a stream that gives every micro-batch of ``quotes`` (symbol, quote_time, day_volume, price and
+    more) with its increments to ``sink(rows, batch_id)``. A batch may come again after a crash, with the
+    same rows and number: a sink that puts it under its number keeps it once."""
+    state = BatchState(quotes.sparkSession, f"{checkpoint.rstrip('/')}/carry", CARRY)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()      # read for the rows and for the carry
+        try:
+            rows, carry = increments_after(held, state.before(batch_id, batch.sparkSession), block)
+            sink(rows, batch_id)
+            state.put(carry, batch_id)
+        finally:
+            held.unpersist()
+
+    writer = quotes.writeStream.queryName(query_name).option("checkpointLocation", checkpoint).foreachBatch(step)
+    return (writer.trigger(**trigger) if trigger else writer).start()

@@ -135,6 +135,45 @@ def test_keyed_topic_files_stream_without_late_drops(spark, scratch):
     assert _totals(spark, root) == (240, 240)
 
 
+def test_a_publish_that_is_repeated_appears_once(spark, scratch):
+    from quotebars.sources.topic import publish_files, read_topic, sink_keyed_topic
+    root = scratch("topic-once")
+    frames, more = _topic(spark, 40, 0), _topic(spark, 40, 0)
+    for _ in range(2):
+        sink_keyed_topic(frames, path=f"{root}/t", num_files=2, publish_id="monday")
+    assert read_topic(spark, f"{root}/t").count() == 40
+    sink_keyed_topic(more, path=f"{root}/t", num_files=2)       # equal rows, another publish
+    assert read_topic(spark, f"{root}/t").count() == 80
+    # a broken attempt leaves files that nobody sees; the next one replaces them
+    frames.limit(7).write.parquet(f"{root}/t/_staged/publish=tuesday")
+    assert read_topic(spark, f"{root}/t").count() == 80
+    assert publish_files(frames, f"{root}/t", "tuesday", num_files=2)
+    assert read_topic(spark, f"{root}/t").count() == 120
+
+
+def test_a_publish_encodes_each_row_once(spark, scratch):
+    from quotebars.sources.topic import sink_keyed_topic
+    root, runs = scratch("topic-encode"), spark.sparkContext.accumulator(0)
+
+    def count(n):
+        runs.add(1)
+        return str(n).encode()
+
+    encode = F.udf(count, "binary").asNondeterministic()        # as the codec of the frames is
+    rows = spark.range(0, 500, 1, 4).select(F.lit(b"k").alias("key"), encode("id").alias("value"), F.expr("timestamp_seconds(id * 60)").alias("timestamp"))
+    sink_keyed_topic(rows, path=f"{root}/t", num_files=4)
+    assert runs.value == 500
+    assert spark.read.parquet(f"{root}/t").count() == 500
+
+
+def test_times_before_and_without(spark):
+    from quotebars.sources.topic import in_time_ranges
+    rows = spark.createDataFrame([(None,), (T0,), (T0 - dt.timedelta(days=40000),), (T0 + dt.timedelta(hours=3),)], "timestamp timestamp")
+    assert in_time_ranges(rows, "timestamp", 3).count() == 4
+    assert in_time_ranges(rows.limit(0), "timestamp", 3).count() == 0
+    assert in_time_ranges(rows.where("timestamp IS NULL"), "timestamp", 3).count() == 1
+
+
 def test_quality_listener_totals(spark, scratch):
     import time
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quotebars.operators.reconcile import backfill_bars, late_rows_report, reconcile_counts
 from quotebars.operators.rollup import aggregate_ohlcv
 from quotebars.schemas import BAR, QUOTE
-from quotebars.sources.tables import BarStore, ddl_tables, read_raw, sink_batch_append
+from quotebars.sources.tables import BarStore, ddl_namespace, ddl_tables, read_raw, sink_batch_append
 
 T0 = dt.datetime(2026, 6, 20, 12, 0, 0)
 
@@ -93,8 +93,8 @@ def test_backfill_only_closed_windows(spark, scratch):
 def test_ddl_tables(spark, scratch):
     root = scratch("ddl")
     ddl_tables(spark, "qb_quotes_raw", "qb_ohlcv", location_root=root)
-    assert sorted(spark.table("qb_quotes_raw").columns) == sorted(QUOTE.fieldNames())
-    assert sorted(spark.table("qb_ohlcv").columns) == sorted(BAR.fieldNames())
+    assert sorted(spark.table("qb_quotes_raw").columns) == sorted([*QUOTE.fieldNames(), "quote_day"])
+    assert sorted(spark.table("qb_ohlcv").columns) == sorted([*BAR.fieldNames(), "bar_day"])
 
 
 def test_namespace_and_day_range(spark, scratch):
@@ -198,3 +198,29 @@ def test_batch_append_shows_next_to_a_stream(spark, scratch):
                         trigger={"availableNow": True}).awaitTermination()
     sink_batch_append(_quotes(spark, n=7, sym="B"), f"{root}/raw")
     assert read_raw(spark, f"{root}/raw").count() == 27
+
+
+def test_a_retried_append_leaves_one_copy(spark, scratch):
+    root = scratch("append-id")
+    quotes = _quotes(spark)
+    n = quotes.count()
+    assert sink_batch_append(quotes, f"{root}/raw", append_id="a") and not sink_batch_append(quotes, f"{root}/raw", append_id="a")
+    assert read_raw(spark, f"{root}/raw").count() == n
+    assert sink_batch_append(quotes, f"{root}/raw", append_id="b") and sink_batch_append(quotes, f"{root}/raw")
+    assert read_raw(spark, f"{root}/raw").count() == 3 * n
+
+
+def test_a_retried_append_to_a_catalog_table(spark, scratch):
+    root, name = scratch("append-table"), "qb_append_id"
+    ddl_namespace(spark, name)
+    ddl_tables(spark, f"{name}.quotes", f"{name}.bars", location_root=root)
+    quotes = _quotes(spark)
+    n = quotes.count()
+    assert sink_batch_append(quotes, table=f"{name}.quotes", append_id="a")
+    assert not sink_batch_append(quotes, table=f"{name}.quotes", append_id="a")
+    assert sink_batch_append(quotes, table=f"{name}.quotes", append_id="b")
+    rows = read_raw(spark, table=f"{name}.quotes")
+    assert rows.count() == 2 * n
+    day = quotes.agg(F.min(F.to_date("quote_time"))).first()[0]
+    plan = rows.where(F.col("quote_day") == F.lit(day))._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(quote_day" in plan
