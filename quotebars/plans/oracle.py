@@ -104,6 +104,16 @@ SELECT symbol, {ms('ws')} AS window_start_ms,
 FROM per WHERE raw_tc <> bar_tc"""
 
 
+def _days_report() -> str:
+    return f"""WITH {EVQ},
+per AS (SELECT symbol, time_bucket(INTERVAL '1 minute', quote_time) AS ws, count(*) AS raw_tc,
+               count(*) FILTER (WHERE day(quote_time) NOT IN (5, 20) OR units >= 30) AS bar_tc
+        FROM evq GROUP BY ALL)
+SELECT symbol, {ms('ws')} AS window_start_ms, CASE WHEN bar_tc = 0 THEN 'missing' ELSE 'differs' END AS status,
+       raw_tc AS raw_trade_count, CASE WHEN bar_tc = 0 THEN NULL ELSE bar_tc END AS bar_trade_count
+FROM per WHERE raw_tc <> bar_tc"""
+
+
 # fixed rule set used by the quarantine scenario (see plans/queries.py)
 QUARANTINE = f"""WITH {EVQ}
 SELECT status, count(*) AS n FROM (
@@ -250,6 +260,13 @@ FROM s WHERE points >= 2""",
         "stream_ohlcv": BAR_DOUBLES_1M,
         "stream_raw": RAW,
         "late_rows_report": _late_report(),
+        "late_days_report": _days_report(),
+        "backfill_days": BAR_DOUBLES_1M,
+        "open_windows": f"{EV_1M}\nSELECT {BAR_COLS}, 'same' AS status FROM bars WHERE window_end > "
+                        "(SELECT date_trunc('millisecond', max(quote_time)) - INTERVAL '2 minutes' FROM evq)",
+        "topn_stream": f"{EV_1M}\nSELECT {SERVE_COLS}, rn FROM (SELECT *, row_number() OVER "
+                       "(PARTITION BY symbol ORDER BY window_start DESC) AS rn FROM bars) WHERE rn <= 120",
+        "stream_counters": QUARANTINE,
         "reconcile_counts": RECONCILE,
         "stream_reconcile": RECONCILE,
         "count_rows": COUNT_ROWS,

@@ -28,8 +28,10 @@ from quotebars.sources.replay import sink_replay_snapshot, src_replay_snapshot
 from quotebars.sources.tables import BarStore, ddl_namespace, ddl_tables, read_raw, sink_batch_append, sink_raw_append
 from quotebars.sources.topic import publish_files, read_topic, sink_bars_topic, sink_keyed_topic, write_in_time_order
 from quotebars.sources.wire import avro_decode, avro_encode_frame, read_framed_quotes, wire_unframe
-from quotebars.streaming.app import decoded_quotes, multi_query_app, read_quarantine, state_partitions
+from quotebars.streaming.app import decoded_quotes, multi_query_app, read_quarantine, start_bars_query, state_partitions
 from quotebars.streaming.increments_state import increments_stateful
+from quotebars.streaming.serving import TopBars, read_counters, start_counters_query
+from quotebars.streaming.state import open_windows, reconcile_open_windows
 
 FLAGSHIP_SYMBOL = "click"
 ALLOWLIST = "click, VIEW,purchase,click"
@@ -408,6 +410,77 @@ def q_late_rows_report(spark, sf_dir):
                       "raw_trade_count", "bar_trade_count")
 
 
+REPAIRED_DAYS = (5, 20)     # of the month
+
+
+def _damaged_lake(spark, sf_dir) -> dict:
+    """A raw table, and a bar store in which two days were rolled up without some of their quotes."""
+    key = ("damaged", _app(spark), sf_dir)
+    if key not in _cache:
+        root = scratch_dir(spark, "damaged")
+        sink_batch_append(_events(spark, sf_dir), f"{root}/quotes_raw")
+        known = ~F.dayofmonth("quote_time").isin(*REPAIRED_DAYS) | (F.col("volume") >= 30)
+        backfill_bars(read_raw(spark, f"{root}/quotes_raw").where(known), BarStore(spark, f"{root}/ohlcv", writer="first"))
+        _cache[key] = {"raw": f"{root}/quotes_raw", "bars": f"{root}/ohlcv"}
+    return _cache[key]
+
+
+def q_late_days_report(spark, sf_dir):
+    """The report when two days of a month differ: only those are read again."""
+    lake = _damaged_lake(spark, sf_dir)
+    report = late_rows_report(read_raw(spark, lake["raw"]), BarStore(spark, lake["bars"]))
+    return report.select("symbol", ts_to_ms("window_start").alias("window_start_ms"), "status", "raw_trade_count", "bar_trade_count")
+
+
+def q_backfill_days(spark, sf_dir):
+    """The two days repaired from the report; all bars afterwards."""
+    lake = _damaged_lake(spark, sf_dir)
+    # into a store of its own, so that the damaged one stays as it is for others
+    store = BarStore(spark, f"{scratch_dir(spark, 'repaired')}/ohlcv", writer="copy")
+    store.upsert(BarStore(spark, lake["bars"]).read(), batch_id=0)
+    raw = read_raw(spark, lake["raw"])
+    backfill_bars(raw, store, batch_id=1, report=late_rows_report(raw, store))
+    return S.bars_as_doubles(store.read())
+
+
+def q_open_windows(spark, sf_dir):
+    """The windows that the stopped stream holds open, read from its checkpoint and compared with the bars."""
+    run = _stream_run(spark, sf_dir)
+    held = open_windows(spark, f"{run['root']}/checkpoints/ohlcv_1m")
+    found = reconcile_open_windows(held, run["store"].read())
+    return S.bars_as_doubles(found).join(found.select("symbol", ts_to_ms("window_start").alias("window_start_ms"), "status"),
+                                         ["symbol", "window_start_ms"])
+
+
+def q_topn_stream(spark, sf_dir):
+    """The newest bars of every symbol, kept by the stream batch by batch."""
+    root, topic = scratch_dir(spark, "topn-stream"), _published_topic(spark, sf_dir)
+    top = TopBars(spark, f"{root}/top", S.DEFAULT_BARS)
+    quotes = decoded_quotes(read_framed_quotes(src_kafka(spark, path=topic["path"], max_files_per_trigger=topic["k"])))
+    with state_partitions(spark, _state_partitions(spark)):
+        query = start_bars_query(quotes, BarStore(spark, f"{root}/ohlcv"), f"{root}/checkpoint", trigger={"availableNow": True}, top=top)
+    query.awaitTermination()
+    return S.topn_bars(top.read(), S.DEFAULT_BARS)
+
+
+def q_stream_counters(spark, sf_dir):
+    """Counts by outcome of corrupted messages, over a restart and a batch that comes twice."""
+    root = scratch_dir(spark, "counters")
+    frames = _topic_rows(_mangle_frames(avro_encode_frame(_corrupt(_events(spark, sf_dir)), schema_id=1, keep=["_u", "quote_time"])))
+    frames.write.parquet(f"{root}/frames")
+    staged = spark.read.parquet(f"{root}/frames")
+    early = F.dayofmonth("timestamp") <= 15
+    for part in (early, ~early):
+        staged.where(part).write.mode("append").parquet(f"{root}/topic")
+        for _ in range(2):      # the second time as after a crash before the last commit
+            with state_partitions(spark, 2):
+                query = start_counters_query(validate_quotes(read_framed_quotes(src_kafka(spark, path=f"{root}/topic"))),
+                                             f"{root}/counters", f"{root}/checkpoint", {"availableNow": True})
+            query.awaitTermination()
+            _lose_commit(spark, f"{root}/checkpoint")
+    return read_counters(spark, f"{root}/counters")
+
+
 def q_increments_stream(spark, sf_dir):
     root = scratch_dir(spark, "increments")
     topic = _published_topic(spark, sf_dir)
@@ -640,6 +713,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_raw": q_stream_raw,
         "stream_reconcile": q_stream_reconcile,
         "late_rows_report": q_late_rows_report,
+        "late_days_report": q_late_days_report,
+        "backfill_days": q_backfill_days,
+        "open_windows": q_open_windows,
+        "topn_stream": q_topn_stream,
+        "stream_counters": q_stream_counters,
         "reconcile_counts": q_reconcile_counts,
         "count_rows": q_count_rows,
         "replay_roundtrip": q_replay_roundtrip,

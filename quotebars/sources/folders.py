@@ -71,8 +71,10 @@ class BatchState:
         return self._read([n for n in names(self.spark, self.path) if n < batch_name(batch_id)], session or self.spark)
 
     def put(self, table: DataFrame, batch_id: int) -> None:
-        """The state after ``batch_id``; only the one before it is kept besides."""
-        put_once(self.spark, self.path, batch_name(batch_id), lambda folder: table.write.mode("overwrite").parquet(folder))
+        """The state after ``batch_id``; only the one before it is kept besides. The table of a repeated batch
+        is evaluated but not written, as a stateful stream commits its state only so."""
+        if not put_once(self.spark, self.path, batch_name(batch_id), lambda folder: table.write.mode("overwrite").parquet(folder)):
+            table.write.format("noop").mode("overwrite").save()
         for old in [n for n in names(self.spark, self.path) if n < batch_name(batch_id)][:-1]:
             fs, folder, _ = file_system(self.spark, f"{self.path}/{old}")
             fs.delete(folder, True)

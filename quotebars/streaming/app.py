@@ -27,6 +27,7 @@ from quotebars.sources.ingest import to_quotes
 from quotebars.sources.tables import BarStore, _file_system, sink_raw_append, writer_id
 from quotebars.sources.wire import read_framed_quotes
 from quotebars.session import configure
+from quotebars.streaming.serving import TopBars, start_counters_query
 
 
 def decoded_quotes(tagged: DataFrame) -> DataFrame:
@@ -48,12 +49,24 @@ def bars_stream(quotes: DataFrame, window_duration: str = WINDOW_DURATION,
 
 def start_bars_query(quotes: DataFrame, store: BarStore, checkpoint: str,
                      window_duration: str = WINDOW_DURATION, delay: str = WATERMARK_DELAY,
-                     trigger: dict | None = None, query_name: str = "ohlcv_1m"):
-    """Update-mode windowed rollup upserted per micro-batch (batch id = idempotency key)."""
+                     trigger: dict | None = None, query_name: str = "ohlcv_1m", top: TopBars | None = None):
+    """Update-mode windowed rollup upserted per micro-batch (batch id = idempotency key); ``top`` is a
+    serving table of the newest bars to keep up to date besides."""
+    upsert = store.for_checkpoint(checkpoint).foreach_batch()
+
+    def step(bars: DataFrame, batch_id: int) -> None:
+        # a batch's changed bars, written to both; dealt anew, as Spark can't hold the sorted output of the state
+        held = bars.repartition("symbol", "window_start").persist()
+        try:
+            upsert(held, batch_id)
+            top.put(held, batch_id)
+        finally:
+            held.unpersist()
+
     writer = (bars_stream(quotes, window_duration, delay).writeStream.queryName(query_name)
               .outputMode("update")
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(store.for_checkpoint(checkpoint).foreach_batch()))
+              .foreachBatch(upsert if top is None else step))
     if trigger:
         writer = writer.trigger(**trigger)
     return writer.start()
@@ -101,13 +114,15 @@ def multi_query_app(spark: SparkSession, source: Callable[[], DataFrame], raw_pa
                     store: BarStore, checkpoint_root: str, window_duration: str = WINDOW_DURATION,
                     delay: str = WATERMARK_DELAY, trigger: dict | None = None,
                     wait: bool = True, quarantine_path: str | None = None,
-                    num_state_partitions: int | None = None, raw_table: str | None = None):
+                    num_state_partitions: int | None = None, raw_table: str | None = None,
+                    top: TopBars | None = None, counters_path: str | None = None):
     """Start the raw append, the bar upsert and the quarantine append, each reading the
     source itself and owning a checkpoint sub-folder. The raw table (a folder, or the
     catalog table ``raw_table``) gets every message that decodes; messages that don't, or
     that fail a check, go to the quarantine with their reason (by default next to the raw
     folder, or under the checkpoints if there is none). The raw query carries ``quality``
-    observed metrics (rows, sent, dropped) in its progress. With ``wait`` the call blocks
+    observed metrics (rows, sent, dropped) in its progress. ``top`` keeps the newest bars of every symbol,
+    ``counters_path`` the counts by outcome since the checkpoint's first run. With ``wait`` the call blocks
     until all finish (bounded triggers) or one fails/ends (unbounded)."""
     configure(spark)
     quarantine_path = quarantine_path or (f"{raw_path.rstrip('/')}_quarantine" if raw_path else f"{checkpoint_root}/quarantined")
@@ -115,8 +130,11 @@ def multi_query_app(spark: SparkSession, source: Callable[[], DataFrame], raw_pa
     raw_q = sink_raw_append(decoded_quotes(tagged), raw_path, f"{checkpoint_root}/quotes_raw", trigger=trigger, table=raw_table)
     with state_partitions(spark, num_state_partitions):
         bars_q = start_bars_query(decoded_quotes(read_framed_quotes(source())), store, f"{checkpoint_root}/ohlcv_1m",
-                                  window_duration, delay, trigger)
-    queries = [raw_q, bars_q, start_quarantine_query(source(), quarantine_path, f"{checkpoint_root}/quarantine", trigger)]
+                                  window_duration, delay, trigger, top=top)
+        queries = [raw_q, bars_q, start_quarantine_query(source(), quarantine_path, f"{checkpoint_root}/quarantine", trigger)]
+        if counters_path:
+            queries.append(start_counters_query(validate_quotes(read_framed_quotes(source())), counters_path,
+                                                f"{checkpoint_root}/counters", trigger))
     if wait:
         if trigger and (trigger.get("availableNow") or trigger.get("once")):
             for q in queries:
