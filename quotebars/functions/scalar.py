@@ -74,12 +74,13 @@ def price_fallback(market_price, closes) -> Column:
 
 
 def day_volume_sum(volumes) -> Column:
-    """Sum of the non-null minute volumes as a bigint (0 when none)."""
-    return F.aggregate(
+    """Sum of the non-null minute volumes as a bigint (0 when none; fractions are dropped from the sum)."""
+    total = F.aggregate(
         F.filter(_c(volumes), lambda x: x.isNotNull()),
-        F.lit(0).cast("bigint"),
-        lambda acc, x: acc + x.cast("bigint"),
+        F.lit(0).cast("decimal(38,6)"),
+        lambda acc, x: (acc + x.cast("decimal(38,6)")).cast("decimal(38,6)"),
     )
+    return total.cast("bigint")
 
 
 def vwap_case(quote_volume, volume, close) -> Column:

@@ -136,6 +136,16 @@ SELECT symbol, {ms('quote_time')} AS quote_time_ms,
        CASE WHEN symbol = 'error' AND units <= 10 THEN 'no_price' END AS reject_reason
 FROM evq"""
 
+CHART_ODD = f"""WITH {EVQ},
+c AS (SELECT symbol, quote_time, units, units % 10 AS kind,
+             CASE WHEN symbol = 'error' OR units % 10 IN (0, 4, 5) THEN NULL ELSE value END AS market,
+             CASE WHEN units % 10 IN (3, 4, 5) THEN NULL WHEN units > 50 THEN value WHEN units > 10 THEN value + 1 END AS last_close
+      FROM evq)
+SELECT symbol, {ms('quote_time')} AS quote_time_ms, coalesce(market, last_close) AS price,
+       CASE WHEN kind IN (3, 4, 5) THEN 0 ELSE 3 * units END AS day_volume,
+       CASE WHEN market IS NULL AND last_close IS NULL THEN 'no_price' END AS reject_reason
+FROM c"""
+
 ALLOW = f"""WITH {EVQ}
 SELECT upper(symbol) AS symbol,
        CASE WHEN upper(symbol) IN ('CLICK', 'VIEW', 'PURCHASE') THEN 'accepted' ELSE 'rejected' END AS status,
@@ -220,6 +230,7 @@ def oracle_sql() -> dict[str, str]:
         "bars_wire_roundtrip": BAR_DOUBLES_1M,
         "quarantine_counts": QUARANTINE,
         "chart_json": CHART,
+        "chart_json_odd": CHART_ODD,
         "volume_increments": INCREMENTS,
         "volume_increments_split": INCREMENTS,
         "ohlcv_1m_split": _bars_query(EVQ, "evq", "1 minute"),

@@ -131,7 +131,7 @@ def q_quarantine_counts(spark, sf_dir):
     return publish_counters(validate_quotes(read_framed_quotes(frames))).select("status", "n")
 
 
-def _chart_payloads(spark, sf_dir) -> DataFrame:
+def _chart_payloads(spark, sf_dir, units: str | None = None) -> DataFrame:
     ev = quotes_from_events(spark, sf_dir, with_day_volume=False)
     price = F.col("price").cast("double")
     u = F.col("volume").cast("bigint")
@@ -143,7 +143,7 @@ def _chart_payloads(spark, sf_dir) -> DataFrame:
              .alias("close"),
             F.array(u, F.lit(None).cast("bigint"), u * 2).alias("volume"))).alias("quote")).alias("indicators")
     )).alias("result")).alias("chart")))
-    return ev.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), payload.alias("payload"))
+    return ev.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), payload.alias("payload"), *([u.alias(units)] if units else []))
 
 
 def q_chart_json(spark, sf_dir):
@@ -151,6 +151,24 @@ def q_chart_json(spark, sf_dir):
     return found.select("symbol", "quote_time_ms", "price", "day_volume", "reject_reason")
 
 
+def _odd_payloads(chart: DataFrame) -> DataFrame:
+    """Payloads of mixed shapes, by the event's k: text for a price, a close or a volume, text for an
+    object, no result, no JSON."""
+    whole, kind = F.col("payload"), F.col("units") % 10
+    odd = (F.when(kind == 0, F.regexp_replace(whole, r'"regularMarketPrice":[^}]*', '"regularMarketPrice":"n/a"'))
+           .when(kind == 1, F.regexp_replace(whole, r'"close":\[', '"close":["odd",'))
+           .when(kind == 2, F.regexp_replace(whole, r'"volume":\[', '"volume":["7",true,'))
+           .when(kind == 3, F.regexp_replace(whole, r'"indicators":\{"quote":\[\{.*?\}\]\}', '"indicators":"none"'))
+           .when(kind == 4, F.lit('{"chart":{"result":[]}}'))
+           .when(kind == 5, F.expr("substring(payload, 1, length(payload) - 3)")).otherwise(whole))
+    return chart.withColumn("payload", odd).drop("units")
+
+
+def q_chart_json_odd(spark, sf_dir):
+    found = src_chart_json(_odd_payloads(_chart_payloads(spark, sf_dir, "units")))
+    return found.select("symbol", "quote_time_ms", "price", "day_volume", "reject_reason")
+
+
 def q_volume_increments(spark, sf_dir):
     inc = volume_increments(_events(spark, sf_dir))
     return inc.select("symbol", ts_to_ms("quote_time").alias("quote_time_ms"), "day_volume", "volume")
@@ -693,6 +711,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bars_wire_roundtrip": q_bars_wire_roundtrip,
         "quarantine_counts": q_quarantine_counts,
         "chart_json": q_chart_json,
+        "chart_json_odd": q_chart_json_odd,
         "volume_increments": q_volume_increments,
         "volume_increments_split": q_volume_increments_split,
         "ohlcv_1m_split": q_ohlcv_1m_split,

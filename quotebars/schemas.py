@@ -56,23 +56,6 @@ KAFKA_ROW = T.StructType([
     T.StructField("timestamp", T.TimestampType()),
 ])
 
-# Vendor chart payload (only the fields that are read).
-CHART_JSON = T.StructType([
-    T.StructField("chart", T.StructType([
-        T.StructField("result", T.ArrayType(T.StructType([
-            T.StructField("meta", T.StructType([
-                T.StructField("regularMarketPrice", T.DoubleType()),
-            ])),
-            T.StructField("indicators", T.StructType([
-                T.StructField("quote", T.ArrayType(T.StructType([
-                    T.StructField("close", T.ArrayType(T.DoubleType())),
-                    T.StructField("volume", T.ArrayType(T.LongType())),
-                ]))),
-            ])),
-        ]))),
-    ])),
-])
-
 # Replay snapshot layout.
 REPLAY_TICK = T.StructType([
     T.StructField("t", T.LongType()),

@@ -3,12 +3,12 @@ raw poll records -> wire quotes -> canonical quotes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotebars.functions.scalar import (day_volume_sum, default_source, double_text, ms_to_ts,
                                         price_fallback, to_decimal)
-from quotebars.schemas import CHART_JSON, DEFAULT_SOURCE, KAFKA_ROW, QUOTE
+from quotebars.schemas import DEFAULT_SOURCE, KAFKA_ROW, QUOTE
 
 
 def src_kafka(spark: SparkSession, bootstrap: str | None = None, topic: str = "market.quotes",
@@ -67,19 +67,38 @@ def to_quotes(wire: DataFrame, keep=()) -> DataFrame:
     return made.select(*keep, *[F.col(f.name).cast(f.dataType).alias(f.name) for f in QUOTE.fields])
 
 
+_NUMBER = r"^(TINYINT|SMALLINT|INT|BIGINT|DECIMAL|FLOAT|DOUBLE)"
+_RESULT = "$.chart.result[0]"
+
+
+def _number(value: Column, kind: str) -> Column:
+    """A JSON number as ``kind``; NULL for anything else (text, truth values, objects) and beyond its range."""
+    return F.when(F.schema_of_variant(value).rlike(_NUMBER), F.try_variant_get(value, "$", kind))
+
+
+def _numbers(doc: Column, path: str, kind: str) -> Column:
+    """The numbers of the array at ``path``, others as NULL; empty if there is no array."""
+    found = F.transform(F.try_variant_get(doc, path, "array<variant>"), lambda x: _number(x, kind))
+    return F.coalesce(found, F.array().cast(f"array<{kind}>"))
+
+
 def src_chart_json(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
     """Vendor chart payload -> price (market price, else last non-null close) and
     day_volume (sum of non-null minute volumes). Rows with no price at all get
-    ``reject_reason = 'no_price'`` instead of failing the job."""
-    doc = F.from_json(F.col(payload_col), CHART_JSON)
-    res = F.try_element_at(doc.getField("chart").getField("result"), F.lit(1))
-    quote = F.try_element_at(res.getField("indicators").getField("quote"), F.lit(1))
-    price = price_fallback(res.getField("meta").getField("regularMarketPrice"), quote.getField("close"))
-    vols = F.coalesce(quote.getField("volume"), F.array().cast("array<bigint>"))
+    ``reject_reason = 'no_price'`` instead of failing the job.
+
+    The document is taken as it comes: a field of another kind than expected (text where a number
+    belongs, an object that is none) is missing, and the others stay. Text that is no JSON, or repeats
+    a key, has no fields at all."""
+    doc = F.try_parse_json(F.col(payload_col))
+    market = _number(F.try_variant_get(doc, f"{_RESULT}.meta.regularMarketPrice", "variant"), "double")
+    quote = f"{_RESULT}.indicators.quote[0]"
+    price = price_fallback(market, _numbers(doc, f"{quote}.close", "double"))
+    volume = day_volume_sum(_numbers(doc, f"{quote}.volume", "decimal(38,6)"))
     keep = [c for c in payloads.columns if c != payload_col]
     return payloads.select(
         *keep,
         price.alias("price"),
-        day_volume_sum(vols).alias("day_volume"),
+        volume.alias("day_volume"),
         F.when(price.isNull(), F.lit("no_price")).alias("reject_reason"),
     )

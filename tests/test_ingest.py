@@ -42,6 +42,37 @@ def test_chart_payloads(spark):
     assert got["E"] == (None, 0, "no_price")
 
 
+def test_an_odd_field_is_missing_and_the_others_stay(spark):
+    rows = [
+        ("price", _payload("n/a", [7.5], [3])),
+        ("truth", _payload(True, [7.5], [3])),
+        ("object", _payload({"raw": 1}, [7.5, "x", None], [3, "4", False, {"v": 1}, 2])),
+        ("close", _payload(1.5, "none", [1])),
+        ("volume", _payload(1.5, [2.0], "none")),
+        ("fractions", _payload(2, [2.0], [0.5, 0.75, 1])),
+        ("huge", _payload(1e300, [2.0], [1e60, 5])),
+        ("string", json.dumps({"chart": {"result": [{"meta": {"regularMarketPrice": 3}, "indicators": "none"}]}})),
+        ("list", json.dumps([1, 2])), ("scalar", "17"), ("empty", ""), ("null", None), ("cut", _payload(1, [1], [1])[:-2]),
+        ("twice", '{"chart":{"result":[{"meta":{"regularMarketPrice":1,"regularMarketPrice":2}}]}}'),
+    ]
+    got = {r.symbol: (r.price, r.day_volume) for r in src_chart_json(spark.createDataFrame(rows, "symbol string, payload string")).collect()}
+    assert got == {"price": (7.5, 3), "truth": (7.5, 3), "object": (7.5, 5), "close": (1.5, 1), "volume": (1.5, 0), "fractions": (2.0, 2),
+                   "huge": (1e300, 5), "string": (3.0, 0), "list": (None, 0), "scalar": (None, 0), "empty": (None, 0), "null": (None, 0),
+                   "cut": (None, 0), "twice": (None, 0)}
+
+
+def test_default_source_and_updated_at(spark):
+    from quotebars.operators.rollup import aggregate_ohlcv
+    raw = spark.createDataFrame([("A", "1", "2", 3, dt.datetime(2026, 6, 20), None), ("A", "1", "2", 3, dt.datetime(2026, 6, 20), "feed")],
+                                "symbol string, price string, volume string, day_volume long, quote_time timestamp, source string")
+    quotes = to_quotes(raw.withColumn("ingest_time", F.col("quote_time")))
+    assert sorted(r.source for r in quotes.collect()) == ["feed", "yahoo"]
+    before = spark.sql("SELECT current_timestamp()").first()[0]
+    stamped = [r.updated_at for r in aggregate_ohlcv(quotes).collect()]
+    assert len(stamped) == 1 and before <= stamped[0] <= spark.sql("SELECT current_timestamp()").first()[0]
+    assert "updated_at" not in aggregate_ohlcv(quotes, with_updated_at=False).columns
+
+
 def test_normalize_symbols(spark):
     df = spark.createDataFrame([(" aapl, GOOG,,aapl , msft",), ("",), (None,)], "s string")
     got = [r.x for r in df.select(normalize_symbols("s").alias("x")).collect()]
