@@ -22,8 +22,8 @@ _KIND, _PREVIOUS = "_kind", "_previous"
 ORDER = ("quote_time", _KIND, "day_volume", "price")
 
 
-def increments_after(quotes: DataFrame, carry: DataFrame, block: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(``quotes`` with ``volume`` = bigint increment, the carry after them).
+def increments_after(quotes: DataFrame, carry: DataFrame, block: Column | None = None) -> DataFrame:
+    """``quotes`` with ``volume`` = bigint increment, after a ``carry`` (``carry_after`` the batches before).
 
     A quote older than the symbol's carried one is late: it gets 0 and does not move the reference, so
     only a newer lower cumulative value counts as a day reset. So does a quote without a time. Everything
@@ -40,10 +40,16 @@ def increments_after(quotes: DataFrame, carry: DataFrame, block: Column | None =
     zero = F.lit(0).cast("bigint")
     increment = F.coalesce(F.greatest(zero, F.col("day_volume") - F.col(_PREVIOUS)), zero)
     counted = scanned.where(F.col(_KIND) == 1).select(*columns, increment.alias("volume"))
-    out = counted.unionByName(dated.where(late).select(*columns, zero.alias("volume")))
+    return counted.unionByName(dated.where(late).select(*columns, zero.alias("volume")))
+
+
+def carry_after(quotes: DataFrame, carry: DataFrame) -> DataFrame:
+    """Each symbol's newest quote of a micro-batch and the carry before it: one row for each symbol."""
+    rows = quotes.where(F.col("quote_time").isNotNull()).withColumn(_KIND, F.lit(1))
+    rows = rows.unionByName(carry.withColumn(_KIND, F.lit(0)), allowMissingColumns=True)
     place = F.struct(*[F.struct(F.col(c).isNotNull().alias("known"), F.col(c).alias("value")).alias(c) for c in ORDER])
     newest = rows.groupBy("symbol").agg(F.max_by(F.struct("quote_time", "day_volume"), place).alias("newest"))
-    return out, newest.select("symbol", "newest.quote_time", "newest.day_volume")
+    return newest.select("symbol", "newest.quote_time", "newest.day_volume")
 
 
 def increments_stateful(quotes: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], object], block: Column | None = None,
@@ -54,12 +60,14 @@ def increments_stateful(quotes: DataFrame, checkpoint: str, sink: Callable[[Data
     state = BatchState(quotes.sparkSession, f"{checkpoint.rstrip('/')}/carry", CARRY)
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        held = batch.persist()      # read for the rows and for the carry
+        before = state.before(batch_id, batch.sparkSession)
+        held = batch.persist()      # the scan reads it several times, the sink and the carry read its result
+        rows = increments_after(held, before, block).persist()
         try:
-            rows, carry = increments_after(held, state.before(batch_id, batch.sparkSession), block)
             sink(rows, batch_id)
-            state.put(carry, batch_id)
+            state.put(carry_after(rows, before), batch_id)
         finally:
+            rows.unpersist()
             held.unpersist()
 
     writer = quotes.writeStream.queryName(query_name).option("checkpointLocation", checkpoint).foreachBatch(step)

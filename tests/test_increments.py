@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quotebars.operators.increments import volume_increments
 from quotebars.sources.folders import put_batch, read_batches
 from quotebars.sources.topic import write_in_time_order
-from quotebars.streaming.increments_state import CARRY, increments_after, increments_stateful
+from quotebars.streaming.increments_state import CARRY, carry_after, increments_after, increments_stateful
 
 T0 = dt.datetime(2026, 6, 20, 12, 0, 0)
 
@@ -96,7 +96,8 @@ def test_a_repeated_batch_starts_from_the_same_state(spark, scratch):
 def test_rows_of_one_symbol_are_scanned_by_many_tasks(spark):
     quotes = spark.range(4000).select(F.lit("HOT").alias("symbol"), F.expr("timestamp_seconds(id * 60)").alias("quote_time"),
                                       F.col("id").alias("day_volume"), F.lit(1).cast("decimal(38,8)").alias("price"))
-    rows, carry = increments_after(quotes, spark.createDataFrame([], CARRY))
+    none = spark.createDataFrame([], CARRY)
+    rows, carry = increments_after(quotes, none), carry_after(quotes, none)
     plan = rows._jdf.queryExecution().toString()
     assert "hashpartitioning(symbol" in plan and "_block" in plan.split("hashpartitioning(symbol", 1)[1][:40]
     assert carry.collect()[0].day_volume == 3999 and rows.agg(F.sum("volume")).first()[0] == 3999
@@ -111,8 +112,8 @@ def test_rows_of_one_symbol_are_scanned_by_many_tasks(spark):
 def test_null_times_and_empty_batches(spark):
     none = spark.createDataFrame([], CARRY)
     rows = spark.createDataFrame([("A", None, 5, 1), ("A", T0, 9, 1), ("A", T0, 12, 1)], "symbol string, quote_time timestamp, day_volume long, price int")
-    out, carry = increments_after(rows, none)
+    out, carry = increments_after(rows, none), carry_after(rows, none)
     assert sorted((r.day_volume, r.volume) for r in out.collect()) == [(5, 0), (9, 0), (12, 3)]
     assert [tuple(r) for r in carry.collect()] == [("A", T0, 12)]
-    out, kept = increments_after(rows.limit(0), carry)
+    out, kept = increments_after(rows.limit(0), carry), carry_after(rows.limit(0), carry)
     assert out.collect() == [] and [tuple(r) for r in kept.collect()] == [("A", T0, 12)]
