@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quotebars.llm.tables import record_batch, text_slices
+from quotebars.llm.tables import record_batch, set_apart, text_slices
 from quotebars.llm.words import ALNUM, find_words, hash_grams, hash_words
 
 WINDOW = 13
@@ -246,7 +246,8 @@ def remove_spans(found: DataFrame, text: str = "text") -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, one_in: int = 20, max_match: int | None = None,
                   cut_spans: bool = False, text: str = "text", window: int = WINDOW) -> DataFrame:
-    """``docs`` without those beyond the limits; with ``cut_spans`` the others lose their hit spans."""
-    found = find_contamination(docs, benchmark, text, window=window).where(~is_contaminated(one_in, max_match))
-    return (remove_spans(found, text) if cut_spans else found).select(*docs.columns)
-
+    """``docs`` without those beyond the limits; with ``cut_spans`` the others lose their hit spans. Columns
+    of any name come back as they are."""
+    plain, names, back = set_apart(docs)
+    found = find_contamination(plain, benchmark, names[text], window=window).where(~is_contaminated(one_in, max_match))
+    return back(remove_spans(found, names[text]) if cut_spans else found)

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotebars.llm.components import components
-from quotebars.llm.tables import record_batch, text_slices
+from quotebars.llm.tables import quoted, record_batch, text_slices
 from quotebars.llm.words import NOT_SPACE, find_words, hash_grams, hash_words, mix
 from quotebars.session import scratch_dir
 
@@ -357,6 +357,6 @@ def kept() -> Column:
 
 
 def near_dedup(docs: DataFrame, size: int = 5, share: tuple[int, int] = (80, 100), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` without those that are in the component of a smaller identifier."""
+    """``docs`` without those that are in the component of a smaller identifier; columns of any name stay."""
     gone = near_groups(docs, size, share, key=key, text=text).where(~kept()).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(gone, key, "left_anti").select(*docs.columns)
+    return docs.join(gone, key, "left_anti").select(*[quoted(c) for c in docs.columns])

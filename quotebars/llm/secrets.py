@@ -8,6 +8,7 @@ entropy, unless an allow-list entry or a base span accounts for them.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections.abc import Iterator
@@ -27,7 +28,9 @@ HEX = re.compile(r"[0-9a-f]+")
 ASSIGN_VALUE, ACCESS_SIZE, HEX_SIZE = 6, 20, 24
 #: the same matches as HEX of at least HEX_SIZE characters, without stopping at shorter runs
 _LONG_HEX = re.compile(rf"[0-9a-f]{{{HEX_SIZE},}}")
-KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_base64"]
+KINDS = ["assign", "access", "hex", "entropy_hex", "entropy_base32", "entropy_base64"]
+#: characters that a stretch must have left beside spans that account for the rest of it
+LEAST_REST = 8
 
 
 class EntropyClass(NamedTuple):
@@ -38,6 +41,8 @@ class EntropyClass(NamedTuple):
 
 
 CLASSES = [EntropyClass("entropy_hex", re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{20,}(?![0-9A-Za-z])"), 20, 3.0),
+           # of 1,000 random strings of 16 such characters 990 reach this limit
+           EntropyClass("entropy_base32", re.compile(r"(?<![0-9A-Za-z])[A-Z0-9]{16,}(?![0-9A-Za-z])"), 16, 3.08),
            EntropyClass("entropy_base64", re.compile(r"[A-Za-z0-9+/_=-]{20,}"), 20, 3.8)]
 
 #: candidates that match one of these as a whole are no secrets: one kind of letter with no
@@ -83,18 +88,46 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans as disjoint ones."""
+    out: list[tuple[int, int]] = []
+    for a, b in spans:
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
+def rest_of(a: int, b: int, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of a stretch beside the disjoint, sorted spans ``taken``: all of it, or parts of
+    LEAST_REST characters and more."""
+    i = max(bisect.bisect_right(taken, (a, a)) - 1, 0)
+    i += i < len(taken) and taken[i][1] <= a
+    whole, at = True, a
+    while i < len(taken) and taken[i][0] < b:
+        whole = False
+        if taken[i][0] - at >= LEAST_REST:
+            yield at, taken[i][0]
+        at = max(at, taken[i][1])
+        i += 1
+    if whole or b - at >= LEAST_REST:
+        yield at, b
+
+
 def entropy_spans(text: str, base: list[tuple[int, int, int]], allowed: list[re.Pattern[str]] = ALLOWED) -> list[tuple[int, int, int]]:
+    """The stretches of every class, without what base spans and earlier classes account for."""
     found: list[tuple[int, int, int]] = []
-    taken = list(base)
+    taken = merged([(s, e) for s, _, e in base])
     for number, kind in enumerate(CLASSES, 3):
+        own: list[tuple[int, int]] = []
         for m in kind.runs.finditer(text):
             if any(p.fullmatch(m[0]) for p in allowed):
                 continue
             for a, b in entropy_windows(m[0], kind.window, kind.bits):
-                a, b = a + m.start(), b + m.start()
-                if not any(s < b and a < e for s, _, e in taken):
-                    found.append((a, number, b))
-        taken += found
+                own += rest_of(a + m.start(), b + m.start(), taken)
+        found += [(a, number, b) for a, b in own]
+        taken = merged(sorted(taken + own))
     return found
 
 

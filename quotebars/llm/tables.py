@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -38,5 +38,18 @@ def record_batch(schema: pa.Schema, columns: list[Any]) -> pa.RecordBatch:
          for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str], Callable[[DataFrame], DataFrame]]:
+    """``docs`` under generated column names, the generated name of each column, and the way back: it
+    restores the names and leaves out what an operator has added, so no name of its own can clash."""
+    plain = {c: f"column_{i}" for i, c in enumerate(docs.columns)}
+    return (docs.select(*[quoted(c).alias(p) for c, p in plain.items()]), plain,
+            lambda found: found.select(*[F.col(p).alias(c) for c, p in plain.items()]))
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))

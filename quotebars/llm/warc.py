@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -95,6 +95,20 @@ def parse_record(data: bytes, at: int) -> tuple[dict[str, object], int]:
             "refers_to": _page_id(head.get("warc-refers-to"))}, end + 8 + size
 
 
+#: schemes that executors write to and read from with Arrow's file systems, and their names there
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def arrow_root(spark: SparkSession, root: str) -> str:
+    """The folder as Arrow's file systems name it. Hadoop settles what a path without a scheme, or one as
+    ``file:/x``, means; a scheme that Arrow has no file system for is refused before anything is written."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    uri = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder).toUri()
+    if uri.getScheme() not in SCHEMES:
+        raise ValueError(f"bundles can't be written to {uri.getScheme()}: folders, use one of {', '.join(sorted(SCHEMES))}")
+    return f"{SCHEMES[uri.getScheme()]}://{uri.getRawAuthority() or ''}{uri.getRawPath()}"
+
+
 class BundleWriter:
     """One bundle: records go into the open frame; frames and at last the seek table into the file."""
 
@@ -169,6 +183,7 @@ def write_archive(pages: DataFrame, root: str, key: str = "page_id", url: str =
     and the others revisit them; null payloads are empty, a null page_id is never referred to
     nor revisits unless its payload has an owner, rows that repeat the smallest page_id are
     responses all. Other columns are left out; an empty table writes no bundle."""
+    place = arrow_root(pages.sparkSession, root)
     rows = pages.select(F.col(key).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"),
                         payload_of(html).alias("payload"))
     digest = F.sha2("payload", 256)
@@ -186,7 +201,7 @@ def write_archive(pages: DataFrame, root: str, key: str = "page_id", url: str =
         for batch in batches:
             for i in range(batch.num_rows):  # one row at a time: a payload may be large
                 row = [c[i].as_py() for c in batch.columns]
-                bundle = bundle or BundleWriter(root, frame_bytes)
+                bundle = bundle or BundleWriter(place, frame_bytes)
                 frame, offset, length = bundle.add(format_record(*row))
                 index.append((row[0], "response" if row[4] is None else "revisit", bundle.name, frame, offset, length))
                 if bundle.total >= bundle_bytes:
@@ -206,11 +221,12 @@ def read_archive(index: DataFrame, root: str) -> DataFrame:
     their digests. A bundle is read by one task, a frame at a time."""
     fields = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload", pa.binary()),
                         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())])
+    place = arrow_root(index.sparkSession, root)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name in batch.column(0).to_pylist():
-                bundle = BundleReader(root, name)
+                bundle = BundleReader(place, name)
                 for number in range(len(bundle.sizes)):
                     data, at, found = bundle.frame(number), 0, []
                     while at < len(data):
@@ -225,6 +241,7 @@ def read_records(wanted: DataFrame, root: str) -> DataFrame:
     """The records of some index rows: for each, one seek to its frame and its offset in there."""
     fields = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload", pa.binary()),
                         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())])
+    place = arrow_root(wanted.sparkSession, root)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[str, int] | None = None
@@ -232,7 +249,7 @@ def read_records(wanted: DataFrame, root: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 if bundle is None or held is None or held[0] != row["bundle"]:
-                    bundle = BundleReader(root, row["bundle"])
+                    bundle = BundleReader(place, row["bundle"])
                     held = None
                 if held != (row["bundle"], row["frame"]):
                     data, held = bundle.frame(row["frame"]), (row["bundle"], row["frame"])

@@ -47,6 +47,20 @@ def test_every_payload_comes_back(spark, scratch):
     assert W.read_archive(W.write_archive(pages.limit(0), root + "-none"), root + "-none").collect() == []
 
 
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}"])
+def test_roots_in_every_form_of_a_local_path(spark, scratch, form):
+    root = form.format(scratch("warc-root"))
+    index = W.write_archive(pages_of(spark, [(1, "u", "x" * 200), (2, "v", "x" * 200), (3, None, None)]), root)
+    assert sorted((r.page_id, r.record_type) for r in W.read_archive(index, root).collect()) == [(1, "response"), (2, "revisit"), (3, "response")]
+    assert W.read_records(index.where("page_id = 3"), root).first().payload == b""
+
+
+def test_unknown_schemes_are_refused_before_anything_is_written(spark):
+    spark.conf.set("fs.odd.impl", "org.apache.hadoop.fs.LocalFileSystem")
+    with pytest.raises(Exception):
+        W.write_archive(pages_of(spark, [(1, "u", "x")]), "odd://host/folder")
+
+
 def test_bundle_is_a_zstandard_file_with_a_seek_table(tmp_path):
     bundle = W.BundleWriter(str(tmp_path))
     records = [W.format_record(i, "u", b"payload %d " % i * 9, sha(b"payload %d " % i * 9), None) for i in range(5)]

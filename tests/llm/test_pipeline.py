@@ -1,10 +1,14 @@
 import os
 import re
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 import corpus_pipeline as P
@@ -13,12 +17,12 @@ from tests.llm.conftest import SF, sha
 from tests.llm.test_near_dedup import brute
 from tests.llm.test_text_operators import brute_hits
 
-TABLES = ("documents", "benchmark", "pages", "labels")
+TABLES = ("documents", "benchmark", "pages", "labels", "conversations")
 
 
 def test_every_operator_is_registered():
     names = set(E.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(Q.oracle_sql()) <= names
 
 
@@ -73,6 +77,66 @@ def test_each_stage_against_brute_force(spark, scratch):
                 assert r.ids == " ".join(map(str, ids)) and r.n_tokens == len(ids) and r.decoded_sha256 == sha(library.decode(ids))
 
 
+def test_every_stage_gives_back_columns_of_any_name(spark, scratch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    clashing = ["kept", "digest", "keep_id", "group_size", "found", "score", "component_id", "id", "row", "_score", "_bad", "secrets", "a.b"]
+    for i, name in enumerate(clashing):
+        docs = docs.withColumn(name, F.concat(F.lit(f"{i}:"), F.col("doc_id").cast("string")))
+    root = scratch("clashes")
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        out.write.parquet(f"{root}/{name}")
+        kept = spark.read.parquet(f"{root}/{name}")
+        assert kept.columns == docs.columns and kept.dtypes == docs.dtypes
+        before = {r.doc_id: r for r in docs.collect()}
+        rows = kept.collect()
+        assert rows and all(before[r.doc_id] == r for r in rows)
+        docs = kept
+    assert {r.doc_id for r in P.tokens(spark, docs, SF).collect()} == {r.doc_id for r in rows}
+
+
+LEFT = ("__spark_entry__.py", "quotebars", "tests", "tools", "bench.py")
+
+
+def copy_without(tmp_path):
+    """The repository as the driver leaves it: without the corpus folders and the pipeline."""
+    root = os.path.dirname(os.path.abspath(E.__file__))
+    for name in LEFT:
+        source = os.path.join(root, name)
+        if os.path.isdir(source):
+            shutil.copytree(source, tmp_path / name, ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        else:
+            shutil.copy(source, tmp_path / name)
+    return tmp_path
+
+
+def run_python(folder, code):
+    return subprocess.run([sys.executable, "-c", code], cwd=folder, env=os.environ | {"PYTHONPATH": str(folder)}, capture_output=True, text=True, timeout=300)
+
+
+def test_the_rest_imports_and_runs_without_the_corpus_folders(tmp_path):
+    done = run_python(copy_without(tmp_path), """
+import __spark_entry__ as E
+assert len(E.queries()) == len(E.oracle_sql()) >= 47 and not any(n.startswith("op") and n[2].isdigit() for n in E.queries())
+from quotebars.session import build_session
+spark = build_session("local[2]", shuffle_partitions=2)
+print("rows", E.entry(spark).count())
+""")
+    assert done.returncode == 0 and "rows" in done.stdout and "corpus operators left out" in done.stderr, done.stderr[-2000:]
+
+
+def test_a_missing_dependency_leaves_out_the_corpus_operators_only():
+    done = run_python(os.path.dirname(os.path.abspath(E.__file__)), """
+import sys
+sys.modules["ahocorasick"] = None       # as if it were not installed
+import __spark_entry__ as E
+print(len(E.queries()), len(E.oracle_sql()))
+""")
+    assert done.returncode == 0 and "ahocorasick" in done.stderr, done.stderr[-2000:]
+    queries, oracles = map(int, done.stdout.split())
+    assert queries == oracles >= 47
+
+
 def test_rest_works_without_the_corpus_folders():
     """Nothing outside imports the subpackage or the pipeline, but for the guarded entry."""
     root = os.path.dirname(os.path.abspath(E.__file__))

@@ -1,7 +1,9 @@
 """Secrets, decontamination, token ids and sharding against brute-force versions."""
 
+import itertools
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from math import log2
@@ -136,6 +138,50 @@ def test_windows_equal_entropy_by_definition(text, bits):
     assert {i for a, b in S.entropy_windows(text, size, bits) for i in range(a, b)} == covered
 
 
+def test_a_stretch_keeps_what_base_spans_leave():
+    rng = random.Random(7)
+    alnum = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    head, tail, hexes = "".join(rng.choices(alnum, k=30)) + "Z", "Z" + "".join(rng.choices(alnum, k=30)), "".join(rng.choices("0123456789abcdef", k=26))
+    text = head + hexes + tail
+    base = S.base_spans(text)
+    assert [(k, text[s:e]) for s, k, e in base] == [(2, hexes)]
+    spans = S.entropy_spans(text, base)
+    assert spans and all(e - s >= S.LEAST_REST and (e <= base[0][0] or s >= base[0][2]) for s, _, e in spans)
+    assert {i for s, _, e in spans for i in range(s, e)} >= {*range(4, 27), *range(len(text) - 27, len(text) - 4)}
+
+
+def test_rest_of_a_stretch_by_definition():
+    rng = random.Random(3)
+    for _ in range(500):
+        taken = S.merged(sorted((a, a + rng.randint(1, 15)) for a in rng.sample(range(100), rng.randint(0, 6))))
+        a = rng.randint(0, 80)
+        b = a + rng.randint(1, 40)
+        free = [i for i in range(a, b) if not any(s <= i < e for s, e in taken)]
+        runs = [r for r in ([*g] for _, g in itertools.groupby(free, key=lambda i, c=itertools.count(): i - next(c))) if len(free) == b - a or len(r) >= S.LEAST_REST]
+        assert list(S.rest_of(a, b, taken)) == [(r[0], r[-1] + 1) for r in runs]
+
+
+def test_base32_secrets_are_found():
+    rng = random.Random(9)
+    found = 0
+    for _ in range(300):
+        key = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=20))
+        found += bool(S.entropy_spans(f"the key {key} here", []))
+    assert found >= 285
+    for clean in ("INTERNATIONALIZATION", "AAAAAAAAAAAAAAAA2222", "the quick brown fox", "ABCABCABCABCABCABC123"):
+        assert not S.entropy_spans(clean, [])
+
+
+def test_spans_grow_in_proportion():
+    rng = random.Random(11)
+    unit = lambda: "token=" + "".join(rng.choices("abcdefXYZ0123456789", k=24)) + " " + "".join(rng.choices("ABCDEFGHJKLMNPQRSTUVWXYZ234567abcdefgh", k=40)) + " "
+    text = "".join(unit() for _ in range(56_000))       # 4 MB
+    began = time.process_time()
+    base = S.base_spans(text)
+    spans = S.entropy_spans(text, base)
+    assert len(base) > 50_000 and len(spans) > 50_000 and time.process_time() - began < 30
+
+
 def test_entropy_spans_are_added_and_the_allow_list_suppresses(documents):
     key = "q7Zp0Lr2Xv9Tn4Kc8Wb1Ys6M"
     texts = [f"é {key} end", "b0000000-0000-4000-8000-00805f9b34fb", "internationalisationofthings", f"token={key}", None, "", "2024-01-01/some-long-path-of-words/99"]
