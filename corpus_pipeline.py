@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it kept, and returns
 a DataFrame; its result is written as Parquet to the shared folder and read again for the next.
-All stages but the last return the columns of their input.
+All stages but the last return the columns of their input, whatever their names, as they are.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from quotebars.llm.exact_dedup import exact_dedup
 from quotebars.llm.near_dedup import near_dedup
 from quotebars.llm.piece_bpe import round_trip
 from quotebars.llm.quality import keep_good
-from quotebars.llm.tables import table
+from quotebars.llm.tables import set_apart, table
 from quotebars.session import scratch_dir, ship_package
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -31,7 +31,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts (white space aside): the longest, then the first."""
     ship_package(spark)
-    return exact_dedup(docs).where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    plain, names, back = set_apart(docs)
+    return back(exact_dedup(plain, names["doc_id"], names["text"]).where("kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
