@@ -11,6 +11,7 @@ eight leaves. Digests travel, texts don't: the documents are read once and never
 
 from __future__ import annotations
 
+import functools
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -47,23 +48,14 @@ def height_of(nodes: int) -> int:
 
 
 class Tree(NamedTuple):
-    """Trees of one kind on disk: ``leaves`` (tree, rank, n, leaf and what was kept beside them), one folder
-    of records (tree, place, n, digest, children) for each height, ``tops`` (tree, digest, height)."""
+    """Trees of one kind on disk: ``leaves`` (tree, rank in it, n leaves of it, leaf and what was kept beside),
+    one folder of records (tree, place, n, digest, children) for each height, ``tops`` (tree, digest, height)."""
     spark: SparkSession
     path: str
     height: int
 
     def leaves(self) -> DataFrame:
-        """With ``rank`` in the tree and ``n``, the leaves of the tree: a leaf's place within its sorted
-        file plus the rows of the tree in the files before."""
-        rows = self.spark.read.parquet(f"{self.path}/leaves").withColumn("part", F.shiftright("at", 33))
-        parts = rows.groupBy("tree", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("held"))
-        tree = Window.partitionBy("tree")
-        before = tree.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-        begins = parts.select("tree", "part", "first", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("begin"),
-                              F.sum("held").over(tree).alias("n"))
-        return (rows.join(begins, ["tree", "part"])
-                .withColumn("rank", F.col("begin") + F.col("at") - F.col("first")).drop("at", "part", "first", "begin"))
+        return self.spark.read.parquet(f"{self.path}/leaves")
 
     def nodes(self, height: int) -> DataFrame:
         if height == 0:
@@ -76,24 +68,37 @@ class Tree(NamedTuple):
 
     def tops(self) -> DataFrame:
         """(tree, digest, height) of the node that each tree ends in: a lone leaf or a record."""
-        found = [self.nodes(h).where("n = 1").select("tree", "digest", F.lit(h).alias("height")) for h in range(self.height + 1)]
-        out = found[0]
-        for more in found[1:]:
-            out = out.union(more)
-        return out
+        return self.spark.read.parquet(f"{self.path}/tops")
+
+
+def rank(rows: DataFrame) -> DataFrame:
+    """``rows`` of sorted files (``tree``, ``at``) with ``rank`` in the tree and ``n``, the leaves of the tree: a
+    row's place within its file plus the rows of the tree in the files before."""
+    placed = rows.withColumn("part", F.shiftright("at", 33))
+    parts = placed.groupBy("tree", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("held"))
+    tree = Window.partitionBy("tree")
+    before = tree.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    begins = parts.select("tree", "part", "first", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("begin"),
+                          F.sum("held").over(tree).alias("n"))
+    return (placed.join(begins, ["tree", "part"])
+            .withColumn("rank", F.col("begin") + F.col("at") - F.col("first")).drop("at", "part", "first", "begin"))
 
 
 def plant(rows: DataFrame, order: list[str], path: str) -> Tree | None:
     """Write the trees of ``rows`` (``tree``, not null; ``leaf``; more columns), each ascending by ``order``.
 
-    Rows are dealt by range and sorted, so a tree with most of the rows is spread over many tasks, and a row's
-    number within its file comes without a window. A level is one aggregation into runs of up to eight."""
+    The rows are written first, so that the texts are read once; then they are dealt by range and sorted, so a
+    tree with most of the rows is spread over many tasks, and a row's number within its file comes without a
+    window. A level is one aggregation into runs of up to eight."""
     spark = rows.sparkSession
-    parts = max(rows.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
     keys = ["tree", *order, "leaf"]
-    (rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id())
-     .write.parquet(f"{path}/leaves"))
-    largest = spark.read.parquet(f"{path}/leaves").groupBy("tree").count().agg(F.max("count")).first()[0]
+    rows.write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    parts = max(rows.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
+    (rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+     .withColumn("at", F.monotonically_increasing_id()).write.parquet(f"{path}/sorted"))
+    rank(spark.read.parquet(f"{path}/sorted")).write.parquet(f"{path}/leaves")
+    largest = spark.read.parquet(f"{path}/leaves").agg(F.max("n")).first()[0]
     if largest is None:
         return None
     tree = Tree(spark, path, height_of(largest))
@@ -103,6 +108,8 @@ def plant(rows: DataFrame, order: list[str], path: str) -> Tree | None:
                 .agg(F.max(F.ceil(F.col("n") / RUN)).alias("n"), F.collect_list(F.struct("place", "digest")).alias("run")))
         children = runs.withColumn("children", F.transform(F.array_sort("run"), lambda x: x["digest"])).drop("run")
         children.withColumn("digest", digest(F.array_join("children", ""))).write.parquet(f"{path}/height-{height}")
+    ends = [tree.nodes(h).where("n = 1").select("tree", "digest", F.lit(h).alias("height")) for h in range(tree.height + 1)]
+    functools.reduce(DataFrame.union, ends).write.parquet(f"{path}/tops")
     return tree
 
 
@@ -128,19 +135,24 @@ def wanted(states: DataFrame, requests: DataFrame | None, height: int) -> DataFr
     return states.join(prefixes, ["tree", "place"], "left_semi")
 
 
+def ways_to_subroots(top: Tree) -> DataFrame:
+    states = top.tops().select("tree", F.lit(0).cast("long").alias("place"), "digest",
+                               F.expr("array()").cast("array<struct<left:string,right:string>>").alias("path"))
+    for height in range(top.height, 0, -1):
+        states = descend(states, top.records(height))
+    named = top.leaves().select(F.col("rank").alias("place"), F.col("group").alias("tree"), "height")
+    return states.drop("tree").join(named, "place").select("tree", F.col("digest").alias("subroot"), "height", "path")
+
+
 class Manifest(NamedTuple):
     groups: Tree
     top: Tree
     root: str
+    path: str
 
     def subroots(self) -> DataFrame:
         """(tree, subroot, height, path): every group's tree with its way from the root."""
-        states = self.top.tops().select("tree", F.lit(0).cast("long").alias("place"), "digest",
-                                        F.expr("array()").cast("array<struct<left:string,right:string>>").alias("path"))
-        for height in range(self.top.height, 0, -1):
-            states = descend(states, self.top.records(height))
-        named = self.top.leaves().select(F.col("rank").alias("place"), F.col("group").alias("tree"), F.col("height"))
-        return states.drop("tree").join(named, "place").select("tree", F.col("digest").alias("subroot"), "height", "path")
+        return self.top.spark.read.parquet(f"{self.path}/subroots")
 
     def prove(self, requests: DataFrame | None = None) -> DataFrame:
         """The leaves, or those of ``requests`` (tree, rank), with what was kept beside them, ``subroot``
@@ -191,7 +203,8 @@ def write_manifest(docs: DataFrame, path: str | None = None, fields: tuple[str,
     subroots = groups.tops().withColumnRenamed("digest", "leaf").join(named, "tree").select(
         F.lit("").alias("tree"), "leaf", F.col("group").alias("ranked"), F.col("tree").alias("group"), "height")
     top = plant(subroots, ["ranked"], f"{path}/top")
-    return Manifest(groups, top, top.tops().first()["digest"])
+    ways_to_subroots(top).write.parquet(f"{path}/subroots")
+    return Manifest(groups, top, top.tops().first()["digest"], path)
 
 
 def proof_text(proof: Column) -> Column:
