@@ -147,3 +147,54 @@ SELECT DISTINCT faults.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS
        sha256(coalesce(best.t[2:], '')) AS repaired_sha256
 FROM faults LEFT JOIN counts USING (conv) LEFT JOIN ended USING (conv)
 """
+
+
+#: strings of so many bytes that start earlier, too, are removed
+_SPAN = 100
+
+#: every window of the texts, as hex digits: the one that starts first stays
+OP5_SQL = f"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, s, substr(h, 2 * s + 1, {2 * _SPAN}) AS x FROM d, unnest(range(0, greatest(n - {_SPAN - 1}, 0))) AS t(s)),
+hits AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY x ORDER BY doc_id, s) AS k FROM w) WHERE k > 1),
+marked AS (SELECT doc_id, s, coalesce(s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + {_SPAN}, true) AS opens FROM hits),
+numbered AS (SELECT doc_id, s, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY s ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+runs AS (SELECT doc_id, min(s) AS b, max(s) + {_SPAN} AS e FROM numbered GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS before FROM runs),
+cut AS (
+  SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans, max(e) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (b - before)), '' ORDER BY b) AS head
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+SHARDS = 24
+
+
+def _jump(shards: int) -> str:
+    """The published algorithm over the unsigned 64-bit ``key``: steps after the last jump change nothing."""
+    k = "(a.k * 2862933555777941757::HUGEINT + 1) % 18446744073709551616::HUGEINT"
+    j = f"floor((a.j + 1)::DOUBLE * (2147483648.0 / ((({k}) // 8589934592::HUGEINT)::DOUBLE + 1)))::BIGINT"
+    start = "{'b': -1::BIGINT, 'j': 0::BIGINT, 'k': key::HUGEINT}"
+    steps = f"list_transform(range({shards + 1}), lambda i: {start})"
+    return f"list_reduce({steps}, lambda a, x: CASE WHEN a.j < {shards} THEN {{'b': a.j, 'j': {j}, 'k': {k}}} ELSE a END, {start}).b::INTEGER"
+
+
+#: CRC-32 of whole texts, a byte at a time by the table of its 256 remainders
+OP9_SQL = f"""
+WITH remainders AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1))) ORDER BY i) AS r FROM range(256) AS t(i)),
+d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n,
+         ('0x' || md5(coalesce(CAST(doc_id AS VARCHAR), ''))[1:16])::UBIGINT AS key
+  FROM documents),
+told AS (
+  SELECT doc_id, n + 8 AS size, {_jump(SHARDS)} AS shard, {_jump(SHARDS + 1)} AS grown_shard,
+         xor(list_reduce(list_transform(range(n), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT),
+                         lambda c, b: xor(c >> 8, r[1 + (xor(c, b) & 255)]), 4294967295::BIGINT), 4294967295::BIGINT) AS text_crc32
+  FROM d, remainders)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, grown_shard
+FROM told
+"""
