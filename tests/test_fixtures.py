@@ -74,3 +74,21 @@ def test_replay_layout_and_missing_file(spark, scratch):
         assert found[0].count() == 68 and found[1].count() == 24
     t2, b2 = src_replay_snapshot(spark, f"{root}/does-not-exist")
     assert t2.count() == 0 and b2.count() == 0
+
+
+def test_a_busy_symbol_has_several_replay_lines(spark):
+    from quotebars.sources.replay import replay_rows
+    base = dt.datetime(2026, 6, 20, 12, 0, 0)
+    rows = [(s, 100 + i % 9, 1, i, base + dt.timedelta(milliseconds=300 * i)) for s, n in (("HOT", 900), ("COLD", 5), (None, 40)) for i in range(n)]
+    q = spark.createDataFrame(rows, "symbol string, price int, volume int, day_volume long, quote_time timestamp") \
+        .select("symbol", F.col("price").cast("decimal(38,8)").alias("price"), F.col("volume").cast("decimal(38,8)").alias("volume"),
+                "day_volume", "quote_time")
+    bars = aggregate_ohlcv(q).unionByName(aggregate_ohlcv(q.where("symbol = 'COLD'")).withColumn("symbol", F.lit("BARS ONLY")))
+    lines = replay_rows(bars, q, 12, "x", line_ticks=100).collect()
+    assert len([r for r in lines if r.symbol == "HOT"]) == 9 and max(len(r.ticks) for r in lines) <= 104
+    assert sorted(len(r.ohlcv) for r in lines if r.symbol == "HOT") == [0] * 8 + [5]
+    whole = {r.symbol: r for r in replay_rows(bars, q, 12, "x", line_ticks=None).collect()}
+    assert set(whole) == {"HOT", "COLD", None, "BARS ONLY"} and whole["BARS ONLY"].ticks == []
+    for symbol, one in whole.items():
+        parts = sorted((r for r in lines if r.symbol == symbol), key=lambda r: r.ticks[0].t if r.ticks else 0)
+        assert [t for r in parts for t in r.ticks] == one.ticks and [b for r in parts for b in r.ohlcv] == one.ohlcv
