@@ -14,9 +14,10 @@ from __future__ import annotations
 import functools
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotebars.llm.ranks import rank, sort_files
 from quotebars.session import scratch_dir
 
 #: children of a node
@@ -71,33 +72,13 @@ class Tree(NamedTuple):
         return self.spark.read.parquet(f"{self.path}/tops")
 
 
-def rank(rows: DataFrame) -> DataFrame:
-    """``rows`` of sorted files (``tree``, ``at``) with ``rank`` in the tree and ``n``, the leaves of the tree: a
-    row's place within its file plus the rows of the tree in the files before."""
-    placed = rows.withColumn("part", F.shiftright("at", 33))
-    parts = placed.groupBy("tree", "part").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("held"))
-    tree = Window.partitionBy("tree")
-    before = tree.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    begins = parts.select("tree", "part", "first", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("begin"),
-                          F.sum("held").over(tree).alias("n"))
-    return (placed.join(begins, ["tree", "part"])
-            .withColumn("rank", F.col("begin") + F.col("at") - F.col("first")).drop("at", "part", "first", "begin"))
-
-
 def plant(rows: DataFrame, order: list[str], path: str) -> Tree | None:
     """Write the trees of ``rows`` (``tree``, not null; ``leaf``; more columns), each ascending by ``order``.
 
-    The rows are written first, so that the texts are read once; then they are dealt by range and sorted, so a
-    tree with most of the rows is spread over many tasks, and a row's number within its file comes without a
-    window. A level is one aggregation into runs of up to eight."""
+    The texts are read once, and no tree has to go through one task (``ranks``). A level is one aggregation
+    into runs of up to eight."""
     spark = rows.sparkSession
-    keys = ["tree", *order, "leaf"]
-    rows.write.parquet(f"{path}/rows")
-    rows = spark.read.parquet(f"{path}/rows")
-    parts = max(rows.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
-    (rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-     .withColumn("at", F.monotonically_increasing_id()).write.parquet(f"{path}/sorted"))
-    rank(spark.read.parquet(f"{path}/sorted")).write.parquet(f"{path}/leaves")
+    rank(sort_files(rows, ["tree", *order, "leaf"], path), "tree").write.parquet(f"{path}/leaves")
     largest = spark.read.parquet(f"{path}/leaves").agg(F.max("n")).first()[0]
     if largest is None:
         return None

@@ -14,7 +14,7 @@ from quotebars.llm.exact_dedup import exact_dedup
 from quotebars.llm.labelled import held_out
 from quotebars.llm.merkle import verify_tampered
 from quotebars.llm.near_dedup import kept, near_groups
-from quotebars.llm.oracles import OP12_SQL, OP13_SQL
+from quotebars.llm.oracles import OP5_SQL, OP9_SQL, OP12_SQL, OP13_SQL
 from quotebars.llm.order_minhash import compare_with_splices
 from quotebars.llm.piece_bpe import round_trip
 from quotebars.llm.quality import score_documents
@@ -127,7 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_near_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op4_decontamination": OP4_SQL, "op8_exact_dedup": OP8_SQL,
+    return {"op1_near_dedup": OP1_SQL, "op2_warc": OP2_SQL, "op4_decontamination": OP4_SQL, "op5_substring_dedup": OP5_SQL, "op8_exact_dedup": OP8_SQL, "op9_sharding": OP9_SQL,
             "op12_merkle": OP12_SQL, "op13_repair": OP13_SQL}
 
 

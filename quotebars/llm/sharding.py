@@ -6,14 +6,15 @@ one more shard a key either stays or moves into the new one.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotebars.llm.ranks import rank, sort_files
+from quotebars.session import scratch_dir
+
 #: the generator of the published algorithm: key = key * MULTIPLIER + 1 modulo 2^64
 MULTIPLIER = 2862933555777941757
 _WRAP = 1 << 64
-#: rows that one task numbers at most, about
-BLOCK_ROWS = 100_000
 
 
 def jump_hash(key: Column, shards: int) -> Column:
@@ -40,35 +41,24 @@ def jump_hash(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards + 1)), begin, step)["b"].cast("int")
 
 
-def number_rows(df: DataFrame, group: str, order: list[str], name: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Add ``name``: 0, 1, 2 ... without gaps within each ``group``, split over many tasks.
-
-    The rows of a group are dealt by hash into blocks of about ``block_rows``; a task numbers
-    the rows of one block, and the blocks' counts (one row per block) give where each begins."""
-    rows = df.count()
-    per_group = max(1, -(-rows // block_rows))
-    keyed = df.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(per_group)).cast("int"))
-    counts = keyed.groupBy(group, "_block").agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy(group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select(group, "_block", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_begin"))
-    within = Window.partitionBy(group, "_block").orderBy(*order)
-    numbered = keyed.withColumn("_row", F.row_number().over(within))
-    return (numbered.join(begins, [group, "_block"])
-            .withColumn(name, F.col("_begin") + F.col("_row") - 1)
-            .drop("_block", "_begin", "_row"))
+def key_number(key: Column) -> Column:
+    """The first 64 bits of the MD5 digest of a key, as text, as an unsigned number; a null key counts as empty text."""
+    return F.conv(F.substring(F.md5(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), 1, 16), 16, 10).cast("decimal(20,0)")
 
 
 def assign_shards(docs: DataFrame, shards: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, ``size`` (UTF-8 bytes of the text plus 8), ``text_crc32``,
     ``law`` = 'key', ``shard``, ``slot`` in the shard and ``grown_shard`` (with one more shard).
 
-    Null texts have no bytes; a null key is a key like any other (hashed as such); rows that
-    repeat a key share its shard and get slots of their own; an empty table gives no rows."""
+    Slots follow the key (null first), the text's CRC and the size; rows alike in all of them take any
+    order. Null texts have no bytes; a null key is a key like any other (hashed as such); rows that
+    repeat a key share its shard and get slots of their own; an empty table gives no rows. The texts
+    are read once."""
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    hashed = F.xxhash64(F.col(key))
+    hashed = key_number(F.col(key))
     rows = docs.select(F.col(key), (F.octet_length(data) + 8).cast("long").alias("size"),
-                       F.crc32(data).alias("text_crc32"), F.lit("key").alias("law"),
-                       jump_hash(hashed, shards).alias("shard"),
+                       F.crc32(data).alias("text_crc32"), jump_hash(hashed, shards).alias("shard"),
                        jump_hash(hashed, shards + 1).alias("grown_shard"))
-    return (number_rows(rows, "shard", [key, "text_crc32", "size"], "slot")
-            .select(key, "size", "text_crc32", "law", "shard", "slot", "grown_shard"))
+    path = scratch_dir(docs.sparkSession, "shards")
+    ranked = rank(sort_files(rows, ["shard", key, "text_crc32", "size"], path), "shard")
+    return ranked.select(key, "size", "text_crc32", F.lit("key").alias("law"), "shard", F.col("rank").alias("slot"), "grown_shard")

@@ -1,5 +1,6 @@
 """Secrets, decontamination, token ids and sharding against brute-force versions."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from quotebars.llm import decontam as D
 from quotebars.llm import piece_bpe as P
+from quotebars.llm import ranks as R
 from quotebars.llm import secrets as S
 from quotebars.llm import sharding as H
 from tests.llm.conftest import AWKWARD, lower
@@ -231,5 +233,24 @@ def test_shards_slots_sizes_and_growth(documents):
             data = (text or "").encode()
             assert sizes[i] == (len(data) + 8, zlib.crc32(data))
     assert H.assign_shards(docs.limit(0), 24).collect() == []
-    numbered = H.number_rows(docs.withColumn("g", F.lit(1)), "g", ["doc_id", "text"], "n", block_rows=10).collect()
-    assert sorted(r.n for r in numbered) == list(range(len(rows)))
+    named = {r.doc_id: r for r in rows if r.doc_id != 3}
+    for i, r in named.items():
+        key = int(hashlib.md5(b"" if i is None else str(i).encode()).hexdigest()[:16], 16)
+        assert (r.shard, r.grown_shard) == (published_jump(key, 24), published_jump(key, 25))
+
+
+def test_ranks_of_a_hot_group_over_many_files(spark, scratch):
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 < 2, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 7)).alias("g"),
+                                    F.when(F.col("id") % 11 > 0, F.col("id") % 50).alias("x"), "id")
+    found = R.rank(R.sort_files(rows, ["g", "x", "id"], scratch("ranks")), "g").collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r.g, []).append(r)
+    assert len(found) == 3000 and len(groups["hot"]) == 2000
+    for members in groups.values():
+        members.sort(key=lambda r: r["rank"])
+        assert [r["rank"] for r in members] == list(range(len(members))) and {r.n for r in members} == {len(members)}
+        order = [(r.x is not None, r.x or 0, r.id) for r in members]
+        assert order == sorted(order)
+    parts = R.sort_files(rows, ["g", "x", "id"], scratch("ranks"))
+    assert parts.where("g = 'hot'").select(F.shiftright("at", 33)).distinct().count() > 1
