@@ -88,7 +88,7 @@ def test_groups_equal_brute_force_over_several_batches(spark, documents, scratch
     path = scratch("docs")
     docs.repartition(6).write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
-    for source, bound in ((docs, E.BATCH_BYTES), (stored, 2000)):
+    for source, bound in ((docs, None), (stored, 2000)):
         got = E.exact_dedup(source, max_bytes_per_trigger=bound)
         assert got.columns == ["doc_id", "text", "source", "n_chars", "digest", "keep_id", "group_size", "kept"]
         got = got.collect()
@@ -110,6 +110,49 @@ def test_repeated_rows_from_files_leave_one(spark, documents, scratch):
     assert [r.group_size for r in got] == [5] * 5 and sum(r.kept for r in got) == 1
 
 
+def some_documents(spark, documents, path, n=240, parts=6):
+    rng = random.Random(8)
+    rows = [(i, rng.choice([f"own text {i}", f"common{' ' * rng.randint(0, 9)}text", f"text of {i % 17}"])) for i in range(n)]
+    documents(rows).repartition(parts).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_later_batches_hit_the_state_of_earlier_ones(spark, documents, scratch):
+    docs, state = some_documents(spark, documents, scratch("docs")), scratch("state")
+    E.exact_dedup(docs, state=state).collect()
+    changed = spark.read.parquet(f"{state}/changed")
+    assert changed.select("batch").distinct().count() >= 3
+    hits = changed.groupBy("digest").agg(F.countDistinct("batch").alias("batches")).where("batches > 1").count()
+    assert hits >= 10
+
+
+def test_two_runs_over_one_state_equal_one_run(spark, documents, scratch):
+    path = scratch("docs")
+    docs = some_documents(spark, documents, path)
+    whole = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in E.exact_dedup(docs).collect()}
+    first, second, state = scratch("first"), scratch("second"), scratch("state")
+    docs.where("doc_id < 150").repartition(3).write.mode("overwrite").parquet(first)
+    docs.where("doc_id >= 150").repartition(3).write.mode("overwrite").parquet(second)
+    E.exact_dedup(spark.read.parquet(first), state=state, run_id="first").collect()
+    later = E.exact_dedup(spark.read.parquet(second), state=state, run_id="second").collect()
+    assert {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in later} == {i: w for i, w in whole.items() if i >= 150}
+    assert any(r.keep_id < 150 for r in later) and any(r.kept for r in later)
+    # the first run's rows in the light of the second, by a run that is repeated under its name
+    again = E.exact_dedup(spark.read.parquet(first), state=state, run_id="first").collect()
+    assert {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in again} == {i: w for i, w in whole.items() if i < 150}
+
+
+def test_bytes_of_an_earlier_run_are_fetched_and_compared(spark, documents, scratch, monkeypatch):
+    first, state = scratch("first"), scratch("state")
+    documents([(1, "an older text")]).write.mode("overwrite").parquet(first)
+    monkeypatch.setattr(F, "sha2", lambda column, bits: F.lit("one digest for all"))
+    E.exact_dedup(spark.read.parquet(first), state=state).collect()
+    second = scratch("second")
+    documents([(2, "a text")]).write.mode("overwrite").parquet(second)
+    with pytest.raises(Exception, match="texts of one digest differ"):
+        E.exact_dedup(spark.read.parquet(second), state=state).collect()
+
+
 def test_texts_of_one_digest_are_compared_byte_by_byte(spark, documents, monkeypatch):
     monkeypatch.setattr(F, "sha2", lambda column, bits: F.lit("one digest for all"))
     with pytest.raises(Exception, match="texts of one digest differ"):
