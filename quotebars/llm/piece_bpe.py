@@ -7,7 +7,8 @@ it, where two tokens are compatible if merging their joined text gives just thes
 ids are then read off backwards. Time is linear in the text, without a priority queue.
 
 A text is cut into segments that no merge can cross (before a white-space mark, at characters
-of which no piece is made), and encodings of short segments are remembered.
+of which no piece is made, between two characters that no piece has side by side), and encodings
+of short segments are remembered.
 """
 
 from __future__ import annotations
@@ -26,14 +27,36 @@ from pyspark.sql import functions as F
 from quotebars.llm.tables import record_batch, text_slices
 
 MARK = "▁"          # stands for a blank in pieces
-#: segments and token pairs that a worker remembers; when full, the memory starts anew
-REMEMBERED = 300_000
+#: segments, and words, that a worker remembers in each of two generations; token pairs twice as many
+REMEMBERED = 200_000
 #: longer segments are encoded but not remembered
 SHORT = 48
 _EACH = "replace-each-byte"
 codecs.register_error(_EACH, lambda e: ("�" * (e.end - e.start), e.end))
 
 
+class Memory(dict):
+    """A bounded memory of two generations. When the young one, the dictionary itself, is full, it
+    becomes the old one; what is asked for again moves back, so rare keys are forgotten first."""
+
+    def __init__(self, size: int = REMEMBERED):
+        super().__init__()
+        self.size, self.old = size, {}
+
+    def put(self, key: object, value: object) -> None:
+        if len(self) >= self.size:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+
+    def again(self, key: object) -> object | None:
+        """The value of a key that is not in the young generation, if it is in the old one."""
+        value = self.old.get(key)
+        if value is not None:
+            self.put(key, value)
+        return value
+
+
 class PieceTable:
     """Encoder and decoder of one model file."""
 
@@ -58,10 +81,14 @@ class PieceTable:
         for piece, i in self.ids.items():
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        self.pairs: dict[int, bool] = {}
+        # two characters, side by side, that some merge can join
+        self.joined = {(a, b) for p in self.scores for a, b in zip(p, p[1:])}
+        # of each token (the last: of none): whether the tokens that were met after it fit
+        self.after: list[dict[int, bool]] = [{} for _ in range(size + 1)]
+        self.n_pairs = 0
         self.histories: dict[int, tuple[list[float], list[str], list[str]] | None] = {}
-        self.segments: dict[str, str] = {}
-        self.words: dict[str, str] = {}
+        self.segments = Memory()
+        self.words = Memory()
         breaks = "".join(c for c in "\n\r\t" if c not in self.known)
         inner = any(MARK in p.lstrip(MARK) for p in self.scores)
         no = re.escape(breaks)
@@ -100,12 +127,14 @@ class PieceTable:
 
         Merging goes on within the two as it would in each alone, whichever merge is next in score
         first, unless at some time a merge across the boundary comes before both."""
-        key = left << 32 | right
-        found = self.pairs.get(key)
+        found = self.after[left].get(right)
         if found is None:
-            if len(self.pairs) >= REMEMBERED * 4:
-                self.pairs.clear()
-            found = self.pairs[key] = self._fits(left, right)
+            if self.n_pairs >= REMEMBERED * 2:
+                self.n_pairs = 0
+                for row in self.after:
+                    row.clear()
+            found = self.after[left][right] = self._fits(left, right)
+            self.n_pairs += 1
         return found
 
     def _fits(self, left: int, right: int) -> bool:
@@ -131,18 +160,22 @@ class PieceTable:
 
     def encode_known(self, text: str) -> list[int]:
         """Ids of a text of known characters: the prefix table, then backwards."""
+        after, fits = self.after, self.fits
         last = [-1] * (len(text) + 1)
-        pairs, fits = self.pairs, self.fits
+        rows = [after[-1]] * (len(text) + 1)
         for end, (token, size) in self.automaton.iter(text):
-            if last[end + 1] < 0:
-                before = last[end + 1 - size]
-                good = pairs.get(before << 32 | token)
-                if good if good is not None else fits(before, token):
-                    last[end + 1] = token
-        at, out = len(text), []
+            end += 1
+            if last[end] < 0:
+                begin = end - size
+                good = rows[begin].get(token)
+                if good if good is not None else fits(last[begin], token):
+                    last[end] = token
+                    rows[end] = after[token]
+        at, out, pieces = len(text), [], self.pieces
         while at:
-            out.append(last[at])
-            at -= len(self.pieces[last[at]])
+            token = last[at]
+            out.append(token)
+            at -= len(pieces[token])
         return out[::-1]
 
     def encode_segment(self, text: str) -> list[int]:
@@ -159,26 +192,52 @@ class PieceTable:
             out += [self.byte_ids[b] for b in c.encode()]
         return out + self.encode_known("".join(run))
 
+    def parts(self, segment: str) -> list[str]:
+        """The segment cut between characters that no piece has side by side: no merge crosses there."""
+        joined = self.joined
+        cuts = [i for i, pair in enumerate(zip(segment, segment[1:]), 1) if pair not in joined]
+        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])] if cuts else [segment]
+
     def remembered(self, segment: str) -> str:
         """Ids of a segment, from memory if it is there."""
         ids = self.segments.get(segment)
         if ids is None:
-            ids = " ".join(map(str, self.encode_segment(segment)))
+            ids = self.segments.again(segment)
+        if ids is None:
+            parts = self.parts(segment)
+            if len(parts) > 1:
+                ids = " ".join(map(self._part, parts))
+            else:
+                ids = " ".join(map(str, self.encode_segment(segment)))
             if len(segment) <= SHORT:
-                if len(self.segments) >= REMEMBERED:
-                    self.segments.clear()
-                self.segments[segment] = ids
+                self.segments.put(segment, ids)
+        return ids
+
+    def _part(self, part: str) -> str:
+        """Ids of a part of a segment, which has no cut itself."""
+        ids = self.segments.get(part)
+        if ids is None:
+            ids = self.segments.again(part)
+        if ids is None:
+            ids = " ".join(map(str, self.encode_segment(part)))
+            if len(part) <= SHORT:
+                self.segments.put(part, ids)
         return ids
 
     def after_blank(self, word: str) -> str:
         """Ids of a word and the blank before it."""
         ids = self.words.get(word)
         if ids is None:
-            ids = " ".join(map(str, self.encode_segment(MARK + word)))
+            ids = self.words.again(word)
+        if ids is None:
+            parts = self.parts(MARK + word)
+            if len(parts) > 1:
+                first = self.after_blank(parts[0][1:]) if len(parts[0]) > 1 else self._part(parts[0])
+                ids = " ".join([first, *map(self._part, parts[1:])])
+            else:
+                ids = " ".join(map(str, self.encode_segment(MARK + word)))
             if len(word) <= SHORT:
-                if len(self.words) >= REMEMBERED:
-                    self.words.clear()
-                self.words[word] = ids
+                self.words.put(word, ids)
         return ids
 
     def encode(self, text: str) -> str:

@@ -60,6 +60,25 @@ def test_any_ids_decode_as_in_the_library(library, ids):
     assert P.piece_table(MODEL).decode(" ".join(map(str, ids))) == library.decode([i for i in ids if i]) or 0 in ids
 
 
+def test_a_stem_is_encoded_once_whatever_follows_it(library):
+    table, done = P.PieceTable(MODEL), []
+    plain = table.encode_segment
+    table.encode_segment = lambda part: done.append(part) or plain(part)
+    tails = [t for t in ".,;!§\u00b6\u2020\u2021\u20ac" if ("r", t) not in table.joined]
+    text = " ".join("x thinanenor" + t for t in ["", *tails])
+    assert len(tails) > 1 and table.encode(text) == " ".join(map(str, library.encode(text)))
+    assert sum("thinanenor" in part for part in done) == 1
+
+
+def test_what_is_asked_for_again_stays_in_a_full_memory():
+    memory = P.Memory(10)
+    for i in range(100):
+        memory.put(i, str(i))
+        assert len(memory) + len(memory.old) <= 20
+        assert i == 0 or memory.get(0) or memory.again(0)
+    assert memory.get(5) is None and memory.again(5) is None
+
+
 def test_round_trip_over_a_table(documents, library):
     docs = documents(AWKWARD)
     rows = {r.doc_id: r for r in P.round_trip(docs, MODEL).select("*", P.ids_array().alias("array")).collect()}
