@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,19 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_slices(batches: Iterator[pa.RecordBatch], column: str,
                 max_bytes: int = 2 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut Arrow batches into slices of about ``max_bytes`` of text, each with its texts as
-    UTF-8 (null: empty). One longer text makes a slice of its own, so the memory of a task
-    follows the longest text and not the number of rows in a batch."""
+    UTF-8 (null: empty). One longer text makes a slice of its own. Only a slice's texts are made into
+    Python objects, so the memory of a task follows the longest text and not the number of rows in a batch."""
     for batch in batches:
-        texts = batch.column(column).cast(pa.binary()).to_pylist()
+        texts = batch.column(column).cast(pa.binary())
         begin = held = 0
-        for i, text in enumerate(texts):
-            size = len(text or b"")
+        for i, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
             if i > begin and held + size > max_bytes:
-                yield batch.slice(begin, i - begin), [t or b"" for t in texts[begin:i]]
+                yield batch.slice(begin, i - begin), _plain(texts.slice(begin, i - begin))
                 begin, held = i, 0
             held += size
         if begin < len(texts):
-            yield batch.slice(begin), [t or b"" for t in texts[begin:]]
+            yield batch.slice(begin), _plain(texts.slice(begin))
+
+
+def _plain(texts: pa.Array) -> list[bytes]:
+    return [t or b"" for t in texts.to_pylist()]
 
 
 def record_batch(schema: pa.Schema, columns: list[Any]) -> pa.RecordBatch:

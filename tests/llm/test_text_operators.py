@@ -5,11 +5,13 @@ import itertools
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 from math import log2
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -21,6 +23,7 @@ from quotebars.llm import piece_bpe as P
 from quotebars.llm import ranks as R
 from quotebars.llm import secrets as S
 from quotebars.llm import sharding as H
+from quotebars.llm.tables import text_slices
 from tests.llm.conftest import AWKWARD, lower
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -79,6 +82,18 @@ def test_what_is_asked_for_again_stays_in_a_full_memory():
     assert memory.get(5) is None and memory.again(5) is None
 
 
+def test_only_the_texts_of_a_slice_are_python_objects():
+    batch = pa.RecordBatch.from_arrays([pa.array([None, *("x" * 1_000_000 for _ in range(60))])], ["text"])
+    tracemalloc.start()
+    try:
+        sizes = [(part.num_rows, sum(map(len, texts))) for part, texts in text_slices(iter([batch]), "text")]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(n for n, _ in sizes) == 61 and sum(n for _, n in sizes) == 60_000_000 and max(n for _, n in sizes) <= 2 << 20
+    assert peak < 10_000_000
+
+
 def test_round_trip_over_a_table(documents, library):
     docs = documents(AWKWARD)
     rows = {r.doc_id: r for r in P.round_trip(docs, MODEL).select("*", P.ids_array().alias("array")).collect()}
