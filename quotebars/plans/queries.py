@@ -673,15 +673,19 @@ def q_publish_pipeline(spark, sf_dir):
     chart = _chart_payloads(spark, sf_dir).withColumn("polled", ms_to_ts("quote_time_ms"))
     write_in_time_order(chart, f"{root}/payloads", PAYLOAD_FILES, ("polled",), "polled")
     stream = spark.readStream.schema(chart.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/payloads")
-    priced = src_chart_json(stream).where(F.col("reject_reason").isNull()).select(
-        "symbol", ms_to_ts("quote_time_ms").alias("quote_time"), "day_volume", F.col("price").cast("decimal(38,8)").alias("price"))
+    # two files are two tasks, so payloads are dealt to all task slots before they are parsed
+    stream = stream.repartition(_state_partitions(spark), "symbol", "quote_time_ms")
+    priced = src_chart_json(stream).select("symbol", ms_to_ts("quote_time_ms").alias("quote_time"), "day_volume",
+                                           F.col("price").cast("decimal(38,8)").alias("price"), "reject_reason")
 
     def publish(counted, number):
+        counted = counted.drop("reject_reason")
         valid, _ = split_valid(validate_quotes(normalize_quote(counted.withColumn("quote_time_ms", ts_to_ms("quote_time")))))
         frames = _topic_rows(avro_encode_frame(valid, schema_id=1, keep=["quote_time"]))
         publish_files(frames, f"{root}/topic", batch_name(number), num_files=2)
 
-    increments_stateful(priced, f"{root}/checkpoint", publish, trigger={"availableNow": True}).awaitTermination()
+    increments_stateful(priced, f"{root}/checkpoint", publish, trigger={"availableNow": True},
+                        only=F.col("reject_reason").isNull()).awaitTermination()
     decoded = read_framed_quotes(read_topic(spark, f"{root}/topic"))
     return to_quotes(decoded).select("symbol", F.col("price").cast("double").alias("price"), F.col("volume").cast("double").alias("volume"),
                                      "day_volume", ts_to_ms("quote_time").alias("quote_time_ms"), "source")

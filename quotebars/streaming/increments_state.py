@@ -53,17 +53,21 @@ def carry_after(quotes: DataFrame, carry: DataFrame) -> DataFrame:
 
 
 def increments_stateful(quotes: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], object], block: Column | None = None,
-                        trigger: dict | None = None, query_name: str = "increments"):
+                        trigger: dict | None = None, query_name: str = "increments", only: Column | None = None):
     """Start a stream that gives every micro-batch of ``quotes`` (symbol, quote_time, day_volume, price and
     more) with its increments to ``sink(rows, batch_id)``. A batch may come again after a crash, with the
-    same rows and number: a sink that puts it under its number keeps it once."""
+    same rows and number: a sink that puts it under its number keeps it once. ``only`` tells which rows
+    count; it is applied to a batch's evaluated rows, so Spark can't evaluate what it needs a second time
+    below a repartition of the source."""
     state = BatchState(quotes.sparkSession, f"{checkpoint.rstrip('/')}/carry", CARRY)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         before = state.before(batch_id, batch.sparkSession)
         held = batch.persist()      # the scan reads it several times, the sink and the carry read its result
-        rows = increments_after(held, before, block).persist()
+        rows = increments_after(held if only is None else held.where(only), before, block).persist()
         try:
+            # held once before the scan's branches ask for it, else each of them evaluates the source
+            held.write.format("noop").mode("overwrite").save()
             sink(rows, batch_id)
             state.put(carry_after(rows, before), batch_id)
         finally:

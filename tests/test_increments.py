@@ -117,3 +117,31 @@ def test_null_times_and_empty_batches(spark):
     assert [tuple(r) for r in carry.collect()] == [("A", T0, 12)]
     out, kept = increments_after(rows.limit(0), carry), carry_after(rows.limit(0), carry)
     assert out.collect() == [] and [tuple(r) for r in kept.collect()] == [("A", T0, 12)]
+
+
+def test_rows_that_do_not_count_are_left_out_after_the_batch_is_evaluated(spark, scratch):
+    root, quotes = scratch("inc-only"), _random_quotes(spark)
+    write_in_time_order(quotes, f"{root}/src", 6, ("quote_time",), "quote_time")
+    only = F.col("price") > 3
+    stream = spark.readStream.schema(quotes.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/src").repartition(4, "symbol", "quote_time")
+    got, plans = [], []
+
+    def keep(rows, number):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        got.extend(rows.collect())
+
+    increments_stateful(stream, f"{root}/ck", keep, trigger={"availableNow": True}, only=only).awaitTermination()
+    want = volume_increments(quotes.where(only))
+    columns = ["symbol", "quote_time", "day_volume", "price", "volume"]
+    assert sorted(repr([r[c] for c in columns]) for r in got) == sorted(repr([r[c] for c in columns]) for r in want.collect())
+    assert len(plans) == 3 and all("InMemoryRelation" in p for p in plans)
+
+
+def test_payloads_are_dealt_to_all_slots_before_they_are_parsed(spark, monkeypatch):
+    from quotebars.plans import queries as Q
+    plans = []
+    monkeypatch.setattr(Q, "increments_stateful", lambda rows, *a, **k: plans.append(rows._jdf.queryExecution().analyzed().toString()) or 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        Q.queries()["publish_pipeline"](spark, "/root/testdata/sf0.001")
+    above = plans[0].split("RepartitionByExpression")
+    assert len(above) == 2 and "Filter" not in above[0] and "parse_json" in above[0].lower()
