@@ -11,6 +11,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotebars.functions.scalar import ms_to_ts, normalize_symbols, ts_to_ms
 from quotebars.operators import serving as S
@@ -19,7 +20,7 @@ from quotebars.operators.quality import publish_counters, split_valid, tag_allow
 from quotebars.operators.reconcile import (backfill_bars, count_rows, late_rows_report,
                                            reconcile_counts)
 from quotebars.operators.rollup import aggregate_ohlcv
-from quotebars.schemas import OHLCV_AVRO
+from quotebars.schemas import KAFKA_ROW, OHLCV_AVRO
 from quotebars.session import configure, scratch_dir
 from quotebars.sources.driver_tables import quotes_from_events, quotes_from_lineitem, read_table
 from quotebars.sources.folders import batch_name, file_system, names, put_batch, read_batches
@@ -35,7 +36,6 @@ from quotebars.streaming.state import open_windows, reconcile_open_windows
 
 FLAGSHIP_SYMBOL = "click"
 ALLOWLIST = "click, VIEW,purchase,click"
-CHUNK_DAYS = 3
 
 _cache: dict = {}     # scenario outputs already written in this application: paths only
 
@@ -318,57 +318,58 @@ def q_count_rows(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ streaming
-LATE_CHUNK = 1 << 40
-
-
-def stage_topic_files(spark: SparkSession, quotes: DataFrame, out_dir: str, chunk_days: int = CHUNK_DAYS,
-                      late=None) -> str:
-    """Stage quotes as framed topic rows, partitioned by time chunk (rows matching
-    ``late`` go to one extra chunk after all others). Returns the staging folder;
-    ``publish_chunks`` then releases chunks to the topic folder in order."""
-    day = F.datediff(F.to_date("quote_time"), F.lit("1970-01-01"))
-    chunk = F.floor(day / F.lit(chunk_days)).cast("bigint")
-    if late is not None:
-        chunk = F.when(late, F.lit(LATE_CHUNK).cast("bigint")).otherwise(chunk)
-    rows = quotes.withColumn("chunk", chunk)
-    framed = avro_encode_frame(_wire_quotes(rows, extra=["chunk"]), schema_id=1, keep=["quote_time", "chunk"])
+#: a topic has files for so many micro-batches at least, and more when a file would hold more rows
+BATCHES, FILE_ROWS = 10, 100_000
+#: days of a topic beyond which its files are cut between hours
+LONG_DAYS = 120
+
+
+def stage_topic_files(spark: SparkSession, quotes: DataFrame, out_dir: str, late=None) -> str:
+    """Stage quotes as framed topic rows, those matching ``late`` apart from the others. Returns the
+    staging folder; ``publish_staged`` then releases one or the other to the topic folder."""
+    held_back = F.lit(False) if late is None else F.coalesce(late, F.lit(False))
+    rows = quotes.withColumn("late", held_back)
+    framed = avro_encode_frame(_wire_quotes(rows, extra=["late"]), schema_id=1, keep=["quote_time", "late"])
     topic_rows = framed.select(
         "key", "value",
         F.lit("market.quotes").alias("topic"),
         F.pmod(F.hash("key"), F.lit(3)).cast("int").alias("partition"),
         F.unix_micros(F.col("quote_time").cast("timestamp")).alias("offset"),
         F.col("quote_time").cast("timestamp").alias("timestamp"),
-        "chunk")
+        "late")
     staged_dir = f"{out_dir}_staged"
-    topic_rows.write.mode("overwrite").partitionBy("chunk").parquet(staged_dir)
+    topic_rows.write.mode("overwrite").partitionBy("late").parquet(staged_dir)
     return staged_dir
 
 
-def publish_chunks(spark: SparkSession, staged_dir: str, out_dir: str, late: bool = False,
-                   files_per_chunk: int | None = None) -> int:
-    """Append the on-time chunks (or, with ``late``, the held-back chunk) to the topic
-    folder, one chunk per write and exactly ``files_per_chunk`` files each, so a stream
-    with ``maxFilesPerTrigger`` = that number reads one whole chunk per micro-batch in
-    time order. Returns the files per chunk."""
-    k = files_per_chunk or max(1, spark.sparkContext.defaultParallelism)
-    staged = spark.read.parquet(staged_dir)
-    # distinct chunk ids: one per time chunk, a handful of values
-    chunks = sorted(r["chunk"] for r in staged.select("chunk").distinct().collect())
-    chunks = [c for c in chunks if (c == LATE_CHUNK) == late]
-    for c in chunks:   # one write per chunk, so file modification order = time order
-        (staged.where(F.col("chunk") == c).drop("chunk")
-            .repartition(k).write.mode("append").parquet(out_dir))
+def publish_staged(spark: SparkSession, staged_dir: str, out_dir: str, late: bool = False,
+                   files_per_batch: int | None = None, least_batches: int = BATCHES, file_rows: int = FILE_ROWS) -> int:
+    """Append the on-time rows to the topic folder as files in time order, or, with ``late``, those held
+    back, as the files of one micro-batch. A stream with ``maxFilesPerTrigger`` = ``files_per_batch`` then reads
+    the topic along the time. The number of files, and so of micro-batches, follows the rows and not the days
+    that they span; a file is a range of the time, so a batch has few symbol-days in several files. Returns
+    ``files_per_batch`` (default: the task slots)."""
+    k = files_per_batch or max(1, spark.sparkContext.defaultParallelism)
+    staged = spark.read.schema(T.StructType([*KAFKA_ROW.fields, T.StructField("late", T.BooleanType())])).parquet(staged_dir)
+    rows = staged.where(F.col("late") == late).drop("late")
+    if late:
+        rows.repartition(k).write.mode("append").parquet(f"{out_dir}/late")
+        return k
+    span = rows.agg(F.count(F.lit(1)).alias("n"), F.datediff(F.max("timestamp"), F.min("timestamp")).alias("days")).first()
+    files = max(least_batches * k, -(-span["n"] // file_rows))
+    write_in_time_order(rows, f"{out_dir}/on-time", files, ("key", "timestamp"), "timestamp",
+                        "hour" if (span["days"] or 0) > LONG_DAYS else "minute")
     return k
 
 
 def _published_topic(spark, sf_dir) -> dict:
-    """The events quotes as an on-time topic folder (all chunks published), shared by the
+    """The events quotes as an on-time topic folder (all rows published), shared by the
     scenarios that only read it."""
     key = ("topic", _app(spark), sf_dir)
     if key not in _cache:
         root = scratch_dir(spark, "topic")
         staged = stage_topic_files(spark, _events(spark, sf_dir), f"{root}/topic")
-        _cache[key] = {"path": f"{root}/topic", "k": publish_chunks(spark, staged, f"{root}/topic")}
+        _cache[key] = {"path": f"{root}/topic", "k": publish_staged(spark, staged, f"{root}/topic")}
     return _cache[key]
 
 
@@ -395,8 +396,8 @@ def _stream_run(spark, sf_dir, late_rule: bool = False) -> dict:
 
     if late_rule:
         staged = stage_topic_files(spark, _events(spark, sf_dir), f"{root}/topic", late=F.col("volume") < 10)
-        run(f"{root}/topic", publish_chunks(spark, staged, f"{root}/topic"))
-        run(f"{root}/topic", publish_chunks(spark, staged, f"{root}/topic", late=True))
+        run(f"{root}/topic", publish_staged(spark, staged, f"{root}/topic"))
+        run(f"{root}/topic", publish_staged(spark, staged, f"{root}/topic", late=True))
     else:
         topic = _published_topic(spark, sf_dir)
         run(topic["path"], topic["k"])

@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 import json
 import uuid
+from contextlib import contextmanager
 from datetime import date as _date
 from datetime import timedelta as _timedelta
 
@@ -166,6 +167,22 @@ def day_range_filter(df: DataFrame, ts_col: str, day_col: str, lo=None, hi=None)
     return df
 
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+
+
+@contextmanager
+def one_listing(spark: SparkSession):
+    """List a table's folders in one job, a task for each entry of the first level that has several. By
+    default every folder of more than 32 entries is a job of its own, one after the other: one for each
+    symbol of each version of a store that spans months."""
+    old = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING, old)
+
+
 class BarStore:
     """Idempotent upsert target for bars keyed by ``(symbol, window_start)``."""
 
@@ -350,9 +367,9 @@ class BarStore:
         # which attempt of each version counts: one small row per committed batch
         commits = (self.spark.read.schema("seq int, attempt string").json(f"{self.path}/_commits/log")
                    .where((F.col("seq") >= first) & (F.col("seq") <= last)))
-        df = (self.spark.read.schema(self.stored_schema())
-              .parquet(f"{self.path}/data")
-              .where((F.col("seq") >= first) & (F.col("seq") <= last))
+        with one_listing(self.spark):
+            stored = self.spark.read.schema(self.stored_schema()).parquet(f"{self.path}/data")
+        df = (stored.where((F.col("seq") >= first) & (F.col("seq") <= last))
               .join(commits, ["seq", "attempt"], "left_semi"))
         day_bases = {d: q for d, q in self._day_bases().items() if q > first}
         if day_bases:

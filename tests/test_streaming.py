@@ -270,3 +270,40 @@ def test_kafka_source_options():
     got = kafka_options("h:1", "t", "earliest", 5000, {"minPartitions": 12})
     assert got == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",
                    "maxOffsetsPerTrigger": "5000", "minPartitions": "12"}
+
+
+def _long_events(spark, folder, days):
+    """Two events a day for a symbol each, and one without a time."""
+    rows = [(2 * d + i, T0 + dt.timedelta(days=d, seconds=i), "AB"[i], 10.0 + i, f'{{"k": {1 + d % 20}}}') for d in range(days) for i in (0, 1)]
+    rows.append((-1, None, "A", 1.0, '{"k": 50}'))
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string, value double, props string") \
+        .write.parquet(f"{folder}/events.parquet")
+
+
+def test_micro_batches_follow_the_rows_and_not_the_days(spark, scratch):
+    from quotebars.plans import queries as Q
+    root, days = scratch("long"), 300
+    _long_events(spark, root, days)
+    topic = Q._published_topic(spark, root)
+    files = spark.read.parquet(f"{topic['path']}/on-time").inputFiles()
+    assert len(files) <= Q.BATCHES * topic["k"] < days      # 100 chunks of three days had k files each
+    got = {r.symbol: r for r in Q.queries()["stream_reconcile"](spark, root).collect()}
+    assert {s: (r.raw_rows, r.bars, r.bar_trades, r.ok) for s, r in got.items()} == {s: (days, days, days, True) for s in "AB"}
+
+
+def test_topic_files_are_more_when_rows_are_more(spark, scratch):
+    from quotebars.plans import queries as Q
+    from quotebars.sources.driver_tables import quotes_from_events
+    root = scratch("more")
+    _long_events(spark, root, 30)
+    late = F.col("volume") < 5
+    staged = Q.stage_topic_files(spark, quotes_from_events(spark, root), f"{root}/topic", late=late)
+    assert Q.publish_staged(spark, staged, f"{root}/topic", files_per_batch=2, least_batches=2, file_rows=6) == 2
+    files = sorted(spark.read.parquet(f"{root}/topic/on-time").inputFiles())
+    assert 5 <= len(files) <= 9          # 49 rows, six to a file
+    seen = [spark.read.parquet(f).agg(F.min("timestamp"), F.max("timestamp")).first() for f in files]
+    times = [t for pair in seen for t in pair if t is not None]
+    assert times == sorted(times)
+    assert Q.publish_staged(spark, staged, f"{root}/topic", late=True, files_per_batch=2) == 2
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/topic").count() == 61
+    assert spark.read.parquet(f"{root}/topic/late").count() == spark.read.parquet(staged).where("late = 'true'").count() == 16

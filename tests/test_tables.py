@@ -224,3 +224,23 @@ def test_a_retried_append_to_a_catalog_table(spark, scratch):
     day = quotes.agg(F.min(F.to_date("quote_time"))).first()[0]
     plan = rows.where(F.col("quote_day") == F.lit(day))._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(quote_day" in plan
+
+
+def test_a_store_of_many_days_is_listed_in_one_job(spark, scratch):
+    store = BarStore(spark, f"{scratch('listed')}/ohlcv")
+    quotes = spark.range(40).select(
+        F.lit("A").alias("symbol"), F.col("id").cast("decimal(38,8)").alias("price"), F.lit(1).cast("decimal(38,8)").alias("volume"),
+        F.lit(0).cast("bigint").alias("day_volume"), F.timestamp_seconds(F.col("id") * 86400).alias("quote_time"))
+    both = quotes.unionByName(quotes.withColumn("symbol", F.lit("B")))
+    for _ in range(2):
+        store.upsert(aggregate_ohlcv(both))
+    old = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold")
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        bars = store.read()
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("listing")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1            # by default one for each version and symbol
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold") == old
+    assert bars.count() == 80 and store.versions().count() == 160
