@@ -252,7 +252,8 @@ def compare_with_splices(docs: DataFrame, key: str = "doc_id", text: str = "text
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     follows = firsts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), F.first("part").over(whole)).alias("after"))
     edges = lasts.join(follows, "part").join(firsts.select(F.col("part").alias("after"), F.col("text").alias("next_text")), "after")
-    closed = edges.select("doc_id", "text", "next_text").mapInArrow(close_edges(sizes), PAIR_DDL)
+    # an edge for each task, so as many tasks close them as there are slots, however many partitions the joins have
+    closed = edges.select("doc_id", "text", "next_text").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(close_edges(sizes), PAIR_DDL)
     hexed = lambda c: F.lower(F.hex(c))
     return pairs.where("edge IS NULL").union(closed).select(
         F.col("doc_id").alias(key), "n_chars", "edited_sha256", hexed("own").alias("fingerprint"), hexed("edited").alias("edited_fingerprint"),

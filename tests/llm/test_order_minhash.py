@@ -140,3 +140,19 @@ def test_splices_are_nearer_than_neighbours(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [r for r in O.compare_with_splices(docs).collect() if r.n_chars >= 12]
     assert sum(r.near_edited > r.near_next for r in rows) >= 0.99 * len(rows)
+
+
+def test_edges_are_closed_in_as_many_tasks_as_there_are_slots(spark):
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in settings}
+    rows = [(i, f"the text of document {i}") for i in range(20, 0, -1)]
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = O.compare_with_splices(frame(spark, rows))
+        slots = spark.sparkContext.defaultParallelism
+        assert got.rdd.getNumPartitions() <= 3 * slots      # those of the pairs and of the edges
+        assert sorted(map(tuple, got.collect())) == sorted(brute(rows))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
