@@ -6,9 +6,10 @@ one is the prefix's last token which is compatible with the last token of the pr
 it, where two tokens are compatible if merging their joined text gives just these two. The
 ids are then read off backwards. Time is linear in the text, without a priority queue.
 
-A text is cut into segments that no merge can cross (before a white-space mark, at characters
-of which no piece is made, between two characters that no piece has side by side), and encodings
-of short segments are remembered.
+A text is cut into segments that no merge can cross (before a white-space mark, and between two
+characters that no piece has side by side: first, by one expression, where a character of the group
+that makes most pieces meets one of no such piece, as between letters and punctuation), and
+encodings of short segments are remembered.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import codecs
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 from quotebars.llm.tables import record_batch, text_slices
 
 MARK = "▁"          # stands for a blank in pieces
-#: segments, and words, that a worker remembers in each of two generations; token pairs twice as many
+#: segments that a worker remembers in each of two generations; token pairs twice as many
 REMEMBERED = 200_000
 #: longer segments are encoded but not remembered
 SHORT = 48
+#: characters of a text, at least, of which the segments are listed at once
+BLOCK = 1 << 16
 _EACH = "replace-each-byte"
 codecs.register_error(_EACH, lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -77,9 +81,10 @@ class PieceTable:
         for b, i in self.byte_ids.items():
             self.texts[i] = chr(b) if b < 0x80 else chr(0xDC00 + b)
         self.text_of = {str(i): t for i, t in enumerate(self.texts)}
+        self.names = [str(i) for i in range(size)]
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.automaton.add_word(piece, (i, len(piece)))
+            self.automaton.add_word(piece, (i, len(piece) - 1))
         self.automaton.make_automaton()
         # two characters, side by side, that some merge can join
         self.joined = {(a, b) for p in self.scores for a, b in zip(p, p[1:])}
@@ -88,15 +93,32 @@ class PieceTable:
         self.n_pairs = 0
         self.histories: dict[int, tuple[list[float], list[str], list[str]] | None] = {}
         self.segments = Memory()
-        self.words = Memory()
-        breaks = "".join(c for c in "\n\r\t" if c not in self.known)
         inner = any(MARK in p.lstrip(MARK) for p in self.scores)
-        no = re.escape(breaks)
-        # no merge crosses a new line or the place before a mark: lines and words can be cut out
-        self.by_line = "\n" in breaks and not inner
-        self.newline = " ".join(str(self.byte_ids[b]) for b in b"\n")
-        inside = rf"[^{no}]+" if inner else rf"{MARK}+[^{MARK}{no}]*|[^{MARK}{no}]+"
-        self.cut = re.compile(rf"{inside}|[{no}]" if breaks else r"(?s:.+)" if inner else rf"{MARK}+[^{MARK}]*|[^{MARK}]+")
+        group = "".join(map(re.escape, sorted(self.main_group(inner))))
+        # no merge crosses the place before a mark unless a piece has one inside; in a text to cut, blanks are marks
+        if inner:
+            self.cut, self.block = re.compile(f"[{group}]+|[^{group}]+"), re.compile(r"(?s:.+)")
+        else:
+            self.cut = re.compile(f" *[{group}]+| *[^ {group}]+| +")
+            self.block = re.compile(rf"(?s:.{{1,{BLOCK}}}) *[^ ]*")
+
+    def main_group(self, inner: bool) -> set[str]:
+        """Of the groups of characters that no piece mixes, that with the most pieces. If some piece
+        has a mark inside, a mark counts as a character, a blank; else those at the front are left out."""
+        first: dict[str, str] = {}
+
+        def root(c: str) -> str:
+            while first.setdefault(c, c) != c:
+                first[c] = c = first[first[c]]
+            return c
+
+        bodies = [p.replace(MARK, " ") if inner else p.lstrip(MARK) for p in self.scores]
+        for body in bodies:
+            for a, b in zip(body, body[1:]):
+                first[root(a)] = root(b)
+        sizes = Counter(root(body[0]) for body in bodies if body)
+        most = max(sizes, key=lambda c: (sizes[c], c))
+        return {c for c in list(first) if root(c) == most}
 
     def history(self, token: int) -> tuple[list[float], list[str], list[str]] | None:
         """How plain merging (best score first, then leftmost) builds a piece from its characters:
@@ -161,16 +183,14 @@ class PieceTable:
     def encode_known(self, text: str) -> list[int]:
         """Ids of a text of known characters: the prefix table, then backwards."""
         after, fits = self.after, self.fits
-        last = [-1] * (len(text) + 1)
-        rows = [after[-1]] * (len(text) + 1)
-        for end, (token, size) in self.automaton.iter(text):
-            end += 1
-            if last[end] < 0:
-                begin = end - size
-                good = rows[begin].get(token)
-                if good if good is not None else fits(last[begin], token):
-                    last[end] = token
-                    rows[end] = after[token]
+        last, rows, done = [-1], [after[-1]], -1
+        for end, (token, before) in self.automaton.iter(text):
+            if end != done:
+                good = rows[end - before].get(token)
+                if good if good is not None else fits(last[end - before], token):
+                    last.append(token)
+                    rows.append(after[token])
+                    done = end
         at, out, pieces = len(text), [], self.pieces
         while at:
             token = last[at]
@@ -199,69 +219,31 @@ class PieceTable:
         return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])] if cuts else [segment]
 
     def remembered(self, segment: str) -> str:
-        """Ids of a segment, from memory if it is there."""
+        """Ids of a segment, from memory if it is there. A long one is not remembered, but its parts are."""
         ids = self.segments.get(segment)
         if ids is None:
             ids = self.segments.again(segment)
         if ids is None:
-            parts = self.parts(segment)
+            marked = segment.replace(" ", MARK)
+            parts = self.parts(marked) if len(segment) > SHORT else ()
             if len(parts) > 1:
-                ids = " ".join(map(self._part, parts))
-            else:
-                ids = " ".join(map(str, self.encode_segment(segment)))
+                return " ".join([self.remembered(part.replace(MARK, " ")) for part in parts])
+            ids = " ".join(map(self.names.__getitem__, self.encode_segment(marked)))
             if len(segment) <= SHORT:
                 self.segments.put(segment, ids)
         return ids
 
-    def _part(self, part: str) -> str:
-        """Ids of a part of a segment, which has no cut itself."""
-        ids = self.segments.get(part)
-        if ids is None:
-            ids = self.segments.again(part)
-        if ids is None:
-            ids = " ".join(map(str, self.encode_segment(part)))
-            if len(part) <= SHORT:
-                self.segments.put(part, ids)
-        return ids
-
-    def after_blank(self, word: str) -> str:
-        """Ids of a word and the blank before it."""
-        ids = self.words.get(word)
-        if ids is None:
-            ids = self.words.again(word)
-        if ids is None:
-            parts = self.parts(MARK + word)
-            if len(parts) > 1:
-                first = self.after_blank(parts[0][1:]) if len(parts[0]) > 1 else self._part(parts[0])
-                ids = " ".join([first, *map(self._part, parts[1:])])
-            else:
-                ids = " ".join(map(str, self.encode_segment(MARK + word)))
-            if len(word) <= SHORT:
-                self.words.put(word, ids)
-        return ids
-
     def encode(self, text: str) -> str:
         """Decimal ids of a whole text, joined by a blank, without an end id."""
         if not text:
             return ""
-        if not self.by_line:
-            return " ".join(map(self.remembered, self.cut.findall(MARK + text.replace(" ", MARK))))
         out: list[str] = []
-        for n, line in enumerate(text.split("\n")):
-            if n:
-                out.append(self.newline)
-            if not line or "  " in line or MARK in line or line[0] == " " or line[-1] == " ":
-                line = line.replace(" ", MARK) if n else MARK + line.replace(" ", MARK)
-                out += map(self.remembered, self.cut.findall(line))
-                continue
-            # the usual case: words with one blank between two
-            words = line.split(" ")
-            ids = list(map(self.words.get, words))
-            if n:
-                ids[0] = self.remembered(words[0])
+        for block in self.block.findall(" " + text.replace(MARK, " ")):
+            segments = self.cut.findall(block)
+            ids = list(map(self.segments.get, segments))
             if None in ids:
-                ids = [found or self.after_blank(word) for found, word in zip(ids, words, strict=True)]
-            out += ids
+                ids = [found or self.remembered(segment) for found, segment in zip(ids, segments, strict=True)]
+            out.append(" ".join(ids))
         return " ".join(out)
 
     def decode(self, ids: str) -> str:

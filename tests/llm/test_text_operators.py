@@ -73,6 +73,37 @@ def test_a_stem_is_encoded_once_whatever_follows_it(library):
     assert sum("thinanenor" in part for part in done) == 1
 
 
+def test_a_word_has_one_place_in_memory_whatever_follows_it(library):
+    rng, table = random.Random(5), P.PieceTable(MODEL)
+    pieces = [p for p in table.scores if p.isascii() and p.isalpha() and p.islower() and len(p) < 6]
+    words = ["".join(rng.choices(pieces, k=4)) for _ in range(3000)]
+    text = " ".join(w + t for w in words for t in ("", ",", "."))
+    ids = table.encode(text)
+    assert ids == " ".join(map(str, library.encode(text)))
+    assert len(table.segments) == len(set(words)) + 2       # the words, a comma and a full stop
+
+
+@pytest.mark.parametrize("body", ["a", "ab", "thinanenor", "aab  ", " ", "日本", "\U0001f600x", "\n ", "x▁▁"])
+def test_long_texts_without_cuts_or_around_the_end_of_a_block(library, body):
+    for size in (P.BLOCK - 3, P.BLOCK - 2, P.BLOCK - 1, P.BLOCK, 2 * P.BLOCK + 1):
+        same_as_library(library, (body * size)[:size] + "  the end")
+
+
+@pytest.mark.parametrize("by_word", [True, False])
+def test_models_with_and_without_marks_inside_pieces(tmp_path, by_word):
+    rng = random.Random(7)
+    lines = [" ".join(rng.choices(["the", "of", "in", "that", "x.", "isn't", "a,b", "on"], k=8)) for _ in range(400)]
+    lines = [line.replace("that on", "that (on").replace("the of", "the ... of") for line in lines]
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines), model_prefix=str(tmp_path / "m"), model_type="bpe", vocab_size=340, byte_fallback=True,
+        split_by_whitespace=by_word, normalization_rule_name="identity", remove_extra_whitespaces=False, minloglevel=2, hard_vocab_limit=False)
+    library, table = sentencepiece.SentencePieceProcessor(model_file=str(tmp_path / "m.model")), P.PieceTable(str(tmp_path / "m.model"))
+    assert by_word != any(P.MARK in p.lstrip(P.MARK) for p in table.scores)
+    for _ in range(300):
+        text = "".join(rng.choices(["of the", "in ", " that", "  ", ".", " (on", " ...", " ... of", "n't", "a,", "\n", "é", "on", "i", "h"], k=rng.randrange(1, 12)))
+        assert table.encode(text) == " ".join(map(str, library.encode(text))), text
+
+
 def test_what_is_asked_for_again_stays_in_a_full_memory():
     memory = P.Memory(10)
     for i in range(100):
